@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import metrics_plans, oracle_metrics
+from tidewater.plans import etl_plans, metrics_plans, oracle_etl, oracle_metrics
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -25,11 +25,12 @@ def queries() -> dict[str, Plan]:
         "stream_metrics", "stream_metrics_hourly", "windowed_metrics", "error_alerts",
         "archive_partitions", "stream_audit", "metrics_live", "archive_tiers",
     ]))
+    out.update(_plans_of(etl_plans, ["etl_daily", "etl_stage_all"]))
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (oracle_metrics,):
+    for mod in (oracle_metrics, oracle_etl):
         out.update({k: v.strip() for k, v in mod.SQL.items()})
     return out
