@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import etl_plans, metrics_plans, oracle_etl, oracle_metrics
+from tidewater.plans import (etl_plans, events_plans, metrics_plans, oracle_etl, oracle_events,
+                             oracle_metrics)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -26,11 +27,13 @@ def queries() -> dict[str, Plan]:
         "archive_partitions", "stream_audit", "metrics_live", "archive_tiers",
     ]))
     out.update(_plans_of(etl_plans, ["etl_daily", "etl_stage_all"]))
+    out.update(_plans_of(events_plans, ["order_state", "inventory_state", "notification_outbox",
+                                        "routed_counts"]))
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (oracle_metrics, oracle_etl):
+    for mod in (oracle_metrics, oracle_etl, oracle_events):
         out.update({k: v.strip() for k, v in mod.SQL.items()})
     return out
