@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import (etl_plans, events_plans, metrics_plans, oracle_etl, oracle_events,
-                             oracle_metrics)
+from tidewater.plans import (etl_plans, events_plans, items_plans, metrics_plans, oracle_etl,
+                             oracle_events, oracle_items, oracle_metrics)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -29,11 +29,14 @@ def queries() -> dict[str, Plan]:
     out.update(_plans_of(etl_plans, ["etl_daily", "etl_stage_all"]))
     out.update(_plans_of(events_plans, ["order_state", "inventory_state", "notification_outbox",
                                         "routed_counts"]))
+    out.update(_plans_of(items_plans, ["item_catalog", "items_active_page", "item_delete_counts",
+                                       "latest_event_per_user", "user_recent_events",
+                                       "order_customer_lookup"]))
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (oracle_metrics, oracle_etl, oracle_events):
+    for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items):
         out.update({k: v.strip() for k, v in mod.SQL.items()})
     return out
