@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import (etl_plans, events_plans, items_plans, metrics_plans, oracle_etl,
-                             oracle_events, oracle_items, oracle_metrics)
+from tidewater.plans import (chat_plans, etl_plans, events_plans, items_plans, metrics_plans,
+                             oracle_chat, oracle_etl, oracle_events, oracle_items, oracle_metrics)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -32,11 +32,13 @@ def queries() -> dict[str, Plan]:
     out.update(_plans_of(items_plans, ["item_catalog", "items_active_page", "item_delete_counts",
                                        "latest_event_per_user", "user_recent_events",
                                        "order_customer_lookup"]))
+    out.update(_plans_of(chat_plans, ["chat_senders", "chat_fanout", "chat_room_deliveries",
+                                      "chat_room_history", "chat_presence", "chat_membership"]))
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items):
+    for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items, oracle_chat):
         out.update({k: v.strip() for k, v in mod.SQL.items()})
     return out
