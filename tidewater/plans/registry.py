@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import (chat_plans, etl_plans, events_plans, items_plans, metrics_plans,
-                             oracle_chat, oracle_etl, oracle_events, oracle_items, oracle_metrics)
+from tidewater.plans import (chat_plans, docs_plans, etl_plans, events_plans, items_plans,
+                             metrics_plans, oracle_chat, oracle_docs, oracle_etl, oracle_events,
+                             oracle_items, oracle_metrics)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +35,14 @@ def queries() -> dict[str, Plan]:
                                        "order_customer_lookup"]))
     out.update(_plans_of(chat_plans, ["chat_senders", "chat_fanout", "chat_room_deliveries",
                                       "chat_room_history", "chat_presence", "chat_membership"]))
+    out.update(_plans_of(docs_plans, ["doc_text", "doc_overflow", "doc_language", "doc_language_accuracy",
+                                      "doc_sentiment", "doc_entities", "doc_key_phrases",
+                                      "doc_translation_worklist", "doc_results", "doc_result_page"]))
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items, oracle_chat):
+    for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items, oracle_chat, oracle_docs):
         out.update({k: v.strip() for k, v in mod.SQL.items()})
     return out
