@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.plans import (chat_plans, docs_plans, etl_plans, events_plans, items_plans,
-                             metrics_plans, oracle_chat, oracle_docs, oracle_etl, oracle_events,
-                             oracle_items, oracle_metrics)
+                             media_lake_plans, metrics_plans, oracle_chat, oracle_docs, oracle_etl,
+                             oracle_events, oracle_items, oracle_media_lake, oracle_metrics)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -38,11 +38,15 @@ def queries() -> dict[str, Plan]:
     out.update(_plans_of(docs_plans, ["doc_text", "doc_overflow", "doc_language", "doc_language_accuracy",
                                       "doc_sentiment", "doc_entities", "doc_key_phrases",
                                       "doc_translation_worklist", "doc_results", "doc_result_page"]))
+    out.update(_plans_of(media_lake_plans, ["media_results", "media_notification_counts",
+                                            "lake_ingest_summary", "lake_category_stats", "lake_count",
+                                            "lake_sample", "lake_partition_query"]))
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items, oracle_chat, oracle_docs):
+    for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items, oracle_chat, oracle_docs,
+                oracle_media_lake):
         out.update({k: v.strip() for k, v in mod.SQL.items()})
     return out
