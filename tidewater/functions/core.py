@@ -40,8 +40,9 @@ def vmap(v: Column | str) -> Column:
 
 
 def has_key(v: Column | str, key: str) -> Column:
-    """Key presence in a variant object; true even for an explicit JSON null."""
-    return F.coalesce(F.map_contains_key(vmap(v), F.lit(key)), F.lit(False))
+    """Key presence in a variant object; true even for an explicit JSON null
+    (a JSON null is a non-NULL variant).  A path lookup, no map is built."""
+    return F.try_variant_get(_c(v), _path(key), "variant").isNotNull()
 
 
 def vget(v: Column | str, path: str, type_: str) -> Column:
@@ -50,7 +51,11 @@ def vget(v: Column | str, path: str, type_: str) -> Column:
 
 def is_json_null(v: Column | str, key: str) -> Column:
     """Key present and explicitly null."""
-    return has_key(v, key) & F.is_variant_null(F.variant_get(_c(v), f"$.{key}", "variant"))
+    return F.coalesce(F.is_variant_null(F.try_variant_get(_c(v), _path(key), "variant")), F.lit(False))
+
+
+def _path(key: str) -> str:
+    return "$['" + key.replace("'", "\\'") + "']"
 
 
 # ---------------------------------------------------------------- time

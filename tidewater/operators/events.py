@@ -51,22 +51,46 @@ def normalise(raw: DataFrame, col: str = "event") -> tuple[DataFrame, DataFrame]
 
 
 def parse_detail(events: DataFrame, col: str = "event") -> DataFrame:
-    """B3 + envelope fields: ``source``, ``detail_type``, ``detail`` (object
-    or JSON text -> object; absent -> {}), ``event_type`` ('' if absent)
-    and ``data`` (the detail's ``data`` object, {} if absent)."""
+    """B3 + envelope fields: ``source``, ``detail_type``, ``event_type``
+    ('' if absent), ``detail`` (object or JSON text -> object; absent -> {})
+    and ``data`` (the detail's ``data``, {} if absent).
+
+    Fields are read with direct paths into the event (``$.detail.data.x``);
+    only a detail given as JSON text is parsed (``_dparsed``).  ``detail`` and
+    ``data`` are materialised only when a consumer uses them (column pruning
+    drops them otherwise).
+    """
     e = F.col(col)
-    detail_text = F.try_variant_get(e, "$.detail", "string")
-    detail = F.coalesce(F.try_parse_json(detail_text), F.parse_json(F.lit("{}")))
-    return events.select(
+    is_obj = (F.try_variant_get(e, "$.detail.eventType", "variant").isNotNull()
+              | F.try_variant_get(e, "$.detail.data", "variant").isNotNull())
+    parsed = F.when(~is_obj, F.try_parse_json(F.try_variant_get(e, "$.detail", "string")))
+    out = events.select(
         "*",
         F.try_variant_get(e, "$.source", "string").alias("source"),
         F.try_variant_get(e, "$['detail-type']", "string").alias("detail_type"),
-        detail.alias("detail"),
-    ).select(
-        "*",
-        F.coalesce(F.try_variant_get("detail", "$.eventType", "string"), F.lit("")).alias("event_type"),
-        F.coalesce(F.try_variant_get("detail", "$.data", "variant"), F.parse_json(F.lit("{}"))).alias("data"),
+        parsed.alias("_dparsed"),
     )
+    empty = F.parse_json(F.lit("{}"))
+    detail = F.coalesce(F.col("_dparsed"), F.try_variant_get(e, "$.detail", "variant"), empty)
+    detail = F.when(is_obj | F.col("_dparsed").isNotNull(), detail).otherwise(empty)
+    return out.select(
+        "*",
+        F.coalesce(F.try_variant_get(e, "$.detail.eventType", "string"),
+                   F.try_variant_get("_dparsed", "$.eventType", "string"), F.lit("")).alias("event_type"),
+        detail.alias("detail"),
+    ).withColumn("data", F.coalesce(F.try_variant_get("detail", "$.data", "variant"), empty))
+
+
+def data_field(key: str, type_: str, col: str = "event") -> Column:
+    """``detail.data.<key>`` cast to ``type_`` from either detail form."""
+    return F.coalesce(F.try_variant_get(col, f"$.detail.data.{key}", type_),
+                      F.try_variant_get("_dparsed", f"$.data.{key}", type_))
+
+
+def data_has(key: str, col: str = "event") -> Column:
+    """Presence of ``detail.data.<key>`` (true for an explicit null)."""
+    return (F.try_variant_get(col, f"$.detail.data.{key}", "variant").isNotNull()
+            | F.try_variant_get("_dparsed", f"$.data.{key}", "variant").isNotNull())
 
 
 def route(events: DataFrame, rules: DataFrame) -> DataFrame:
@@ -85,10 +109,10 @@ def dispatch(events: DataFrame, event_type: str) -> DataFrame:
 def _get(key: str, type_: str, default: Column | None = None) -> Column:
     """``data.get(key, default)``: the default only when the key is absent;
     a present null stays null (Q5)."""
-    v = F.try_variant_get("data", f"$.{key}", type_)
+    v = data_field(key, type_)
     if default is None:
         return v
-    return F.when(has_key("data", key), v).otherwise(default)
+    return F.when(data_has(key), v).otherwise(default)
 
 
 def order_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +121,7 @@ def order_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     orders = events.filter(F.col("event_type").isin("order.created", "order.completed"))
     items_t = "array<struct<productId:string,quantity:bigint,price:decimal(18,2)>>"
     rows = orders.select(
-        F.coalesce(F.try_variant_get("data", "$.orderId", "string"), F.lit("")).alias("order_id"),
+        F.coalesce(data_field("orderId", "string"), F.lit("")).alias("order_id"),
         F.when(F.col("event_type") == "order.created", F.lit("created")).otherwise(F.lit("completed")).alias("kind"),
         _get("customerId", "string", F.lit("")).alias("customer_id"),
         _get("items", items_t, F.array().cast(items_t)).alias("items"),
@@ -124,7 +148,7 @@ def fold_orders(changes: DataFrame) -> DataFrame:
 def inventory_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     inv = dispatch(events, "inventory.updated")
     rows = inv.select(
-        F.coalesce(F.try_variant_get("data", "$.itemId", "string"), F.lit("")).alias("item_id"),
+        F.coalesce(data_field("itemId", "string"), F.lit("")).alias("item_id"),
         _get("quantity", "decimal(18,2)", F.lit(0).cast("decimal(18,2)")).alias("quantity"),
         _get("updatedAt", "string", F.lit("")).alias("updated_at"),
         F.col("seq"),

@@ -1,9 +1,9 @@
 """Registered plans for the event-routing application.
 
 Input shape, derived from the order tables:
-- ``Order Created`` for every order (detail as JSON text, items from its
+- ``Order Created`` for every order (detail as an object, items from its
   line items), ``Order Completed`` one day later for status ``F`` orders
-  (detail as an object);
+  (detail as JSON text);
 - ``Inventory Updated`` for every line item (item = part, quantity);
 - ``Notification Sent`` for urgent orders, wrapped as ``Records[].body``.
 The sequence is ``(time, phase, order, line)``, a total order.
@@ -38,7 +38,7 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = orders.join(items, orders.o_orderkey == items.l_orderkey, "left")
     key = F.col("o_orderkey").cast("string")
 
-    created_detail = F.to_json(F.struct(
+    created_detail = (F.struct(
         F.lit("order.created").alias("eventType"),
         F.struct(key.alias("orderId"), F.col("o_custkey").cast("string").alias("customerId"),
                  F.coalesce("items", F.array().cast(items.schema["items"].dataType)).alias("items"),
@@ -55,8 +55,9 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     completed = orders.filter(F.col("o_orderstatus") == "F").select(
         F.to_variant_object(F.struct(
             F.lit("orders").alias("source"), F.lit("Order Completed").alias("detail-type"),
-            F.struct(F.lit("order.completed").alias("eventType"),
-                     F.struct(key.alias("orderId"), _iso(done_at).alias("completedAt")).alias("data"))
+            F.to_json(F.struct(
+                F.lit("order.completed").alias("eventType"),
+                F.struct(key.alias("orderId"), _iso(done_at).alias("completedAt")).alias("data")))
             .alias("detail"))).alias("event"),
         F.struct(done_at.alias("t"), F.lit(1).alias("phase"),
                  F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
