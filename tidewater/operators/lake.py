@@ -18,8 +18,9 @@ PARTITION_COLS = ["year", "month", "day", "hour"]
 def read_raw_files(spark: SparkSession, root: str, glob: str = "data/**") -> DataFrame:
     """A2 source: one row per file, ``(source_file, body)``; new files only
     under ``data/`` (the landing prefix)."""
-    df = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*").text(f"{root.rstrip('/')}/{glob.split('/')[0]}"))
+    # text() sets wholetext itself, so it must be passed there.
+    df = (spark.read.option("recursiveFileLookup", True)
+          .text(f"{root.rstrip('/')}/{glob.split('/')[0]}", wholetext=True))
     return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"))
 
 
