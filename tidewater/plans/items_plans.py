@@ -78,10 +78,11 @@ def item_delete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = (li.join(orders, li.l_orderkey == orders.o_orderkey, "left_semi")
             .select(F.col("l_partkey").cast("string").alias("id")).distinct())
     survivors, deleted, missing = keyed.delete_keys(state, keys, "id")
-    parts = (survivors.select(F.lit("survivors").alias("outcome"))
-             .unionByName(deleted.select(F.lit("deleted").alias("outcome")))
-             .unionByName(missing.select(F.lit("not_found").alias("outcome"))))
-    return parts.groupBy("outcome").agg(F.count(F.lit(1)).alias("items"))
+    def counted(df: DataFrame, outcome: str) -> DataFrame:
+        # A global aggregate: one row even when the side is empty.
+        return df.agg(F.count(F.lit(1)).alias("items")).select(F.lit(outcome).alias("outcome"), "items")
+    return (counted(survivors, "survivors").unionByName(counted(deleted, "deleted"))
+            .unionByName(counted(missing, "not_found")))
 
 
 def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
