@@ -183,15 +183,21 @@ def key_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     df_ = tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))
     scored = (tf.join(df_, "phrase")
               .withColumn("_s", F.col("tf") * F.log(n_docs / F.col("df"))))
-    top = keyed.top_k(scored, [doc_id], [F.col("_s").desc(), F.col("phrase")], TOP_N,
-                      salt=F.col("phrase"))
+    # One ranking pass: a group is one document, bounded by its length.
+    top = keyed.top_k(scored, [doc_id], [F.col("_s").desc(), F.col("phrase")], TOP_N)
     return top.select(doc_id, "rank", "phrase", F.round("_s", 6).alias("score"))
 
 
-def translation_worklist(df: DataFrame) -> DataFrame:
-    """Documents whose detected language is not the target."""
-    return (df.filter((F.col("source_language") != TARGET_LANGUAGE) & (F.col("source_language") != "und"))
-            .withColumn("target_language", F.lit(TARGET_LANGUAGE)))
+def translation_worklist(df: DataFrame, targets: tuple[str, ...] = (TARGET_LANGUAGE,)) -> DataFrame:
+    """One translation job per (document, target language) where the
+    detected language is known and differs from the target.
+
+    Generated per row (explode of the qualifying targets) rather than
+    filtered: a plain filter on the detected language would be pushed below
+    ``spread_input``'s rebalance into the scan task."""
+    src = F.col("source_language")
+    jobs = F.filter(F.array(*[F.lit(x) for x in targets]), lambda x: (x != src) & (src != "und"))
+    return df.withColumn("target_language", F.explode(jobs))
 
 
 def assemble(docs: DataFrame, phrases: DataFrame, as_of: str | datetime,

@@ -14,7 +14,7 @@ from tidewater.plans.common import LAKE_AS_OF, t
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = t(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = t(spark, sf_dir, "documents", spread=True).select("doc_id", "text", "lang", "source")
     d = d.withColumn("file_name", F.concat(F.col("source"), F.lit("/doc-"), F.col("doc_id"), F.lit(".txt")))
     return D.classify_files(d)
 

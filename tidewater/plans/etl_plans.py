@@ -57,7 +57,7 @@ def etl_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def etl_stage_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: the whole order history through the transform, summarised per
     staged day partition (year/month/day)."""
-    records = _records(t(spark, sf_dir, "orders"), t(spark, sf_dir, "lineitem"))
+    records = _records(t(spark, sf_dir, "orders", spread=True), t(spark, sf_dir, "lineitem", spread=True))
     out, _ = etl.transform(records, ETL_AS_OF)
     flat = _flat(out)
     day = F.to_timestamp(F.substring("timestamp", 1, 10), "yyyy-MM-dd")

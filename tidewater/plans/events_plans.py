@@ -23,9 +23,9 @@ def _iso(c):
 
 
 def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = t(spark, sf_dir, "orders").select(
+    orders = t(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    li = t(spark, sf_dir, "lineitem").select(
+    li = t(spark, sf_dir, "lineitem", spread=True).select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     # Items of an order: bounded by its line count (at most 7 lines per order).
     items = (li.groupBy("l_orderkey")

@@ -19,7 +19,7 @@ CREATED_AT = "1994-06-01 00:00:00"
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
-    li = t(spark, sf_dir, "lineitem").select(
+    li = t(spark, sf_dir, "lineitem", spread=True).select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus",
         "l_shipdate")
     t0 = F.to_timestamp_ntz(F.lit(CREATED_AT))

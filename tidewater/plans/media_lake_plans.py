@@ -20,7 +20,7 @@ ASSET_EXTENSIONS = ["jpg", "png", "jpeg", "mp4", "mov", "avi", "gif", "JPG", "MP
 
 
 def _media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = t(spark, sf_dir, "embeddings")
+    emb = t(spark, sf_dir, "embeddings", spread=True)
     ext = F.element_at(F.array(*[F.lit(e) for e in ASSET_EXTENSIONS]), F.col("label") + 1)
     files = media.media_files(emb.select(
         F.col("vec_id").alias("asset"),

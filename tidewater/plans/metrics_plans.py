@@ -16,7 +16,7 @@ from tidewater.sources.stream import envelopes_from_events
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    events = t(spark, sf_dir, "events", spread=True).select("event_id", "ts", "user_id", "event_type", "value")
     return metrics.decode_records(envelopes_from_events(events))
 
 
