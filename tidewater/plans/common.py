@@ -29,11 +29,17 @@ def spread_input(df: DataFrame) -> DataFrame:
     the cluster has cores, the rows are spread round-robin over that many
     partitions (one small shuffle).  Inputs that already have enough splits
     -- the normal case for large data -- are left untouched (no shuffle).
+
+    Catalyst pushes filters below a repartition, which would move filters on
+    expensive derived columns (decoded payloads, language votes) back into
+    the single scan task.  An always-true filter on a non-deterministic
+    column fences them above the exchange.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    return (df.repartition(cores).withColumn("_fence", F.rand(0))
+            .filter(F.col("_fence") >= 0).drop("_fence"))
 
 
 # Registered outputs carry times as ISO text, as the reference stores them;
