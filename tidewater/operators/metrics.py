@@ -54,16 +54,19 @@ def decode_records(env: DataFrame) -> DataFrame:
     )
 
 
+def record_rules() -> dict:
+    """Quarantine rules of a decoded record (Q4)."""
+    return {"decode": F.col("decode_error").isNotNull(),
+            "value": F.col("value_error").isNotNull()}
+
+
 def split_records(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(archivable records, quarantined records) -- Q4.
 
     Undecodable records and records whose ``value`` is not a finite number
     are quarantined; only the former are excluded from the metrics.
     """
-    return split_valid(decoded, {
-        "decode": F.col("decode_error").isNotNull(),
-        "value": F.col("value_error").isNotNull(),
-    })
+    return split_valid(decoded, record_rules())
 
 
 def batch_metrics(decoded: DataFrame, as_of: str | datetime,

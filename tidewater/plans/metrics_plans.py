@@ -61,8 +61,8 @@ def archive_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed / aggregated / error counts of the metrics run."""
-    ok, bad = metrics.split_records(_decoded(spark, sf_dir))
-    return quality.audit(ok, bad, key="partitionKey")
+    tagged = quality.with_reasons(_decoded(spark, sf_dir), metrics.record_rules())
+    return quality.audit_tagged(tagged, key="partitionKey")
 
 
 def metrics_live(spark: SparkSession, sf_dir: str) -> DataFrame:
