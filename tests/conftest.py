@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="tidewater-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app_name="tidewater-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidewater-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)  # unset in tests: a private folder is created
     yield s
