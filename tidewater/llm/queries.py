@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from tidewater.llm.decontaminate import OP6_SQL, op6_decontaminate
+from tidewater.llm.jaccard_join import op2_jaccard_join
+from tidewater.llm.mixing import OP3_SQL, op3_mix_sources
 from tidewater.llm.quality_rules import op4_quality_rules
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_mix_sources, op4_quality_rules, op6_decontaminate)}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op3_mix_sources": OP3_SQL, "op6_decontaminate": OP6_SQL}
