@@ -16,6 +16,9 @@ import pyarrow.compute as pc
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: White space and ASCII punctuation: what splits plain words.
+PUNCTUATION = SPACE.copy()
+PUNCTUATION[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 CHUNK_BYTES = 1 << 20
@@ -87,7 +90,7 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
         i = j
 
 
-def word_spans(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(chunk: Chunk, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the number of words before each document."""
     data, offsets = chunk.data, chunk.offsets
     n = len(data)
@@ -95,7 +98,7 @@ def word_spans(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
     word = np.zeros(n + 2, bool)
-    word[1:-1] = ~SPACE[data]
+    word[1:-1] = ~breaks[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     starts = np.flatnonzero(word[1:-1] & (~word[:-2] | edge[:-1]))
@@ -124,9 +127,9 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     return mix(out + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(chunk: Chunk, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(chunk: Chunk, lower: bool = True, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and the number of words before each document."""
-    starts, ends, at = word_spans(chunk)
+    starts, ends, at = word_spans(chunk, breaks)
     return hash_spans(chunk.data, starts, ends, lower), at
 
 
