@@ -1,12 +1,14 @@
 """Toxicity: FTRL-proximal logistic regression over hashed n-grams.
 
-Features are the distinct hashed single words, pairs and skip-pairs (one word
-left out) of a text, words being runs of letters, digits and non-ASCII bytes.
-Each coordinate has its own learning rate, and the L1 term keeps most weights
-at zero, so what goes to the tasks is a short list.
+Features are the distinct hashed single words, stems (a word's first
+``STEM`` bytes), pairs and skip-pairs (one word left out) of a text, words being
+runs of letters, digits and non-ASCII bytes; a text's feature vector has unit
+length.  Each coordinate has its own learning rate, and the L1 term keeps most
+weights at zero, so what goes to the tasks is a short list.
 
 The model is fitted on at most ``FIT_ROWS`` labelled rows of each label, those
-of lowest id hash with ``FIT_FEATURES`` distinct features or fewer.
+of lowest id hash with ``FIT_FEATURES`` distinct features or fewer.  The labels
+alternate in proportion, so that neither has the last word.
 
 Defined results: null or empty text, or one without words, gets the model's
 score for no features; without usable labels every score is 0; rows that
@@ -24,19 +26,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.shared import crc_mod, table
-from tidewater.llm.textarrays import PUNCTUATION, chunks, mix, word_hashes
+from tidewater.llm.textarrays import PUNCTUATION, chunks, hash_spans, mix, word_spans
 
 FIT_ROWS, FIT_FEATURES = 4_000, 20_000
 SLOT_BITS = 20
-ALPHA, BETA, L1, L2, PASSES = 0.1, 1.0, 1.0, 0.1, 3
+STEM = 4
+ALPHA, BETA, L1, PASSES = 100.0, 1.0, 0.3, 6
 _PAIR, _SKIP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
 def _chunk_slots(c) -> tuple[np.ndarray, np.ndarray]:
     """Feature slots of a chunk and the document of each; repeats included."""
-    words, at = word_hashes(c, breaks=PUNCTUATION)
+    starts, ends, at = word_spans(c, PUNCTUATION)
+    words = hash_spans(c.data, starts, ends, lower=True)
     doc = np.repeat(np.arange(c.n), np.diff(at))
-    slots, docs = [mix(words)], [doc]
+    long = np.flatnonzero(ends - starts > STEM)
+    stems = hash_spans(c.data, starts[long], starts[long] + STEM, lower=True)
+    slots, docs = [mix(words), mix(~stems)], [doc, doc[long]]
     for gap, factor in ((1, _PAIR), (2, _SKIP)):
         same = np.flatnonzero(doc[gap:] == doc[:-gap])
         slots.append(mix(words[same] * factor + words[same + gap]))
@@ -50,29 +56,38 @@ class Weights(NamedTuple):
     bias: float
 
 
+def _weight(z, n):
+    return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) * ALPHA / (BETA + np.sqrt(n)))
+
+
 def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray) -> Weights:
     """Proximal steps over the rows in the given order, ``PASSES`` times."""
     z, n = np.zeros(1 << SLOT_BITS), np.zeros(1 << SLOT_BITS)
     bias_z = bias_n = 0.0
-
-    def weight(z, n):
-        return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-
     for _ in range(PASSES):
         for x, y in zip(rows, labels):
+            unit = 1 / np.sqrt(max(len(x), 1))
             zx, nx = z[x], n[x]
-            w = weight(zx, nx)
-            bias = -bias_z / ((BETA + np.sqrt(bias_n)) / ALPHA)
-            g = 1 / (1 + np.exp(-np.clip(bias + w.sum(), -35, 35))) - y
-            root = np.sqrt(nx + g * g)
-            z[x] = zx + g - (root - np.sqrt(nx)) / ALPHA * w
+            w = _weight(zx, nx)
+            bias = -bias_z / (BETA + np.sqrt(bias_n))
+            error = 1 / (1 + np.exp(-np.clip(bias + unit * w.sum(), -35, 35))) - y
+            g = error * unit
+            z[x] = zx + g - (np.sqrt(nx + g * g) - np.sqrt(nx)) / ALPHA * w
             n[x] = nx + g * g
-            grown = np.sqrt(bias_n + g * g)
-            bias_z += g - (grown - np.sqrt(bias_n)) / ALPHA * bias
-            bias_n += g * g
-    w = weight(z, n)
+            bias_z += error - (np.sqrt(bias_n + error * error) - np.sqrt(bias_n)) * bias
+            bias_n += error * error
+    w = _weight(z, n)
     slots = np.flatnonzero(w)
-    return Weights(slots, w[slots], float(-bias_z / ((BETA + np.sqrt(bias_n)) / ALPHA)))
+    return Weights(slots, w[slots], float(-bias_z / (BETA + np.sqrt(bias_n))))
+
+
+def alternate(labels: np.ndarray) -> np.ndarray:
+    """Order in which each label's rows are spread evenly."""
+    at = np.empty(len(labels))
+    for y in np.unique(labels):
+        own = np.flatnonzero(labels == y)
+        at[own] = (np.arange(len(own)) + 0.5) / len(own)
+    return np.argsort(at, kind="stable")
 
 
 def _labelled_slots(batches):
@@ -103,7 +118,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Weights:
     y = np.array([r.label for r in rows], np.float64)
     if len(set(y)) < 2:
         return Weights(np.zeros(0, np.int64), np.zeros(0), -np.inf if not y.any() else np.inf)
-    return fit_ftrl([np.frombuffer(bytes(r.slots), np.int32) for r in rows], y)
+    order = alternate(y)
+    return fit_ftrl([np.frombuffer(bytes(rows[i].slots), np.int32) for i in order], y[order])
 
 
 def toxicity_scores(docs: DataFrame, weights: Weights) -> DataFrame:
@@ -114,13 +130,15 @@ def toxicity_scores(docs: DataFrame, weights: Weights) -> DataFrame:
         table = np.zeros(1 << SLOT_BITS, np.float32)
         table[shared.value.slots] = shared.value.values
         for batch in batches:
-            total = np.full(batch.num_rows, shared.value.bias)
+            total = np.zeros(batch.num_rows)
             for c in chunks(batch.column(1)):
                 slots, doc = _chunk_slots(c)
-                hit = np.flatnonzero(table[slots])
-                pairs = np.sort((doc[hit].astype(np.int64) << SLOT_BITS) | slots[hit])
+                pairs = np.sort((doc << SLOT_BITS) | slots)
                 pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])[:len(pairs)]]
-                total[c.first:c.first + c.n] += np.bincount(pairs >> SLOT_BITS, table[pairs & ((1 << SLOT_BITS) - 1)], c.n)
+                doc, slots = pairs >> SLOT_BITS, pairs & ((1 << SLOT_BITS) - 1)
+                total[c.first:c.first + c.n] = (np.bincount(doc, table[slots], c.n)
+                                                / np.sqrt(np.maximum(np.bincount(doc, minlength=c.n), 1)))
+            total += shared.value.bias
             score = 1 / (1 + np.exp(-np.clip(total, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
 
