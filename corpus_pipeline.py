@@ -9,20 +9,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.quality_rules import fit_forest, quality_verdicts
+from tidewater.llm.decontaminate import without_leaks
+from tidewater.llm.jaccard_join import one_of_each
+from tidewater.llm.mixing import mixed
+from tidewater.llm.quality_rules import accepted
 from tidewater.llm.shared import materialise, table
+from tidewater.llm.suffix_dedup import without_repeats
+
+#: Near duplicates: shares of this percentage of shingles of so many words.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality rules reject."""
-    forest = fit_forest(docs, table(spark, sf_dir, "labels"))
-    return (quality_verdicts(docs, forest, docs.columns).where(F.col("kept"))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of smallest id of each group of near duplicates."""
+    return one_of_each(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts byte strings that occur earlier out of the texts; all rows stay."""
+    return without_repeats(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that overlap with a benchmark item."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with ``copies`` and ``taken`` words."""
+    return mixed(docs).where(F.col("copies") > 0)
 
 
-STAGES = [("quality_rules", quality_rules)]
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages),
+          ("benchmark_leaks", benchmark_leaks), ("source_mix", source_mix)]
 
-#: The anomaly forest of the first stage has no SQL form.
+#: The first stage's forest has no SQL form.
 ORACLE_SQL = None
 
 
