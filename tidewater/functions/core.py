@@ -1,12 +1,11 @@
 """Column-level helpers: decoding, JSON/variant access, time parsing, money.
 
-All helpers return JVM-side ``Column`` expressions (no Python UDFs), so they
-stay inside whole-stage codegen.
+All helpers return JVM-side ``Column`` expressions (no Python UDFs).
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +13,20 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------- decoding
 
 
+def strict_json(text: Column | str) -> Column:
+    """The variant of a text that is exactly one JSON document, else NULL.
+
+    The parser stops after the first document, so the text is parsed inside
+    an array and inside an object: what follows the document would have to
+    close both, and a second document makes the array longer.
+    """
+    c = _c(text)
+    listed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    held = F.try_parse_json(F.concat(F.lit('{"k":'), c, F.lit("}")))
+    one = (F.size(listed.try_cast("array<variant>")) == 1) & held.isNotNull()
+    return F.when(F.coalesce(one, F.lit(False)), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 def decode_base64_json(data: Column | str) -> Column:
     """base64 text -> UTF-8 -> JSON variant; NULL at the first failing step.
 
@@ -22,16 +35,17 @@ def decode_base64_json(data: Column | str) -> Column:
     """
     raw = F.try_to_binary(_c(data), F.lit("base64"))
     # A binary->string cast keeps the bytes; try_validate_utf8 rejects bad ones.
-    return F.try_parse_json(F.try_validate_utf8(raw.cast("string")))
+    return strict_json(F.try_validate_utf8(raw.cast("string")))
 
 
-def decode_stage(data: Column | str) -> Column:
-    """Name of the first decoding stage that fails, else NULL."""
+def decode_stage(data: Column | str, decoded: Column | str) -> Column:
+    """Name of the first decoding stage that fails, else NULL; ``decoded`` is
+    the column made by ``decode_base64_json``."""
     raw = F.try_to_binary(_c(data), F.lit("base64"))
-    text = F.try_validate_utf8(raw.cast("string"))
-    return (F.when(raw.isNull(), F.lit("bad_base64"))
-            .when(text.isNull(), F.lit("bad_utf8"))
-            .when(F.try_parse_json(text).isNull(), F.lit("bad_json")))
+    return (F.when(_c(decoded).isNotNull(), F.lit(None).cast("string"))
+            .when(raw.isNull(), F.lit("bad_base64"))
+            .when(F.try_validate_utf8(raw.cast("string")).isNull(), F.lit("bad_utf8"))
+            .otherwise(F.lit("bad_json")))
 
 
 def vmap(v: Column | str) -> Column:
@@ -60,25 +74,12 @@ def _path(key: str) -> str:
 
 # ---------------------------------------------------------------- time
 
-# ISO-8601 forms accepted by the timestamp parser, in the order
-# they are tried.  Bare values are taken as UTC (session zone is UTC).
-ISO_FORMATS = [
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
-]
-
-
 def parse_iso(ts: Column | str) -> Column:
-    """ISO-8601 string with 'Z', an offset or no zone -> TIMESTAMP (UTC)."""
-    c = _c(ts)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in ISO_FORMATS])
+    """ISO-8601 text with 'Z', an offset or no zone, 'T' or a blank between
+    date and time -> TIMESTAMP (bare values are UTC: the session zone is).
+    A full date is required; a time alone would take today's date."""
+    c = F.trim(_c(ts))
+    return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]|$)"), F.try_to_timestamp(c))
 
 
 def iso_string(ts: Column | str) -> Column:
@@ -87,8 +88,11 @@ def iso_string(ts: Column | str) -> Column:
 
 
 def lit_ts(value: str | datetime) -> Column:
-    """A fixed clock value as TIMESTAMP_NTZ (driver tables use NTZ)."""
+    """A fixed clock value as TIMESTAMP_NTZ (driver tables use NTZ); a
+    datetime with a zone is taken to UTC."""
     if isinstance(value, datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(timezone.utc)
         value = value.strftime("%Y-%m-%d %H:%M:%S")
     return F.to_timestamp_ntz(F.lit(value))
 

@@ -69,16 +69,20 @@ def _is_obj_with(v: Column, key: str) -> Column:
 
 def unwrap_typed(record: str = "record") -> Column:
     """``{"S": x}`` -> x, ``{"N": "1.5"}`` -> 1.5 (double); a bad N
-    becomes the text ``__bad_number__`` so the row can be quarantined."""
+    becomes NULL (see ``bad_numbers``)."""
     def unwrap(k, v):
-        n = F.try_variant_get(v, "$.N", "double")
         return (F.when(_is_obj_with(v, "S"), F.variant_get(v, "$.S", "variant"))
-                .when(_is_obj_with(v, "N") & n.isNotNull(), n.cast("variant"))
-                .when(_is_obj_with(v, "N"), F.lit("__bad_number__").cast("variant"))
+                .when(_is_obj_with(v, "N"), F.try_variant_get(v, "$.N", "double").cast("variant"))
                 .otherwise(v))
     return F.transform_values(_fields(record), unwrap)
 
 
+def bad_numbers(record: str = "record") -> Column:
+    """Whether a field is ``{"N": x}`` without a number in it."""
+    return F.coalesce(F.exists(F.map_values(_fields(record)), lambda v: ~_is_obj_with(v, "S") & _is_obj_with(v, "N")
+                               & F.try_variant_get(v, "$.N", "double").isNull()), F.lit(False))
+
+
 def transform(records: DataFrame, as_of: str | datetime) -> tuple[DataFrame, DataFrame]:
     """Typed unwrap, key/time defaults, numeric coercion, average,
     remaining fields into ``data``.  Returns (transformed, quarantined).
@@ -94,8 +98,6 @@ def transform(records: DataFrame, as_of: str | datetime) -> tuple[DataFrame, Dat
     as_text = lambda v: F.try_variant_get(v, "$", "string")
 
     df = records.withColumn("_m", unwrap_typed("record"))
-    bad_number = F.exists(F.map_values(m), lambda v: F.try_variant_get(v, "$", "string") == "__bad_number__")
-
     value = F.when(has("value"), F.try_variant_get(get("value"), "$", "double"))
     count = F.when(has("count"), F.try_variant_get(get("count"), "$", "bigint"))
     total = F.when(has("total_value"), F.try_variant_get(get("total_value"), "$", "double"))
@@ -114,12 +116,12 @@ def transform(records: DataFrame, as_of: str | datetime) -> tuple[DataFrame, Dat
         F.when(has("timestamp"), as_text(get("timestamp"))).otherwise(stamp).alias("timestamp"),
         stamp.alias("processed_at"),
         F.to_variant_object(data).alias("data"),
-        bad_number.alias("_bad_number"),
+        bad_numbers("record").alias("_bad_number"),
     )
     ok, bad = split_valid(out, {"bad_number": F.col("_bad_number"),
                                 "not_an_object": F.col("_m").isNull()})
-    keep = ["id", "timestamp", "processed_at", "data"]
-    return ok.select(*keep), bad.select("record", "reasons")
+    keep = [*[c for c in records.columns if c != "record"], "id", "timestamp", "processed_at", "data"]
+    return ok.select(*keep), bad.select(*records.columns, "reasons")
 
 
 def validate_for_load(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -146,15 +148,31 @@ def to_storage_types(df: DataFrame) -> DataFrame:
     return df.withColumn("data", F.to_variant_object(cleaned))
 
 
-def load_latest(df: DataFrame) -> DataFrame:
-    """Keyed load: one row per ``(id, timestamp)``, the last one in input
-    order winning (ties broken by ``processed_at`` then the data text)."""
-    order = F.struct(F.col("processed_at"), F.to_json("data"))
+def load_latest(df: DataFrame, seq: str = "seq") -> DataFrame:
+    """Keyed load: one row per ``(id, timestamp)``, the one of highest ``seq``
+    (the input order, total) winning."""
     return (df.groupBy("id", "timestamp")
-            .agg(F.max_by(F.struct("processed_at", "data"), order).alias("_r"))
+            .agg(F.max_by(F.struct("processed_at", "data"), F.col(seq)).alias("_r"))
             .select("id", "timestamp", "_r.processed_at", "_r.data"))
 
 
+def run_audit(steps: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Per step the rows passed on, the rejected ones and the first error
+    texts (in sort order, at most 5)."""
+    out = None
+    for step, (ok, bad) in steps.items():
+        rows = (ok.select(F.lit(True).alias("_ok"), F.lit(None).cast("string").alias("_e"))
+                .unionByName(bad.select(F.lit(False).alias("_ok"), F.array_join("reasons", ",").alias("_e"))))
+        # Reasons are combinations of rule names: a small set.
+        one = (rows.groupBy("_ok", "_e").agg(F.count(F.lit(1)).alias("_n")).groupBy()
+               .agg(F.coalesce(F.sum(F.when(F.col("_ok"), F.col("_n"))), F.lit(0)).alias("processed"),
+                    F.coalesce(F.sum(F.when(~F.col("_ok"), F.col("_n"))), F.lit(0)).alias("errors"),
+                    F.array_join(F.slice(F.array_sort(F.collect_set("_e")), 1, 5), "; ").alias("first_errors"))
+               .select(F.lit(step).alias("step"), "processed", "errors", "first_errors"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def stage(df: DataFrame, root: str, zone: str, day_col: str) -> str:
     """Write a zone dataset partitioned by year/month/day; returns
     the path.  Re-running a day overwrites only that day's partitions."""
@@ -162,7 +180,8 @@ def stage(df: DataFrame, root: str, zone: str, day_col: str) -> str:
     d = F.col(day_col)
     (df.withColumns({"year": F.date_format(d, "yyyy"), "month": F.date_format(d, "MM"),
                      "day": F.date_format(d, "dd")})
-     .write.mode("overwrite").partitionBy("year", "month", "day").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month", "day").parquet(path))
     return path
 
 

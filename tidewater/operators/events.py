@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import has_key
+from tidewater.functions.core import has_key, strict_json
 from tidewater.operators.quality import split_valid
 
 # Routing rules of the event bus, (source, detail-type, target).
@@ -25,6 +25,8 @@ DEFAULT_RULES = [
     ("workflow", "Workflow Triggered", "inventory_processor"),
 ]
 
+AMOUNT = "decimal(38,18)"
+
 # Outbox subjects.
 SUBJECT_CREATED = "New Order Created"
 SUBJECT_COMPLETED = "Order Completed"
@@ -37,17 +39,39 @@ def rules_frame(spark, rules=DEFAULT_RULES) -> DataFrame:
 
 def normalise(raw: DataFrame, col: str = "event") -> tuple[DataFrame, DataFrame]:
     """B2: one row per event from a bare event, ``Records[]`` of events, or
-    ``Records[].body`` JSON strings.  Bodies that do not parse are
-    quarantined (Q6c) instead of failing the batch.  Other columns of
-    ``raw`` are kept (e.g. a sequence)."""
+    ``Records[].body`` JSON texts.  Other columns of ``raw`` are kept (e.g. a
+    sequence).  Quarantined: ``Records`` that is no list (one row), a body
+    that is not one JSON document, and an event that is no object (Q6c)."""
     records = F.try_variant_get(col, "$.Records", "array<variant>")
-    items = F.when(has_key(col, "Records"), records).otherwise(F.array(F.col(col)))
-    exploded = raw.select("*", F.posexplode(items).alias("record_pos", "_el")).drop(col)
+    wrapped = F.coalesce(has_key(col, "Records"), F.lit(False))
+    no_list = wrapped & records.isNull()
+    items = F.when(wrapped & ~no_list, records).otherwise(F.array(F.col(col)))
+    exploded = (raw.withColumn("_no_list", no_list)
+                .select("*", F.posexplode(items).alias("record_pos", "_el")).drop(col))
+    has_body = F.coalesce(has_key("_el", "body"), F.lit(False))
     body = F.try_variant_get("_el", "$.body", "string")
-    event = F.when(has_key("_el", "body"), F.try_parse_json(body)).otherwise(F.col("_el"))
-    tagged = exploded.withColumn(col, event)
-    ok, bad = split_valid(tagged, {"bad_body": F.col(col).isNull()})
-    return ok.drop("_el"), bad
+    event = F.when(has_body, strict_json(body)).otherwise(F.col("_el"))
+    tagged = exploded.withColumn(col, event).withColumn("_has_body", has_body)
+    bad_body = F.col("_has_body") & F.col(col).isNull()
+    ok, bad = split_valid(tagged, {
+        "bad_records": F.col("_no_list"),
+        "bad_body": bad_body,
+        "not_an_object": ~F.col("_no_list") & ~bad_body & F.col(col).try_cast("map<string, variant>").isNull(),
+    })
+    return ok.drop("_el", "_no_list", "_has_body"), bad.drop("_no_list", "_has_body")
+
+
+# Event types that the processors know; '' is a notification.
+KNOWN_TYPES = ["order.created", "order.completed", "inventory.updated", ""]
+
+
+def split_events(parsed: DataFrame, known=KNOWN_TYPES) -> tuple[DataFrame, DataFrame]:
+    """Events fit for routing, and the others with reasons: a detail text that
+    is not one JSON document, a type that no processor knows (B12), no
+    sequence (a fold needs a total order)."""
+    return split_valid(parsed, {"bad_detail": F.col("bad_detail"),
+                                "unknown_type": ~F.col("bad_detail") & ~F.col("event_type").isin(*known),
+                                "missing_seq": F.col("seq").isNull()})
 
 
 def parse_detail(events: DataFrame, col: str = "event") -> DataFrame:
@@ -63,9 +87,13 @@ def parse_detail(events: DataFrame, col: str = "event") -> DataFrame:
     e = F.col(col)
     is_obj = (F.try_variant_get(e, "$.detail.eventType", "variant").isNotNull()
               | F.try_variant_get(e, "$.detail.data", "variant").isNotNull())
-    parsed = F.when(~is_obj, F.try_parse_json(F.try_variant_get(e, "$.detail", "string")))
+    # Only a text can be broken; another kind of value counts as absent.
+    text = F.when(F.schema_of_variant(F.try_variant_get(e, "$.detail", "variant")) == "STRING",
+                  F.try_variant_get(e, "$.detail", "string"))
+    parsed = F.when(~is_obj, strict_json(text))
     out = events.select(
         "*",
+        (~is_obj & text.isNotNull() & strict_json(text).isNull()).alias("bad_detail"),
         F.try_variant_get(e, "$.source", "string").alias("source"),
         F.try_variant_get(e, "$['detail-type']", "string").alias("detail_type"),
         parsed.alias("_dparsed"),
@@ -96,9 +124,9 @@ def data_has(key: str, col: str = "event") -> Column:
 def route(events: DataFrame, rules: DataFrame) -> DataFrame:
     """Match ``(source, detail_type)`` against the rules; unmatched
     events drop out and an event matching several rules is delivered once
-    per rule.  The rules table is configuration of fixed small size, so it
-    is broadcast (no shuffle of the event log)."""
-    return events.join(F.broadcast(rules), ["source", "detail_type"], "inner")
+    per rule.  Spark broadcasts the rules when their size is below its own
+    threshold."""
+    return events.join(rules, ["source", "detail_type"], "inner")
 
 
 def dispatch(events: DataFrame, event_type: str) -> DataFrame:
@@ -119,17 +147,18 @@ def order_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Order events -> change rows ``(order_id, kind, customer_id, items,
     total, created_at, seq)``; events without ``orderId`` are quarantined."""
     orders = events.filter(F.col("event_type").isin("order.created", "order.completed"))
-    items_t = "array<struct<productId:string,quantity:bigint,price:decimal(18,2)>>"
+    items_t = "array<struct<productId:string,quantity:bigint,price:decimal(38,18)>>"
     rows = orders.select(
         F.coalesce(data_field("orderId", "string"), F.lit("")).alias("order_id"),
         F.when(F.col("event_type") == "order.created", F.lit("created")).otherwise(F.lit("completed")).alias("kind"),
         _get("customerId", "string", F.lit("")).alias("customer_id"),
         _get("items", items_t, F.array().cast(items_t)).alias("items"),
-        _get("total", "decimal(18,2)", F.lit(0).cast("decimal(18,2)")).alias("total"),
+        _get("total", AMOUNT, F.lit(0).cast(AMOUNT)).alias("total"),
         _get("createdAt", "string", F.lit("")).alias("created_at"),
         F.col("seq"),
     )
-    return split_valid(rows, {"missing_order_id": F.col("order_id") == ""})
+    return split_valid(rows, {"missing_order_id": F.coalesce(F.col("order_id"), F.lit("")) == "",
+                              "missing_seq": F.col("seq").isNull()})
 
 
 def fold_orders(changes: DataFrame) -> DataFrame:
@@ -149,11 +178,12 @@ def inventory_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     inv = dispatch(events, "inventory.updated")
     rows = inv.select(
         F.coalesce(data_field("itemId", "string"), F.lit("")).alias("item_id"),
-        _get("quantity", "decimal(18,2)", F.lit(0).cast("decimal(18,2)")).alias("quantity"),
+        _get("quantity", AMOUNT, F.lit(0).cast(AMOUNT)).alias("quantity"),
         _get("updatedAt", "string", F.lit("")).alias("updated_at"),
         F.col("seq"),
     )
-    return split_valid(rows, {"missing_item_id": F.col("item_id") == ""})
+    return split_valid(rows, {"missing_item_id": F.coalesce(F.col("item_id"), F.lit("")) == "",
+                              "missing_seq": F.col("seq").isNull()})
 
 
 def fold_latest(changes: DataFrame, key: str, seq: str = "seq") -> DataFrame:
@@ -168,6 +198,7 @@ def order_outbox(changes: DataFrame) -> DataFrame:
     """One notification per processed order event."""
     created = F.col("kind") == "created"
     status = F.when(created, F.lit("processing")).otherwise(F.lit("completed"))
+    # Message texts.
     text = F.when(created, F.concat(F.lit("Order "), F.col("order_id"),
                                     F.lit(" has been created and is being processed")))
     text = text.otherwise(F.concat(F.lit("Order "), F.col("order_id"), F.lit(" has been completed")))

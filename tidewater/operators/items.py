@@ -23,7 +23,7 @@ FIELDS = [
     ("name", "string", None),
     ("description", "string", ""),
     ("status", "string", "active"),
-    ("price", "decimal(18,2)", None),
+    ("price", "decimal(38,18)", None),
     ("tags", "array<string>", None),
 ]
 
@@ -33,6 +33,7 @@ def validate_commands(cmds: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_valid(cmds, {
         "missing_id": F.col("id").isNull() | (F.col("id") == ""),
         "missing_name": (F.col("op") == "create") & ~has_key("body", "name"),
+        "missing_seq": F.col("seq").isNull(),
         "unknown_op": ~F.col("op").isin("create", "update", "delete"),
     })
 

@@ -61,25 +61,33 @@ def list_rows(state: DataFrame, key: str, status: str | None = None,
     return df.orderBy(key).limit(limit)
 
 
+def delete_outcome(state: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """C4 in one join: every row of the state and every key asked for, with
+    ``outcome`` kept, deleted or missing."""
+    out = state.withColumn("_in", F.lit(True)).join(keys.select(key).distinct().withColumn("_asked", F.lit(True)), key, "full_outer")
+    outcome = F.when(F.col("_in").isNull(), "missing").when(F.col("_asked"), "deleted").otherwise("kept")
+    return out.withColumn("outcome", outcome).drop("_in", "_asked")
+
+
 def delete_keys(state: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """C4: (survivors, deleted rows, keys not found)."""
-    survivors = state.join(keys, key, "left_anti")
-    deleted = state.join(keys, key, "left_semi")
-    missing = keys.join(state.select(key), key, "left_anti")
-    return survivors, deleted, missing
+    out = delete_outcome(state, keys, key)
+    kept, gone, missing = (out.where(F.col("outcome") == o).drop("outcome") for o in ("kept", "deleted", "missing"))
+    return kept, gone, missing.select(key)
 
 
-def upsert(state: DataFrame, changes: DataFrame, key: str, seq: str) -> DataFrame:
-    """Full-row replace by key; the change with the highest ``seq`` wins,
-    state rows count as older than every change.  Union + fold, no MERGE."""
+def upsert(state: DataFrame, changes: DataFrame, key: str | Sequence[str], seq: str) -> DataFrame:
+    """Full-row replace by key (one column or several); the change with
+    the highest ``seq`` wins, state rows count as older than every change.
+    Columns of one side only stay, NULL on the other.  Union + fold, no MERGE."""
+    keys = [key] if isinstance(key, str) else list(key)
     old = state.withColumn(seq, F.lit(None).cast(changes.schema[seq].dataType)).withColumn("_v", F.lit(0))
-    new = changes.withColumn("_v", F.lit(1))
-    cols = [c for c in changes.columns if c not in (key, seq)]
-    both = old.select(key, seq, "_v", *cols).unionByName(new.select(key, seq, "_v", *cols))
+    both = old.unionByName(changes.withColumn("_v", F.lit(1)), allowMissingColumns=True)
+    cols = [c for c in both.columns if c not in (*keys, seq, "_v")]
     order = F.struct(F.col("_v"), F.col(seq))
-    return (both.groupBy(key)
+    return (both.groupBy(*keys)
             .agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
 def write_version(df: DataFrame, root: str, version: int | str) -> str:

@@ -10,26 +10,30 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import lit_ts
+from tidewater.functions.core import lit_ts, strict_json
 
 PARTITION_COLS = ["year", "month", "day", "hour"]
 
 
 def read_raw_files(spark: SparkSession, root: str, glob: str = "data/**") -> DataFrame:
     """A2 source: one row per file, ``(source_file, body)``; new files only
-    under ``data/`` (the landing prefix)."""
+    under the landing prefix.  What stands before ``**`` is the folder read
+    (all levels), what stands after it a pattern of file names."""
+    folder, deep, names = glob.partition("**")
+    reader = spark.read
+    if deep:
+        reader = reader.option("recursiveFileLookup", True)
+        if names.strip("/"):
+            reader = reader.option("pathGlobFilter", names.strip("/"))
     # text() sets wholetext itself, so it must be passed there.
-    df = (spark.read.option("recursiveFileLookup", True)
-          .text(f"{root.rstrip('/')}/{glob.split('/')[0]}", wholetext=True))
+    df = reader.text(f"{root.rstrip('/')}/{folder.strip('/')}", wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"))
 
 
 def parse_strict(body: str = "body"):
     """Q11: a body is JSON only when it is exactly one JSON document
     (trailing documents, NaN, duplicate keys are not)."""
-    one_doc = F.size(F.try_parse_json(F.concat(F.lit("["), F.col(body), F.lit("]")))
-                     .try_cast("array<variant>")) == 1
-    return F.when(F.coalesce(one_doc, F.lit(False)), F.try_parse_json(F.col(body)))
+    return strict_json(body)
 
 
 def ingest(raw: DataFrame, as_of: str | datetime) -> DataFrame:
@@ -57,23 +61,34 @@ def with_partitions(df: DataFrame) -> DataFrame:
                            "day": F.substring(d, 9, 2), "hour": F.col("partition_hour")})
 
 
-def write_processed(df: DataFrame, path: str) -> None:
-    """Processed zone, Hive-partitioned; a re-run overwrites only the
-    partitions it produces (dynamic partition overwrite)."""
-    out = with_partitions(df).withColumn("data", F.to_json("data"))
-    (out.repartition(*PARTITION_COLS).write.mode("overwrite")
-     .partitionBy(*PARTITION_COLS).parquet(path))
+def write_processed(df: DataFrame, path: str, batch_id: int | str) -> None:
+    """Processed zone by hour and batch.  A retried batch replaces its own
+    files; other batches of the hour stay.  Tasks write what they hold, so an
+    ingest of one hour is not gathered in one task."""
+    out = with_partitions(df).withColumn("data", F.to_json("data")).withColumn("batch_id", F.lit(str(batch_id)))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITION_COLS, "batch_id").parquet(path))
+
+
+def read_processed(spark: SparkSession, path: str) -> DataFrame:
+    """The processed zone with ``data`` as VARIANT; partition values are text."""
+    keys = ", ".join(f"{c} string" for c in [*PARTITION_COLS, "batch_id"])
+    schema = f"source_file string, ingestion_timestamp string, data string, is_json boolean, partition_date string, partition_hour string, {keys}"
+    return spark.read.schema(schema).parquet(path).withColumn("data", F.try_parse_json("data"))
 
 
 def register(spark: SparkSession, table: str, path: str) -> None:
-    """External table over the processed zone + partition discovery."""
+    """External table over the processed zone; columns and partitions are
+    discovered from the files, of batches and streams alike.  ``table`` holds
+    ``data`` as text, the view ``<table>_typed`` as VARIANT."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"""CREATE TABLE {table}
-                  (source_file STRING, ingestion_timestamp STRING, data STRING, is_json BOOLEAN,
-                   partition_date STRING, partition_hour STRING,
-                   year STRING, month STRING, day STRING, hour STRING)
-                  USING parquet PARTITIONED BY (year, month, day, hour) LOCATION '{path}'""")
+    keys = [*PARTITION_COLS, "batch_id"]
+    found = [f for f in spark.read.parquet(path).schema.fields if f.name not in keys]
+    columns = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in found), *(f"{k} STRING" for k in keys)])
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE {table}")
+    typed = ", ".join("try_parse_json(data) AS data" if c == "data" else f"`{c}`" for c in spark.table(table).columns)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {table}_typed AS SELECT {typed} FROM {table}")
 
 
 def split_ndjson(df: DataFrame) -> DataFrame:

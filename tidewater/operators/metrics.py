@@ -17,8 +17,12 @@ from tidewater.functions.core import decode_base64_json, decode_stage, has_key,
 from tidewater.operators.quality import split_valid
 
 METRICS_TTL_DAYS = 30
-# Exact decimal used for metric sums: order-independent totals.
-METRIC_DECIMAL = "decimal(28,8)"
+# Exact decimal used for metric sums: order-independent totals.  Values of
+# this size or more are quarantined, so the cast cannot fail.
+METRIC_DECIMAL = "decimal(38,18)"
+MAX_VALUE = 1e15
+# Epoch milliseconds that a timestamp holds (years 1 to 9999).
+ARRIVAL_RANGE = (-62135596800000, 253402300799999)
 
 
 def seq_order(seq: Column | str = "sequenceNumber") -> Column:
@@ -36,35 +40,37 @@ def decode_records(env: DataFrame) -> DataFrame:
     ``value`` field as variant when present), ``value_num`` (DOUBLE when the
     value casts and is finite) and ``value_error``.
     """
-    payload = decode_base64_json("data")
+    millis = F.col("approximateArrivalTimestamp")
     df = env.select(
         "*",
-        payload.alias("payload"),
-        decode_stage("data").alias("decode_error"),
-        F.timestamp_millis("approximateArrivalTimestamp").cast("timestamp_ntz").alias("arrival"),
-    )
+        decode_base64_json("data").alias("payload"),
+        F.when(millis.between(*ARRIVAL_RANGE), F.timestamp_millis(millis).cast("timestamp_ntz")).alias("arrival"),
+    ).withColumn("decode_error", decode_stage("data", "payload"))
     present = has_key("payload", "value")
     num = vget("payload", "$.value", "double")
-    finite = num.isNotNull() & ~F.isnan(num) & (F.abs(num) != F.lit(float("inf")))
+    number = num.isNotNull() & ~F.isnan(num)
+    fits = number & (F.abs(num) < MAX_VALUE)
     return df.select(
         "*",
         present.alias("has_value"),
-        F.when(present & finite, num).alias("value_num"),
-        F.when(present & ~finite, F.lit("bad_value")).alias("value_error"),
+        F.when(present & fits, num).alias("value_num"),
+        F.when(present & ~number, F.lit("bad_value")).when(present & ~fits, F.lit("value_range")).alias("value_error"),
     )
 
 
 def record_rules() -> dict:
     """Quarantine rules of a decoded record (Q4)."""
     return {"decode": F.col("decode_error").isNotNull(),
-            "value": F.col("value_error").isNotNull()}
+            "value": F.col("value_error").isNotNull(),
+            "arrival": F.col("arrival").isNull()}
 
 
 def split_records(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(archivable records, quarantined records) -- Q4.
 
-    Undecodable records and records whose ``value`` is not a finite number
-    are quarantined; only the former are excluded from the metrics.
+    Quarantined: undecodable records, a ``value`` that is no number or too
+    large for an exact sum, an arrival time that no timestamp holds.  Only
+    the first are excluded from the metrics.
     """
     return split_valid(decoded, record_rules())
 
@@ -79,13 +85,13 @@ def batch_metrics(decoded: DataFrame, as_of: str | datetime,
     """
     counted = decoded.filter(F.col("decode_error").isNull())
     seq = seq_order()
-    total = F.sum(F.coalesce(F.col("value_num"), F.lit(0.0)).cast(METRIC_DECIMAL))
+    total = F.try_sum(F.coalesce(F.col("value_num"), F.lit(0.0)).try_cast(METRIC_DECIMAL))
     agg = (counted.groupBy(*batch_cols, F.col("partitionKey").alias("partition_key"))
            .agg(F.count(F.lit(1)).alias("count"),
                 total.alias("_total"),
                 F.min_by("arrival", seq).alias("first_arrival"),
                 F.max_by("arrival", seq).alias("last_arrival")))
-    ttl = F.unix_seconds(lit_ts(as_of).cast("timestamp")) + F.lit(86400 * METRICS_TTL_DAYS)
+    ttl = F.unix_seconds(lit_ts(as_of).cast("timestamp")) + F.lit(86400 * METRICS_TTL_DAYS).cast("long")
     return agg.select(
         *batch_cols, "partition_key", "count",
         F.col("_total").cast("double").alias("total_value"),
@@ -97,7 +103,7 @@ def batch_metrics(decoded: DataFrame, as_of: str | datetime,
 
 def windowed_metrics(df: DataFrame, ts: str, key: str, value: str, width: str) -> DataFrame:
     """Event-time tumbling windows per key (batch or streaming input)."""
-    total = F.sum(F.coalesce(F.col(value), F.lit(0.0)).cast(METRIC_DECIMAL))
+    total = F.try_sum(F.coalesce(F.col(value), F.lit(0.0)).try_cast(METRIC_DECIMAL))
     return (df.groupBy(F.window(ts, width).alias("w"), F.col(key))
             .agg(F.count(F.lit(1)).alias("count"), total.alias("_total"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -141,11 +147,12 @@ def archive_layout(decoded: DataFrame) -> DataFrame:
     )
 
 
-def write_archive(archive: DataFrame, path: str) -> None:
-    """A5 sink: one JSON-lines dataset partitioned by arrival hour (no
-    object-per-record small files)."""
-    (archive.repartition("year", "month", "day", "hour")
-     .write.mode("append").partitionBy("year", "month", "day", "hour").json(path))
+def write_archive(archive: DataFrame, path: str, batch_id: int | str) -> None:
+    """A5 sink: JSON lines by arrival hour and batch; a retried batch replaces
+    its own files and no others."""
+    (archive.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month", "day", "hour", "batch_id").json(path))
 
 
 # Storage tiers by age in days (metrics archive: 30 d to the

@@ -56,11 +56,13 @@ def audit(ok: DataFrame, bad: DataFrame, key: str | None = None) -> DataFrame:
     )
 
 
-def audit_tagged(tagged: DataFrame, key: str | None = None) -> DataFrame:
-    """D5 in one pass over a frame tagged by ``with_reasons``: the valid and
-    quarantined counts come from the same scan instead of two filters."""
+def audit_tagged(tagged: DataFrame, key: str | None = None, counted: Column | None = None) -> DataFrame:
+    """D5 in one pass over a frame tagged by ``with_reasons``.
+
+    ``aggregated`` counts the keys of the rows that enter the aggregates:
+    those of ``counted``, or the valid ones."""
     ok = F.size(REASONS) == 0
-    k = F.when(ok, F.col(key).cast("string")) if key else F.lit(None).cast("string")
+    k = F.when(ok if counted is None else counted, F.col(key).cast("string")) if key else F.lit(None).cast("string")
     return tagged.agg(F.count_if(ok).alias("processed"),
                       F.count_distinct(k).alias("aggregated"),
                       F.count_if(~ok).alias("errors"))

@@ -14,32 +14,9 @@ ETL_AS_OF = "1996-01-03 00:00:00"
 LAKE_AS_OF = "2024-02-01 00:00:00"
 
 
-def t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table; ``spread=True`` for inputs feeding CPU-heavy per-row
-    work (see ``spread``)."""
-    df = read_table(spark, sf_dir, name)
-    return spread_input(df) if spread else df
-
-
-def spread_input(df: DataFrame) -> DataFrame:
-    """Rebalance an under-split input before CPU-heavy per-row work.
-
-    Parquet splits by row group; a file written as one row group is read by
-    one task however large it is.  When the scan yields fewer partitions than
-    the cluster has cores, the rows are spread round-robin over that many
-    partitions (one small shuffle).  Inputs that already have enough splits
-    -- the normal case for large data -- are left untouched (no shuffle).
-
-    Catalyst pushes filters below a repartition, which would move filters on
-    expensive derived columns (decoded payloads, language votes) back into
-    the single scan task.  An always-true filter on a non-deterministic
-    column fences them above the exchange.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return (df.repartition(cores).withColumn("_fence", F.rand(0))
-            .filter(F.col("_fence") >= 0).drop("_fence"))
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return read_table(spark, sf_dir, name)
 
 
 # Registered outputs carry times as ISO text, as the reference stores them;

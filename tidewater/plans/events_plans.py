@@ -23,9 +23,9 @@ def _iso(c):
 
 
 def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = t(spark, sf_dir, "orders", spread=True).select(
+    orders = t(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    li = t(spark, sf_dir, "lineitem", spread=True).select(
+    li = t(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     # Items of an order: bounded by its line count (at most 7 lines per order).
     items = (li.groupBy("l_orderkey")
@@ -91,7 +91,8 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = bus_events(spark, sf_dir)
     norm, _ = ev.normalise(raw)
-    return ev.route(ev.parse_detail(norm), ev.rules_frame(spark))
+    known, _ = ev.split_events(ev.parse_detail(norm))
+    return ev.route(known, ev.rules_frame(spark))
 
 
 def order_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,3 +125,30 @@ def routed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B11 + B12: deliveries per (target, eventType)."""
     routed = _routed(spark, sf_dir)
     return routed.groupBy("target", "event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+def _dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order events of which 7 in 20, by order key, are broken."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    case, key = k % 20, k.cast("string")
+    detail = F.concat(F.lit('{"eventType":"'), F.when(case == 3, "order.lost").otherwise("order.created"), F.lit('","data":{'),
+                      F.when(case == 4, "").otherwise(F.concat(F.lit('"orderId":"'), key, F.lit('"'))), F.lit("}}"))
+    text = F.when(case == 2, F.concat(detail, F.lit(" tail"))).otherwise(detail)
+    event = F.concat(F.lit('{"source":"orders","detail-type":"Order Created","detail":'), F.to_json(F.struct(text.alias("d"))).substr(F.lit(6), F.length(F.to_json(F.struct(text.alias("d")))) - 6), F.lit("}"))
+    raw = (F.when(case == 0, F.lit('{"Records":null}')).when(case == 1, F.lit('{"Records":"one"}'))
+           .when(case == 5, F.concat(F.lit('{"Records":[{"body":"{broken"},'), event, F.lit("]}")))
+           .when(case == 6, F.lit("[1]")).otherwise(event))
+    return o.select(F.parse_json(raw).alias("event"),
+                    F.when(case != 7, F.col("o_orderkey")).alias("seq"))
+
+
+def event_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each event of a dirty bus ends up."""
+    norm, bad = ev.normalise(_dirty_events(spark, sf_dir))
+    known, unfit = ev.split_events(ev.parse_detail(norm))
+    changes, no_id = ev.order_changes(ev.route(known, ev.rules_frame(spark)))
+    out = changes.select(F.lit("accepted").alias("outcome"))
+    for rejected in (bad, unfit, no_id):
+        out = out.unionByName(rejected.select(F.explode("reasons").alias("outcome")))
+    return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("events"))

@@ -19,7 +19,7 @@ CREATED_AT = "1994-06-01 00:00:00"
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
-    li = t(spark, sf_dir, "lineitem", spread=True).select(
+    li = t(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus",
         "l_shipdate")
     t0 = F.to_timestamp_ntz(F.lit(CREATED_AT))
@@ -77,12 +77,10 @@ def item_delete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     keys = (li.join(orders, li.l_orderkey == orders.o_orderkey, "left_semi")
             .select(F.col("l_partkey").cast("string").alias("id")).distinct())
-    survivors, deleted, missing = keyed.delete_keys(state, keys, "id")
-    def counted(df: DataFrame, outcome: str) -> DataFrame:
-        # A global aggregate: one row even when the side is empty.
-        return df.agg(F.count(F.lit(1)).alias("items")).select(F.lit(outcome).alias("outcome"), "items")
-    return (counted(survivors, "survivors").unionByName(counted(deleted, "deleted"))
-            .unionByName(counted(missing, "not_found")))
+    out = keyed.delete_outcome(state, keys, "id")
+    counts = out.agg(*[F.count_if(F.col("outcome") == o).alias(n) for o, n in
+                       (("kept", "survivors"), ("deleted", "deleted"), ("missing", "not_found"))])
+    return counts.unpivot([], ["survivors", "deleted", "not_found"], "outcome", "items")
 
 
 def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,18 +9,21 @@ arrive as JSON files partitioned by event hour.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import lake, media
 from tidewater.plans.common import LAKE_AS_OF, t
+from tidewater.session import scratch_path
 
 # Upload extension by embedding label 0..9.
 ASSET_EXTENSIONS = ["jpg", "png", "jpeg", "mp4", "mov", "avi", "gif", "JPG", "MP4", "txt"]
 
 
 def _media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = t(spark, sf_dir, "embeddings", spread=True)
+    emb = t(spark, sf_dir, "embeddings")
     ext = F.element_at(F.array(*[F.lit(e) for e in ASSET_EXTENSIONS]), F.col("label") + 1)
     files = media.media_files(emb.select(
         F.col("vec_id").alias("asset"),
@@ -46,7 +49,8 @@ def media_notification_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.groupBy("subject", "status").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(part files, page files) as whole-file bodies."""
     part = t(spark, sf_dir, "part")
     pages = t(spark, sf_dir, "pages")
     part_files = part.select(
@@ -57,9 +61,41 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_files = pages.select(
         F.concat(F.lit("data/pages/"), F.col("page_id"), F.lit(".html")).alias("source_file"),
         F.col("html").alias("body"))
+    return part_files, page_files
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part_files, page_files = _landed(spark, sf_dir)
     return lake.ingest(part_files.unionByName(page_files), LAKE_AS_OF)
 
 
+def lake_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + A11 + B20: two batches of one hour, the first one written twice
+    (a retry), read back through SQL over the registered table."""
+    zone = scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    part_files, page_files = _landed(spark, sf_dir)
+    for batch, files in (("1", part_files), ("2", page_files), ("1", part_files)):
+        lake.write_processed(lake.ingest(files, LAKE_AS_OF), zone, batch)
+    lake.register(spark, "lake_processed", zone)
+    return spark.sql("""SELECT batch_id AS batch, is_json, COUNT(*) AS files, COUNT(DISTINCT source_file) AS names,
+                               COUNT(try_variant_get(data, '$.price', 'double')) AS prices
+                        FROM lake_processed_typed GROUP BY batch_id, is_json""")
+
+
+def lake_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition predicates over an hourly zone; only the folders of one
+    day are read."""
+    zone = scratch_path(spark, f"lake-events-{uuid.uuid4().hex}")
+    ev = t(spark, sf_dir, "events").select("event_id", "ts", "props")
+    files = ev.select(
+        F.concat(F.lit("data/events/"), F.col("event_id"), F.lit(".json")).alias("source_file"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ingestion_timestamp"), lake.parse_strict("props").alias("data"),
+        F.date_format("ts", "yyyy-MM-dd").alias("partition_date"), F.date_format("ts", "HH").alias("partition_hour"))
+    lake.write_processed(files.withColumn("is_json", F.col("data").isNotNull()), zone, "1")
+    rows = lake.read_processed(spark, zone).where("year = '2024' AND month = '01' AND day = '15'")
+    return rows.groupBy("hour").agg(F.count(F.lit(1)).alias("files"), F.sum(F.try_variant_get("data", "$.k", "bigint")).alias("k_total"))
+
+
 def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     ing = _ingested(spark, sf_dir).filter("is_json")
     return lake.curated_view(ing, {"id": "string", "name": "string", "category": "string", "price": "double"})

@@ -44,5 +44,11 @@ UNION ALL
 SELECT 'inventory_processor', 'inventory.updated', COUNT(*) FROM lineitem
 UNION ALL
 SELECT 'notification_processor', '', COUNT(*) FROM orders WHERE o_orderpriority = '1-URGENT'
+""",
+    "event_quarantine": """
+WITH e AS (SELECT unnest(CASE o_orderkey % 20 WHEN 0 THEN ['bad_records'] WHEN 1 THEN ['bad_records'] WHEN 2 THEN ['bad_detail']
+  WHEN 3 THEN ['unknown_type'] WHEN 4 THEN ['missing_order_id'] WHEN 5 THEN ['bad_body', 'accepted'] WHEN 6 THEN ['not_an_object']
+  WHEN 7 THEN ['missing_seq'] ELSE ['accepted'] END) AS outcome FROM orders)
+SELECT outcome, COUNT(*) AS events FROM e GROUP BY outcome
 """,
 }

@@ -54,5 +54,15 @@ SELECT strftime(ts, '%d') AS day, COUNT(*) AS files,
        CAST(SUM(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total
 FROM events WHERE strftime(ts, '%Y') = '2024' AND strftime(ts, '%m') = '01'
 GROUP BY 1
+""",
+    "lake_two_batches": """
+SELECT '1' AS batch, TRUE AS is_json, COUNT(*) AS files, COUNT(DISTINCT p_partkey) AS names, COUNT(p_retailprice) AS prices FROM part
+UNION ALL
+SELECT '2', FALSE, COUNT(*), COUNT(DISTINCT page_id), 0 FROM pages
+""",
+    "lake_partition_prune": """
+SELECT strftime(ts, '%H') AS hour, COUNT(*) AS files,
+       CAST(SUM(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total
+FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15' GROUP BY 1
 """,
 }

@@ -46,9 +46,27 @@ SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
        strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour,
        COUNT(*) AS records, COUNT(DISTINCT user_id) AS keys
 FROM events GROUP BY ALL
+""",
+    "stream_quarantine": """
+SELECT CASE event_id % 20 WHEN 0 THEN 'bad_base64' WHEN 1 THEN 'bad_json' WHEN 2 THEN 'value_range'
+       WHEN 4 THEN 'arrival' WHEN 5 THEN 'bad_value' ELSE 'valid' END AS reason, COUNT(*) AS n_rows
+FROM events GROUP BY 1
+""",
+    "stream_dirty_metrics": """
+WITH e AS (SELECT *, CASE WHEN event_id % 20 IN (2, 5) THEN 0 WHEN event_id % 20 = 3 THEN 0.000000004::DECIMAL(28,9)
+                     ELSE CAST(value AS DECIMAL(28,9)) END AS v FROM events WHERE event_id % 20 > 1)
+SELECT CAST(user_id AS VARCHAR) AS partition_key, COUNT(*) AS "count", CAST(SUM(v) AS DOUBLE) AS total_value,
+       CAST(SUM(v) AS DOUBLE) / COUNT(*) AS average_value
+FROM e GROUP BY user_id
+""",
+    "stream_dirty_audit": """
+SELECT COUNT(*) FILTER (event_id % 20 NOT IN (0, 1, 2, 4, 5)) AS processed,
+       COUNT(DISTINCT user_id) FILTER (event_id % 20 > 1) AS aggregated,
+       COUNT(*) FILTER (event_id % 20 IN (0, 1, 2, 4, 5)) AS errors
+FROM events
 """,
     "stream_audit": """
-SELECT COUNT(*) AS processed, COUNT(DISTINCT user_id) AS aggregated, CAST(0 AS BIGINT) AS errors
+SELECT COUNT(value) AS processed, COUNT(DISTINCT user_id) AS aggregated, COUNT(*) - COUNT(value) AS errors
 FROM events
 """,
     "metrics_live": """
@@ -56,7 +74,7 @@ WITH m AS (SELECT user_id, date_trunc('hour', ts) AS h, COUNT(*) AS c FROM event
 SELECT CAST(user_id AS VARCHAR) AS partition_key, COUNT(*) AS live_rows,
        CAST(SUM(c) AS BIGINT) AS live_records
 FROM m
-WHERE CAST(epoch(h) AS BIGINT) + 604800 > CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') AS BIGINT)
+WHERE CAST(epoch(h) AS BIGINT) + 2592000 > CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') AS BIGINT)
 GROUP BY user_id
 """,
     "archive_tiers": """

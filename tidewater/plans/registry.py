@@ -25,11 +25,12 @@ def queries() -> dict[str, Plan]:
     out: dict[str, Plan] = {}
     out.update(_plans_of(metrics_plans, [
         "stream_metrics", "stream_metrics_hourly", "windowed_metrics", "error_alerts",
-        "archive_partitions", "stream_audit", "metrics_live", "archive_tiers",
+        "archive_partitions", "stream_audit", "stream_quarantine", "stream_dirty_metrics", "stream_dirty_audit",
+         "metrics_live", "archive_tiers",
     ]))
-    out.update(_plans_of(etl_plans, ["etl_daily", "etl_stage_all"]))
+    out.update(_plans_of(etl_plans, ["etl_daily", "etl_stage_all", "etl_load", "etl_rejects", "etl_audit"]))
     out.update(_plans_of(events_plans, ["order_state", "inventory_state", "notification_outbox",
-                                        "routed_counts"]))
+                                        "routed_counts", "event_quarantine"]))
     out.update(_plans_of(items_plans, ["item_catalog", "items_active_page", "item_delete_counts",
                                        "latest_event_per_user", "user_recent_events",
                                        "order_customer_lookup"]))
@@ -40,7 +41,8 @@ def queries() -> dict[str, Plan]:
                                       "doc_translation_worklist", "doc_results", "doc_result_page"]))
     out.update(_plans_of(media_lake_plans, ["media_results", "media_notification_counts",
                                             "lake_ingest_summary", "lake_category_stats", "lake_count",
-                                            "lake_sample", "lake_partition_query"]))
+                                            "lake_sample", "lake_partition_query", "lake_two_batches",
+                                            "lake_partition_prune"]))
     return out
 
 

@@ -19,8 +19,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A partition counts as skewed once it is 4x the median and over 128 MB;
-    # AQE then splits it and replicates the matching side.
+    # A partition counts as skewed once it is 4x the median and over Spark's
+    # own size limit; AQE then splits it and replicates the matching side.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Partition values such as month=01 stay strings ("01"), not ints.

@@ -10,7 +10,9 @@ versioned table in the checkpoint/shared folder, never in driver memory.
 from __future__ import annotations
 
 import os
-from datetime import datetime
+from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +29,30 @@ def _trigger(writer, trigger: dict | None):
 # ---------------------------------------------------------------- I1
 
 
-def metrics_batch_handler(out_root: str, as_of: str | datetime):
+Clock = str | datetime | Callable[[], datetime]
+
+
+def batch_clock(as_of: Clock):
+    """The clock of one batch: a fixed value, or what a callable returns now."""
+    return as_of() if callable(as_of) else as_of
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+def metrics_batch_handler(out_root: str, as_of: Clock = utc_now):
     """Per micro-batch -- decode once (cached), archive valid records,
-    quarantine the rest, store one metric row per key for the batch."""
+    quarantine the rest, store one metric row per key for the batch.  A
+    retried batch replaces its own files."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         decoded = metrics.decode_records(batch).persist()
         try:
             ok, bad = metrics.split_records(decoded)
-            metrics.archive_layout(ok).write.mode("overwrite").partitionBy(
-                "year", "month", "day", "hour").json(f"{out_root}/archive/batch_id={batch_id}")
+            metrics.write_archive(metrics.archive_layout(ok), f"{out_root}/archive", batch_id)
             bad.select("data", "partitionKey", "sequenceNumber", "reasons").write.mode("overwrite").parquet(
                 f"{out_root}/quarantine/batch_id={batch_id}")
-            metrics.batch_metrics(decoded, as_of).write.mode("overwrite").parquet(
+            metrics.batch_metrics(decoded, batch_clock(as_of)).write.mode("overwrite").parquet(
                 f"{out_root}/metrics/batch_id={batch_id}")
         finally:
             decoded.unpersist()
@@ -46,7 +60,7 @@ def metrics_batch_handler(out_root: str, as_of: str | datetime):
 
 
 def start_metrics_stream(spark: SparkSession, source: str, out_root: str, checkpoint: str,
-                         as_of: str | datetime, max_files: int | None = None,
+                         as_of: Clock = utc_now, max_files: int | None = None,
                          trigger: dict | None = None) -> StreamingQuery:
     env = read_stream(spark, source, max_files=max_files)
     w = env.writeStream.foreachBatch(metrics_batch_handler(out_root, as_of)).option(
@@ -63,7 +77,7 @@ def windowed_stream(env: DataFrame, width: str, watermark: str) -> DataFrame:
     it; TIMESTAMP_NTZ is rejected)."""
     d = metrics.decode_records(env).filter(F.col("decode_error").isNull())
     d = d.withColumn("arrival_ts", F.col("arrival").cast("timestamp"))
-    d = d.withWatermark("arrival_ts", watermark).dropDuplicatesWithinWatermark(["sequenceNumber"])
+    d = d.withWatermark("arrival_ts", watermark).dropDuplicatesWithinWatermark(["partitionKey", "sequenceNumber"])
     return metrics.windowed_metrics(d, "arrival_ts", "partitionKey", "value_num", width)
 
 
@@ -71,16 +85,15 @@ def windowed_stream(env: DataFrame, width: str, watermark: str) -> DataFrame:
 
 
 def start_file_ingest(spark: SparkSession, landing: str, processed: str, checkpoint: str,
-                      as_of: str | datetime, suffix: str = "*", trigger: dict | None = None) -> StreamingQuery:
-    """New files under the landing prefix -> processed zone."""
+                      as_of: Clock = utc_now, suffix: str = "*", trigger: dict | None = None) -> StreamingQuery:
+    """New files under the landing prefix -> processed zone, in the layout
+    of ``lake.write_processed`` (one catalog covers batches and streams)."""
     files = (spark.readStream.format("text").option("wholetext", True)
              .option("pathGlobFilter", suffix).option("recursiveFileLookup", True).load(landing)
              .select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body")))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out = lake.with_partitions(lake.ingest(batch, as_of)).withColumn("data", F.to_json("data"))
-        out.write.mode("overwrite").partitionBy(*lake.PARTITION_COLS).parquet(
-            f"{processed}/batch_id={batch_id}")
+        lake.write_processed(lake.ingest(batch, batch_clock(as_of)), processed, batch_id)
 
     w = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
@@ -99,9 +112,9 @@ def compact_order_log(changes: DataFrame) -> DataFrame:
     return last_created.unionByName(last_any).select("r.*").dropDuplicates(["order_id", "kind", "seq"])
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
     """Newest ``v=<n>`` directory under ``root`` (listing through Hadoop FS
-    so it works on shared storage)."""
+    so it works on shared storage), of those below a version if one is given."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -111,7 +124,8 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     for st in fs.listStatus(path):
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            versions.append(int(name[2:]))
+            if below is None or int(name[2:]) < below:
+                versions.append(int(name[2:]))
     return os.path.join(root, f"v={max(versions)}") if versions else None
 
 
@@ -122,12 +136,22 @@ def state_batch_handler(spark: SparkSession, state_root: str, out_root: str):
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         norm, bad = events.normalise(batch)
-        routed = events.route(events.parse_detail(norm), rules).persist()
+        known, unfit = events.split_events(events.parse_detail(norm))
+        routed = events.route(known, rules).persist()
         try:
-            ord_changes, _ = events.order_changes(routed.filter(F.col("target") == "order_processor"))
-            inv_changes, _ = events.inventory_changes(routed.filter(F.col("target") == "inventory_processor"))
-            prev_o = latest_version(spark, f"{state_root}/orders_log")
-            prev_i = latest_version(spark, f"{state_root}/inventory")
+            ord_changes, no_order = events.order_changes(routed.filter(F.col("target") == "order_processor"))
+            inv_changes, no_item = events.inventory_changes(routed.filter(F.col("target") == "inventory_processor"))
+            rejected = reduce(DataFrame.unionByName, [
+                bad.select(F.to_json(F.struct("_el")).alias("row"), "reasons"),
+                unfit.select(F.to_json("event").alias("row"), "reasons"),
+                no_order.select(F.to_json(F.struct("order_id", "kind", "seq")).alias("row"), "reasons"),
+                no_item.select(F.to_json(F.struct("item_id", "seq")).alias("row"), "reasons")])
+            rejected.write.mode("overwrite").parquet(f"{out_root}/quarantine/batch_id={batch_id}")
+            events.order_outbox(ord_changes).select("subject", "message").write.mode("overwrite").parquet(
+                f"{out_root}/outbox/batch_id={batch_id}")
+            # Only versions of earlier batches: a retry must not read what it replaces.
+            prev_o = latest_version(spark, f"{state_root}/orders_log", below=batch_id)
+            prev_i = latest_version(spark, f"{state_root}/inventory", below=batch_id)
             if prev_o:
                 ord_changes = spark.read.parquet(prev_o).unionByName(ord_changes)
             if prev_i:
@@ -137,7 +161,6 @@ def state_batch_handler(spark: SparkSession, state_root: str, out_root: str):
             (inv_changes.groupBy("item_id")
              .agg(F.max_by(F.struct(*inv_changes.columns), "seq").alias("r")).select("r.*")
              .write.mode("overwrite").parquet(f"{state_root}/inventory/v={batch_id}"))
-            bad.write.mode("overwrite").parquet(f"{out_root}/quarantine/batch_id={batch_id}")
         finally:
             routed.unpersist()
     return handle
@@ -161,7 +184,7 @@ def presence_batch_handler(spark: SparkSession, state_root: str, as_of_col: str
     (bounded state); connections whose last connect is more than 24 h older
     than the newest mark seen are expired from the state."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        prev = latest_version(spark, f"{state_root}/presence")
+        prev = latest_version(spark, f"{state_root}/presence", below=batch_id)
         marks = batch.select("connection_id", "ts", "kind", "room")
         if prev:
             marks = spark.read.parquet(prev).unionByName(marks)
