@@ -1,18 +1,20 @@
 """N-gram Jaccard join: prefix filters under several token orders.
 
-Documents are sets of n-word shingles.  Two sets of Jaccard similarity t or
-more share a token among the first n - ceil(t n) + 1 of either one, whatever
-the order of the tokens.  Candidates come from a join on such prefixes under
-one order; the prefixes of two more orders, taken longer so that similar sets
-must share many tokens there, are intersected before any text is compared.
-
-All orders put tokens of rare hash buckets first (counts over all rows, in a
-table of fixed size), so that common lines and phrases don't make candidates;
-within equal counts each order has its own hash.
-
-Equal sets are one node.  The first round compares each node with the smallest
-of its prefix token and size band, which joins large groups of near copies by
-few comparisons; the second compares every pair of candidates that is still in
+Documents are sets of n-word shingles.  Sets of sizes a and b have a Jaccard
+similarity of t or more when they share o = t / (1 + t) * (a + b) tokens or more,
+and then, whatever the order of the tokens, k of those among the first
+a - o + k of the one and b - o + k of the other.  Candidates come from a join on
+such prefixes under one order; the prefixes of two more orders are intersected
+before any text is compared.
+
+Counts of hash buckets over all rows, a table of fixed size, tell rare tokens
+from common ones.  The first order goes by that count, so that common lines and
+phrases don't make candidates; the others go by its half octave, and within it
+by a hash of their own.
+
+Equal sets are one node.  The first round compares each node with one of its
+prefix token and size band, the one that shares most of its tokens; that joins
+large groups of near copies by few comparisons.  The second round compares every pair of candidates that is still in
 different components.  So no link between different components is missed, and
 no group is expanded into all its pairs.
 
@@ -32,12 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import connected_components
-from tidewater.llm.shared import SUM_SCHEMA, array_rows, keyed_hash, materialise, release_finished, sum_arrays, table
+from tidewater.llm.shared import SUM_SCHEMA, array_rows, discard, keyed_hash, materialise, release_finished, sum_arrays, table
 from tidewater.llm.textarrays import chunks, mix, ngrams, shingle_set, word_hashes
 
 BUCKET_BITS = 18
-#: Tokens that similar sets must share in the longer prefixes, at most.
-SHARED = 24
+#: Tokens that similar sets must share in a prefix of the first order, and in
+#: the longer ones of the others, at most.
+FIRST_SHARED, SHARED = 2, 24
 _SEEDS = tuple(np.uint64(x) for x in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x6A09E667F3BCC909))
 
 
@@ -50,8 +53,8 @@ def _sets(column: pa.Array, n: int):
             yield c.first + d, shingle_set(words[at[d]:at[d + 1]], grams[at[d]:at[d + 1]], n)
 
 
-def bucket_classes(docs: DataFrame, n: int) -> np.ndarray:
-    """Half-octave class of the count of each hash bucket of all shingles."""
+def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
+    """Count of all shingles in each hash bucket."""
 
     def count(batches):
         from pyspark import TaskContext
@@ -70,15 +73,17 @@ def bucket_classes(docs: DataFrame, n: int) -> np.ndarray:
         yield array_rows(counts, TaskContext.get().partitionId())
 
     total = sum_arrays(docs.select("text").mapInArrow(count, SUM_SCHEMA), 1 << BUCKET_BITS)
-    return np.minimum(np.round(2 * np.log2(1 + total)), 255).astype(np.uint8)
+    return np.minimum(total, (1 << 32) - 1).astype(np.uint64)
 
 
-def _prefix(tokens: np.ndarray, classes: np.ndarray, order: int, length: int) -> np.ndarray:
-    if length >= len(tokens):
-        return tokens
-    first = classes[(tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
-    rank = (first << np.uint64(56)) | (mix(tokens ^ _SEEDS[order]) >> np.uint64(8))
-    return tokens[np.argpartition(rank, length - 1)[:length]]
+def _prefix(tokens: np.ndarray, counts: np.ndarray, order: int, length: int) -> np.ndarray:
+    length = min(length, len(tokens))
+    first = counts[(tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+    if order:
+        first = np.round(2 * np.log2(1.0 + first)).astype(np.uint64)
+    rank = (first << np.uint64(32)) | (mix(tokens ^ _SEEDS[order]) >> np.uint64(32))
+    at = np.argpartition(rank, length - 1)[:length]
+    return tokens[at[np.argsort(rank[at])]]
 
 
 def _least_shared(n: int, percent: int) -> int:
@@ -86,6 +91,22 @@ def _least_shared(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def _overlap(a: str, b: str, percent: int) -> F.Column:
+    """Tokens that similar sets of these sizes share at least."""
+    return F.expr(f"({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent}")
+
+
+def _may_join(a: str, b: str, percent: int) -> F.Column:
+    """Whether a shared token at places ``a_pos`` and ``b_pos`` makes a candidate.
+
+    That is, lies in both prefixes that are long enough for the two sizes.
+    """
+    o = _overlap(f"{a}_n", f"{b}_n", percent)
+    more = F.least(o, F.lit(FIRST_SHARED))
+    return ((o <= F.least(f"{a}_n", f"{b}_n")) & (F.col(f"{a}_pos") < F.col(f"{a}_n") - o + more)
+            & (F.col(f"{b}_pos") < F.col(f"{b}_n") - o + more))
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.zeros(len(arrays) + 1, np.int32)
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
@@ -93,7 +114,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
-def _signatures(docs: DataFrame, n: int, percent: int, classes: Broadcast) -> DataFrame:
+def _signatures(docs: DataFrame, n: int, percent: int, counts: Broadcast) -> DataFrame:
     """(doc_id, rid, n, node, prefix) of each row; node is the set's hash."""
 
     def run(batches):
@@ -105,7 +126,8 @@ def _signatures(docs: DataFrame, n: int, percent: int, classes: Broadcast) -> Da
                 size[row] = k = len(tokens)
                 if k:
                     node[row] = np.bitwise_xor(np.add.reduce(mix(tokens)), np.uint64(k))
-                    prefix[row] = _prefix(tokens, classes.value, 0, k - _least_shared(k, percent) + 1)
+                    least = _least_shared(k, percent)
+                    prefix[row] = _prefix(tokens, counts.value, 0, k - least + min(FIRST_SHARED, least))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(size), pa.array(mix(node).view(np.int64)), _lists(prefix)],
                 names=["doc_id", "rid", "n", "node", "prefix"])
@@ -115,40 +137,37 @@ def _signatures(docs: DataFrame, n: int, percent: int, classes: Broadcast) -> Da
             .mapInArrow(run, f"doc_id {kind}, rid long, n long, node long, prefix array<long>"))
 
 
-def _candidate_sets(docs: DataFrame, wanted: DataFrame, n: int, percent: int, classes: Broadcast) -> DataFrame:
-    """(node, n, shared, second, third, text) of the wanted (rid, node)."""
+def _prefixes_and_text(docs: DataFrame, wanted: DataFrame, n: int, percent: int, counts: Broadcast) -> DataFrame:
+    """(node, n, second, third, text) of the wanted (rid, node)."""
 
     def run(batches):
         for batch in batches:
             size = np.zeros(batch.num_rows, np.int64)
-            shared = np.zeros(batch.num_rows, np.int64)
             second, third = [None] * batch.num_rows, [None] * batch.num_rows
             for row, tokens in _sets(batch.column(1), n):
-                size[row] = k = len(tokens)
+                k = len(tokens)
                 least = _least_shared(k, percent)
-                shared[row] = more = min(SHARED, least)
-                second[row] = _prefix(tokens, classes.value, 1, k - least + more)
-                third[row] = _prefix(tokens, classes.value, 2, k - least + more)
+                size[row], more = k, min(SHARED, least)
+                second[row] = _prefix(tokens, counts.value, 1, k - least + more)
+                third[row] = _prefix(tokens, counts.value, 2, k - least + more)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(shared), _lists(second), _lists(third), batch.column(1)],
-                names=["node", "n", "shared", "second", "third", "text"])
+                [batch.column(0), pa.array(size), _lists(second), _lists(third), batch.column(1)],
+                names=["node", "n", "second", "third", "text"])
 
-    rows = (docs.select(keyed_hash("doc_id", "text").alias("rid"), "text").join(wanted, "rid")
-            .dropDuplicates(["node"]).select("node", "text"))
-    return rows.mapInArrow(run, "node long, n long, shared long, second array<long>, third array<long>, text string")
+    rows = docs.select(keyed_hash("doc_id", "text").alias("rid"), "text").join(wanted, "rid").select("node", "text")
+    return rows.mapInArrow(run, "node long, n long, second array<long>, third array<long>, text string")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (u, v) of nodes whose sets are similar."""
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int, counts: Broadcast) -> DataFrame:
+    """Those of the stored pairs (u, v) whose sets are similar, stored."""
+    ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    # One row for each node, also where rows repeat.
+    wanted = nodes.join(ends, "node").groupBy("node").agg(F.min("rid").alias("rid"))
+    sets = materialise(_prefixes_and_text(docs, wanted, n, percent, counts), "sets")
 
     def side(key, *cols):
         return sets.select(F.col("node").alias(key), *[F.col(c).alias(f"{key}_{c}") for c in cols])
 
-    kept = (pairs.join(side("u", "shared", "second", "third"), "u").join(side("v", "shared", "second", "third"), "v")
-            .where(F.size(F.array_intersect("u_second", "v_second")) >= F.least("u_shared", "v_shared"))
-            .where(F.size(F.array_intersect("u_third", "v_third")) >= F.least("u_shared", "v_shared"))
-            .select("u", "v"))
-
     def similar(batches):
         for batch in batches:
             left = [s for _, s in _sets(batch.column(2), n)]
@@ -160,8 +179,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFr
                 ok[row] = both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
             yield batch.select([0, 1]).filter(pa.array(ok))
 
-    return (kept.join(side("u", "text"), "u").join(side("v", "text"), "v")
-            .select("u", "v", "u_text", "v_text").mapInArrow(similar, "u long, v long"))
+    columns = ("n", "second", "third", "text")
+    kept = pairs.join(side("u", *columns), "u").join(side("v", *columns), "v")
+    for order in ("second", "third"):
+        beyond = F.greatest(*[F.col(f"{k}_n") - F.size(f"{k}_{order}") for k in ("u", "v")])
+        kept = kept.where(F.size(F.array_intersect(f"u_{order}", f"v_{order}")) >= _overlap("u_n", "v_n", percent) - beyond)
+    links = materialise(kept.select("u", "v", "u_text", "v_text").mapInArrow(similar, "u long, v long").distinct(), "links")
+    discard(sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -172,43 +197,61 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     smallest id reachable by links.
     """
     spark = docs.sparkSession
-    classes = spark.sparkContext.broadcast(bucket_classes(docs, n))     # 2 ** BUCKET_BITS bytes
-    rows = materialise(_signatures(docs, n, percent, classes), "signatures")
+    counts = spark.sparkContext.broadcast(bucket_counts(docs, n))     # 2 ** BUCKET_BITS numbers
+    rows = materialise(_signatures(docs, n, percent, counts), "signatures")
     used = rows.where("n > 0")
+    nodes = used.groupBy("node").agg(F.min("rid").alias("rid"))
     # Sizes of similar sets differ by this factor at most: bands for the first round.
     band = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100)))
-    posts = (used.groupBy("node").agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-             .select("node", "rid", "n", F.explode("prefix").alias("token")))
-    posts = materialise(posts, "prefixes")
+    posts = (used.join(nodes, ["node", "rid"], "left_semi")
+             .select("node", "n", F.posexplode("prefix").alias("pos", "token")))
     shared = posts.groupBy("token").agg(F.count("*").alias("_k")).where("_k > 1").select("token")
     posts = materialise(posts.join(shared, "token").withColumn("band", band), "shared-prefixes")
     release_finished(spark)
-    sets = materialise(_candidate_sets(docs, posts.select("rid", "node").distinct(), n, percent, classes), "sets")
-    release_finished(spark)
 
-    pivots = posts.groupBy("token", "band").agg(F.min("node").alias("v"), F.count("*").alias("_k")).where("_k > 1")
-    first = (posts.join(pivots, ["token", "band"]).where("node != v").select(F.col("node").alias("u"), "v").distinct())
+    # Near copies of a text lack its tokens, so the text itself shares most.
+    central = posts.groupBy("node").agg(F.count("*").alias("common"))
+    pivots = (posts.join(central, "node").groupBy("token", "band")
+              .agg(F.max(F.struct("common", F.col("node").alias("v"), F.col("n").alias("v_n"), F.col("pos").alias("v_pos"))).alias("_p"),
+                   F.count("*").alias("_k")).where("_k > 1").select("token", "band", "_p.v", "_p.v_n", "_p.v_pos"))
+    first = (posts.select("token", "band", F.col("node").alias("u"), F.col("n").alias("u_n"), F.col("pos").alias("u_pos"))
+             .join(pivots, ["token", "band"]).where("u != v").where(_may_join("u", "v", percent)).select("u", "v").distinct())
     first = materialise(first, "first-pairs")
-    links = materialise(_verified(first, sets, n, percent), "links")
+    links = _verified(first, docs, nodes, n, percent, counts)
     roots = materialise(connected_components(links), "roots")
 
     # Second round: pairs of a token's smaller components with all its nodes.
-    posts = (posts.select("token", "node", "n").join(roots, "node", "left")
-             .withColumn("root", F.coalesce("root", "node")))
-    mixed = posts.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a != _b").select("token")
-    posts = materialise(posts.join(mixed, "token"), "mixed-prefixes")
-    largest = (posts.groupBy("token", "root").agg(F.count("*").alias("_k"))
-               .groupBy("token").agg(F.max(F.struct("_k", "root")).root.alias("largest")))
-    minor = (posts.join(largest, "token").where("root != largest")
-             .select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"), "largest"))
-    pairs = (minor.join(posts, "token")
-             .where((F.col("root") != F.col("a_root")) & ((F.col("root") == F.col("largest")) | (F.col("node") < F.col("a"))))
-             .where((100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n")))
-             .select(F.greatest("node", "a").alias("u"), F.least("node", "a").alias("v")).distinct()
-             .join(first, ["u", "v"], "left_anti"))
-    more = materialise(_verified(materialise(pairs, "second-pairs"), sets, n, percent), "links")
+    own = (posts.join(roots, "node", "left").select("token", F.col("node").alias("b"), F.col("n").alias("b_n"),
+                                                   F.col("pos").alias("b_pos"), F.coalesce("root", "node").alias("root")))
+    own = materialise(own, "rooted-prefixes")
+    discard(posts)
+    largest = (own.groupBy("token", "root").agg(F.count("*").alias("_k"))
+               .groupBy("token").agg(F.max(F.struct("_k", "root")).root.alias("largest"), F.count("*").alias("_roots"))
+               .where("_roots > 1").select("token", "largest"))
+    minor = (own.join(largest, "token").where("root != largest")
+             .select("token", F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("b_pos").alias("a_pos"),
+                     F.col("root").alias("a_root"), "largest"))
+    pairs = (minor.join(own, "token")
+             .where((F.col("root") != F.col("a_root")) & ((F.col("root") == F.col("largest")) | (F.col("b") < F.col("a")))
+                    & _may_join("a", "b", percent))
+             .groupBy(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+             .agg(F.count("*").alias("_k"), F.first(_overlap("a_n", "b_n", percent)).alias("_o"))
+             .where(F.col("_k") >= F.least("_o", F.lit(FIRST_SHARED))).select("u", "v"))
+    known = first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    pairs = materialise(pairs.join(known, ["u", "v"], "left_anti"), "second-pairs")
+    discard(own)
+    more = _verified(pairs, docs, nodes, n, percent, counts)
     if not more.isEmpty():
-        roots = materialise(connected_components(links.unionByName(more)), "roots")
+        # Components of the components that the second round links.
+        named = more
+        for end in ("u", "v"):
+            own = roots.select(F.col("node").alias(end), F.col("root").alias("_root"))
+            named = named.join(own, end, "left").withColumn(end, F.coalesce("_root", end)).select("u", "v")
+        joined = materialise(connected_components(named), "joined")
+        roots = (roots.unionByName(joined.select("node", F.col("node").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+                 .join(joined.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left")
+                 .select("node", F.coalesce("_to", "root").alias("root")))
+        roots = materialise(roots, "roots")
 
     lows = used.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("_k"))
     lows = materialise(lows.join(roots, "node", "left").where("_k > 1 or root is not null")
