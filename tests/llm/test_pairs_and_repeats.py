@@ -81,7 +81,7 @@ def test_suffix_array_and_common_prefixes(alphabet):
     for k in range(1, len(want)):
         a, b = want[k - 1][0], want[k][0]
         n = next((i for i in range(min(len(a), len(b))) if a[i] != b[i]), min(len(a), len(b)))
-        assert lcp[k] == min(n, 25)
+        assert lcp[k] == (min(n, 25) if len(b) >= 25 else 0)
 
 
 @pytest.mark.parametrize("hot", [2, 4000])

@@ -1,8 +1,9 @@
 """License scans: known sentences, then ordered rules over their sequence.
 
-A text is cut into sentences at line ends and sentence marks, each is
+A text is cut into sentences at sentence marks and empty lines; each is
 normalised, and those found in the table of known sentences become
-identifiers, in the order of the text.  Rules, tried in order, look for runs of
+identifiers, in the order of the text.  A sentence that isn't known is tried
+line by line, since a licence line may follow text without a mark.  Rules, tried in order, look for runs of
 identifiers; what a rule matches is used up, so the text of a licence is not
 also counted as its short form.  Sentences that speak of a licence but are not
 known count as unknown.
@@ -80,8 +81,8 @@ RULES = (
 )
 
 #: Every known sentence holds one of these words, in lower case.
-HINTS = ("licens", "permi", "warrant", "redistribution", "rights reserved", "endorse", "cc by", "cc0", "spdx")
-_SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z|\n"
+HINTS = ("licens", "released under", "distributed under", "available under", "permi", "warrant", "redistribution", "rights reserved", "endorse", "cc by", "cc0", "spdx")
+_SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z|\n[\x20\x09]*\n"
 
 
 def _lower(c: Column) -> Column:
@@ -93,15 +94,21 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(_lower(sentence), r"[^a-z0-9./+-]+", " "))
 
 
-def licence_columns(text: Column) -> tuple[Column, Column, Column]:
-    """(sentence identifiers, licences, unknown sentences): arrays of strings."""
+def licence_columns(text: Column) -> tuple[Column, Column]:
+    """(sentence identifiers, unknown sentences): arrays of strings."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     hint = F.lit("(?i)" + "|".join(HINTS))
+
+    def units(sentence):
+        whole = normalised(sentence)
+        lines = F.transform(F.split(sentence, r"\n"), normalised)
+        return F.when(F.try_element_at(known, whole).isNotNull(), F.array(whole)).otherwise(lines)
+
     cut = F.filter(F.split(text, _SENTENCE_END), lambda s: F.rlike(s, hint))
-    sentences = F.when(F.rlike(text, hint), F.transform(cut, normalised)).otherwise(F.array().cast("array<string>"))
-    ids = F.filter(F.transform(sentences, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
-    unknown = F.filter(sentences, lambda s: s.contains("license") & F.try_element_at(known, s).isNull())
-    return ids, matched_rules(ids), unknown
+    found = F.when(F.rlike(text, hint), F.flatten(F.transform(cut, units))).otherwise(F.array().cast("array<string>"))
+    ids = F.filter(F.transform(found, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    unknown = F.filter(found, lambda s: s.contains("license") & F.try_element_at(known, s).isNull())
+    return ids, unknown
 
 
 def matched_rules(ids: Column) -> Column:
@@ -120,7 +127,7 @@ def matched_rules(ids: Column) -> Column:
 
 def scan_licences(docs: DataFrame) -> DataFrame:
     """(doc_id, sentence_ids, licences, n_unknown) of each row; the lists as arrays."""
-    ids, _, unknown = licence_columns(F.col("text"))
+    ids, unknown = licence_columns(F.col("text"))
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .select("doc_id", ids.alias("sentence_ids"), F.size(unknown).cast("long").alias("n_unknown"))
             .select("doc_id", "sentence_ids", matched_rules(F.col("sentence_ids")).alias("licences"), "n_unknown"))
@@ -147,10 +154,14 @@ def _oracle() -> str:
         last = f"r{k}"
     return rf"""
 WITH known(s, id) AS (VALUES {known}),
-cut AS (SELECT doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z', chr(10), 'g'), chr(10))) AS s,
-    generate_subscripts(string_split(regexp_replace(coalesce(text, ''), '[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z', chr(10), 'g'), chr(10)), 1) AS k FROM documents),
-norm AS (SELECT doc_id, k, trim(regexp_replace(translate(s, '{_UPPER}', '{_LOWER}'), '[^a-z0-9./+-]+', ' ', 'g'), ' ') AS s FROM cut),
-hits AS (SELECT doc_id, string_agg('<' || id || '>', '' ORDER BY k) AS rest, string_agg(id, ' ' ORDER BY k) AS ids,
+cut AS (SELECT doc_id, unnest(parts) AS s, generate_subscripts(parts, 1) AS k FROM (SELECT doc_id, string_split(regexp_replace(
+    coalesce(text, ''), '[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z|\n[\x20\x09]*\n', chr(1), 'g'), chr(1)) AS parts FROM documents)),
+whole AS (SELECT doc_id, k, s, trim(regexp_replace(translate(s, '{_UPPER}', '{_LOWER}'), '[^a-z0-9./+-]+', ' ', 'g'), ' ') AS n FROM cut),
+rest AS (SELECT doc_id, k, unnest(string_split(s, chr(10))) AS s, generate_subscripts(string_split(s, chr(10)), 1) AS j
+    FROM whole WHERE n NOT IN (SELECT s FROM known)),
+norm AS (SELECT doc_id, k, 0 AS j, n AS s FROM whole WHERE n IN (SELECT s FROM known)
+    UNION ALL SELECT doc_id, k, j, trim(regexp_replace(translate(s, '{_UPPER}', '{_LOWER}'), '[^a-z0-9./+-]+', ' ', 'g'), ' ') FROM rest),
+hits AS (SELECT doc_id, string_agg('<' || id || '>', '' ORDER BY k, j) AS rest, string_agg(id, ' ' ORDER BY k, j) AS ids,
     count(*) FILTER (id IS NULL AND norm.s LIKE '%license%') AS n_unknown
     FROM norm LEFT JOIN known ON norm.s = known.s WHERE id IS NOT NULL OR norm.s LIKE '%license%' GROUP BY doc_id),
 seqs AS (SELECT d.doc_id, coalesce(rest, '') AS rest, coalesce(ids, '') AS ids, coalesce(n_unknown, 0) AS n_unknown, '' AS found
