@@ -22,7 +22,7 @@ def test_file_routes_and_overflow(spark):
     d = D.extract_text(D.classify_files(_docs(spark, rows)))
     got = {r.doc_id: (r.file_type, r.route, r.full_text_length, r.overflow_path) for r in d.collect()}
     assert got[1] == ("txt", "direct_read", 5000, None)
-    assert got[2] == ("txt", "direct_read", 5001, "textract/b.TXT_full_text.txt")
+    assert got[2] == ("txt", "direct_read", 5001, "overflow/b.TXT_full_text.txt")
     assert got[3][1] == "unsupported" and got[4][1] == "unsupported" and got[5][1] == "ocr"
     assert [r.doc_id for r in D.overflow(d).collect()] == [2]
 

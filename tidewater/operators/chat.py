@@ -33,16 +33,21 @@ def connection_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def attach_sender(messages: DataFrame, connections: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(messages with the sender's ``user_id``, messages whose
-    connection is unknown).  Room comes from the message (Q15)."""
+def with_sender(messages: DataFrame, connections: DataFrame) -> DataFrame:
+    """C1 in one join: messages with the sender's ``user_id``, or with an
+    ``error`` where the connection is unknown.  Room comes from the message
+    (Q15)."""
     conn = connections.select("connection_id", F.col("user_id").alias("_user"), F.lit(True).alias("_hit"))
-    j = messages.join(conn, "connection_id", "left")
-    found = (j.filter(F.col("_hit")).withColumn("user_id", F.coalesce("_user", F.lit(DEFAULT_USER)))
-             .drop("_user", "_hit"))
-    missing = j.filter(F.col("_hit").isNull()).drop("_user", "_hit").withColumn(
-        "error", F.lit("Connection not found"))
-    return found, missing
+    hit = F.col("_hit").isNotNull()
+    return (messages.join(conn, "connection_id", "left")
+            .withColumns({"user_id": F.when(hit, F.coalesce("_user", F.lit(DEFAULT_USER))),
+                          "error": F.when(~hit, F.lit("Connection not found"))}).drop("_user", "_hit"))
+
+
+def attach_sender(messages: DataFrame, connections: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(messages with their sender, messages whose connection is unknown)."""
+    both = with_sender(messages, connections)
+    return both.filter(F.col("error").isNull()).drop("error"), both.filter(F.col("error").isNotNull()).drop("user_id")
 
 
 def fan_out(messages: DataFrame, connections: DataFrame) -> DataFrame:
@@ -99,20 +104,20 @@ def presence(marks: DataFrame, as_of: str | datetime) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("active_connections")))
 
 
-def membership_at(marks: DataFrame, messages: DataFrame, bucket: str = "1 day") -> DataFrame:
+def membership_at(marks: DataFrame, messages: DataFrame) -> DataFrame:
     """The room of the sender's membership valid at each message time.
 
     A membership runs from a connect until the next disconnect of the same
     connection or 24 h, whichever is first.  As-of join on the connection
     key, without a range join: marks and messages are merged and ordered per
-    (connection, time bucket); the last connect / disconnect seen before a
-    message decides.  Each mark is copied into its own and the next bucket
-    (validity <= 24 h = bucket), so hot connections are split by bucket and
-    the answer is exact.  Output: every message with ``room`` (NULL when no
+    (connection, day); the last connect / disconnect seen before a message
+    decides.  Each mark is copied into its own and the next day (a membership
+    lasts 24 h at most), so hot connections are split by day and the answer
+    is exact; one connection's day is sorted in one task.  Output: every message with ``room`` (NULL when no
     membership was valid).
     """
-    width = F.expr(f"INTERVAL {bucket}")
-    b = F.date_trunc("day", "ts") if bucket == "1 day" else F.window("ts", bucket).start
+    width = F.expr("INTERVAL 1 DAY")
+    b = F.date_trunc("day", "ts")
     m = marks.select("connection_id", "ts", "kind", "room", F.lit(None).cast("long").alias("message_id"))
     m = m.withColumn("_b", F.explode(F.array(b.cast("timestamp_ntz"), (b + width).cast("timestamp_ntz"))))
     msg = messages.select("connection_id", "ts", F.lit(2).alias("kind"), F.lit(None).cast("string").alias("room"),

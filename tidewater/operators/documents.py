@@ -69,6 +69,19 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: x != "")
 
 
+TOKENS = "_tokens"
+
+
+def with_tokens(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds the token list once, for the steps that read it."""
+    return df if TOKENS in df.columns else df.withColumn(TOKENS, tokens(F.col(text)))
+
+
+def _own_tokens(df: DataFrame, out: DataFrame) -> DataFrame:
+    """``out`` without the token list, unless ``df`` brought it."""
+    return out if TOKENS in df.columns else out.drop(TOKENS)
+
+
 def classify_files(df: DataFrame, name: str = "file_name") -> DataFrame:
     """``file_type`` (lower-cased extension) and ``route``:
     ``direct_read`` for txt, ``ocr`` for scanned types, ``unsupported``."""
@@ -88,7 +101,7 @@ def extract_text(df: DataFrame, name: str = "file_name", text: str = "text") ->
         "full_text_length": length,
         "text_source": F.lit("direct_read"),
         "overflow_path": F.when(length > TEXT_LIMIT,
-                                F.concat(F.lit("textract/"), F.col(name), F.lit("_full_text.txt"))),
+                                F.concat(F.lit("overflow/"), F.col(name), F.lit("_full_text.txt"))),
     })
 
 
@@ -114,25 +127,25 @@ def detect_language(df: DataFrame, text: str = "text") -> DataFrame:
     """K2: the language with most function-word hits (ties: order
     en, fr, de, es); ``und`` when none.  Adds ``source_language`` and
     ``language_hits``."""
-    tok = tokens(F.col(text))
-    votes = language_votes(tok)
+    votes = language_votes(F.col(TOKENS))
     cand = F.array(*[F.struct(votes[l].alias("hits"), F.lit(len(LANGUAGE_ORDER) - i).alias("prio"),
                               F.lit(l).alias("lang"))
                      for i, l in enumerate(LANGUAGE_ORDER)])
-    best = F.array_max(cand)
-    return df.withColumns({
+    voted = with_tokens(df, text).withColumn("_best", F.array_max(cand))
+    best = F.col("_best")
+    return _own_tokens(df, voted.withColumns({
         "source_language": F.when(best.hits > 0, best.lang).otherwise(F.lit("und")),
         "language_hits": best.hits,
-    })
+    }).drop("_best"))
 
 
 def sentiment(df: DataFrame, text: str = "text") -> DataFrame:
     """K3: label and ``{positive, negative, neutral, mixed}`` scores from
     lexicon hits over all tokens."""
-    tok = tokens(F.col(text))
-    n = F.size(tok)
-    pos = _hits(tok, POSITIVE_WORDS)
-    neg = _hits(tok, NEGATIVE_WORDS)
+    tok = F.col(TOKENS)
+    counted = with_tokens(df, text).withColumns({
+        "_n": F.size(tok), "_pos": _hits(tok, POSITIVE_WORDS), "_neg": _hits(tok, NEGATIVE_WORDS)})
+    n, pos, neg = F.col("_n"), F.col("_pos"), F.col("_neg")
     frac = lambda c: F.when(n > 0, c.cast("double") / n).otherwise(F.lit(0.0))
     label = (F.when((pos > 0) & (pos == neg), F.lit("MIXED"))
              .when(pos > neg, F.lit("POSITIVE"))
@@ -140,7 +153,8 @@ def sentiment(df: DataFrame, text: str = "text") -> DataFrame:
              .otherwise(F.lit("NEUTRAL")))
     scores = F.struct(frac(pos).alias("positive"), frac(neg).alias("negative"),
                       frac(n - pos - neg).alias("neutral"), frac(F.least(pos, neg)).alias("mixed"))
-    return df.withColumns({"sentiment": label, "sentiment_scores": scores})
+    out = counted.withColumns({"sentiment": label, "sentiment_scores": scores}).drop("_n", "_pos", "_neg")
+    return _own_tokens(df, out)
 
 
 def entities(df: DataFrame, text: str = "text") -> DataFrame:
@@ -168,18 +182,31 @@ def bigrams(tok: Column) -> Column:
     return F.filter(pairs, lambda x: x.isNotNull())
 
 
+def counted(items: Column) -> Column:
+    """Distinct values of an array with their counts, by one sort of the row."""
+    def runs(s):
+        n = F.size(s)
+        heads = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                         lambda i: (n > 0) & ((i == 0) | (F.get(s, i) != F.get(s, i - 1))))
+        nexts = F.concat(F.slice(heads, 2, F.greatest(F.size(heads), F.lit(1))), F.array(n))
+        return F.zip_with(heads, F.slice(nexts, 1, F.greatest(F.size(heads), F.lit(0))),
+                          lambda i, j: F.struct(F.get(s, i).alias("phrase"), (j - i).cast("long").alias("tf")))
+    # The one-element transform binds the sorted array to a name.
+    return F.get(F.transform(F.array(F.array_sort(items)), runs), 0)
+
+
 def key_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """K4 + E8: top-20 bigrams per document by TF-IDF over the corpus.
 
-    Rows ``(doc_id, rank, phrase, score)``.  The (doc, phrase) counts are
-    combined map-side (all tokens of a document live in one task); document
-    frequencies are one partial aggregate; the frequent-phrase skew of the
-    tf/df join is left to AQE's skew-join split.
+    Rows ``(doc_id, rank, phrase, score)``.  Counts within a document need no
+    shuffle: they are made in its row.  Document frequencies are one partial
+    aggregate; the frequent-phrase skew of the tf/df join is left to AQE's
+    skew-join split.
     """
     # Corpus size as a scalar subquery (one value, no join).
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    grams = docs.select(F.col(doc_id), F.explode(bigrams(tokens(F.col(text)))).alias("phrase"))
-    tf = grams.groupBy(doc_id, "phrase").agg(F.count(F.lit(1)).alias("tf"))
+    grams = with_tokens(docs, text).select(F.col(doc_id), bigrams(F.col(TOKENS)).alias("_g"))
+    tf = grams.select(doc_id, F.inline(counted(F.col("_g"))))
     df_ = tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))
     scored = (tf.join(df_, "phrase")
               .withColumn("_s", F.col("tf") * F.log(n_docs / F.col("df"))))
@@ -190,14 +217,9 @@ def key_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def translation_worklist(df: DataFrame, targets: tuple[str, ...] = (TARGET_LANGUAGE,)) -> DataFrame:
     """One translation job per (document, target language) where the
-    detected language is known and differs from the target.
-
-    Generated per row (explode of the qualifying targets) rather than
-    filtered: a plain filter on the detected language would be pushed below
-    ``spread_input``'s rebalance into the scan task."""
-    src = F.col("source_language")
-    jobs = F.filter(F.array(*[F.lit(x) for x in targets]), lambda x: (x != src) & (src != "und"))
-    return df.withColumn("target_language", F.explode(jobs))
+    detected language is known and differs from the target."""
+    jobs = df.withColumn("target_language", F.explode(F.array(*[F.lit(x) for x in targets])))
+    return jobs.filter((F.col("source_language") != "und") & (F.col("target_language") != F.col("source_language")))
 
 
 def assemble(docs: DataFrame, phrases: DataFrame, as_of: str | datetime,

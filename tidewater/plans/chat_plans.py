@@ -39,10 +39,8 @@ def _connections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stored message with its sender, or the not-found error."""
-    found, missing = chat.attach_sender(_messages(spark, sf_dir), _connections(spark, sf_dir))
-    return (found.select("message_id", "room", "user_id", F.lit(None).cast("string").alias("error"))
-            .unionByName(missing.select("message_id", "room", F.lit(None).cast("string").alias("user_id"),
-                                        "error")))
+    return (chat.with_sender(_messages(spark, sf_dir), _connections(spark, sf_dir))
+            .select("message_id", "room", "user_id", "error"))
 
 
 def chat_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:

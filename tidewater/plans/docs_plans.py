@@ -74,8 +74,8 @@ def doc_translation_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _docs(spark, sf_dir).filter(F.col("route") != "unsupported")
-    d = D.entities(D.sentiment(D.detect_language(D.extract_text(d))))
-    return D.assemble(d, D.key_phrases(d), LAKE_AS_OF)
+    e = D.entities(D.sentiment(D.detect_language(D.with_tokens(D.extract_text(d)))))
+    return D.assemble(e.drop(D.TOKENS), D.key_phrases(d), LAKE_AS_OF)
 
 
 def doc_results(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,12 +60,12 @@ WITH {_DOCS}
 SELECT doc_id, file_name, 'txt' AS file_type, 'direct_read' AS route,
        CAST(length(text) AS INTEGER) AS full_text_length,
        CAST(length(left(text, 5000)) AS INTEGER) AS extracted_length,
-       CASE WHEN length(text) > 5000 THEN 'textract/' || file_name || '_full_text.txt' END AS overflow_path
+       CASE WHEN length(text) > 5000 THEN 'overflow/' || file_name || '_full_text.txt' END AS overflow_path
 FROM docs
 """,
     "doc_overflow": f"""
 WITH {_DOCS}
-SELECT doc_id, 'textract/' || file_name || '_full_text.txt' AS overflow_path,
+SELECT doc_id, 'overflow/' || file_name || '_full_text.txt' AS overflow_path,
        CAST(length(text) AS INTEGER) AS full_text_length
 FROM docs WHERE length(text) > 5000
 """,
