@@ -7,7 +7,7 @@ other files are ``UNSUPPORTED``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import basename, file_extension
@@ -28,31 +28,22 @@ def media_files(keys: DataFrame, key: str = "key") -> DataFrame:
     return keys.withColumns({"fileName": basename(decoded), "type": kind})
 
 
-def top_labels(detections: DataFrame, k: int = IMAGE_MAX_LABELS) -> DataFrame:
-    """E7 for images: the ``k`` most confident labels per asset, as an
-    ordered array (at most ``k`` entries are collected per asset)."""
-    top = keyed.top_k(detections, ["asset"], [F.col("confidence").desc(), F.col("label")], k,
-                      salt=F.col("label"))
-    return (top.groupBy("asset")
-            .agg(F.array_sort(F.collect_list(F.struct("rank", "label"))).alias("_l"))
-            .select("asset", F.transform("_l", lambda x: x.label).alias("labels")))
+def ranked_labels(detections: DataFrame) -> DataFrame:
+    """The labels of each asset, best confidence first, then by name (one
+    aggregate; an asset has a bounded number of detections)."""
+    return (detections.groupBy("asset")
+            .agg(F.array_sort(F.collect_list(F.struct((-F.col("confidence")).alias("c"), "label"))).alias("_l"))
+            .select("asset", F.transform("_l", lambda x: x.label).alias("_ranked")))
 
 
-def all_labels(detections: DataFrame) -> DataFrame:
-    """E7 for videos: every distinct label (bounded by the label
-    vocabulary), ordered by best confidence then name."""
-    best = detections.groupBy("asset", "label").agg(F.max("confidence").alias("c"))
-    return (best.groupBy("asset")
-            .agg(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("nc"), "label"))).alias("_l"))
-            .select("asset", F.transform("_l", lambda x: x.label).alias("labels")))
+def labels_of(kind: Column, ranked: Column, k: int = IMAGE_MAX_LABELS) -> Column:
+    """An image's ``k`` most confident labels, a video's distinct ones."""
+    return F.when(kind == "image", F.slice(ranked, 1, k)).when(kind == "video", F.array_distinct(ranked))
 
 
 def manifest(files: DataFrame, detections: DataFrame, failed_jobs: DataFrame | None = None) -> DataFrame:
     """M1: ``fileName, type, labels, status, error`` per file."""
-    imgs = top_labels(detections.join(files.filter(F.col("type") == "image").select("asset"), "asset", "left_semi"))
-    vids = all_labels(detections.join(files.filter(F.col("type") == "video").select("asset"), "asset", "left_semi"))
-    labels = imgs.unionByName(vids)
-    out = files.join(labels, "asset", "left")
+    out = files.join(ranked_labels(detections), "asset", "left").withColumn("labels", labels_of(F.col("type"), F.col("_ranked")))
     if failed_jobs is not None:
         out = out.join(failed_jobs.select("asset", F.lit(True).alias("_failed")), "asset", "left")
     else:

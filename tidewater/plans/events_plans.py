@@ -44,7 +44,7 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.coalesce("items", F.array().cast(items.schema["items"].dataType)).alias("items"),
                  F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
                  _iso("o_orderdate").alias("createdAt")).alias("data")))
-    created = o.select(
+    created = F.struct(
         F.to_variant_object(F.struct(F.lit("orders").alias("source"),
                                      F.lit("Order Created").alias("detail-type"),
                                      created_detail.alias("detail"))).alias("event"),
@@ -52,7 +52,7 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
 
     done_at = F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")
-    completed = orders.filter(F.col("o_orderstatus") == "F").select(
+    completed = F.struct(
         F.to_variant_object(F.struct(
             F.lit("orders").alias("source"), F.lit("Order Completed").alias("detail-type"),
             F.to_json(F.struct(
@@ -81,11 +81,14 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("high").alias("priority"),
                           _iso("o_orderdate").alias("timestamp")).alias("data")).alias("detail")))
     wrapped = F.to_json(F.struct(F.array(F.struct(note.alias("body"))).alias("Records")))
-    notifications = orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
+    notification = F.struct(
         F.parse_json(wrapped).alias("event"),
         F.struct(F.col("o_orderdate").alias("t"), F.lit(3).alias("phase"),
                  F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
-    return created.unionByName(completed).unionByName(inventory).unionByName(notifications)
+    # All events of an order from one pass over it.
+    own = F.array(created, F.when(F.col("o_orderstatus") == "F", completed),
+                  F.when(F.col("o_orderpriority") == "1-URGENT", notification))
+    return o.select(F.inline(F.filter(own, lambda e: e.isNotNull()))).unionByName(inventory)
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
