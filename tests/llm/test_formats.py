@@ -1,6 +1,7 @@
 """License scan and chat formatting: exact round trips and small cases."""
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -38,7 +39,7 @@ def test_sentences_rules_and_unknown(spark):
 
 def test_every_known_sentence_is_found_and_hinted(spark):
     known = sorted(license_scan.SENTENCES)
-    assert all(any(h in s for h in license_scan.HINTS) or s.startswith("you may not use this file") for s in known)
+    assert all(any(re.search(h, s) for h in license_scan.HINTS) for s in known)
     rows = _scan(spark, [s.replace(" ", "\t ") for s in known])
     assert [r[0] for r in rows] == [[license_scan.SENTENCES[s]] for s in known]
     assert license_scan.scan_licences(frame(spark, [])).count() == 0
