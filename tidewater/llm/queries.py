@@ -8,6 +8,7 @@ from tidewater.llm.jaccard_join import op2_jaccard_join
 from tidewater.llm.license_scan import OP1_SQL, op1_license_scan
 from tidewater.llm.lm_score import op5_lm_score
 from tidewater.llm.mixing import OP3_SQL, op3_mix_sources
+from tidewater.llm.oracles import OP2_SQL, OP9_SQL
 from tidewater.llm.quality_classifier import op10_quality_classifier
 from tidewater.llm.quality_rules import op4_quality_rules
 from tidewater.llm.suffix_dedup import op9_suffix_dedup
@@ -17,5 +18,5 @@ QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_jaccard_join, op3_mix_sources, op4_quality_rules, op5_lm_score,
     op6_decontaminate, op7_toxicity, op8_chat_format, op9_suffix_dedup, op10_quality_classifier)}
 
-ORACLES = {"op1_license_scan": OP1_SQL, "op3_mix_sources": OP3_SQL, "op6_decontaminate": OP6_SQL,
-           "op8_chat_format": OP8_SQL}
+ORACLES = {"op1_license_scan": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_mix_sources": OP3_SQL,
+           "op6_decontaminate": OP6_SQL, "op8_chat_format": OP8_SQL, "op9_suffix_dedup": OP9_SQL}
