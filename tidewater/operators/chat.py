@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import lit_ts
+from tidewater.functions.core import has_key, lit_ts
 from tidewater.operators import keyed
 
 CONNECTION_TTL_S = 86400
@@ -33,6 +33,19 @@ def connection_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def message_rows(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """Stored messages from VARIANT bodies ``(message_id, connection_id,
+    at, body)``.  A default stands in only for an absent key; an explicit null
+    stays null (Q5).  Rows expire after 7 days."""
+    def field(key: str, default: str):
+        return F.when(has_key(body, key), F.try_variant_get(body, f"$.{key}", "string")).otherwise(F.lit(default))
+
+    return bodies.select(
+        "message_id", "connection_id", field("room", DEFAULT_ROOM).alias("room"), field("type", "message").alias("type"),
+        field("message", "").alias("message"), "at",
+        (F.unix_seconds(F.col("at").cast("timestamp")) + F.lit(MESSAGE_TTL_S)).alias("ttl"))
+
+
 def with_sender(messages: DataFrame, connections: DataFrame) -> DataFrame:
     """C1 in one join: messages with the sender's ``user_id``, or with an
     ``error`` where the connection is unknown.  Room comes from the message
@@ -82,13 +95,9 @@ def room_history(messages: DataFrame, n: int) -> DataFrame:
                        salt=F.col("message_id"))
 
 
-def presence(marks: DataFrame, as_of: str | datetime) -> DataFrame:
-    """D7 + B22: live connections per room at ``as_of``.
-
-    ``marks``: ``(connection_id, ts, kind, room)`` with kind 0 = connect,
-    1 = disconnect.  A connection is live when its latest connect is less
-    than 24 h old and no disconnect came after it.  Two partial aggregates.
-    """
+def present(marks: DataFrame, as_of: str | datetime) -> DataFrame:
+    """The live connections ``(connection_id, room, since)`` at the clock,
+    the users of each room among them."""
     clock = lit_ts(as_of)
     seen = marks.filter(F.col("ts") <= clock)
     per_conn = (seen.groupBy("connection_id")
@@ -100,8 +109,17 @@ def presence(marks: DataFrame, as_of: str | datetime) -> DataFrame:
         & (F.unix_seconds(F.col("c.ts").cast("timestamp")) + F.lit(CONNECTION_TTL_S)
            > F.unix_seconds(clock.cast("timestamp")))
         & (F.col("d").isNull() | (F.col("d") < F.col("c.ts"))))
-    return (live.groupBy(F.col("c.room").alias("room"))
-            .agg(F.count(F.lit(1)).alias("active_connections")))
+    return live.select("connection_id", F.col("c.room").alias("room"), F.col("c.ts").alias("since"))
+
+
+def presence(marks: DataFrame, as_of: str | datetime) -> DataFrame:
+    """D7 + B22: live connections per room at ``as_of``.
+
+    ``marks``: ``(connection_id, ts, kind, room)`` with kind 0 = connect,
+    1 = disconnect.  A connection is live when its latest connect is less
+    than 24 h old and no disconnect came after it.  Two partial aggregates.
+    """
+    return present(marks, as_of).groupBy("room").agg(F.count(F.lit(1)).alias("active_connections"))
 
 
 def membership_at(marks: DataFrame, messages: DataFrame) -> DataFrame:

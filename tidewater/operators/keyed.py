@@ -61,6 +61,12 @@ def list_rows(state: DataFrame, key: str, status: str | None = None,
     return df.orderBy(key).limit(limit)
 
 
+def list_by_creation(state: DataFrame, status: str, created: str, key: str,
+                     status_col: str = "status", limit: int = 100) -> DataFrame:
+    """The newest ``limit`` rows of one status, newest first (ties by key)."""
+    return state.filter(F.col(status_col) == status).orderBy(F.col(created).desc(), key).limit(limit)
+
+
 def delete_outcome(state: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """C4 in one join: every row of the state and every key asked for, with
     ``outcome`` kept, deleted or missing."""

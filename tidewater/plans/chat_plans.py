@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import chat
-from tidewater.plans.common import EVENTS_AS_OF, t
+from tidewater.plans.common import EVENTS_AS_OF, t, ts_text
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,24 @@ def chat_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.presence(marks, EVENTS_AS_OF)
 
 
+def chat_room_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users present in each room at the clock."""
+    marks, _ = _marks_and_clicks(spark, sf_dir)
+    return chat.present(marks, EVENTS_AS_OF).select("room", F.col("connection_id").alias("user_id"), ts_text("since").alias("since"))
+
+
+def chat_message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored messages; every fourth lacks its room, the one after it has
+    a null room."""
+    e = t(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    case = F.col("event_id") % 4
+    room = F.when(case == 0, F.lit("")).when(case == 1, F.lit('"room":null,')).otherwise(F.lit('"room":"r",'))
+    body = F.parse_json(F.concat(F.lit("{"), room, F.lit('"message":"'), "event_type", F.lit('"}')))
+    rows = e.select(F.col("event_id").cast("string").alias("message_id"), F.col("user_id").cast("string").alias("connection_id"),
+                    F.col("ts").alias("at"), body.alias("body"))
+    return chat.message_rows(rows).withColumn("at", ts_text("at"))
+
+
 def chat_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Room of the membership valid at each click (NULL if none)."""
     marks, clicks = _marks_and_clicks(spark, sf_dir)

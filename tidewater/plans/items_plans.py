@@ -83,6 +83,13 @@ def item_delete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.unpivot([], ["survivors", "deleted", "not_found"], "outcome", "items")
 
 
+def orders_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 100 newest open orders, newest first."""
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_custkey")
+    top = keyed.list_by_creation(o, "O", "o_orderdate", "o_orderkey", status_col="o_orderstatus")
+    return top.select("o_orderkey", "o_custkey", ts_text("o_orderdate").alias("created_at"))
+
+
 def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest event per user (ties on time broken by event id)."""
     ev = t(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")

@@ -55,6 +55,22 @@ SELECT croom AS room, COUNT(*) AS active_connections FROM per
 WHERE cts IS NOT NULL AND cts + INTERVAL 24 HOUR > TIMESTAMP '2024-01-31 00:00:00'
   AND (dts IS NULL OR dts < cts)
 GROUP BY croom
+""",
+    "chat_room_users": f"""
+WITH {_MARKS},
+seen AS (SELECT * FROM marks WHERE kind < 2 AND ts <= TIMESTAMP '2024-01-31 00:00:00'),
+per AS (SELECT connection_id, arg_max(ts, (ts, kind)) FILTER (WHERE kind = 0) AS cts,
+               arg_max(room, (ts, kind)) FILTER (WHERE kind = 0) AS croom, max(ts) FILTER (WHERE kind = 1) AS dts
+        FROM seen GROUP BY connection_id)
+SELECT croom AS room, connection_id AS user_id, strftime(cts, '%Y-%m-%dT%H:%M:%S.%f') AS since FROM per
+WHERE cts IS NOT NULL AND cts + INTERVAL 24 HOUR > TIMESTAMP '2024-01-31 00:00:00' AND (dts IS NULL OR dts < cts)
+""",
+    "chat_message_rows": """
+SELECT CAST(event_id AS VARCHAR) AS message_id, CAST(user_id AS VARCHAR) AS connection_id,
+       CASE event_id % 4 WHEN 0 THEN 'default' WHEN 1 THEN NULL ELSE 'r' END AS room, 'message' AS type,
+       event_type AS message, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS at,
+       CAST(floor(epoch(ts)) AS BIGINT) + 604800 AS ttl
+FROM events
 """,
     "chat_membership": f"""
 WITH {_MARKS},

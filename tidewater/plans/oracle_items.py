@@ -65,5 +65,9 @@ WHERE rank <= 3
     "order_customer_lookup": """
 SELECT o.o_custkey AS c_custkey, o.o_orderkey, c.c_name, c.c_mktsegment, c.c_custkey IS NOT NULL AS found
 FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+""",
+    "orders_by_status": """
+SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS created_at
+FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderdate DESC, o_orderkey LIMIT 100
 """,
 }

@@ -33,9 +33,10 @@ def queries() -> dict[str, Plan]:
                                         "routed_counts", "event_quarantine"]))
     out.update(_plans_of(items_plans, ["item_catalog", "items_active_page", "item_delete_counts",
                                        "latest_event_per_user", "user_recent_events",
-                                       "order_customer_lookup"]))
+                                       "order_customer_lookup", "orders_by_status"]))
     out.update(_plans_of(chat_plans, ["chat_senders", "chat_fanout", "chat_room_deliveries",
-                                      "chat_room_history", "chat_presence", "chat_membership"]))
+                                      "chat_room_history", "chat_presence", "chat_membership",
+                                      "chat_room_users", "chat_message_rows"]))
     out.update(_plans_of(docs_plans, ["doc_text", "doc_overflow", "doc_language", "doc_language_accuracy",
                                       "doc_sentiment", "doc_entities", "doc_key_phrases",
                                       "doc_translation_worklist", "doc_results", "doc_result_page"]))
