@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import keyed_hash, table
+from tidewater.llm.shared import bounded_batches, keyed_hash, table
 from tidewater.llm.textarrays import chunks, mix, word_hashes
 
 WINDOW, SHARE = 13, 80
@@ -218,6 +218,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     alignment with most of them; ``rid`` is ``keyed_hash(doc_id, text)``.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     kind = benchmark.schema["item_id"].dataType
     doc_kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_kind}, rid long, item_id {kind.simpleString()}, covered long"

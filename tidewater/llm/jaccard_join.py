@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import connected_components
-from tidewater.llm.shared import SUM_SCHEMA, array_rows, discard, keyed_hash, materialise, release_finished, sum_arrays, table
+from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, discard, keyed_hash, materialise, release_finished, sum_arrays, table
 from tidewater.llm.textarrays import chunks, mix, ngrams, shingle_set, word_hashes
 
 BUCKET_BITS = 18
@@ -138,7 +138,7 @@ def _signatures(docs: DataFrame, n: int, percent: int, counts: Broadcast) -> Dat
 
 
 def _prefixes_and_text(docs: DataFrame, wanted: DataFrame, n: int, percent: int, counts: Broadcast) -> DataFrame:
-    """(node, n, second, third, text) of the wanted (rid, node)."""
+    """(node, n, second, third, text) of the wanted (rid, node), node by number."""
 
     def run(batches):
         for batch in batches:
@@ -197,16 +197,20 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     smallest id reachable by links.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     counts = spark.sparkContext.broadcast(bucket_counts(docs, n))     # 2 ** BUCKET_BITS numbers
-    rows = materialise(_signatures(docs, n, percent, counts), "signatures")
-    used = rows.where("n > 0")
-    nodes = used.groupBy("node").agg(F.min("rid").alias("rid"))
+    full = materialise(_signatures(docs, n, percent, counts), "signatures")
+    # Equal sets are one node; numbers of the nodes take less room than hashes.
+    nodes = materialise(full.where("n > 0").groupBy(F.col("node").alias("hash"))
+                        .agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+                        .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    rows = materialise(full.select("doc_id", "rid", "n", "node"), "rows")
+    discard(full)
     # Sizes of similar sets differ by this factor at most: bands for the first round.
     band = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100)))
-    posts = (used.join(nodes, ["node", "rid"], "left_semi")
-             .select("node", "n", F.posexplode("prefix").alias("pos", "token")))
+    posts = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("_k")).where("_k > 1").select("token")
-    posts = materialise(posts.join(shared, "token").withColumn("band", band), "shared-prefixes")
+    posts = materialise(posts.join(shared, "token"), "shared-prefixes").withColumn("band", band)
     release_finished(spark)
 
     # Near copies of a text lack its tokens, so the text itself shares most.
@@ -224,7 +228,6 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     own = (posts.join(roots, "node", "left").select("token", F.col("node").alias("b"), F.col("n").alias("b_n"),
                                                    F.col("pos").alias("b_pos"), F.coalesce("root", "node").alias("root")))
     own = materialise(own, "rooted-prefixes")
-    discard(posts)
     largest = (own.groupBy("token", "root").agg(F.count("*").alias("_k"))
                .groupBy("token").agg(F.max(F.struct("_k", "root")).root.alias("largest"), F.count("*").alias("_roots"))
                .where("_roots > 1").select("token", "largest"))
@@ -253,9 +256,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
                  .select("node", F.coalesce("_to", "root").alias("root")))
         roots = materialise(roots, "roots")
 
-    lows = used.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("_k"))
-    lows = materialise(lows.join(roots, "node", "left").where("_k > 1 or root is not null")
-                       .select("node", "low", F.coalesce("root", "node").alias("root")), "lows")
+    lows = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("_k"))
+    numbers = nodes.select("hash", "node").join(roots, "node", "left").select(F.col("hash").alias("node"), "root", F.col("node").alias("number"))
+    lows = materialise(lows.join(numbers, "node").where("_k > 1 or root is not null")
+                       .select("node", "low", F.coalesce("root", "number").alias("root")), "lows")
     groups = lows.groupBy("root").agg(F.min("low").alias("component"))
     named = lows.join(groups, "root").select("node", "component")
     return (rows.select("doc_id", "rid", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))

@@ -80,8 +80,8 @@ RULES = (
     (("rights",), "All-rights-reserved"),
 )
 
-#: Every known sentence holds one of these words, in lower case.
-HINTS = ("licens", "released under", "distributed under", "available under", "permi", "warrant", "redistribution", "rights reserved", "endorse", "cc by", "cc0", "spdx")
+#: Every known sentence holds one of these patterns, in any case.
+HINTS = (r"licens", r"(released|distributed|available)\W+under", r"permi", r"warrant", r"redistribution", r"reserved", r"endorse", r"spdx")
 _SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z|\n[\x20\x09]*\n"
 
 

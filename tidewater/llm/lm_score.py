@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import SUM_SCHEMA, array_rows, crc_mod, materialise, sum_arrays, table
+from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, crc_mod, materialise, sum_arrays, table
 from tidewater.llm.textarrays import Chunk, chunks, word_hashes
 
 FREQUENT, CLASSES, WIDTH = 2_000_000, 511, 16
@@ -281,6 +281,7 @@ def lm_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
     words) and score, both log10 probabilities.  Other columns of ``docs`` are
     not kept.
     """
+    bounded_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     counts, words = count_words(training)
     shared = context.broadcast(words)       # at most FREQUENT rows

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import SUM_SCHEMA, array_rows, crc_mod, sum_arrays, table
+from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, crc_mod, sum_arrays, table
 from tidewater.llm.textarrays import PUNCTUATION, SPACE, Chunk, chunks, hash_spans, mix
 
 TOKEN_BITS, WIDTH, NONZERO, REACH = 13, 32, 2, 2
@@ -175,6 +175,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, vectors) -> Network | float:
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score) of each row."""
+    bounded_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     vectors = context.broadcast(word_vectors(docs))     # TOKENS * WIDTH numbers
     model = context.broadcast(fit_quality(docs, labels, vectors))

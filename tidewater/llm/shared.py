@@ -40,6 +40,20 @@ def discard(*frames: DataFrame) -> None:
     release_finished(frames[0].sparkSession)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of ``BATCH_BYTES`` or less (one row, if it
+    is longer), so long texts don't multiply by the rows of a batch."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().rstrip("b")
+    scale = {"k": 10, "m": 20, "g": 30}.get(now[-1:], 0)
+    size = int(now.rstrip("kmg")) << scale
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def release_finished(spark: SparkSession) -> None:
     """Let the driver drop the shuffle files of frames nobody refers to.
 

@@ -34,15 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import keyed_hash, materialise, release_finished, table
+from tidewater.llm.shared import bounded_batches, keyed_hash, materialise, release_finished, table
 from tidewater.llm.textarrays import Chunk, _BYTE, buffers, chunks, mix, powers
 
 LENGTH, GRAM = 100, 32
 _WIDTH = LENGTH - GRAM + 1
 #: Windows in a context, bytes of contexts in a block, occurrences of a key
 #: beyond which its windows are dealt out singly.
-RUN_WINDOWS, BLOCK_BYTES, HOT = 256, 1 << 20, 10_000
-_COMBINE_BYTES = 32 << 20
+RUN_WINDOWS, BLOCK_BYTES, HOT = 256, 1 << 19, 4_000
+_COMBINE_BYTES = 16 << 20
 _LAST = (1 << 63) - 1
 
 
@@ -123,7 +123,7 @@ class _Combiner:
         at, now = (key, context), (doc, start, rid, salt)
         have = self.first.get(at)
         if have is None:
-            self.bytes += len(context) + 200
+            self.bytes += len(context) + 400
             self.first[at] = now
         elif have[:2] != now[:2]:
             early, late = (have, now) if have[:2] < now[:2] else (now, have)
@@ -136,7 +136,7 @@ class _Combiner:
         self.out.append((at[2], at[0], at[1], at[1] + length, None, at[2] & 0xFF, None))
 
     def full(self) -> bool:
-        return self.bytes > _COMBINE_BYTES or len(self.out) > 200_000
+        return self.bytes > _COMBINE_BYTES or len(self.out) > 50_000
 
     def flush(self):
         rows = self.out + [(rid, doc, start, start + len(context), key, salt, context)
@@ -202,31 +202,29 @@ def suffix_array(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     wide = np.concatenate([data, np.zeros(8, np.uint8)])
     word = np.zeros(n, np.uint64)
     for k in range(8):
-        byte = np.where(left > k, wide[k:k + n], 0).astype(np.uint64)
-        word |= byte << np.uint64(56 - 8 * k)
-    short = np.minimum(left, 8)
-    order = np.argsort(word, kind="stable")
-    if (short < 8).any():       # zero bytes and the end of a text differ
-        order = np.lexsort((short, word))
-    new = np.concatenate([[True], (word[order[1:]] != word[order[:-1]]) | (short[order[1:]] != short[order[:-1]])])
-    start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        word = (word << np.uint64(8)) | wide[k:k + n]
+    near = np.flatnonzero(left < 8)     # words that reach into the next text
+    word[near] &= ~np.uint64(0) << (np.uint64(64) - np.uint64(8) * left[near].astype(np.uint64))
+    # Seven bytes, and their number: a zero byte and the end of a text differ.
+    h = 7
+    key = (word & ~np.uint64(255)) | np.minimum(left, h).astype(np.uint64)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
     rank = np.empty(n, np.int64)
-    rank[order] = start
-    h = 8
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     while True:
-        many = ~(new & np.append(new[1:], True))
-        at = np.flatnonzero(many)
+        at = np.flatnonzero(~(new & np.append(new[1:], True)))
         if not len(at):
             break
         pos = order[at]
         # What ends here comes first, equal ones in the order of the texts.
         follow = np.where(left[pos] <= h, pos - n, rank[np.minimum(pos + h, n - 1)])
-        sub = np.argsort(rank[pos] * (2 * n + 1) + follow + n, kind="stable")
-        pos, follow = pos[sub], follow[sub]
+        key = rank[pos] * (2 * n + 1) + (follow + n)
+        sub = np.argsort(key)
+        pos, key = pos[sub], key[sub]
         order[at] = pos
-        group = rank[pos]
-        fresh = np.concatenate([[True], (group[1:] != group[:-1]) | (follow[1:] != follow[:-1])])
-        new[at] = fresh
+        new[at] = fresh = np.concatenate([[True], key[1:] != key[:-1]])
         rank[pos] = np.maximum.accumulate(np.where(fresh, at, 0))
         h *= 2
     return order, word
@@ -237,29 +235,34 @@ def common_prefixes(order: np.ndarray, word: np.ndarray, offsets: np.ndarray, mo
 
     Kasai: from one suffix of a text to the next the common prefix loses one
     byte at most.  All texts advance in step, eight bytes at a time.
+    Suffixes shorter than ``most`` are left at 0.
     """
     n = len(order)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(n)
-    lcp = np.zeros(n, np.int64)
-    length = np.diff(offsets)
-    texts = np.argsort(-length, kind="stable")
-    starts, length = offsets[:-1][texts], length[texts]
+    ends = np.repeat(offsets[1:], np.diff(offsets))
+    lcp = np.zeros(n, np.int16)
+    steps = np.diff(offsets) - most + 1
+    texts = np.argsort(-steps, kind="stable")
+    starts, steps = offsets[:-1][texts], steps[texts]
     have = np.zeros(len(texts), np.int64)
-    for t in range(int(length[0]) if len(length) else 0):
-        live = int(np.searchsorted(-length, -t, "left"))     # texts longer than t
+    for t in range(int(steps[0]) if len(steps) else 0):
+        live = int(np.searchsorted(-steps, -t, "left"))     # texts with a suffix that long
         p = starts[:live] + t
         q = before[p]
-        h = np.where(q < 0, 0, np.maximum(have[:live] - 1, 0))
-        limit = np.where(q < 0, 0, np.minimum(np.minimum(left[p], left[q]), most))
-        h = np.minimum(h, limit)
+        limit = np.where(q < 0, 0, np.minimum(ends[q] - q, most))
+        h = np.minimum(np.maximum(have[:live] - 1, 0), limit)
         go = np.flatnonzero(h < limit)
         while len(go):
             x = word[p[go] + h[go]] ^ word[q[go] + h[go]]
             gain = np.full(len(go), 8)
-            for k in range(8):      # equal leading bytes
-                gain[(gain == 8) & (x >> np.uint64(56 - 8 * k) != 0)] = k
+            other = np.flatnonzero(x)
+            if len(other):
+                part = x[other]
+                equal = np.full(len(other), 7)
+                for k in range(6, -1, -1):      # equal leading bytes
+                    equal[part >> np.uint64(56 - 8 * k) != 0] = k
+                gain[other] = equal
             h[go] = np.minimum(h[go] + gain, limit[go])
             go = go[(x == 0) & (h[go] < limit[go])]
         lcp[p] = have[:live] = h
@@ -267,7 +270,7 @@ def common_prefixes(order: np.ndarray, word: np.ndarray, offsets: np.ndarray, mo
 
 
 def repeated_windows(contexts: list[bytes], doc: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
-    """For each context, the offsets of windows that occur earlier in the block."""
+    """For each context, the offsets of windows that occur earlier in the block, ascending."""
     sizes = np.array([len(x) for x in contexts], np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     data = np.frombuffer(b"".join(contexts), np.uint8)
@@ -291,8 +294,8 @@ def repeated_windows(contexts: list[bytes], doc: np.ndarray, start: np.ndarray)
     late = (d != d[lead]) | (s != s[lead])
     texts, offs = text[by][late], offset[by][late]
     order = np.lexsort((offs, texts))
-    cut = np.searchsorted(texts[order], np.arange(len(contexts) + 1))
-    return [offs[order][cut[i]:cut[i + 1]] for i in range(len(contexts))]
+    texts, offs = texts[order], offs[order]
+    return np.split(offs, np.searchsorted(texts, np.arange(1, len(contexts))))
 
 
 def spans_of(offsets: np.ndarray) -> list[tuple[int, int]]:
@@ -313,7 +316,20 @@ def _shard_spans(batches):
         done, rows, size = rows, [], 0
         if not done:
             return
-        rid, doc, start, _, contexts = zip(*done)
+        same: list[tuple] = []
+        # Equal contexts of several tasks: the first goes into the array.
+        first: dict[bytes, tuple] = {}
+        for row in done:
+            have = first.setdefault(row[4], row)
+            if have is row:
+                continue
+            early, late = (have, row) if have[1:3] <= row[1:3] else (row, have)
+            first[row[4]] = early
+            if early[1:3] != late[1:3]:
+                yield late[0], late[2], late[2] + len(row[4])
+            else:       # the same place of rows of equal id
+                same.append(late)
+        rid, doc, start, _, contexts = zip(*first.values(), *same)
         found = repeated_windows(list(contexts), np.array(doc), np.array(start))
         yield from ((r, s + a, s + b) for r, s, x in zip(rid, start, found) for a, b in spans_of(x))
 
@@ -340,12 +356,13 @@ def _shard_spans(batches):
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(rid, start, stop): byte ranges that repeat, of each row of (doc_id, text)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     rid = keyed_hash("doc_id", "text").alias("rid")
     text = F.coalesce("text", F.lit(""))
     keys = materialise(docs.select(rid, text.alias("text")).where(F.octet_length("text") >= LENGTH)
                        .mapInArrow(_key_rows, "rid long, key long, n int"), "window-keys")
     shared = (keys.groupBy("key").agg(F.sum("n").alias("_n")).where("_n > 1")
-              .select("key", F.greatest(F.lit(1), F.ceil(F.col("_n") / HOT)).cast("int").alias("fan")))
+              .select("key", F.when(F.col("_n") > HOT, F.ceil(F.col("_n") * _WIDTH / HOT)).otherwise(1).cast("int").alias("fan")))
     found = (keys.select("rid", "key").join(shared, "key").groupBy("rid")
              .agg(F.collect_list(F.struct("key", "fan")).alias("_k")).select("rid", "_k.key", "_k.fan"))
     found = materialise(found, "shared-keys")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import crc_mod, table
+from tidewater.llm.shared import bounded_batches, crc_mod, table
 from tidewater.llm.textarrays import PUNCTUATION, chunks, hash_spans, mix, word_spans
 
 FIT_ROWS, FIT_FEATURES = 4_000, 20_000
@@ -107,6 +107,7 @@ def _labelled_slots(batches):
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Weights:
     """Weights from labelled rows whose id hash leaves a remainder other than 0."""
+    bounded_batches(docs.sparkSession)
     known = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_label"))
              .where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1)).where(crc_mod("_id", 5) != 0)
              .groupBy("_id").agg(F.max("_label").alias("_label")).withColumn("_order", F.xxhash64("_id")))
