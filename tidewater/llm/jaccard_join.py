@@ -164,6 +164,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, perce
     # One row for each node, also where rows repeat.
     wanted = nodes.join(ends, "node").groupBy("node").agg(F.min("rid").alias("rid"))
     sets = materialise(_prefixes_and_text(docs, wanted, n, percent, counts), "sets")
+    release_finished(docs.sparkSession)     # the shuffled texts
 
     def side(key, *cols):
         return sets.select(F.col("node").alias(key), *[F.col(c).alias(f"{key}_{c}") for c in cols])
@@ -210,7 +211,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     band = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100)))
     posts = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("_k")).where("_k > 1").select("token")
-    posts = materialise(posts.join(shared, "token"), "shared-prefixes").withColumn("band", band)
+    stored = materialise(posts.join(shared, "token"), "shared-prefixes")
+    posts = stored.withColumn("band", band)
     release_finished(spark)
 
     # Near copies of a text lack its tokens, so the text itself shares most.
@@ -228,6 +230,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     own = (posts.join(roots, "node", "left").select("token", F.col("node").alias("b"), F.col("n").alias("b_n"),
                                                    F.col("pos").alias("b_pos"), F.coalesce("root", "node").alias("root")))
     own = materialise(own, "rooted-prefixes")
+    discard(stored)
     largest = (own.groupBy("token", "root").agg(F.count("*").alias("_k"))
                .groupBy("token").agg(F.max(F.struct("_k", "root")).root.alias("largest"), F.count("*").alias("_roots"))
                .where("_roots > 1").select("token", "largest"))
@@ -260,6 +263,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     numbers = nodes.select("hash", "node").join(roots, "node", "left").select(F.col("hash").alias("node"), "root", F.col("node").alias("number"))
     lows = materialise(lows.join(numbers, "node").where("_k > 1 or root is not null")
                        .select("node", "low", F.coalesce("root", "number").alias("root")), "lows")
+    discard(nodes)
     groups = lows.groupBy("root").agg(F.min("low").alias("component"))
     named = lows.join(groups, "root").select("node", "component")
     return (rows.select("doc_id", "rid", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
@@ -277,6 +281,7 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     groups = found.where("n_shingles > 0").groupBy("component_id")
     stays = groups.agg(F.min(F.struct("doc_id", "rid")).rid.alias("_stays"), F.count("*").alias("_k")).where("_k > 1")
     copies = materialise(found.where("n_shingles > 0").join(stays, "component_id").select("rid", "_stays"), "copies")
+    release_finished(docs.sparkSession)
     gone = copies.where("rid != _stays").select(F.col("rid").alias("_rid")).distinct()
     twice = copies.where("rid = _stays").groupBy("rid").count().where("count > 1").select(F.col("rid").alias("_rid"))
     keyed = docs.withColumn("_rid", keyed_hash("doc_id", "text"))

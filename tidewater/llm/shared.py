@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -58,12 +60,13 @@ def release_finished(spark: SparkSession) -> None:
     """Let the driver drop the shuffle files of frames nobody refers to.
 
     Spark removes them when the driver's JVM notices; between two steps of a
-    long job it has no other reason to look.
+    long job it has no other reason to look.  What the first look finalises,
+    the second one finds unreferenced.
     """
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 SUM_SCHEMA = "slot int, part int, data binary"
