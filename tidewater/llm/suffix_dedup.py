@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import bounded_batches, keyed_hash, materialise, release_finished, table
+from tidewater.llm.shared import bounded_batches, discard, keyed_hash, materialise, table
 from tidewater.llm.textarrays import Chunk, _BYTE, buffers, chunks, mix, powers
 
 LENGTH, GRAM = 100, 32
@@ -139,7 +139,14 @@ class _Combiner:
         return self.bytes > _COMBINE_BYTES or len(self.out) > 50_000
 
     def flush(self):
-        rows = self.out + [(rid, doc, start, start + len(context), key, salt, context)
+        # What is repeated of a document, in as few ranges as possible.
+        repeats: list[list] = []
+        for rid, doc, start, stop, key, salt, context in sorted((r for r in self.out if r[6] is None), key=lambda r: r[:4]):
+            if repeats and repeats[-1][:2] == [rid, doc] and start <= repeats[-1][3]:
+                repeats[-1][3] = max(repeats[-1][3], stop)
+            else:
+                repeats.append([rid, doc, start, stop, key, salt, context])
+        rows = repeats + [r for r in self.out if r[6] is not None] + [(rid, doc, start, start + len(context), key, salt, context)
                            for (key, context), (doc, start, rid, salt) in self.first.items()]
         self.first, self.bytes, self.out = {}, 0, []
         for i in range(0, len(rows), 20_000):
@@ -366,14 +373,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = (keys.select("rid", "key").join(shared, "key").groupBy("rid")
              .agg(F.collect_list(F.struct("key", "fan")).alias("_k")).select("rid", "_k.key", "_k.fan"))
     found = materialise(found, "shared-keys")
-    release_finished(spark)
+    discard(keys)
     rows = (docs.select(rid, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), text.alias("text"))
             .where(F.octet_length("text") >= LENGTH).join(found, "rid").select("rid", "doc", "text", "key", "fan"))
     contexts = rows.mapInArrow(_context_rows, CONTEXT_SCHEMA)
     spans = (contexts.repartition("key", "salt").sortWithinPartitions("key", "salt")
              .mapInArrow(_shard_spans, "rid long, start long, stop long"))
     spans = materialise(spans, "spans")
-    release_finished(spark)
+    discard(found)
     return spans
 
 
@@ -390,7 +397,7 @@ def merge_spans(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
 
 def _with_spans(docs: DataFrame) -> DataFrame:
     """All columns, and the lists _start and _stop of each row."""
-    spans = repeated_spans(docs).distinct().groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("_s"))
+    spans = repeated_spans(docs).groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("_s"))
     spans = spans.select(F.col("rid").alias("_rid"), F.col("_s.start").alias("_start"), F.col("_s.stop").alias("_stop"))
     return docs.withColumn("_rid", keyed_hash("doc_id", "text")).join(spans, "_rid", "left").drop("_rid")
 
