@@ -1,12 +1,17 @@
 """License scans: known sentences, then ordered rules over their sequence.
 
 A text is cut into sentences at sentence marks and empty lines; each is
-normalised, and those found in the table of known sentences become
-identifiers, in the order of the text.  A sentence that isn't known is tried
-line by line, since a licence line may follow text without a mark.  Rules, tried in order, look for runs of
-identifiers; what a rule matches is used up, so the text of a licence is not
-also counted as its short form.  Sentences that speak of a licence but are not
-known count as unknown.
+normalised, without the leaders of comment lines, and every run of its lines
+that is a known sentence becomes an identifier, in the order of the text, the
+longest run first.  Rules, tried in order, look for runs of identifiers; what a
+rule matches is used up, so the text of a licence is not also counted as its
+short form.  An SPDX expression gives each licence that it names; what follows
+WITH is an exception and not a licence.  Lines that speak of a licence but are
+in no known sentence count as unknown.
+
+``SENTENCES`` and ``RULES`` are those of the SQL; ``PUBLISHED`` and
+``PUBLISHED_RULES`` add the notices as their licences publish them, whose
+sentences the cut divides.
 
 Everything is an expression over the row: no shuffle and no Python.
 
@@ -18,6 +23,8 @@ text are read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,8 +87,84 @@ RULES = (
     (("rights",), "All-rights-reserved"),
 )
 
+#: Licences of GNU: their names in a notice, and versions in a notice and in SPDX.
+GNU = {"GPL": (("general",), {"1": "1.0", "2": "2.0", "3": "3.0"}),
+       "LGPL": (("lesser general", "library general"), {"2": "2.0", "2.1": "2.1", "3": "3.0"}),
+       "AGPL": (("affero general",), {"3": "3.0"})}
+_SUBJECTS = ("this program", "this library", "this file", "this software", "this package")
+_SPDX = "spdx-license-identifier"
+_CC = {"by": "attribution", "sa": "sharealike", "nc": "noncommercial", "nd": "noderivatives"}
+#: Licences that SPDX lines name besides those of ``NAMES`` and of GNU.
+SPDX = ("0BSD", "Apache-1.1", "Artistic-2.0", "BSL-1.0", "CDDL-1.0", "EPL-1.0", "EPL-2.0", "MIT-0", "MPL-1.1", "PostgreSQL",
+        "Python-2.0", "WTFPL", "X11", "Zlib")
+
+
+def _published() -> tuple[dict[str, str], list]:
+    """Identifiers of published sentences, and rules over them."""
+    out = {
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and/or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit.permission",
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit.notice",
+        "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc.grant",
+        "permission to use copy modify and/or distribute this software for any purpose with or without fee is hereby granted": "0bsd.grant",
+        "the asf licenses this file to you under the apache license version 2.0 the license": "ref.Apache-2.0",
+        "licensed to the apache software foundation asf under one or more contributor license agreements": "apache.asf",
+        "you may obtain a copy of the license at": "apache.copy",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache.basis",
+        "see the license for the specific language governing permissions and limitations under the license": "apache.see",
+        "this source code form is subject to the terms of the mozilla public license v": "mpl.terms",     # cut before 2.0
+        "this is free and unencumbered software released into the public domain": "unlicense.free",
+        "without even the implied warranty of merchantability or fitness for a particular purpose": "gnu.merchant",
+    }
+    out |= {f"{lead} the apache license version 2.0 the license": "ref.Apache-2.0" for lead in _LEADS}
+    for scheme in ("http", "https"):
+        url = f"{scheme} //www.apache.org/licenses/license-2.0"
+        out |= {url: "apache.url", f"you may obtain a copy of the license at {url}": "apache.copy",
+                f"if not see {scheme} //www.gnu.org/licenses": "gnu.url"}
+    for k, v in ((k, v) for k in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd") for v in ("3.0 unported", "4.0 international")):
+        name = f"creative commons {'-'.join(_CC[x] for x in k.split('-'))} {v}"
+        out |= {f"{lead} {a}{name}{b}": f"ref.CC-{k.upper()}-{v[:3]}" for lead in _LEADS for a in ("", "a ", "the ") for b in ("", " license")}
+    rules = [(("mit.permission", "mit.notice", "asis"), "MIT"), (("mit.permission", "mit.notice"), "MIT"), (("mit.permission",), "MIT"),
+             (("0bsd.grant",), "0BSD"), (("mpl.terms",), "MPL-2.0"), (("unlicense.free",), "Unlicense")]
+    spdx = {x: x for x in (*NAMES, *SPDX)}
+    free = "you can redistribute it and/or modify it under the terms of the gnu"
+    starts = ("", *(f"{x} is free software " for x in _SUBJECTS))
+    for gnu, (kinds, versions) in GNU.items():
+        for k in kinds:
+            out |= {f"{s}{free} {k} public license as published by the free software foundation": f"gnu.{gnu}" for s in starts}
+            out |= {f"see the gnu {k} public license for more details": "gnu.see"}
+            for x in _SUBJECTS:
+                copy = f"you should have received a copy of the gnu {k} public license along with {x}"
+                out |= {copy: "gnu.copy", f"{x} is distributed in the hope that it will be useful but without any warranty": "gnu.hope"}
+                out |= {f"{copy} if not see {scheme} //www.gnu.org/licenses": "gnu.copy" for scheme in ("http", "https")}
+        for v, full in versions.items():
+            later, only = f"{gnu}-{full}-or-later", f"{gnu}-{full}-only"
+            ends = {f"either version {v} of the license or at your option any later version": ("later", later),
+                    f"either version {v} or at your option any later version": ("later", later),
+                    f"version {v} of the license": ("only", only)}
+            for end, (which, licence) in ends.items():
+                out[end] = f"gnu.{which}-{v}"
+                out |= {f"{s}{free} {k} public license as published by the free software foundation {end}": f"gnu.{licence}"
+                        for s in starts for k in kinds}
+            out |= {f"{s}{free} {k} public license version {v} as published by the free software foundation": f"gnu.{only}"
+                    for s in starts for k in kinds}
+            for which, licence in (("later", later), ("only", only)):
+                rules += [((f"gnu.{gnu}", f"gnu.{which}-{v}"), licence), ((f"gnu.{licence}",), licence), ((f"ref.{licence}",), licence)]
+            spdx |= {later: later, only: only, f"{gnu}-{full}+": later}
+    # A notice whose version is not in the table names its licence without one.
+    rules += [((f"gnu.{gnu}",), gnu) for gnu in GNU]
+    rules += [((f"ref.{x}",), x) for x in (*SPDX, "GPL-1.0", "LGPL-2.0") if x not in NAMES]
+    spdx |= {"GPL-1.0": "GPL-1.0", "LGPL-2.0": "LGPL-2.0"}
+    out |= {f"{_SPDX} {x.lower()}": f"ref.{licence}" for x, licence in spdx.items()}
+    return out, rules
+
+
+PUBLISHED, PUBLISHED_RULES = _published()
+ALL_SENTENCES = PUBLISHED | SENTENCES
+ALL_RULES = (*PUBLISHED_RULES, *RULES)
+
 #: Every known sentence holds one of these patterns, in any case.
-HINTS = (r"licens", r"(released|distributed|available)\W+under", r"permi", r"warrant", r"redistribution", r"reserved", r"endorse", r"spdx")
+HINTS = (r"licens", r"(released|distributed|available)\W+under", r"permi", r"warrant", r"redistribution", r"reserved", r"endorse", r"spdx",
+         r"unencumbered", r"later\W+version")
 _SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z|\n[\x20\x09]*\n"
 
 
@@ -89,31 +172,73 @@ def _lower(c: Column) -> Column:
     return F.translate(c, _UPPER, _LOWER)
 
 
+def _trie_pattern(sentences) -> str:
+    """One pattern for all sentences, whose words are parted by a space or a new line."""
+    root: dict = {}
+    for sentence in sentences:
+        node = root
+        for word in sentence.split(" "):
+            node = node.setdefault(word, {})
+        node[""] = {}
+
+    def after(node: dict) -> str:
+        parts = [_literal(word) + rest(child) for word, child in sorted(node.items()) if word]
+        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+    def rest(node: dict) -> str:
+        if not any(node):
+            return ""
+        more = r"[ \n]" + after(node)
+        return f"(?:{more})?" if "" in node else more       # the longer sentence first
+
+    return after(root)
+
+
+def _literal(word: str) -> str:
+    return re.sub(r"([.+])", r"\\\1", word)
+
+
 def normalised(sentence: Column) -> Column:
-    """Lower case; words, digits, dots, plus, slash and hyphen; one space between."""
-    return F.trim(F.regexp_replace(_lower(sentence), r"[^a-z0-9./+-]+", " "))
+    """Lower case; words, digits, dots, plus, slash and hyphen; one space or new
+    line between.  Marks that begin or end a line, as of comments, are left out."""
+    words = F.regexp_replace(_lower(sentence), r"[^a-z0-9./+\n-]+", " ")
+    return F.regexp_replace(F.regexp_replace(words, r"(?m)^[ ./+-]+|(?:[./-]*(?: [./+-]*)+|[./-]+)$", ""), r"^\n+|\n+$|(?<=\n)\n+", "")
+
 
+#: Known sentences, and whole SPDX lines, between line ends or sentence ends.
+_KNOWN = rf"(?<![^\n;])(?:{_trie_pattern(ALL_SENTENCES)}|{_SPDX} [^\n;]*)(?![^\n;])"
 
-def licence_columns(text: Column) -> tuple[Column, Column]:
-    """(sentence identifiers, unknown sentences): arrays of strings."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+
+def notices(text: Column) -> Column:
+    """The normalised sentences that may be known, with ; between."""
     hint = F.lit("(?i)" + "|".join(HINTS))
+    # A leading semicolon begins a comment and ends no sentence.
+    cut = F.filter(F.split(F.regexp_replace(text, r"(?m)^[\x20\x09]*;+", ""), _SENTENCE_END), lambda s: F.rlike(s, hint))
+    return F.when(F.rlike(text, hint), F.array_join(F.transform(cut, normalised), ";")).otherwise("")
+
+
+def licence_columns(notice: Column) -> tuple[Column, Column]:
+    """(sentence identifiers, unknown lines) of ``notices``: arrays of strings."""
+    known = F.create_map(*[F.lit(x) for pair in ALL_SENTENCES.items() for x in pair])
 
-    def units(sentence):
-        whole = normalised(sentence)
-        lines = F.transform(F.split(sentence, r"\n"), normalised)
-        return F.when(F.try_element_at(known, whole).isNotNull(), F.array(whole)).otherwise(lines)
+    def licences(hit):
+        named = F.split(F.regexp_replace(hit, r" with [^ ]+", ""), r" (?:and|or) ")
+        each = F.transform(named, lambda x: F.when(x.startswith(_SPDX), x).otherwise(F.concat(F.lit(f"{_SPDX} "), x)))
+        return F.when(hit.startswith(f"{_SPDX} "), each).otherwise(F.array(hit))
 
-    cut = F.filter(F.split(text, _SENTENCE_END), lambda s: F.rlike(s, hint))
-    found = F.when(F.rlike(text, hint), F.flatten(F.transform(cut, units))).otherwise(F.array().cast("array<string>"))
+    hits = F.transform(F.regexp_extract_all(notice, F.lit(_KNOWN), F.lit(0)), lambda h: F.translate(h, "\n", " "))
+    found = F.flatten(F.transform(hits, licences))
     ids = F.filter(F.transform(found, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
-    unknown = F.filter(found, lambda s: s.contains("license") & F.try_element_at(known, s).isNull())
-    return ids, unknown
+    left = F.concat(F.split(F.regexp_replace(notice, _KNOWN, ""), r"[\n;]"),
+                    F.filter(found, lambda s: F.try_element_at(known, s).isNull()))
+    none = F.array().cast("array<string>")
+    unknown = F.filter(left, lambda s: s.contains("license"))
+    return F.when(notice != "", ids).otherwise(none), F.when(notice != "", unknown).otherwise(none)
 
 
 def matched_rules(ids: Column) -> Column:
     """Licences of the rules that match, in the order of the rules."""
-    rules = F.array(*[F.struct(F.lit("".join(f"<{i}>" for i in run)).alias("run"), F.lit(name).alias("name")) for run, name in RULES])
+    rules = F.array(*[F.struct(F.lit("".join(f"<{i}>" for i in run)).alias("run"), F.lit(name).alias("name")) for run, name in ALL_RULES])
     start = F.struct(F.concat_ws("", F.transform(ids, lambda i: F.concat(F.lit("<"), i, F.lit(">")))).alias("left"),
                      F.array().cast("array<string>").alias("found"))
 
@@ -127,8 +252,8 @@ def matched_rules(ids: Column) -> Column:
 
 def scan_licences(docs: DataFrame) -> DataFrame:
     """(doc_id, sentence_ids, licences, n_unknown) of each row; the lists as arrays."""
-    ids, unknown = licence_columns(F.col("text"))
-    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ids, unknown = licence_columns(F.col("notice"))
+    return (docs.select("doc_id", notices(F.coalesce("text", F.lit(""))).alias("notice"))
             .select("doc_id", ids.alias("sentence_ids"), F.size(unknown).cast("long").alias("n_unknown"))
             .select("doc_id", "sentence_ids", matched_rules(F.col("sentence_ids")).alias("licences"), "n_unknown"))
 
