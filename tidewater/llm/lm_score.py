@@ -1,16 +1,24 @@
 """LM scoring with a log-bilinear model trained by noise-contrastive estimation.
 
 Word counts come from the whole training part of the corpus.  The ``CLASSES``
-most frequent words are classes of their own, all others share one class in
-which a word has its add-one share of the counts; so probabilities add up to
-one over all words, seen or not.  A class's score after two classes is the dot
-product of its vector with the sum of theirs, plus a bias that starts at the
-class's own log frequency.
+most frequent words are classes of their own, all others one class, which is
+divided further: into subclasses, of which there are ``PER_ROOT`` times the root
+of the number of different words, so they grow with the corpus and what a task
+sends for them grows slower.  Half of the subclasses are the next most frequent
+words, the other half take the rest by hash, each word with its add-one share
+of its subclass; so probabilities add up to one over all words, seen or not.
+
+A class's score after two words is the dot product of its vector with the sum
+of theirs, plus a bias that starts at the class's own log frequency; words of a
+subclass have the subclass's vector.  Groups of subclasses, and the subclasses
+of a group, have vectors and biases likewise, so no sum is over more than the
+root of their number.
 
 Every task trains on its own documents in numpy, with noise from the class
-frequencies; the parameters, of fixed size, are averaged by numbers of tokens,
+frequencies; the parameters are averaged by numbers of tokens,
 in ``ROUNDS`` rounds over separate parts of the documents.  The normaliser of
-every pair of classes comes from batched matrix products, once.
+every pair of classes comes from batched matrix products, once, that of other
+pairs when they are scored.
 
 Counts of the words that make up most tokens (at most ``FREQUENT`` of them,
 those with that share of all tokens) are broadcast; the others' are joined.
@@ -36,8 +44,9 @@ from tidewater.llm.textarrays import Chunk, chunks, word_hashes
 
 FREQUENT, CLASSES, WIDTH = 2_000_000, 511, 16
 BATCH, NOISE, RATE, ROUNDS = 2048, 48, 0.05, 2
+PER_ROOT, MEMBER_NOISE = 4, 8
 _END = np.uint64(0x27D4EB2F165667C5)
-_FLUSH = 1 << 21
+_FLUSH, _STEP = 1 << 21, 1 << 13
 
 
 def token_hashes(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -89,6 +98,10 @@ class Words(NamedTuple):
     class_counts: np.ndarray    # the last one is of all other words
     total: int
     distinct: int
+    subs: np.ndarray = np.zeros(0, np.int32)    # subclass that a word has for itself, or -1
+    singles: int = 0                            # number of these; then come those by hash
+    sub_counts: np.ndarray = np.zeros(0)
+    sub_kinds: np.ndarray = np.zeros(0)         # different words of each subclass
 
     @property
     def other(self) -> int:
@@ -106,6 +119,26 @@ class Words(NamedTuple):
         at, known = self.find(tokens)
         return np.where(known, self.classes[at] if len(self.classes) else 0, self.other)
 
+    def subclasses_of(self, tokens: np.ndarray, at: np.ndarray, known: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Subclass of each token of the class of other words, else -1."""
+        if not len(self.sub_counts):
+            return np.full(len(tokens), -1)
+        by_hash = self.singles + _bucket(tokens, len(self.sub_counts) - self.singles)
+        own = np.where(known, self.subs[at], -1) if len(self.subs) else np.full(len(tokens), -1)
+        return np.where(classes != self.other, -1, np.where(own >= 0, own, by_hash))
+
+    def places(self, tokens: np.ndarray, starts: np.ndarray):
+        """(class, context before, context two before, subclass) of each token."""
+        at, known = self.find(tokens)
+        classes = np.where(known, self.classes[at] if len(self.classes) else 0, self.other).astype(np.int64)
+        subs = self.subclasses_of(tokens, at, known, classes)
+        own = np.where(subs >= 0, self.other + 2 + subs, classes)
+        return classes, *contexts(own, starts, self.other + 1), subs
+
+
+def _bucket(words: np.ndarray, n: int) -> np.ndarray:
+    return ((words >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
+
 
 def count_words(docs: DataFrame) -> tuple[DataFrame, Words]:
     """(word, n) of all training tokens, stored, and the frequent ones."""
@@ -120,7 +153,20 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, Words]:
     top = np.lexsort((hashes, -n))[:CLASSES]
     classes = np.full(len(n), len(top), np.int32)
     classes[top] = np.arange(len(top))
-    return counts, Words(hashes, n, classes, np.append(n[top], total - n[top].sum()), int(total), int(distinct))
+    half = max(1, int(PER_ROOT * distinct ** 0.5) // 2)
+    ranked = np.lexsort((hashes, -n))
+    single = ranked[CLASSES:CLASSES + half]
+    subs = np.full(len(n), -1, np.int32)
+    subs[single] = np.arange(len(single))
+    sums, kinds = np.zeros(half), np.zeros(half)
+    bucket = F.shiftrightunsigned("word", 40) % F.lit(half)
+    for r in counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():    # half rows at most
+        sums[r.b], kinds[r.b] = r.n, r.k
+    own = np.concatenate([top, single])
+    np.subtract.at(sums, _bucket(hashes[own], half), n[own])
+    np.subtract.at(kinds, _bucket(hashes[own], half), 1)
+    return counts, Words(hashes, n, classes, np.append(n[top], total - n[top].sum()), int(total), int(distinct), subs, len(single),
+                         np.append(n[single], sums), np.append(np.ones(len(single)), kinds))
 
 
 class Model(NamedTuple):
@@ -128,13 +174,31 @@ class Model(NamedTuple):
     second: np.ndarray     # of the one before that
     target: np.ndarray
     bias: np.ndarray
+    group: np.ndarray      # of the groups of subclasses
+    group_bias: np.ndarray
+    member: np.ndarray     # of the subclasses, each group's one after another
+    member_bias: np.ndarray
+
+    @property
+    def side(self) -> int:
+        """Subclasses of each group but the last, which may have fewer."""
+        return _side(len(self.member))
+
+
+def _side(n: int) -> int:
+    return int(np.ceil(np.sqrt(n)))
 
 
 def _start(words: Words) -> Model:
     rng = np.random.default_rng(5)
-    n = words.other + 2
+    size = len(words.sub_counts)
+    n, side = words.other + 2 + size, _side(size)
     share = (words.class_counts + 0.5) / (words.class_counts.sum() + 0.5 * len(words.class_counts))
-    return Model(*(rng.normal(0, 0.1, (k, WIDTH)) for k in (n, n, n - 1)), np.log(share))
+    within = words.sub_counts + 0.5
+    groups = np.add.reduceat(within, np.arange(0, size, side)) if size else within
+    return Model(*(rng.normal(0, 0.1, (k, WIDTH)) for k in (n, n, words.other + 1)), np.log(share),
+                 rng.normal(0, 0.1, (len(groups), WIDTH)), np.log(groups / groups.sum()) if size else groups,
+                 rng.normal(0, 0.1, (size, WIDTH)), np.log(within / groups[np.arange(size) // side]) if size else within)
 
 
 def _packed(model: Model) -> np.ndarray:
@@ -159,10 +223,14 @@ def contexts(classes: np.ndarray, starts: np.ndarray, none: int) -> tuple[np.nda
 
 
 def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int]:
-    """One pass over (class, before, two before) arrays; tokens seen."""
+    """One pass over (class, before, two before[, subclass]) arrays; tokens seen."""
     rng = np.random.default_rng(seed)
-    first, second, target, bias = (x.copy() for x in model)
+    side, model = model.side, Model(*(x.copy() for x in model))
+    first, second, target, bias, group, group_bias, member, member_bias = model
     squares = [np.full(x.shape, 1e-3) for x in model]
+    # Subclasses are in few rows of a batch: their steps begin at full length.
+    for x in (squares[0][len(target) + 1:], squares[1][len(target) + 1:], *squares[4:]):
+        x[:] = 1 / BATCH ** 2
     edges, log_noise, columns, seen = np.cumsum(share), np.log(NOISE * share), np.arange(WIDTH), 0
 
     def step(x, square, grad):
@@ -172,7 +240,33 @@ def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int
     def rows(at, values, like):
         return np.bincount((at[:, None] * WIDTH + columns).ravel(), values.ravel(), like.size).reshape(like.shape)
 
-    for word, one, two in parts:
+    def step_rows(x, square, at, grad):
+        """A step of the rows that have a gradient."""
+        own, place = np.unique(at, return_inverse=True)
+        g = np.bincount((place[:, None] * WIDTH + columns).ravel(), grad.ravel(), len(own) * WIDTH).reshape(-1, WIDTH)
+        square[own] += g * g
+        x[own] -= RATE * g / np.sqrt(square[own])
+
+    def divided(sub, q, n):
+        """A step of the groups and subclasses; the gradient of the contexts."""
+        of = sub // side
+        p = q @ group.T + group_bias
+        p = np.exp(p - p.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(sub)), of] -= 1
+        fits = np.minimum(side, len(member) - of * side)
+        pick = np.column_stack([sub, (of * side)[:, None] + (rng.random((len(sub), MEMBER_NOISE)) * fits[:, None]).astype(np.int64)])
+        v = member[pick]
+        e = 1 / (1 + np.exp(-(np.einsum("nd,nkd->nk", q, v) + member_bias[pick] - np.log(MEMBER_NOISE / fits)[:, None])))
+        e[:, 0] -= 1
+        dq = p @ group + np.einsum("nk,nkd->nd", e, v)
+        step(group, squares[4], p.T @ q / n)
+        step(group_bias, squares[5], p.sum(0) / n)
+        step_rows(member, squares[6], pick.ravel(), (e[:, :, None] * q[:, None, :]).reshape(-1, WIDTH) / n)
+        step(member_bias, squares[7], np.bincount(pick.ravel(), e.ravel(), len(member)) / n)
+        return dq
+
+    for word, one, two, *subs in parts:
         order = rng.permutation(len(word))
         seen += len(word)
         for i in range(0, len(word), BATCH):
@@ -185,11 +279,13 @@ def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int
             dq = true[:, None] * target[w] + false @ target[noise]
             dt = rows(w, true[:, None] * q, target) + rows(noise, false.T @ q, target)
             db = np.bincount(w, true, len(bias)) + np.bincount(noise, false.sum(0), len(bias))
-            step(first, squares[0], rows(a, dq, first) / len(at))
-            step(second, squares[1], rows(b, dq, second) / len(at))
+            if subs and len(other := np.flatnonzero(subs[0][at] >= 0)):
+                dq[other] += divided(subs[0][at[other]], q[other], len(at))
+            step_rows(first, squares[0], a, dq / len(at))
+            step_rows(second, squares[1], b, dq / len(at))
             step(target, squares[2], dt / len(at))
             step(bias, squares[3], db / len(at))
-    return Model(first, second, target, bias), seen
+    return model, seen
 
 
 def fit_model(docs: DataFrame, words: Words, words_shared) -> Model:
@@ -209,8 +305,7 @@ def fit_model(docs: DataFrame, words: Words, words_shared) -> Model:
                 for batch in batches:
                     for c in chunks(batch.column(0)):
                         tokens, starts = token_hashes(c)
-                        classes = own.classes_of(tokens).astype(np.int64)
-                        yield classes, *contexts(classes, starts, own.other + 1)
+                        yield own.places(tokens, starts)
 
             fitted, seen = train(like.value, parts(), share, 1000 * r + part)
             if seen:
@@ -224,23 +319,54 @@ def fit_model(docs: DataFrame, words: Words, words_shared) -> Model:
     return model
 
 
+def _log_sums(s: np.ndarray) -> np.ndarray:
+    top = s.max(1)
+    return top + np.log(np.exp(s - top[:, None]).sum(1))
+
+
 def normalisers(model: Model) -> np.ndarray:
     """Log of the sum over all classes, for each class before and two before."""
-    out = np.empty((len(model.first), len(model.second)), np.float32)
-    for a in range(len(model.first)):
-        s = (model.first[a] + model.second) @ model.target.T + model.bias
-        top = s.max(1)
-        out[a] = top + np.log(np.exp(s - top[:, None]).sum(1))
+    n = len(model.target) + 1
+    out = np.empty((n, n), np.float32)
+    for a in range(n):
+        out[a] = _log_sums((model.first[a] + model.second[:n]) @ model.target.T + model.bias)
+    return out
+
+
+def class_logs(model: Model, log_sum: np.ndarray, word, one, two, sub) -> np.ndarray:
+    """Log probability of each token's class and, if it has one, subclass."""
+    out = np.empty(len(word))
+    n, side = len(log_sum), model.side
+    for i in range(0, len(word), _STEP):
+        s = slice(i, i + _STEP)
+        a, b, w, d = one[s], two[s], word[s], sub[s]
+        q = model.first[a] + model.second[b]
+        plain = (a < n) & (b < n)
+        z = log_sum[np.where(plain, a, 0), np.where(plain, b, 0)].astype(np.float64)
+        z[~plain] = _log_sums(q[~plain] @ model.target.T + model.bias)
+        logs = np.einsum("ij,ij->i", q, model.target[w]) + model.bias[w] - z
+        other = np.flatnonzero(d >= 0)
+        if len(other):
+            of = d[other] // side
+            p = q[other] @ model.group.T + model.group_bias
+            logs[other] += p[np.arange(len(other)), of] - _log_sums(p)
+            order = np.argsort(of, kind="stable")
+            cuts = np.flatnonzero(np.diff(of[order])) + 1
+            for own in np.split(other[order], cuts):
+                low = d[own[0]] // side * side
+                p = q[own] @ model.member[low:low + side].T + model.member_bias[low:low + side]
+                logs[own] += p[np.arange(len(own)), d[own] - low] - _log_sums(p)
+        out[s] = logs
     return out
 
 
-SCORE_SCHEMA = ("row long, word long, n long, n_known long, n_other long, logs double, other_logs double, class_logs double")
+SCORE_SCHEMA = ("row long, word long, n long, n_known long, logs double, other_logs double, class_logs double")
 
 
 def _score_rows(batches, words: Words, model: Model, log_sum: np.ndarray):
     """A row for each document, and one for each of its words that isn't frequent."""
-    first, second, target = (x.astype(np.float32) for x in model[:3])
-    bias = model.bias.astype(np.float32)
+    model = Model(*(x.astype(np.float32) for x in model))
+    rest = np.log10(words.sub_counts + words.sub_kinds + 1.0)
     weight = np.log10(words.counts + 1.0)
     names = [f.split()[0] for f in SCORE_SCHEMA.split(", ")]
     for batch in batches:
@@ -248,17 +374,12 @@ def _score_rows(batches, words: Words, model: Model, log_sum: np.ndarray):
         for c in chunks(batch.column(1)):
             tokens, starts = token_hashes(c)
             place, known = words.find(tokens)
-            classes = np.where(known, words.classes[place] if len(words.classes) else 0, words.other).astype(np.int64)
-            one, two = contexts(classes, starts, words.other + 1)
-            logs = np.empty(len(tokens))
-            for i in range(0, len(tokens), 1 << 16):
-                s = slice(i, i + (1 << 16))
-                a, b, w = one[s], two[s], classes[s]
-                logs[s] = np.einsum("ij,ij->i", first[a] + second[b], target[w]) + bias[w] - log_sum[a, b]
+            classes, one, two, subs = words.places(tokens, starts)
+            logs = class_logs(model, log_sum, classes, one, two, subs)
             own = np.where(known, weight[place] if len(weight) else 0.0, 0.0)
-            other = classes == words.other
+            shared = np.where(subs >= words.singles, own - rest[np.maximum(subs, 0)], 0.0)
             cut = starts[:-1]
-            sums = [np.add.reduceat(x, cut) for x in (known.astype(np.int64), other.astype(np.int64), own, own * other, logs)]
+            sums = [np.add.reduceat(x, cut) for x in (known.astype(np.int64), own, shared, logs)]
             rows = ids[c.first:c.first + c.n]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows), pa.nulls(c.n, pa.int64()), pa.array(np.diff(starts)), *map(pa.array, sums)], names=names)
@@ -271,7 +392,7 @@ def _score_rows(batches, words: Words, model: Model, log_sum: np.ndarray):
                 k = len(new)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows[doc[new]]), pa.array(word[new].view(np.int64)), pa.array(np.diff(np.append(new, len(doc)))),
-                     *(pa.nulls(k, pa.int64()),) * 2, *(pa.nulls(k, pa.float64()),) * 3], names=names)
+                     pa.nulls(k, pa.int64()), *(pa.nulls(k, pa.float64()),) * 3], names=names)
 
 
 def lm_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
@@ -300,14 +421,12 @@ def lm_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
                                 F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("rare_known")))
     zero = F.lit(0.0)
     plain = float(np.log10(words.total + words.distinct + 1))
-    n_other = int(words.class_counts[-1])
-    rest = float(np.log10(n_other + max(words.distinct - words.other, 0) + 1))
     logs = F.coalesce("rare_logs", zero)
     return (scored.where("word is null").join(rare, "row", "left")
             .select("doc_id", F.col("n").alias("n_tokens"), (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
                     F.lit(words.total).cast("long").alias("train_tokens"),
                     (F.col("logs") + logs - F.col("n") * plain).alias("base_score"),
-                    (F.col("class_logs") / float(np.log(10)) + F.col("other_logs") + logs - F.col("n_other") * rest).alias("score")))
+                    (F.col("class_logs") / float(np.log(10)) + F.col("other_logs") + logs).alias("score")))
 
 
 def _with_ids(numbered: DataFrame, run) -> DataFrame:
