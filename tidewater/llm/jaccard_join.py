@@ -191,11 +191,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, perce
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, rid, n_shingles, component_id) of each row of (doc_id, text).
+    """(doc_id, rid, n_shingles, component_id, root) of each row of (doc_id, text).
 
     ``rid`` is ``keyed_hash(doc_id, text)``.  Documents link when 100 * shared
     shingles >= percent * all shingles of the two; ``component_id`` is the
-    smallest id reachable by links.
+    smallest id reachable by links, which components may share if ids repeat.
+    ``root`` is the component's own number, null for a row without copies.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -265,22 +266,24 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
                        .select("node", "low", F.coalesce("root", "number").alias("root")), "lows")
     discard(nodes)
     groups = lows.groupBy("root").agg(F.min("low").alias("component"))
-    named = lows.join(groups, "root").select("node", "component")
+    named = lows.join(groups, "root").select("node", "component", "root")
     return (rows.select("doc_id", "rid", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
             .join(named, "node", "left")
-            .select("doc_id", "rid", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+            .select("doc_id", "rid", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "root"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The row of smallest id of each component, with its columns.
 
-    Of equal ids the one of smaller ``keyed_hash``; of equal rows one.
+    Of equal ids the one of smaller ``keyed_hash``, a null id last; of equal
+    rows one.  Components are told apart by their own numbers, not by ids.
     """
     found = materialise(jaccard_components(docs, n, percent), "components")
-    # Rows without words have no copies: each stays.
-    groups = found.where("n_shingles > 0").groupBy("component_id")
-    stays = groups.agg(F.min(F.struct("doc_id", "rid")).rid.alias("_stays"), F.count("*").alias("_k")).where("_k > 1")
-    copies = materialise(found.where("n_shingles > 0").join(stays, "component_id").select("rid", "_stays"), "copies")
+    # Rows without a root have no copies, also those without words: each stays.
+    groups = found.where("root is not null").groupBy("root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).rid
+    stays = groups.agg(first.alias("_stays"), F.count("*").alias("_k")).where("_k > 1")
+    copies = materialise(found.join(stays, "root").select("rid", "_stays"), "copies")
     release_finished(docs.sparkSession)
     gone = copies.where("rid != _stays").select(F.col("rid").alias("_rid")).distinct()
     twice = copies.where("rid = _stays").groupBy("rid").count().where("count > 1").select(F.col("rid").alias("_rid"))
