@@ -2,6 +2,13 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a frame that is written
 as Parquet and read again as the next stage's documents.
+
+Defined results: null, empty and blank texts fail the quality rules; in the later
+stages they are like nothing, overlap with nothing and are taken zero times.  Of
+rows that are equal one stays, as of near copies; rows of equal id and other
+text, and rows of null id, are documents of their own.  An empty table gives an
+empty one; further columns are kept, whatever they are called, but for those the
+last stage adds (size, source_size, target, copies, taken).
 """
 
 from __future__ import annotations

@@ -24,8 +24,8 @@ def shingles(text, n):
     return frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
 
 
-def components(rows, n, percent):
-    """(shingles, smallest id of the component) of each (id, text)."""
+def groups(rows, n, percent):
+    """(shingles, number of the component) of each (id, text)."""
     sets = [shingles(t, n) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -39,12 +39,16 @@ def components(rows, n, percent):
             both = len(sets[i] & sets[j])
             if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
-    low = {}
-    for i, (k, _) in enumerate(rows):
-        r = find(i)
+    return [(len(sets[i]), find(i)) for i in range(len(rows))]
+
+
+def components(rows, n, percent):
+    """(shingles, smallest id of the component) of each (id, text)."""
+    found, low = groups(rows, n, percent), {}
+    for (k, _), (_, r) in zip(rows, found):
         if k is not None:
             low[r] = min(low.get(r, k), k)
-    return [(len(sets[i]), low.get(find(i), rows[i][0])) for i in range(len(rows))]
+    return [(size, low.get(r, k)) for (k, _), (size, r) in zip(rows, found)]
 
 
 def rule_counts(text):

@@ -63,10 +63,11 @@ def _sourced(seed):
     return rows + [rows[3]]
 
 
-@pytest.mark.parametrize("limit", [50_000, 0])
-def test_mix_equals_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", limit)     # broadcast or shuffled join
-    rows = _sourced(limit)
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_mix_equals_brute_force(spark, limit):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)     # broadcast or shuffled join
+    rows = _sourced(len(limit))
     got = mixing.mixed(frame(spark, rows).withColumn("taken", F.lit("clash"))).collect()
     want = brute.mix([(i, s, t) for i, t, s in rows])
     key = lambda r: tuple(str(x) for x in r)
@@ -79,6 +80,7 @@ def test_mix_equals_brute_force(spark, monkeypatch, limit):
         by[r.source][1] += r.taken
         by[r.source][2] = max(by[r.source][2], r.size)
     assert all(abs(taken - target) <= largest for target, taken, largest in by.values())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_mix_of_nothing(spark):

@@ -44,11 +44,11 @@ def test_empty_table_and_clashing_columns(spark, edge_rows):
 def test_one_of_each_keeps_smallest_id_and_columns(spark, edge_rows):
     got = jaccard_join.one_of_each(frame(spark, edge_rows), 5, 80)
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    found = brute.components(edge_rows, 5, 80)
+    found = brute.groups(edge_rows, 5, 80)
     want = {}
     for (k, t), (n, c) in zip(edge_rows, found):
         if n:
-            want.setdefault(("c", c), set()).add((k is None, k or 0))
+            want.setdefault(c, set()).add((k is None, k or 0))
     blank = sum(1 for _, (n, _) in zip(edge_rows, found) if not n)
     rows = got.collect()
     assert len(rows) == len(want) + blank

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import bounded_batches, keyed_hash, table
+from tidewater.llm.shared import bounded_batches, free_prefix, keyed_hash, table
 from tidewater.llm.textarrays import chunks, mix, word_hashes
 
 WINDOW, SHARE = 13, 80
@@ -243,8 +243,9 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap with no item, with all their columns."""
-    leaks = benchmark_overlaps(docs, benchmark).select(F.col("rid").alias("_rid")).distinct()
-    return (docs.withColumn("_rid", keyed_hash("doc_id", "text")).join(leaks, "_rid", "left_anti")
+    own = free_prefix(docs, "_rid")
+    leaks = benchmark_overlaps(docs, benchmark).select(F.col("rid").alias(own)).distinct()
+    return (docs.withColumn(own, keyed_hash("doc_id", "text")).join(leaks, own, "left_anti")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -130,7 +130,9 @@ def shards_of(kept: DataFrame, shard_keys: int = SHARD_KEYS, broadcast_keys: int
     number = F.count("*").over(W.partitionBy("lang", "block"))
     per = dealt.groupBy("lang", "block").agg(F.count("*").alias("k")).withColumn("shards", F.expr(f"(k + {shard_keys - 1}) div {shard_keys}"))
     dealt = dealt.join(per, ["lang", "block"]).withColumn("shard", shard_number(F.col("shards")))
-    built = dealt.select("block", "lang", "shard", "term", "h").groupBy("block", "lang", "shard").applyInArrow(_shard, _SHARD)
+    # Dealt out by shard: what the join dealt by language would put a language's shards into one task.
+    dealt = dealt.select("block", "lang", "shard", "term", "h").repartition("block", "lang", "shard")
+    built = dealt.groupBy("block", "lang", "shard").applyInArrow(_shard, _SHARD)
     built = materialise(built, "perfect-hashes")
     # One row a shard: this window has as many rows as there are shards.
     first = built.select("block", "lang", "shard", (F.sum("n").over(W.orderBy("lang", "block", "shard")) - F.col("n")).alias("first"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import connected_components
-from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, discard, keyed_hash, materialise, release_finished, sum_arrays, table
+from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, discard, free_prefix, keyed_hash, materialise, release_finished, sum_arrays, table
 from tidewater.llm.textarrays import chunks, mix, ngrams, shingle_set, word_hashes
 
 BUCKET_BITS = 18
@@ -285,11 +285,12 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     stays = groups.agg(first.alias("_stays"), F.count("*").alias("_k")).where("_k > 1")
     copies = materialise(found.join(stays, "root").select("rid", "_stays"), "copies")
     release_finished(docs.sparkSession)
-    gone = copies.where("rid != _stays").select(F.col("rid").alias("_rid")).distinct()
-    twice = copies.where("rid = _stays").groupBy("rid").count().where("count > 1").select(F.col("rid").alias("_rid"))
-    keyed = docs.withColumn("_rid", keyed_hash("doc_id", "text"))
-    one = keyed.join(twice, "_rid", "left_semi").dropDuplicates(["_rid"])
-    return (keyed.join(gone.unionByName(twice), "_rid", "left_anti").unionByName(one)
+    own = free_prefix(docs, "_rid")
+    gone = copies.where("rid != _stays").select(F.col("rid").alias(own)).distinct()
+    twice = copies.where("rid = _stays").groupBy("rid").count().where("count > 1").select(F.col("rid").alias(own))
+    keyed = docs.withColumn(own, keyed_hash("doc_id", "text"))
+    one = keyed.join(twice, own, "left_semi").dropDuplicates([own])
+    return (keyed.join(gone.unionByName(twice), own, "left_anti").unionByName(one)
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -17,12 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import materialise, table
+from tidewater.llm.shared import free_prefix, materialise, table
 
 WEIGHTS, CAP = (5, 2, 1), 3
 _HASH_BITS, _LEVEL_BITS = 60, 12
-#: Sources up to this number are broadcast; beyond it the join is shuffled.
-BROADCAST_SOURCES = 50_000
 _WIDE = "decimal(38,0)"
 
 
@@ -114,24 +112,19 @@ def _buckets():
     return Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _hinted(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_SOURCES else small
-
-
-def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> tuple[DataFrame, int]:
-    """(source, source_size, target, passes, threshold) and the number of sources."""
+def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """(source, source_size, target, passes, threshold) of each source."""
     sizes = materialise(docs.select("source", word_count(F.col("text")).alias("size"), id_hash("doc_id").alias("hash")), "sizes")
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     cycle = F.array(*[F.lit(w) for w in weights])
     ranked = _ranked(totals).withColumn("weight", F.element_at(cycle, (F.col("rank") % len(weights) + 1).cast("int")).cast("long"))
     sources = materialise(_targets(materialise(ranked, "weighted")), "targets")
-    n = sources.count()
-    key = _hinted(sources.select(F.col("source").alias("_source"), "rank"), n)
+    key = sources.select(F.col("source").alias("_source"), "rank")
     rows = sizes.where("size > 0").join(key, F.col("source").eqNullSafe(F.col("_source"))).select("rank", "size", "hash")
     thresholds = _thresholds(materialise(rows, "ranked-sizes"), sources)
     plan = (sources.join(thresholds, "rank", "left")
             .select("source", "source_size", "target", "passes", F.coalesce("threshold", F.lit(0).cast("long")).alias("threshold")))
-    return materialise(plan, "mixing-plan"), n
+    return materialise(plan, "mixing-plan")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -139,16 +132,17 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
 
     These names replace input columns of the same name.
     """
-    plan, n = mixing_plan(docs, weights)
-    plan = _hinted(plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns]), n)
+    plan = mixing_plan(docs, weights)
+    own = free_prefix(docs, "_mix")
+    plan = plan.select(*[F.col(c).alias(f"{own}_{c}") for c in plan.columns])
     new = ("size", "source_size", "target", "copies", "taken")
     keep = [c for c in docs.columns if c not in new]
-    extra = F.col("_mix_hash") < F.col("_mix_threshold")
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], word_count(F.col("text")).alias("size"), id_hash("doc_id").alias("_mix_hash"))
-    return (rows.join(plan, F.col("source").eqNullSafe(F.col("_mix_source")))
-            .withColumn("copies", F.when(F.col("size") > 0, F.col("_mix_passes") + extra.cast("int")).otherwise(0))
-            .select(*[F.col(f"`{c}`") for c in keep], "size", F.col("_mix_source_size").alias("source_size"),
-                    F.col("_mix_target").alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken")))
+    extra = F.col(f"{own}_hash") < F.col(f"{own}_threshold")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], word_count(F.col("text")).alias("size"), id_hash("doc_id").alias(f"{own}_hash"))
+    return (rows.join(plan, F.col("source").eqNullSafe(F.col(f"{own}_source")))
+            .withColumn("copies", F.when(F.col("size") > 0, F.col(f"{own}_passes") + extra.cast("int")).otherwise(0))
+            .select(*[F.col(f"`{c}`") for c in keep], "size", F.col(f"{own}_source_size").alias("source_size"),
+                    F.col(f"{own}_target").alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken")))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, crc_mod, sum_arrays, table
+from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, crc_mod, one_text_each, sum_arrays, table
 from tidewater.llm.textarrays import PUNCTUATION, SPACE, Chunk, chunks, hash_spans, mix
 
 TOKEN_BITS, WIDTH, NONZERO, REACH = 13, 32, 2, 2
@@ -162,7 +162,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, vectors) -> Network | float:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary())],
                                              names=["label", "checked", "x"])
 
-    rows = (docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(known), "_id")
+    rows = (one_text_each(docs, known)
             .select("_label", (crc_mod("_id", 5) == 1).alias("_checked"), "text")
             .mapInArrow(run, "label int, checked boolean, x binary").collect())
     rows.sort(key=lambda r: (bytes(r.x), r.label))

@@ -120,6 +120,25 @@ def keyed_hash(*cols: str) -> F.Column:
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in cols])
 
 
+def free_prefix(df: DataFrame, stem: str) -> str:
+    """``stem``, with underscores before it until no column of ``df`` begins so."""
+    while any(c.lower().startswith(stem) for c in df.columns):
+        stem = "_" + stem
+    return stem
+
+
+def one_text_each(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """The picked rows (_id and more) with the text of that id in ``docs``.
+
+    Where an id is repeated, one of its texts counts, that of lowest hash; so there
+    are no more rows than were picked.
+    """
+    extra = [c for c in picked.columns if c != "_id"]
+    found = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(picked), "_id")
+    lowest = F.struct(F.xxhash64("text").alias("hash"), "text")
+    return found.groupBy("_id", *extra).agg(F.min(lowest).alias("_low")).select("_id", *extra, F.col("_low.text").alias("text"))
+
+
 def crc_mod(col: str, n: int) -> F.Column:
     """crc32 of the id's text modulo n (null id: of the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(n))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import bounded_batches, discard, keyed_hash, materialise, table
+from tidewater.llm.shared import bounded_batches, discard, free_prefix, keyed_hash, materialise, table
 from tidewater.llm.textarrays import Chunk, _BYTE, buffers, chunks, mix, powers
 
 LENGTH, GRAM = 100, 32
@@ -371,7 +371,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     shared = (keys.groupBy("key").agg(F.sum("n").alias("_n")).where("_n > 1")
               .select("key", F.when(F.col("_n") > HOT, F.ceil(F.col("_n") * _WIDTH / HOT)).otherwise(1).cast("int").alias("fan")))
     found = (keys.select("rid", "key").join(shared, "key").groupBy("rid")
-             .agg(F.collect_list(F.struct("key", "fan")).alias("_k")).select("rid", "_k.key", "_k.fan"))
+             .agg(F.collect_set(F.struct("key", "fan")).alias("_k")).select("rid", "_k.key", "_k.fan"))
     found = materialise(found, "shared-keys")
     discard(keys)
     rows = (docs.select(rid, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), text.alias("text"))
@@ -395,11 +395,13 @@ def merge_spans(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
-    """All columns, and the lists _start and _stop of each row."""
+def _with_spans(docs: DataFrame) -> tuple[DataFrame, list]:
+    """All columns and two lists of each row, whose columns are also returned: starts and stops."""
+    own = free_prefix(docs, "_span")
     spans = repeated_spans(docs).groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("_s"))
-    spans = spans.select(F.col("rid").alias("_rid"), F.col("_s.start").alias("_start"), F.col("_s.stop").alias("_stop"))
-    return docs.withColumn("_rid", keyed_hash("doc_id", "text")).join(spans, "_rid", "left").drop("_rid")
+    spans = spans.select(F.col("rid").alias(own), F.col("_s.start").alias(f"{own}_start"), F.col("_s.stop").alias(f"{own}_stop"))
+    lists = [F.coalesce(F.col(f"{own}_{c}"), F.array().cast("array<long>")).alias(f"{own}_{c}") for c in ("start", "stop")]
+    return docs.withColumn(own, keyed_hash("doc_id", "text")).join(spans, own, "left").drop(own), lists
 
 
 def _kept(batch: pa.RecordBatch, text: int, start: int, stop: int):
@@ -437,14 +439,11 @@ def removal_digest(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (_with_spans(docs.select("doc_id", "text")).select("doc_id", "text", *_empty_lists())
+    rows, lists = _with_spans(docs.select("doc_id", "text"))
+    return (rows.select("doc_id", "text", *lists)
             .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
-def _empty_lists():
-    return [F.coalesce(F.col(c), F.array().cast("array<long>")).alias(c) for c in ("_start", "_stop")]
-
-
 def without_repeats(docs: DataFrame) -> DataFrame:
     """All rows and columns, with the repeated bytes cut out of the text.
 
@@ -463,8 +462,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     others = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join(["text string", *(f"`{f.name}` {f.dataType.simpleString()}" for f in others)])
-    rows = _with_spans(docs).select("text", *[F.col(f"`{f.name}`") for f in others], *_empty_lists())
-    out = rows.mapInArrow(run, schema)
+    rows, lists = _with_spans(docs)
+    out = rows.select("text", *[F.col(f"`{f.name}`") for f in others], *lists).mapInArrow(run, schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,8 @@ of lowest id hash with ``FIT_FEATURES`` distinct features or fewer.  The labels
 alternate in proportion, so that neither has the last word.
 
 Defined results: null or empty text, or one without words, gets the model's
-score for no features; without usable labels every score is 0; rows that
+score for no features; without usable labels, or with those of
+one value only, every score is 0 or that value; rows that
 repeat are scored alike; an empty table gives an empty one; only id and text
 (and the labels' id and toxic) are read.
 """
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import bounded_batches, crc_mod, table
+from tidewater.llm.shared import bounded_batches, crc_mod, one_text_each, table
 from tidewater.llm.textarrays import PUNCTUATION, chunks, hash_spans, mix, word_spans
 
 FIT_ROWS, FIT_FEATURES = 4_000, 20_000
@@ -112,7 +113,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Weights:
              .where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1)).where(crc_mod("_id", 5) != 0)
              .groupBy("_id").agg(F.max("_label").alias("_label")).withColumn("_order", F.xxhash64("_id")))
     pick = [known.where(F.col("_label") == y).orderBy("_order", "_id").limit(FIT_ROWS) for y in (0, 1)]
-    rows = (docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(pick[0].unionByName(pick[1])), "_id")
+    rows = (one_text_each(docs, pick[0].unionByName(pick[1]))
             .select("_order", "_label", "text").mapInArrow(_labelled_slots, "order long, label int, slots binary")
             .where("slots is not null").collect())
     rows.sort(key=lambda r: (r.order, r.label, bytes(r.slots)))
