@@ -1,14 +1,16 @@
 """Streaming jobs equal their batch definitions."""
 
+import base64
 import json
 import os
 
 from pyspark.sql import functions as F
 
 from tidewater.operators import chat, events as ev, metrics
+from tidewater.sources import shards
 from tidewater.sources.stream import envelopes_from_events, read_envelopes, write_envelopes
 from tidewater.sources.tables import read_table
-from tidewater.streaming import jobs
+from tidewater.streaming import jobs, stateful
 
 SF = "/root/testdata/sf0.001"
 AS_OF = "2024-01-31 00:00:00"
@@ -52,41 +54,189 @@ def _bus_rows(evs, start):
     return [(json.dumps(e), start + i) for i, e in enumerate(evs)]
 
 
-def test_state_stream_matches_fold(spark, tmp_dir):
-    def created(oid):
-        return {"source": "orders", "detail-type": "Order Created",
-                "detail": {"eventType": "order.created", "data": {"orderId": oid, "total": 1.5}}}
-
-    def done(oid):
-        return {"source": "orders", "detail-type": "Order Completed",
-                "detail": json.dumps({"eventType": "order.completed", "data": {"orderId": oid}})}
-
-    inv = {"source": "inventory", "detail-type": "Inventory Updated",
-           "detail": {"eventType": "inventory.updated", "data": {"itemId": "I", "quantity": 3}}}
-    b1 = _bus_rows([created("A"), created("B"), inv], 0)
-    b2 = _bus_rows([done("A"), created("A"), done("C")], 10)
-    handle = jobs.state_batch_handler(spark, os.path.join(tmp_dir, "state"), os.path.join(tmp_dir, "out"))
-    for i, rows in enumerate([b1, b2]):
-        df = spark.createDataFrame(rows, "j string, seq long").select(F.parse_json("j").alias("event"), "seq")
-        handle(df, i)
-        handle(df, i)  # a retried batch rewrites the same version
-    st = {r.order_id: r.status for r in jobs.order_state_view(spark, os.path.join(tmp_dir, "state")).collect()}
-    assert st == {"A": "processing", "B": "processing", "C": "completed"}
-    inv_st = jobs.inventory_state_view(spark, os.path.join(tmp_dir, "state")).collect()
-    assert [(r.item_id, float(r.quantity)) for r in inv_st] == [("I", 3.0)]
-
-
-def test_presence_stream(spark, tmp_dir):
-    handle = jobs.presence_batch_handler(spark, os.path.join(tmp_dir, "st"))
-    rows1 = [("u", "2024-01-01 10:00:00", 0, "r1"), ("v", "2024-01-01 10:00:00", 0, "r2")]
-    rows2 = [("u", "2024-01-01 11:00:00", 1, None), ("w", "2024-01-01 12:00:00", 0, "r2")]
-    for i, rows in enumerate([rows1, rows2]):
-        handle(spark.createDataFrame(rows, "connection_id string, ts string, kind int, room string")
-               .withColumn("ts", F.to_timestamp_ntz("ts")), i)
-    p = {r.room: r.active_connections
-         for r in jobs.presence_view(spark, os.path.join(tmp_dir, "st"), "2024-01-01 13:00:00").collect()}
-    assert p == {"r2": 2}
-    assert chat.CONNECTION_TTL_S == 86400
+def _created(oid, total="1.5"):
+    return {"source": "orders", "detail-type": "Order Created",
+            "detail": {"eventType": "order.created", "data": {"orderId": oid, "total": float(total), "items": [{"productId": "p", "quantity": 2, "price": 3}]}}}
+
+
+def _done(oid):
+    return {"source": "orders", "detail-type": "Order Completed",
+            "detail": json.dumps({"eventType": "order.completed", "data": {"orderId": oid}})}
+
+
+def _stock(item, n):
+    return {"source": "inventory", "detail-type": "Inventory Updated", "detail": {"eventType": "inventory.updated", "data": {"itemId": item, "quantity": n}}}
+
+
+def _bus_file(spark, root, evs, start):
+    spark.createDataFrame(_bus_rows(evs, start), "j string, seq long").coalesce(1).write.mode("append").json(root)
+
+
+def _bus(spark, root):
+    return spark.readStream.schema("j string, seq long").json(root).select(F.parse_json("j").alias("event"), "seq")
+
+
+def _changed(out, batch=None):
+    """Rows of the batch that a stream wrote last."""
+    batches = sorted(int(d.split("=")[1]) for d in os.listdir(out))
+    return os.path.join(out, f"batch_id={batches[-1]}")
+
+
+def test_order_and_inventory_state_survive_restarts(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "bus"), os.path.join(tmp_dir, "out")
+    batches = [([_created("A"), _created("B"), _stock("I", 9)], 10),
+               ([_done("A"), _done("C"), _stock("J", 1), [1], _created("")], 20),
+               # Older than what is known, so without effect; and a second creation, which has one.
+               ([_done("B"), _stock("I", 5)], 5), ([_created("A", "7")], 30)]
+    everything = []
+    for evs, start in batches:
+        _bus_file(spark, src, evs, start)
+        everything += _bus_rows(evs, start)
+        jobs.start_order_stream(spark, _bus(spark, src), out, os.path.join(tmp_dir, "cko")).awaitTermination(300)
+        jobs.start_inventory_stream(spark, _bus(spark, src), out, os.path.join(tmp_dir, "cki")).awaitTermination(300)
+    # The last batch changed one order and no item, and wrote no more than that.
+    assert [r.order_id for r in spark.read.parquet(_changed(os.path.join(out, "orders"))).collect()] == ["A"]
+    assert spark.read.parquet(_changed(os.path.join(out, "inventory"))).count() == 0
+    df = spark.createDataFrame(everything, "j string, seq long").select(F.parse_json("j").alias("event"), "seq")
+    routed, rejected = jobs.routed_events(spark, df)
+    want_o = ev.fold_orders(ev.order_changes(routed.filter("target = 'order_processor'"))[0])
+    want_i = ev.fold_latest(ev.inventory_changes(routed.filter("target = 'inventory_processor'"))[0], "item_id")
+    got_o = jobs.order_state(spark, os.path.join(tmp_dir, "cko"))
+    got_i = jobs.inventory_state(spark, os.path.join(tmp_dir, "cki"))
+    assert sorted(map(str, got_o.select(want_o.columns).collect())) == sorted(map(str, want_o.collect()))
+    assert sorted(map(str, got_i.select(want_i.columns).collect())) == sorted(map(str, want_i.collect()))
+    assert {r.order_id: (r.status, float(r.total) if r.total is not None else None) for r in got_o.collect()} == {
+        "A": ("processing", 7.0), "B": ("processing", 1.5), "C": ("completed", None)}
+    assert rejected.count() == 1
+
+
+def test_outbox_batches_replace_their_own_files(spark, tmp_dir):
+    handle = jobs.outbox_batch_handler(spark, tmp_dir)
+    rows = _bus_rows([_created("A"), _done("A"), _created(""), [1], _stock("", 1)], 0)
+    df = spark.createDataFrame(rows, "j string, seq long").select(F.parse_json("j").alias("event"), "seq")
+    handle(df, 3)
+    handle(df, 3)
+    assert spark.read.parquet(os.path.join(tmp_dir, "outbox")).count() == 2
+    bad = spark.read.parquet(os.path.join(tmp_dir, "quarantine")).select(F.explode("reasons")).collect()
+    assert len(bad) >= 3 and {"missing_order_id", "missing_item_id"} <= {r[0] for r in bad}
+
+
+def test_last_in_batch_keeps_the_last_of_each_key(spark):
+    rows = [(f"k{i % 3}", i, "x") for i in range(50)]
+    got = stateful.last_in_batch(spark.createDataFrame(rows, "k string, seq long, v string").coalesce(1), ["k"], "seq").collect()
+    assert sorted((r.k, r.seq) for r in got) == [("k0", 48), ("k1", 49), ("k2", 47)]
+
+
+def _marks(spark, rows):
+    return spark.createDataFrame(rows, "connection_id string, ts string, kind int, room string").withColumn("ts", F.to_timestamp_ntz("ts"))
+
+
+def test_presence_stream_expires_without_new_events(spark, tmp_dir):
+    src, ck, out = (os.path.join(tmp_dir, x) for x in ("marks", "ck", "out"))
+    batches = [[("u", "2024-01-01 10:00:00", 0, "r1"), ("v", "2024-01-01 10:00:00", 0, "r2")],
+               [("u", "2024-01-01 11:00:00", 1, None), ("w", "2024-01-01 12:00:00", 0, "r2")],
+               [("x", "2024-01-02 11:30:00", 0, "r3"), ("u", "2024-01-02 11:00:00", 0, "r1")],
+               [("y", "2024-01-02 14:00:00", 0, "r3")]]
+    clocks = ["2024-01-01 10:00:00", "2024-01-01 12:00:00", "2024-01-02 11:30:00", "2024-01-02 14:00:00"]
+    seen, sizes = [], []
+    for rows, clock in zip(batches, clocks):
+        seen += rows
+        _marks(spark, rows).coalesce(1).write.mode("append").parquet(src)
+        source = spark.readStream.schema(_marks(spark, rows).schema).parquet(src)
+        jobs.start_presence_stream(spark, source, out, ck).awaitTermination(300)
+        want = {r.room: r.active_connections for r in chat.presence(_marks(spark, seen), clock).collect()}
+        assert {r.room: r.active_connections for r in stateful.present_at(spark, ck, clock).collect()} == want
+        sizes.append(stateful.state_table(spark, ck, "presence").count())
+    events = sorted((r.connection_id, r.event, str(r.at)) for r in spark.read.parquet(os.path.join(out, "presence")).collect())
+    assert ("v", "expired", "2024-01-02 10:00:00") in events and ("w", "expired", "2024-01-02 12:00:00") in events
+    assert ("u", "disconnected", "2024-01-01 11:00:00") in events and ("u", "connected", "2024-01-02 11:00:00") in events
+    # v and w are gone from the state though nothing came from them again.
+    assert sizes[-1] == 3 and {r.connection_id for r in stateful.state_table(spark, ck, "presence").collect()} == {"u", "x", "y"}
+
+
+def _record_log(spark, root, rows, segment=40):
+    """(key, sequence, value) as a log of two shards."""
+    env = spark.createDataFrame([(base64.b64encode(json.dumps({"value": v}).encode()).decode(), k, str(s), 1704067200000 + s) for k, s, v in rows],
+                                shards.ENVELOPE_SCHEMA)
+    shards.append_records(env, root, F.pmod(F.length("partitionKey"), F.lit(2)), segment)
+
+
+def test_record_log_batches_are_bounded_and_restart(spark, tmp_dir):
+    log, ck, out = (os.path.join(tmp_dir, x) for x in ("log", "ck", "out"))
+    parts = []
+
+    def run(starting="earliest"):
+        env = shards.read_shards(spark, log, ck, 100, starting)
+
+        def handle(batch, i):
+            parts.append((i, batch.rdd.getNumPartitions(), batch.count(), batch.select("shard").distinct().count()))
+            batch.write.mode("overwrite").parquet(f"{out}/batch_id={i}")
+
+        q = env.writeStream.foreachBatch(handle).option("checkpointLocation", ck).start()
+        shards.drain(q)
+
+    rows = [("a" if s % 3 else "bb", s, s) for s in range(430)]
+    _record_log(spark, log, rows)
+    run()
+    assert max(n for _, _, n, _ in parts) == 100 and sum(n for _, _, n, _ in parts) == 430
+    assert parts[0][1:] == (2, 100, 2)          # both shards at once, a task each
+    before = len(parts)
+    run()                                       # nothing new: nothing read again
+    assert len(parts) == before
+    more = [("a", 1000 + s, s) for s in range(130)]
+    _record_log(spark, log, more)
+    run("latest")                               # a restart goes on where it stood
+    got = spark.read.parquet(out)
+    assert sorted((r.partitionKey, int(r.sequenceNumber)) for r in got.collect()) == sorted((k, s) for k, s, _ in rows + more)
+    order = got.groupBy("shard").agg(F.max("offset").alias("top"), F.count("*").alias("n")).collect()
+    assert all(r.top + 1 == r.n for r in order)
+
+
+def test_record_log_from_the_latest(spark, tmp_dir):
+    log, ck, out = (os.path.join(tmp_dir, x) for x in ("log", "ck", "out"))
+    _record_log(spark, log, [("a", s, 1) for s in range(30)])
+    q = jobs.start_record_stream(spark, log, out, ck, AS_OF, trigger={"processingTime": "0 seconds"})
+    q.processAllAvailable()
+    _record_log(spark, log, [("a", 100 + s, 2) for s in range(7)])
+    q.processAllAvailable()
+    q.stop()
+    m = spark.read.parquet(os.path.join(out, "metrics")).collect()
+    assert [(r["count"], r.total_value) for r in m] == [(7, 14.0)]
+
+
+def test_shares_of_a_batch():
+    assert shards.shared_out({0: 500, 1: 500}, 100) == {0: 50, 1: 50}
+    assert shards.shared_out({0: 10, 1: 500}, 100) == {0: 10, 1: 90}
+    assert shards.shared_out({0: 1, 1: 1, 2: 1}, 2) == {0: 1, 1: 1, 2: 0}
+    assert shards.shared_out({}, 5) == {}
+
+
+def test_gap_in_a_log_ends_what_is_read(tmp_dir):
+    for first, n in ((0, 3), (5, 2)):
+        d = os.path.join(tmp_dir, "shard=0", f"first={first:018d}", f"n={n}")
+        os.makedirs(d)
+        open(os.path.join(d, "part-0.json"), "w").close()
+    assert shards.Log(tmp_dir).ends() == {0: 3}
+
+
+def test_windows_close_in_append_mode_and_late_records_are_counted(spark, tmp_dir):
+    log, ck, out = (os.path.join(tmp_dir, x) for x in ("log", "ck", "out"))
+    day = 86_400_000
+    rows = [(k, day * d + 1000 * i) for d in range(8) for i, k in enumerate("ab")]
+    rows += [("a", day), ("b", day * 7 + 5)]       # one far too late, one in time
+    env = spark.createDataFrame([(base64.b64encode(b'{"value": 2}').decode(), k, str(i), 1704067200000 + at) for i, (k, at) in enumerate(rows)],
+                                shards.ENVELOPE_SCHEMA)
+    shards.append_records(env, log, F.lit(0))
+    stateful.use_state_store(spark)
+    stream = jobs.windowed_stream(shards.read_shards(spark, log, ck, 4, "earliest"), "1 day", "1 day")
+    q = stream.writeStream.outputMode("append").option("checkpointLocation", ck).trigger(processingTime="0 seconds").format("parquet").start(out)
+    q.processAllAvailable()
+    progress = q.recentProgress
+    q.stop()
+    assert sum(o.numRowsDroppedByWatermark for p in progress for o in p.stateOperators) >= 1
+    assert max(o.numRowsTotal for p in progress for o in p.stateOperators) <= 10       # of 18 records
+    got = {(str(r.window_start), r.partitionKey): r["count"] for r in spark.read.parquet(out).collect()}
+    assert got == {(f"2024-01-{1 + d:02d} 00:00:00", k): 1 for d in range(6) for k in "ab"}
 
 
 def test_file_ingest_stream(spark, tmp_dir):

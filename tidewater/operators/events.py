@@ -26,6 +26,7 @@ DEFAULT_RULES = [
 ]
 
 AMOUNT = "decimal(38,18)"
+ITEMS = "array<struct<productId:string,quantity:bigint,price:decimal(38,18)>>"
 
 # Outbox subjects.
 SUBJECT_CREATED = "New Order Created"
@@ -147,12 +148,11 @@ def order_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Order events -> change rows ``(order_id, kind, customer_id, items,
     total, created_at, seq)``; events without ``orderId`` are quarantined."""
     orders = events.filter(F.col("event_type").isin("order.created", "order.completed"))
-    items_t = "array<struct<productId:string,quantity:bigint,price:decimal(38,18)>>"
     rows = orders.select(
         F.coalesce(data_field("orderId", "string"), F.lit("")).alias("order_id"),
         F.when(F.col("event_type") == "order.created", F.lit("created")).otherwise(F.lit("completed")).alias("kind"),
         _get("customerId", "string", F.lit("")).alias("customer_id"),
-        _get("items", items_t, F.array().cast(items_t)).alias("items"),
+        _get("items", ITEMS, F.array().cast(ITEMS)).alias("items"),
         _get("total", AMOUNT, F.lit(0).cast(AMOUNT)).alias("total"),
         _get("createdAt", "string", F.lit("")).alias("created_at"),
         F.col("seq"),

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.plans import (chat_plans, docs_plans, etl_plans, events_plans, items_plans,
-                             media_lake_plans, metrics_plans, oracle_chat, oracle_docs, oracle_etl,
-                             oracle_events, oracle_items, oracle_media_lake, oracle_metrics)
+                             media_lake_plans, metrics_plans, stream_plans, oracle_chat, oracle_docs, oracle_etl,
+                             oracle_events, oracle_items, oracle_media_lake, oracle_metrics, oracle_streams)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -44,12 +44,14 @@ def queries() -> dict[str, Plan]:
                                             "lake_ingest_summary", "lake_category_stats", "lake_count",
                                             "lake_sample", "lake_partition_query", "lake_two_batches",
                                             "lake_partition_prune"]))
+    out.update(_plans_of(stream_plans, ["stream_record_metrics", "windowed_stream_append", "order_state_stream",
+                                        "inventory_state_stream", "chat_presence_stream"]))
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for mod in (oracle_metrics, oracle_etl, oracle_events, oracle_items, oracle_chat, oracle_docs,
-                oracle_media_lake):
+                oracle_media_lake, oracle_streams):
         out.update({k: v.strip() for k, v in mod.SQL.items()})
     return out

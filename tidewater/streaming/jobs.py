@@ -1,25 +1,24 @@
 """Structured Streaming jobs.
 
 Every ``foreachBatch`` handler is idempotent per batch id: outputs are
-written under ``batch_id=<n>`` (or ``v=<n>``) with overwrite, so a batch
-retried after an executor or driver loss rewrites the same files.  State
-between batches is a compacted change log (bounded per key) stored as a
-versioned table in the checkpoint/shared folder, never in driver memory.
+written under ``batch_id=<n>`` with overwrite, so a batch retried after an
+executor or driver loss rewrites the same files.  State between batches is in
+Spark's state store (``stateful``), checkpointed with the query.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewater.operators import chat, events, lake, metrics
+from tidewater.operators import events, lake, metrics
+from tidewater.sources.shards import MAX_RECORDS, read_shards
 from tidewater.sources.stream import read_stream
+from tidewater.streaming import stateful
 
 
 def _trigger(writer, trigger: dict | None):
@@ -68,6 +67,19 @@ def start_metrics_stream(spark: SparkSession, source: str, out_root: str, checkp
     return _trigger(w, trigger).start()
 
 
+#: A live job's trigger.
+EVERY_5_S = {"processingTime": "5 seconds"}
+
+
+def start_record_stream(spark: SparkSession, log: str, out_root: str, checkpoint: str, as_of: Clock = utc_now,
+                        max_records: int = MAX_RECORDS, starting: str = "latest", trigger: dict | None = None) -> StreamingQuery:
+    """I1 over a sharded record log: batches of ``max_records`` at most, every
+    five seconds, from the end of the log on."""
+    env = read_shards(spark, log, checkpoint, max_records, starting)
+    w = env.writeStream.foreachBatch(metrics_batch_handler(out_root, as_of)).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger or EVERY_5_S).start()
+
+
 # ---------------------------------------------------------------- I5
 
 
@@ -102,101 +114,86 @@ def start_file_ingest(spark: SparkSession, landing: str, processed: str, checkpo
 # ---------------------------------------------------------------- I3 / I6
 
 
-def compact_order_log(changes: DataFrame) -> DataFrame:
-    """Keep, per order, the last ``created`` change and the last change of
-    any kind: folding the compacted log gives the same state (E3), and the
-    state stays at most two rows per order."""
-    last_created = (changes.filter(F.col("kind") == "created")
-                    .groupBy("order_id").agg(F.max_by(F.struct(*changes.columns), "seq").alias("r")))
-    last_any = changes.groupBy("order_id").agg(F.max_by(F.struct(*changes.columns), "seq").alias("r"))
-    return last_created.unionByName(last_any).select("r.*").dropDuplicates(["order_id", "kind", "seq"])
-
-
-def latest_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
-    """Newest ``v=<n>`` directory under ``root`` (listing through Hadoop FS
-    so it works on shared storage), of those below a version if one is given."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    versions = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            if below is None or int(name[2:]) < below:
-                versions.append(int(name[2:]))
-    return os.path.join(root, f"v={max(versions)}") if versions else None
-
-
-def state_batch_handler(spark: SparkSession, state_root: str, out_root: str):
-    """I3 + I6: one batch of bus events updates order state and inventory
-    state (two outputs from one cached batch)."""
-    rules = events.rules_frame(spark)
+def routed_events(spark: SparkSession, bus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Deliveries of bus events ``(event, seq)``, and rejected events with their reasons."""
+    norm, bad = events.normalise(bus)
+    known, unfit = events.split_events(events.parse_detail(norm))
+    rejected = (bad.select(F.to_json(F.struct("_el")).alias("row"), "reasons")
+                .unionByName(unfit.select(F.to_json("event").alias("row"), "reasons")))
+    return events.route(known, events.rules_frame(spark)), rejected
+
+
+def order_changes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Change rows for ``stateful.order_stream``, and those without an order."""
+    ok, bad = events.order_changes(routed.filter(F.col("target") == "order_processor"))
+    return ok.withColumns({"items": F.to_json("items"), "total": F.col("total").cast("string")}), bad
+
+
+def inventory_changes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Change rows for ``stateful.inventory_stream``, and those without an item."""
+    ok, bad = events.inventory_changes(routed.filter(F.col("target") == "inventory_processor"))
+    return ok.withColumn("quantity", F.col("quantity").cast("string")), bad
+
+
+def start_order_stream(spark: SparkSession, bus: DataFrame, out_root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Order state kept in the state store; each batch writes the orders it changed."""
+    changes, _ = order_changes(routed_events(spark, bus)[0])
+    return _start_changes(stateful.order_stream(changes), f"{out_root}/orders", checkpoint, trigger)
+
+
+def start_inventory_stream(spark: SparkSession, bus: DataFrame, out_root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The same for inventory."""
+    changes, _ = inventory_changes(routed_events(spark, bus)[0])
+    return _start_changes(stateful.inventory_stream(changes), f"{out_root}/inventory", checkpoint, trigger)
+
+
+def _start_changes(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None, mode: str = "update") -> StreamingQuery:
+    stateful.use_state_store(rows.sparkSession)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        norm, bad = events.normalise(batch)
-        known, unfit = events.split_events(events.parse_detail(norm))
-        routed = events.route(known, rules).persist()
-        try:
-            ord_changes, no_order = events.order_changes(routed.filter(F.col("target") == "order_processor"))
-            inv_changes, no_item = events.inventory_changes(routed.filter(F.col("target") == "inventory_processor"))
-            rejected = reduce(DataFrame.unionByName, [
-                bad.select(F.to_json(F.struct("_el")).alias("row"), "reasons"),
-                unfit.select(F.to_json("event").alias("row"), "reasons"),
-                no_order.select(F.to_json(F.struct("order_id", "kind", "seq")).alias("row"), "reasons"),
-                no_item.select(F.to_json(F.struct("item_id", "seq")).alias("row"), "reasons")])
-            rejected.write.mode("overwrite").parquet(f"{out_root}/quarantine/batch_id={batch_id}")
-            events.order_outbox(ord_changes).select("subject", "message").write.mode("overwrite").parquet(
-                f"{out_root}/outbox/batch_id={batch_id}")
-            # Only versions of earlier batches: a retry must not read what it replaces.
-            prev_o = latest_version(spark, f"{state_root}/orders_log", below=batch_id)
-            prev_i = latest_version(spark, f"{state_root}/inventory", below=batch_id)
-            if prev_o:
-                ord_changes = spark.read.parquet(prev_o).unionByName(ord_changes)
-            if prev_i:
-                inv_changes = spark.read.parquet(prev_i).unionByName(inv_changes)
-            compact_order_log(ord_changes).write.mode("overwrite").parquet(
-                f"{state_root}/orders_log/v={batch_id}")
-            (inv_changes.groupBy("item_id")
-             .agg(F.max_by(F.struct(*inv_changes.columns), "seq").alias("r")).select("r.*")
-             .write.mode("overwrite").parquet(f"{state_root}/inventory/v={batch_id}"))
-        finally:
-            routed.unpersist()
-    return handle
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    return _trigger(rows.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint), trigger).start()
 
-def order_state_view(spark: SparkSession, state_root: str) -> DataFrame:
-    path = latest_version(spark, f"{state_root}/orders_log")
-    return events.fold_orders(spark.read.parquet(path))
 
+def order_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The rows of ``events.fold_orders``, from the state of an order stream."""
+    s = stateful.state_table(spark, checkpoint, "orders")
+    return s.select("order_id", "status", "customer_id", F.from_json("items", events.ITEMS).alias("items"),
+                    F.col("total").cast(events.AMOUNT).alias("total"), "created_at")
 
-def inventory_state_view(spark: SparkSession, state_root: str) -> DataFrame:
-    path = latest_version(spark, f"{state_root}/inventory")
-    return spark.read.parquet(path).drop("seq")
 
+def inventory_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The rows of ``events.fold_latest`` by item, from the state of an inventory stream."""
+    s = stateful.state_table(spark, checkpoint, "inventory")
+    return s.select("item_id", F.col("quantity").cast(events.AMOUNT).alias("quantity"), "updated_at")
 
-# ---------------------------------------------------------------- I4
 
+def outbox_batch_handler(spark: SparkSession, out_root: str):
+    """One batch of bus events gives two outputs, the orders' notifications
+    and the rejected events; a retried batch replaces its own files."""
 
-def presence_batch_handler(spark: SparkSession, state_root: str, as_of_col: str = "ts"):
-    """I4: per connection keep only the last connect and last disconnect
-    (bounded state); connections whose last connect is more than 24 h older
-    than the newest mark seen are expired from the state."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        prev = latest_version(spark, f"{state_root}/presence", below=batch_id)
-        marks = batch.select("connection_id", "ts", "kind", "room")
-        if prev:
-            marks = spark.read.parquet(prev).unionByName(marks)
-        last = (marks.groupBy("connection_id", "kind")
-                .agg(F.max_by(F.struct("ts", "room"), "ts").alias("r"))
-                .select("connection_id", "kind", "r.ts", "r.room"))
-        newest = last.select(F.max("ts")).scalar()
-        keep = last.filter(F.col("ts") + F.expr(f"INTERVAL {chat.CONNECTION_TTL_S} SECONDS") > newest)
-        keep.write.mode("overwrite").parquet(f"{state_root}/presence/v={batch_id}")
+        kept = batch.persist()
+        try:
+            routed, rejected = routed_events(spark, kept)
+            ord_changes, no_order = order_changes(routed)
+            _, no_item = inventory_changes(routed)
+            for bad, cols in ((no_order, ["order_id", "kind", "seq"]), (no_item, ["item_id", "seq"])):
+                rejected = rejected.unionByName(bad.select(F.to_json(F.struct(*cols)).alias("row"), "reasons"))
+            rejected.write.mode("overwrite").parquet(f"{out_root}/quarantine/batch_id={batch_id}")
+            events.order_outbox(ord_changes).select("subject", "message").write.mode("overwrite").parquet(
+                f"{out_root}/outbox/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
     return handle
 
 
-def presence_view(spark: SparkSession, state_root: str, as_of: str | datetime) -> DataFrame:
-    path = latest_version(spark, f"{state_root}/presence")
-    return chat.presence(spark.read.parquet(path), as_of)
+# ---------------------------------------------------------------- I4
+
+
+def start_presence_stream(spark: SparkSession, marks: DataFrame, out_root: str, checkpoint: str,
+                          delay: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
+    """I4: connects, disconnects and expiries as they happen; live connections in the state store."""
+    stateful.use_state_store(spark)
+    return _start_changes(stateful.presence_stream(marks, delay), f"{out_root}/presence", checkpoint, trigger, "append")
