@@ -1,6 +1,7 @@
 """Keyed tables without a store: latest row, last-write-wins fold, bulk
-lookup, filtered listing, top-k per group, deletes, versioned upserts
-(A8, B15, B16, C4, E1, E2, E5, E6, E7, E8, F1-F3).
+lookup, filtered listing, top-k per group, deletes, upserts (A8; as a stored
+table in ``keyed_table``)
+(B15, B16, C4, E1, E2, E5, E6, E7, E8, F1-F3).
 
 Skew: folds use ``max_by`` (partial aggregation).  Top-k per group is done in
 two ranking passes -- first per (group, salt bucket), then per group over at
@@ -94,11 +95,3 @@ def upsert(state: DataFrame, changes: DataFrame, key: str | Sequence[str], seq:
     return (both.groupBy(*keys)
             .agg(F.max_by(F.struct(*cols), order).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
-
-
-def write_version(df: DataFrame, root: str, version: int | str) -> str:
-    """Versioned table write (A8 sink): a new immutable directory per batch;
-    a retried batch overwrites the same version.  Readers pick the newest."""
-    path = f"{root.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path

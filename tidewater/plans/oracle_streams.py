@@ -1,4 +1,4 @@
-"""DuckDB SQL oracles for the plans that run streams."""
+"""DuckDB SQL oracles for the plans that run streams or change a stored table."""
 
 from tidewater.plans.oracle_chat import SQL as CHAT
 from tidewater.plans.oracle_events import SQL as EVENTS
@@ -29,4 +29,11 @@ GROUP BY date_trunc('day', arr), user_id
     "order_state_stream": EVENTS["order_state"],
     "inventory_state_stream": EVENTS["inventory_state"],
     "chat_presence_stream": CHAT["chat_presence"],
+    "order_table_upserts": """
+SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 11 = 0 THEN 'released' ELSE o_orderstatus END AS status,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total
+FROM orders WHERE o_orderkey % 13 <> 0
+UNION ALL
+SELECT -o_orderkey, 'new', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) FROM orders WHERE o_orderkey % 17 = 0
+""",
 }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.plans import (chat_plans, docs_plans, etl_plans, events_plans, items_plans,
-                             media_lake_plans, metrics_plans, stream_plans, oracle_chat, oracle_docs, oracle_etl,
+                             media_lake_plans, metrics_plans, stream_plans, table_plans, oracle_chat, oracle_docs, oracle_etl,
                              oracle_events, oracle_items, oracle_media_lake, oracle_metrics, oracle_streams)
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,7 @@ def queries() -> dict[str, Plan]:
                                             "lake_partition_prune"]))
     out.update(_plans_of(stream_plans, ["stream_record_metrics", "windowed_stream_append", "order_state_stream",
                                         "inventory_state_stream", "chat_presence_stream"]))
+    out.update(_plans_of(table_plans, ["order_table_upserts"]))
     return out
 
 
