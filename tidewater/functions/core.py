@@ -7,9 +7,20 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+def once(df: DataFrame) -> DataFrame:
+    """The same rows, with every derived column worked out once a row.
+
+    The optimiser moves a filter below the projection that derives its columns and
+    repeats the whole derivation in it, for each use.  It moves nothing below a
+    generator, so one that gives each row back as it is keeps them apart.  Filters
+    that a scan could use belong before this.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 # ---------------------------------------------------------------- decoding
 
 

@@ -20,8 +20,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import file_extension, lit_ts
+from tidewater.functions.core import file_extension, lit_ts, once
 from tidewater.operators import keyed
+from tidewater.session import stored
 
 TEXT_LIMIT = 5000
 TOP_N = 20
@@ -206,7 +207,8 @@ def key_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # Corpus size as a scalar subquery (one value, no join).
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     grams = with_tokens(docs, text).select(F.col(doc_id), bigrams(F.col(TOKENS)).alias("_g"))
-    tf = grams.select(doc_id, F.inline(counted(F.col("_g"))))
+    # Read twice, for the frequencies and for the scores; tokenised once.
+    tf = stored(grams.select(doc_id, F.inline(counted(F.col("_g")))), "phrase-counts")
     df_ = tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))
     scored = (tf.join(df_, "phrase")
               .withColumn("_s", F.col("tf") * F.log(n_docs / F.col("df"))))
@@ -218,7 +220,7 @@ def key_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def translation_worklist(df: DataFrame, targets: tuple[str, ...] = (TARGET_LANGUAGE,)) -> DataFrame:
     """One translation job per (document, target language) where the
     detected language is known and differs from the target."""
-    jobs = df.withColumn("target_language", F.explode(F.array(*[F.lit(x) for x in targets])))
+    jobs = once(df).withColumn("target_language", F.explode(F.array(*[F.lit(x) for x in targets])))
     return jobs.filter((F.col("source_language") != "und") & (F.col("target_language") != F.col("source_language")))
 
 

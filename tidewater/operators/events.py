@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import has_key, strict_json
+from tidewater.functions.core import has_key, once, strict_json
 from tidewater.operators.quality import split_valid
 
 # Routing rules of the event bus, (source, detail-type, target).
@@ -35,7 +35,12 @@ SUBJECT_NOTIFICATION_DEFAULT = "Notification"
 
 
 def rules_frame(spark, rules=DEFAULT_RULES) -> DataFrame:
-    return spark.createDataFrame(rules, "source string, detail_type string, target string")
+    """The routing rules as a frame whose size the planner knows, so it need not
+    deal out the events to join them."""
+    names = ("source", "detail_type", "target")
+    rows = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, r)]) for r in rules]
+    typed = F.array(*rows).cast("array<struct<source:string,detail_type:string,target:string>>")
+    return spark.range(1).select(F.inline(typed))
 
 
 def normalise(raw: DataFrame, col: str = "event") -> tuple[DataFrame, DataFrame]:
@@ -52,12 +57,17 @@ def normalise(raw: DataFrame, col: str = "event") -> tuple[DataFrame, DataFrame]
     has_body = F.coalesce(has_key("_el", "body"), F.lit(False))
     body = F.try_variant_get("_el", "$.body", "string")
     event = F.when(has_body, strict_json(body)).otherwise(F.col("_el"))
-    tagged = exploded.withColumn(col, event).withColumn("_has_body", has_body)
+    tagged = once(exploded.withColumn(col, event).withColumn("_has_body", has_body))
     bad_body = F.col("_has_body") & F.col(col).isNull()
+    # What has one of an event's fields is an object; only of other values the whole is looked at.
+    known = F.lit(False)
+    for path in ("$.source", "$['detail-type']", "$.detail"):
+        known = known | F.try_variant_get(col, path, "variant").isNotNull()
+    is_object = F.when(known, True).otherwise(F.col(col).try_cast("map<string, variant>").isNotNull())
     ok, bad = split_valid(tagged, {
         "bad_records": F.col("_no_list"),
         "bad_body": bad_body,
-        "not_an_object": ~F.col("_no_list") & ~bad_body & F.col(col).try_cast("map<string, variant>").isNull(),
+        "not_an_object": ~F.col("_no_list") & ~bad_body & ~is_object,
     })
     return ok.drop("_el", "_no_list", "_has_body"), bad.drop("_no_list", "_has_body")
 
@@ -92,22 +102,22 @@ def parse_detail(events: DataFrame, col: str = "event") -> DataFrame:
     text = F.when(F.schema_of_variant(F.try_variant_get(e, "$.detail", "variant")) == "STRING",
                   F.try_variant_get(e, "$.detail", "string"))
     parsed = F.when(~is_obj, strict_json(text))
-    out = events.select(
+    out = once(events.select(
         "*",
-        (~is_obj & text.isNotNull() & strict_json(text).isNull()).alias("bad_detail"),
+        is_obj.alias("_is_obj"),
+        text.isNotNull().alias("_is_text"),
         F.try_variant_get(e, "$.source", "string").alias("source"),
         F.try_variant_get(e, "$['detail-type']", "string").alias("detail_type"),
         parsed.alias("_dparsed"),
-    )
+    ))
+    out = once(out.withColumns({
+        "bad_detail": ~F.col("_is_obj") & F.col("_is_text") & F.col("_dparsed").isNull(),
+        "event_type": F.coalesce(F.try_variant_get(e, "$.detail.eventType", "string"),
+                                 F.try_variant_get("_dparsed", "$.eventType", "string"), F.lit(""))}))
     empty = F.parse_json(F.lit("{}"))
     detail = F.coalesce(F.col("_dparsed"), F.try_variant_get(e, "$.detail", "variant"), empty)
-    detail = F.when(is_obj | F.col("_dparsed").isNotNull(), detail).otherwise(empty)
-    return out.select(
-        "*",
-        F.coalesce(F.try_variant_get(e, "$.detail.eventType", "string"),
-                   F.try_variant_get("_dparsed", "$.eventType", "string"), F.lit("")).alias("event_type"),
-        detail.alias("detail"),
-    ).withColumn("data", F.coalesce(F.try_variant_get("detail", "$.data", "variant"), empty))
+    detail = F.when(F.col("_is_obj") | F.col("_dparsed").isNotNull(), detail).otherwise(empty)
+    return out.select("*", detail.alias("detail")).drop("_is_obj", "_is_text").withColumn("data", F.coalesce(F.try_variant_get("detail", "$.data", "variant"), empty))
 
 
 def data_field(key: str, type_: str, col: str = "event") -> Column:
@@ -157,7 +167,7 @@ def order_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
         _get("createdAt", "string", F.lit("")).alias("created_at"),
         F.col("seq"),
     )
-    return split_valid(rows, {"missing_order_id": F.coalesce(F.col("order_id"), F.lit("")) == "",
+    return split_valid(once(rows), {"missing_order_id": F.coalesce(F.col("order_id"), F.lit("")) == "",
                               "missing_seq": F.col("seq").isNull()})
 
 
@@ -182,7 +192,7 @@ def inventory_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
         _get("updatedAt", "string", F.lit("")).alias("updated_at"),
         F.col("seq"),
     )
-    return split_valid(rows, {"missing_item_id": F.coalesce(F.col("item_id"), F.lit("")) == "",
+    return split_valid(once(rows), {"missing_item_id": F.coalesce(F.col("item_id"), F.lit("")) == "",
                               "missing_seq": F.col("seq").isNull()})
 
 

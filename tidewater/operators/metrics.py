@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import decode_base64_json, decode_stage, has_key, lit_ts, vget
+from tidewater.functions.core import decode_base64_json, decode_stage, has_key, lit_ts, once, vget
 from tidewater.operators.quality import split_valid
 
 METRICS_TTL_DAYS = 30
@@ -41,17 +41,18 @@ def decode_records(env: DataFrame) -> DataFrame:
     value casts and is finite) and ``value_error``.
     """
     millis = F.col("approximateArrivalTimestamp")
-    df = env.select(
+    df = once(env.select(
         "*",
         decode_base64_json("data").alias("payload"),
         F.when(millis.between(*ARRIVAL_RANGE), F.timestamp_millis(millis).cast("timestamp_ntz")).alias("arrival"),
-    ).withColumn("decode_error", decode_stage("data", "payload"))
-    present = has_key("payload", "value")
-    num = vget("payload", "$.value", "double")
+    ))
+    df = once(df.withColumns({"decode_error": decode_stage("data", "payload"), "_present": has_key("payload", "value"),
+                              "_number": vget("payload", "$.value", "double")}))
+    present, num = F.col("_present"), F.col("_number")
     number = num.isNotNull() & ~F.isnan(num)
     fits = number & (F.abs(num) < MAX_VALUE)
     return df.select(
-        "*",
+        *[c for c in df.columns if c not in ("_present", "_number")],
         present.alias("has_value"),
         F.when(present & fits, num).alias("value_num"),
         F.when(present & ~number, F.lit("bad_value")).when(present & ~fits, F.lit("value_range")).alias("value_error"),

@@ -35,7 +35,7 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("l_quantity").cast("bigint").alias("quantity"),
                  F.col("l_extendedprice").cast("decimal(18,2)").alias("price")))).alias("lines"))
              .select("l_orderkey", F.transform("lines", lambda x: x.dropFields("l_linenumber")).alias("items")))
-    o = orders.join(items, orders.o_orderkey == items.l_orderkey, "left")
+    o = orders.repartition("o_orderkey").join(items, orders.o_orderkey == items.l_orderkey, "left")
     key = F.col("o_orderkey").cast("string")
 
     created_detail = (F.struct(
@@ -62,7 +62,8 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(done_at.alias("t"), F.lit(1).alias("phase"),
                  F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
 
-    inventory = li.select(
+    # A bus has its events in shards; the tables come in one piece.
+    inventory = li.repartition("l_orderkey", "l_linenumber").select(
         F.to_variant_object(F.struct(
             F.lit("inventory").alias("source"), F.lit("Inventory Updated").alias("detail-type"),
             F.struct(F.lit("inventory.updated").alias("eventType"),
@@ -132,7 +133,7 @@ def routed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events of which 7 in 20, by order key, are broken."""
-    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").repartition("o_orderkey")
     k = F.col("o_orderkey")
     case, key = k % 20, k.cast("string")
     detail = F.concat(F.lit('{"eventType":"'), F.when(case == 3, "order.lost").otherwise("order.created"), F.lit('","data":{'),

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  They are applied with "set if unset"
 # semantics so a cluster configuration is never overridden.
@@ -80,6 +81,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back, for a frame
+    that is costly to make and used more than once."""
+    path = scratch_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for job-owned tables."""
     return os.path.join(checkpoint_dir(spark), *parts)
