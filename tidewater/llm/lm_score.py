@@ -46,7 +46,7 @@ FREQUENT, CLASSES, WIDTH = 2_000_000, 511, 16
 BATCH, NOISE, RATE, ROUNDS = 2048, 48, 0.05, 2
 PER_ROOT, MEMBER_NOISE = 4, 8
 _END = np.uint64(0x27D4EB2F165667C5)
-_FLUSH, _STEP = 1 << 21, 1 << 13
+_FLUSH, _STEP, _CACHED, _SAFE = 1 << 21, 1 << 18, 1 << 17, 60
 
 
 def token_hashes(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -225,45 +225,48 @@ def contexts(classes: np.ndarray, starts: np.ndarray, none: int) -> tuple[np.nda
 def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int]:
     """One pass over (class, before, two before[, subclass]) arrays; tokens seen."""
     rng = np.random.default_rng(seed)
-    side, model = model.side, Model(*(x.copy() for x in model))
+    side, model = model.side, Model(*(x.astype(np.float32) for x in model))
     first, second, target, bias, group, group_bias, member, member_bias = model
-    squares = [np.full(x.shape, 1e-3) for x in model]
+    squares = [np.full(x.shape, 1e-3, np.float32) for x in model]
     # Subclasses are in few rows of a batch: their steps begin at full length.
     for x in (squares[0][len(target) + 1:], squares[1][len(target) + 1:], *squares[4:]):
         x[:] = 1 / BATCH ** 2
-    edges, log_noise, columns, seen = np.cumsum(share), np.log(NOISE * share), np.arange(WIDTH), 0
+    edges, log_noise, seen = np.cumsum(share), np.log(NOISE * share).astype(np.float32), 0
 
     def step(x, square, grad):
         square += grad * grad
         x -= RATE * grad / np.sqrt(square)
 
-    def rows(at, values, like):
-        return np.bincount((at[:, None] * WIDTH + columns).ravel(), values.ravel(), like.size).reshape(like.shape)
-
-    def step_rows(x, square, at, grad):
-        """A step of the rows that have a gradient."""
-        own, place = np.unique(at, return_inverse=True)
-        g = np.bincount((place[:, None] * WIDTH + columns).ravel(), grad.ravel(), len(own) * WIDTH).reshape(-1, WIDTH)
-        square[own] += g * g
-        x[own] -= RATE * g / np.sqrt(square[own])
+    def step_rows(x, square, at, grad, scale):
+        """A step of the rows that have a gradient; those of one row are added up."""
+        at = at.astype(np.uint16) if len(x) < 1 << 16 else at     # short numbers are sorted in one pass
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])[:len(at)])
+        own = at[begin]
+        g = np.add.reduceat(grad[order], begin, axis=0) * scale
+        s = square[own] + g * g
+        square[own] = s
+        x[own] -= RATE * g / np.sqrt(s)
 
     def divided(sub, q, n):
         """A step of the groups and subclasses; the gradient of the contexts."""
         of = sub // side
         p = q @ group.T + group_bias
-        p = np.exp(p - p.max(1, keepdims=True))
+        p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(sub)), of] -= 1
         fits = np.minimum(side, len(member) - of * side)
-        pick = np.column_stack([sub, (of * side)[:, None] + (rng.random((len(sub), MEMBER_NOISE)) * fits[:, None]).astype(np.int64)])
+        pick = np.column_stack([sub, (of * side)[:, None] + (rng.random((len(sub), MEMBER_NOISE), np.float32) * fits[:, None]).astype(np.int64)])
         v = member[pick]
-        e = 1 / (1 + np.exp(-(np.einsum("nd,nkd->nk", q, v) + member_bias[pick] - np.log(MEMBER_NOISE / fits)[:, None])))
+        e = 1 / (1 + np.exp(-(np.einsum("nd,nkd->nk", q, v) + member_bias[pick] - np.log(MEMBER_NOISE / fits).astype(np.float32)[:, None])))
         e[:, 0] -= 1
         dq = p @ group + np.einsum("nk,nkd->nd", e, v)
         step(group, squares[4], p.T @ q / n)
         step(group_bias, squares[5], p.sum(0) / n)
-        step_rows(member, squares[6], pick.ravel(), (e[:, :, None] * q[:, None, :]).reshape(-1, WIDTH) / n)
-        step(member_bias, squares[7], np.bincount(pick.ravel(), e.ravel(), len(member)) / n)
+        step_rows(member, squares[6], pick.ravel(), (e[:, :, None] * q[:, None, :]).reshape(-1, WIDTH), np.float32(1 / n))
+        step(member_bias, squares[7], (np.bincount(pick.ravel(), e.ravel(), len(member)) / n).astype(np.float32))
         return dq
 
     for word, one, two, *subs in parts:
@@ -277,14 +280,15 @@ def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int
             true = 1 / (1 + np.exp(-((q * target[w]).sum(1) + bias[w] - log_noise[w]))) - 1
             false = 1 / (1 + np.exp(-(q @ target[noise].T + bias[noise] - log_noise[noise])))
             dq = true[:, None] * target[w] + false @ target[noise]
-            dt = rows(w, true[:, None] * q, target) + rows(noise, false.T @ q, target)
             db = np.bincount(w, true, len(bias)) + np.bincount(noise, false.sum(0), len(bias))
+            dt = np.concatenate([true[:, None] * q, false.T @ q])
             if subs and len(other := np.flatnonzero(subs[0][at] >= 0)):
                 dq[other] += divided(subs[0][at[other]], q[other], len(at))
-            step_rows(first, squares[0], a, dq / len(at))
-            step_rows(second, squares[1], b, dq / len(at))
-            step(target, squares[2], dt / len(at))
-            step(bias, squares[3], db / len(at))
+            scale = np.float32(1 / len(at))
+            step_rows(first, squares[0], a, dq, scale)
+            step_rows(second, squares[1], b, dq, scale)
+            step_rows(target, squares[2], np.concatenate([w, noise]), dt, scale)
+            step(bias, squares[3], (db * scale).astype(np.float32))
     return model, seen
 
 
@@ -319,9 +323,32 @@ def fit_model(docs: DataFrame, words: Words, words_shared) -> Model:
     return model
 
 
-def _log_sums(s: np.ndarray) -> np.ndarray:
-    top = s.max(1)
-    return top + np.log(np.exp(s - top[:, None]).sum(1))
+def _log_sums(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Log of the sum of exponentials of ``q @ vectors.T + bias``, row by row.
+
+    Some rows at a time, in one buffer that stays in the processor's cache.
+    """
+    out = np.empty(len(q), q.dtype)
+    across = np.ascontiguousarray(vectors.T)
+    rows = max(64, _CACHED // max(1, len(vectors)))
+    buffer = np.empty((min(rows, len(q)), len(vectors)), q.dtype)
+    # No product exceeds this; where it is small, exponentials need no common factor taken out.
+    reach = np.sqrt((q * q).sum(1).max(initial=0) * (vectors * vectors).sum(1).max(initial=0)) + np.abs(bias.max(initial=-np.inf) if len(bias) else 0)
+    ones = np.ones(len(vectors), q.dtype)
+    for i in range(0, len(q), rows):
+        part = q[i:i + rows]
+        s = buffer[:len(part)]
+        np.matmul(part, across, out=s)
+        s += bias
+        if reach < _SAFE:
+            np.exp(s, out=s)
+            out[i:i + rows] = np.log(s @ ones)
+        else:
+            top = s.max(1)
+            s -= top[:, None]
+            np.exp(s, out=s)
+            out[i:i + rows] = top + np.log(s @ ones)
+    return out
 
 
 def normalisers(model: Model) -> np.ndarray:
@@ -329,7 +356,7 @@ def normalisers(model: Model) -> np.ndarray:
     n = len(model.target) + 1
     out = np.empty((n, n), np.float32)
     for a in range(n):
-        out[a] = _log_sums((model.first[a] + model.second[:n]) @ model.target.T + model.bias)
+        out[a] = _log_sums(model.first[a] + model.second[:n], model.target, model.bias)
     return out
 
 
@@ -343,19 +370,23 @@ def class_logs(model: Model, log_sum: np.ndarray, word, one, two, sub) -> np.nda
         q = model.first[a] + model.second[b]
         plain = (a < n) & (b < n)
         z = log_sum[np.where(plain, a, 0), np.where(plain, b, 0)].astype(np.float64)
-        z[~plain] = _log_sums(q[~plain] @ model.target.T + model.bias)
+        # Each pair of contexts once.
+        other = np.flatnonzero(~plain)
+        _, first, same = np.unique(a[other] * len(model.first) + b[other], return_index=True, return_inverse=True)
+        z[other] = _log_sums(q[other[first]], model.target, model.bias)[same]
         logs = np.einsum("ij,ij->i", q, model.target[w]) + model.bias[w] - z
         other = np.flatnonzero(d >= 0)
         if len(other):
             of = d[other] // side
-            p = q[other] @ model.group.T + model.group_bias
-            logs[other] += p[np.arange(len(other)), of] - _log_sums(p)
+            own_q = q[other]
+            logs[other] += (np.einsum("ij,ij->i", own_q, model.group[of]) + model.group_bias[of]
+                            + np.einsum("ij,ij->i", own_q, model.member[d[other]]) + model.member_bias[d[other]]
+                            - _log_sums(own_q, model.group, model.group_bias))
             order = np.argsort(of, kind="stable")
             cuts = np.flatnonzero(np.diff(of[order])) + 1
             for own in np.split(other[order], cuts):
                 low = d[own[0]] // side * side
-                p = q[own] @ model.member[low:low + side].T + model.member_bias[low:low + side]
-                logs[own] += p[np.arange(len(own)), d[own] - low] - _log_sums(p)
+                logs[own] -= _log_sums(q[own], model.member[low:low + side], model.member_bias[low:low + side])
         out[s] = logs
     return out
 
