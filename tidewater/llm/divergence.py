@@ -41,7 +41,7 @@ from tidewater.llm.textarrays import LOWER, buffers, chunks, hash_spans, mix, wo
 from tidewater.operators.keyed import top_k
 
 MIN_DOCS, TOP, SCALE = 3, 200, 1_000_000_000
-SHARD_KEYS, BROADCAST_KEYS, PAGE = 1 << 16, 1 << 21, 1 << 12
+SHARD_KEYS, BROADCAST_KEYS, PAGE = 1 << 13, 1 << 21, 1 << 12
 _CHUNK, _COUNTERS = 4 << 20, 1 << 23
 
 #: All bytes below 0x80 but letters end a term.
