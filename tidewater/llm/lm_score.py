@@ -127,9 +127,11 @@ class Words(NamedTuple):
         own = np.where(known, self.subs[at], -1) if len(self.subs) else np.full(len(tokens), -1)
         return np.where(classes != self.other, -1, np.where(own >= 0, own, by_hash))
 
-    def places(self, tokens: np.ndarray, starts: np.ndarray):
-        """(class, context before, context two before, subclass) of each token."""
-        at, known = self.find(tokens)
+    def places(self, tokens: np.ndarray, starts: np.ndarray, found: tuple[np.ndarray, np.ndarray] | None = None):
+        """(class, context before, context two before, subclass) of each token.
+
+        ``found`` is what ``find`` gave for the tokens."""
+        at, known = found or self.find(tokens)
         classes = np.where(known, self.classes[at] if len(self.classes) else 0, self.other).astype(np.int64)
         subs = self.subclasses_of(tokens, at, known, classes)
         own = np.where(subs >= 0, self.other + 2 + subs, classes)
@@ -222,6 +224,13 @@ def contexts(classes: np.ndarray, starts: np.ndarray, none: int) -> tuple[np.nda
     return one, two
 
 
+def _sigmoid_of_minus(x: np.ndarray) -> None:
+    """1 / (1 + exp(x)), in place."""
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
 def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int]:
     """One pass over (class, before, two before[, subclass]) arrays; tokens seen."""
     rng = np.random.default_rng(seed)
@@ -252,21 +261,38 @@ def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int
     def divided(sub, q, n):
         """A step of the groups and subclasses; the gradient of the contexts."""
         of = sub // side
-        p = q @ group.T + group_bias
+        p = q @ group.T
+        p += group_bias
         p -= p.max(1, keepdims=True)
         np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(sub)), of] -= 1
-        fits = np.minimum(side, len(member) - of * side)
-        pick = np.column_stack([sub, (of * side)[:, None] + (rng.random((len(sub), MEMBER_NOISE), np.float32) * fits[:, None]).astype(np.int64)])
-        v = member[pick]
-        e = 1 / (1 + np.exp(-(np.einsum("nd,nkd->nk", q, v) + member_bias[pick] - np.log(MEMBER_NOISE / fits).astype(np.float32)[:, None])))
-        e[:, 0] -= 1
-        dq = p @ group + np.einsum("nk,nkd->nd", e, v)
+        dq = p @ group
         step(group, squares[4], p.T @ q / n)
         step(group_bias, squares[5], p.sum(0) / n)
-        step_rows(member, squares[6], pick.ravel(), (e[:, :, None] * q[:, None, :]).reshape(-1, WIDTH), np.float32(1 / n))
-        step(member_bias, squares[7], (np.bincount(pick.ravel(), e.ravel(), len(member)) / n).astype(np.float32))
+        # A group's words stand together, as a matrix, and share its noise.
+        order = np.argsort(of, kind="stable")
+        own, row = np.unique(of[order], return_inverse=True)
+        col = np.arange(len(of)) - np.searchsorted(row, np.arange(len(own)))[row]
+        fits = np.minimum(side, len(member) - own * side)
+        drawn = (own * side)[:, None] + (rng.random((len(own), MEMBER_NOISE), np.float32) * fits[:, None]).astype(np.int64)
+        log_drawn = np.log(MEMBER_NOISE / fits).astype(np.float32)
+        together = np.zeros((len(own), col.max() + 1, WIDTH), np.float32)
+        together[row, col] = q[order]
+        v = member[drawn]
+        e = together @ -v.transpose(0, 2, 1)
+        e += (log_drawn[:, None] - member_bias[drawn])[:, None, :]
+        _sigmoid_of_minus(e)
+        e *= (np.arange(e.shape[1]) < np.bincount(row)[:, None])[:, :, None]
+        dq[order] += (e @ v)[row, col]
+        hit, log_own = member[sub], np.empty(len(sub), np.float32)
+        log_own[order] = log_drawn[row]
+        true = 1 / (1 + np.exp(log_own - np.einsum("nd,nd->n", q, hit) - member_bias[sub])) - 1
+        hit *= true[:, None]
+        dq += hit
+        pick = np.concatenate([sub, drawn.ravel()])
+        step_rows(member, squares[6], pick, np.concatenate([true[:, None] * q, (e.transpose(0, 2, 1) @ together).reshape(-1, WIDTH)]), np.float32(1 / n))
+        step(member_bias, squares[7], (np.bincount(pick, np.concatenate([true, e.sum(1).ravel()]), len(member)) / n).astype(np.float32))
         return dq
 
     for word, one, two, *subs in parts:
@@ -277,9 +303,15 @@ def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int
             w, a, b = word[at], one[at], two[at]
             noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(share) - 1)
             q = first[a] + second[b]
-            true = 1 / (1 + np.exp(-((q * target[w]).sum(1) + bias[w] - log_noise[w]))) - 1
-            false = 1 / (1 + np.exp(-(q @ target[noise].T + bias[noise] - log_noise[noise])))
-            dq = true[:, None] * target[w] + false @ target[noise]
+            hit = target[w]
+            true = 1 / (1 + np.exp(log_noise[w] - np.einsum("nd,nd->n", q, hit) - bias[w])) - 1
+            against = target[noise]
+            false = q @ -against.T
+            false += log_noise[noise] - bias[noise]
+            _sigmoid_of_minus(false)
+            dq = false @ against
+            hit *= true[:, None]
+            dq += hit
             db = np.bincount(w, true, len(bias)) + np.bincount(noise, false.sum(0), len(bias))
             dt = np.concatenate([true[:, None] * q, false.T @ q])
             if subs and len(other := np.flatnonzero(subs[0][at] >= 0)):
@@ -405,7 +437,7 @@ def _score_rows(batches, words: Words, model: Model, log_sum: np.ndarray):
         for c in chunks(batch.column(1)):
             tokens, starts = token_hashes(c)
             place, known = words.find(tokens)
-            classes, one, two, subs = words.places(tokens, starts)
+            classes, one, two, subs = words.places(tokens, starts, (place, known))
             logs = class_logs(model, log_sum, classes, one, two, subs)
             own = np.where(known, weight[place] if len(weight) else 0.0, 0.0)
             shared = np.where(subs >= words.singles, own - rest[np.maximum(subs, 0)], 0.0)
