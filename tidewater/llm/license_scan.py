@@ -11,7 +11,9 @@ in no known sentence count as unknown.
 
 ``SENTENCES`` and ``RULES`` are those of the SQL; ``PUBLISHED`` and
 ``PUBLISHED_RULES`` add the notices as their licences publish them, whose
-sentences the cut divides.
+sentences the cut divides, and the titles of full texts; ``SLOTS`` adds sentences
+with free parts, as the clause on names, which tells BSD-3-Clause from BSD-2-Clause
+whoever is named.
 
 Everything is an expression over the row: no shuffle and no Python.
 
@@ -114,6 +116,19 @@ def _published() -> tuple[dict[str, str], list]:
         "this source code form is subject to the terms of the mozilla public license v": "mpl.terms",     # cut before 2.0
         "this is free and unencumbered software released into the public domain": "unlicense.free",
         "without even the implied warranty of merchantability or fitness for a particular purpose": "gnu.merchant",
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib.grant",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third-parties to whom the software is furnished to do so all subject to the following": "bsl.grant",
+        "the copyright notices in the software and this entire statement including the above license grant this restriction and the following disclaimer must be included in all copies of the software in whole or in part and all derivative works of the software unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor": "bsl.notice",
+        "boost software license - version 1.0 - august 17th 2003": "bsl.title",
+        # The titles of full texts.
+        "apache license version 2.0 january 2004": "ref.Apache-2.0",
+        "apache license version 2.0 january 2004 http //www.apache.org/licenses": "ref.Apache-2.0",
+        "mozilla public license version 2.0": "ref.MPL-2.0",
+        "gnu general public license version 2 june 1991": "ref.GPL-2.0",
+        "gnu general public license version 3 29 june 2007": "ref.GPL-3.0",
+        "gnu lesser general public license version 2.1 february 1999": "ref.LGPL-2.1",
+        "gnu lesser general public license version 3 29 june 2007": "ref.LGPL-3.0",
+        "gnu affero general public license version 3 19 november 2007": "ref.AGPL-3.0",
     }
     out |= {f"{lead} the apache license version 2.0 the license": "ref.Apache-2.0" for lead in _LEADS}
     for scheme in ("http", "https"):
@@ -124,7 +139,10 @@ def _published() -> tuple[dict[str, str], list]:
         name = f"creative commons {'-'.join(_CC[x] for x in k.split('-'))} {v}"
         out |= {f"{lead} {a}{name}{b}": f"ref.CC-{k.upper()}-{v[:3]}" for lead in _LEADS for a in ("", "a ", "the ") for b in ("", " license")}
     rules = [(("mit.permission", "mit.notice", "asis"), "MIT"), (("mit.permission", "mit.notice"), "MIT"), (("mit.permission",), "MIT"),
-             (("0bsd.grant",), "0BSD"), (("mpl.terms",), "MPL-2.0"), (("unlicense.free",), "Unlicense")]
+             (("0bsd.grant",), "0BSD"), (("mpl.terms",), "MPL-2.0"), (("unlicense.free",), "Unlicense"),
+             (("bsd.grant", "bsd.source", "bsd.binary", "bsd.ads", "bsd.names"), "BSD-4-Clause"),
+             (("bsd.grant", "bsd.source", "bsd.binary", "bsd.ads"), "BSD-4-Clause"), (("zlib.grant",), "Zlib"),
+             (("bsl.title", "bsl.grant", "bsl.notice"), "BSL-1.0"), (("bsl.grant", "bsl.notice"), "BSL-1.0"), (("bsl.grant",), "BSL-1.0")]
     spdx = {x: x for x in (*NAMES, *SPDX)}
     free = "you can redistribute it and/or modify it under the terms of the gnu"
     starts = ("", *(f"{x} is free software " for x in _SUBJECTS))
@@ -164,7 +182,7 @@ ALL_RULES = (*PUBLISHED_RULES, *RULES)
 
 #: Every known sentence holds one of these patterns, in any case.
 HINTS = (r"licens", r"(released|distributed|available)\W+under", r"permi", r"warrant", r"redistribution", r"reserved", r"endorse", r"spdx",
-         r"unencumbered", r"later\W+version")
+         r"unencumbered", r"later\W+version", r"acknowledgement")
 _SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]|[.!?;]+\z|\n[\x20\x09]*\n"
 
 
@@ -205,8 +223,17 @@ def normalised(sentence: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(words, r"(?m)^[ ./+-]+|(?:[./-]*(?: [./+-]*)+|[./-]+)$", ""), r"^\n+|\n+$|(?<=\n)\n+", "")
 
 
-#: Known sentences, and whole SPDX lines, between line ends or sentence ends.
-_KNOWN = rf"(?<![^\n;])(?:{_trie_pattern(ALL_SENTENCES)}|{_SPDX} [^\n;]*)(?![^\n;])"
+#: Sentences with free parts, which hold a name: identifier, and the pattern with
+#: a blank for a space or a new line.  Free parts are a bounded number of words.
+SLOTS = {
+    # Nobody's name may be used in advertising: in whose favour and in which words, licences differ.
+    "bsd.names": r"(?:(?:[0-9]+|[a-z]) )?(?:neither|nor|the names?|no names?) (?:[^ \n;]+ ){0,40}?endorse or promote products derived from(?: [^ \n;]+){1,40}",
+    "bsd.ads": r"all advertising materials mentioning features or use of this software must display the following acknowledgement(?: [^ \n;]+){0,40}",
+}
+_SLOTTED = "|".join(p.replace(r" \n", "\0").replace(" ", r"[ \n]").replace("\0", r" \n") for p in SLOTS.values())
+
+#: Known sentences, those with free parts, and whole SPDX lines, between line ends or sentence ends.
+_KNOWN = rf"(?<![^\n;])(?:{_trie_pattern(ALL_SENTENCES)}|{_SLOTTED}|{_SPDX} [^\n;]*)(?![^\n;])"
 
 
 def notices(text: Column) -> Column:
@@ -228,9 +255,13 @@ def licence_columns(notice: Column) -> tuple[Column, Column]:
 
     hits = F.transform(F.regexp_extract_all(notice, F.lit(_KNOWN), F.lit(0)), lambda h: F.translate(h, "\n", " "))
     found = F.flatten(F.transform(hits, licences))
-    ids = F.filter(F.transform(found, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
-    left = F.concat(F.split(F.regexp_replace(notice, _KNOWN, ""), r"[\n;]"),
-                    F.filter(found, lambda s: F.try_element_at(known, s).isNull()))
+
+    def identifier(sentence):
+        slotted = [F.when(F.rlike(sentence, F.lit(f"^(?:{p})$")), F.lit(i)) for i, p in SLOTS.items()]
+        return F.coalesce(F.try_element_at(known, sentence), *slotted)
+
+    ids = F.filter(F.transform(found, identifier), lambda i: i.isNotNull())
+    left = F.concat(F.split(F.regexp_replace(notice, _KNOWN, ""), r"[\n;]"), F.filter(found, lambda s: identifier(s).isNull()))
     none = F.array().cast("array<string>")
     unknown = F.filter(left, lambda s: s.contains("license"))
     return F.when(notice != "", ids).otherwise(none), F.when(notice != "", unknown).otherwise(none)
