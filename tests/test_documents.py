@@ -55,3 +55,17 @@ def test_key_phrases_and_results(spark):
     assert [r.file_name for r in page] == ["a.txt"]
     one = D.latest_result(res, file_name="b.txt").collect()
     assert len(one) == 1 and one[0].file_name == "b.txt"
+
+
+def test_a_failed_part_leaves_the_others(spark):
+    rows = [(1, "a.txt", b"The cloud is great and it scales"), (2, "b.txt", b"cut \xc3"), (3, "c.txt", None), (4, "d.txt", b""),
+            (5, "e.xyz", b"the text"), (6, "f.txt", b"123 456"), (7, "g.txt", "el perro y la casa de los ni\u00f1os".encode())]
+    files = D.classify_files(spark.createDataFrame(rows, "doc_id long, file_name string, content binary"))
+    got = {r.doc_id: r for r in D.part_results(files).collect()}
+    assert {k: r.status for k, r in got.items()} == {1: "PROCESSED", 2: "ERROR", 3: "ERROR", 4: "PARTIAL", 5: "ERROR", 6: "PARTIAL", 7: "PROCESSED"}
+    assert [got[k].text_part.error for k in range(1, 8)] == [None, "invalid UTF-8", "no content", None, "no reader for xyz", None, None]
+    assert got[2].analysis_part is None and got[2].translation_part is None and got[2].text_part.value is None
+    assert got[1].translation_part.value == ("en", "es") and got[7].translation_part.value == ("es", None)
+    assert got[6].analysis_part.value.sentiment == "NEUTRAL" and got[6].translation_part.error == "language not detected"
+    assert got[4].text_part.value.full_text_length == 0 and got[4].analysis_part.error == "empty text"
+    assert D.part_results(files.limit(0)).count() == 0

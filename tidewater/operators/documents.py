@@ -241,6 +241,50 @@ def assemble(docs: DataFrame, phrases: DataFrame, as_of: str | datetime,
     }).drop("_kp")
 
 
+def read_contents(files: DataFrame, content: str = "content") -> DataFrame:
+    """K1 for raw bytes: ``text``, and ``text_error`` where there is none.
+
+    ``files`` are ``classify_files`` rows with the bytes of each file; no file
+    makes the job fail: what can't be read has a null text and its reason.
+    """
+    text = F.try_validate_utf8(F.col(content).cast("string"))
+    direct = F.col("route") == "direct_read"
+    read = once(files.withColumn("text", F.when(direct, text)))
+    return read.withColumn("text_error", F.when(~direct, F.concat(F.lit("no reader for "), F.col("file_type")))
+                           .when(F.col(content).isNull(), F.lit("no content"))
+                           .when(F.col("text").isNull(), F.lit("invalid UTF-8")))
+
+
+def _part(value: Column, error: Column) -> Column:
+    """One part of a result: its value, or why it has none."""
+    return F.struct(F.when(error.isNull(), value).alias("value"), error.alias("error"))
+
+
+def part_results(files: DataFrame, content: str = "content") -> DataFrame:
+    """K6 + M1: one row per file with a part for its text, its analysis and its
+    translation job, each ``struct<value, error>``.
+
+    A failed part leaves the others as they are; a part that needs the text of
+    a file without one is null, as it wasn't tried.  An empty text can't be
+    analysed, and a text of unknown language can't be translated; one in the
+    target language needs no job, which is no error.  ``status`` is ``ERROR``
+    if the text failed, ``PARTIAL`` if another part did, else ``PROCESSED``.
+    """
+    read = extract_text(with_tokens(read_contents(files, content)))
+    done = entities(sentiment(detect_language(read))).drop(TOKENS)
+    have, blank = F.col("text_error").isNull(), F.col("text") == ""
+    text = _part(F.struct("extracted_text", "full_text_length", "overflow_path"), F.col("text_error"))
+    analysis = _part(F.struct("sentiment", "sentiment_scores", "entities"), F.when(blank, F.lit("empty text")))
+    target = F.when(F.col("source_language") != TARGET_LANGUAGE, F.lit(TARGET_LANGUAGE))
+    job = _part(F.struct("source_language", target.alias("target_language")),
+                F.when(blank, F.lit("empty text")).when(F.col("source_language") == "und", F.lit("language not detected")))
+    parts = done.withColumns({"text_part": text, "analysis_part": F.when(have, analysis), "translation_part": F.when(have, job)})
+    status = (F.when(~have, F.lit("ERROR"))
+              .when(F.coalesce("analysis_part.error", "translation_part.error").isNotNull(), F.lit("PARTIAL"))
+              .otherwise(F.lit("PROCESSED")))
+    return parts.select(*files.columns, "text_part", "analysis_part", "translation_part", status.alias("status")).drop(content)
+
+
 def to_result_row(df: DataFrame) -> DataFrame:
     """Flatten for a key-value store: nested values as JSON text."""
     return df.select(

@@ -91,3 +91,20 @@ def doc_result_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7 / F2: the first 100 results by file name."""
     r = D.latest_result(D.to_result_row(_results(spark, sf_dir)))
     return r.select("file_name", "processed_at", "sentiment", "source_language")
+
+
+def doc_part_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + M1: parts and errors per file, over documents as bytes, of which some
+    are missing, some are not UTF-8, some empty and some of a type without reader."""
+    d = t(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    k = F.col("doc_id") % 20
+    content = (F.when(k == 3, F.lit(None).cast("binary")).when(k == 5, F.concat(F.to_binary("text", F.lit("utf-8")), F.unhex(F.lit("C3"))))
+               .when(k == 9, F.to_binary(F.lit(""), F.lit("utf-8"))).otherwise(F.to_binary("text", F.lit("utf-8"))))
+    name = F.concat(F.col("source"), F.lit("/doc-"), F.col("doc_id"), F.when(k == 7, F.lit(".xyz")).otherwise(F.lit(".txt")))
+    r = D.part_results(D.classify_files(d.select("doc_id", name.alias("file_name"), content.alias("content"))))
+    return r.select("doc_id", "file_name", "status", F.col("text_part.error").alias("text_error"),
+                    F.col("text_part.value.full_text_length").alias("full_text_length"),
+                    F.col("analysis_part.error").alias("analysis_error"), F.col("analysis_part.value.sentiment").alias("sentiment"),
+                    F.col("translation_part.error").alias("translation_error"),
+                    F.col("translation_part.value.source_language").alias("source_language"),
+                    F.col("translation_part.value.target_language").alias("target_language"))

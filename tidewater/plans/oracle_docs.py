@@ -114,5 +114,22 @@ WITH {_DOCS}, {_LANG}, {_SENT}
 SELECT l.file_name, '2024-02-01T00:00:00' AS processed_at, s.sentiment, l.source_language
 FROM lang_v l JOIN sent s USING (doc_id)
 ORDER BY l.file_name LIMIT 100
+""",
+    "doc_part_results": f"""
+WITH {_DOCS}, {_LANG}, {_SENT},
+p AS (SELECT l.*, s.sentiment AS label, doc_id % 20 AS k FROM lang_v l JOIN sent s USING (doc_id)),
+q AS (SELECT *, CASE k WHEN 3 THEN 'no content' WHEN 5 THEN 'invalid UTF-8' WHEN 7 THEN 'no reader for xyz' END AS text_error,
+             k = 9 OR text = '' AS blank FROM p),
+r AS (SELECT *, CASE WHEN text_error IS NULL AND blank THEN 'empty text' END AS analysis_error,
+             CASE WHEN text_error IS NOT NULL THEN NULL WHEN blank THEN 'empty text'
+                  WHEN source_language = 'und' THEN 'language not detected' END AS translation_error FROM q)
+SELECT doc_id, CASE WHEN k = 7 THEN replace(file_name, '.txt', '.xyz') ELSE file_name END AS file_name,
+       CASE WHEN text_error IS NOT NULL THEN 'ERROR' WHEN coalesce(analysis_error, translation_error) IS NOT NULL THEN 'PARTIAL'
+            ELSE 'PROCESSED' END AS status, text_error,
+       CASE WHEN text_error IS NULL THEN CASE WHEN blank THEN 0 ELSE CAST(length(text) AS INTEGER) END END AS full_text_length,
+       analysis_error, CASE WHEN text_error IS NULL AND NOT blank THEN label END AS sentiment, translation_error,
+       CASE WHEN text_error IS NULL AND translation_error IS NULL THEN source_language END AS source_language,
+       CASE WHEN text_error IS NULL AND translation_error IS NULL AND source_language <> 'es' THEN 'es' END AS target_language
+FROM r
 """,
 }

@@ -39,7 +39,8 @@ def queries() -> dict[str, Plan]:
                                       "chat_room_users", "chat_message_rows"]))
     out.update(_plans_of(docs_plans, ["doc_text", "doc_overflow", "doc_language", "doc_language_accuracy",
                                       "doc_sentiment", "doc_entities", "doc_key_phrases",
-                                      "doc_translation_worklist", "doc_results", "doc_result_page"]))
+                                      "doc_translation_worklist", "doc_results", "doc_result_page",
+                                      "doc_part_results"]))
     out.update(_plans_of(media_lake_plans, ["media_results", "media_notification_counts",
                                             "lake_ingest_summary", "lake_category_stats", "lake_count",
                                             "lake_sample", "lake_partition_query", "lake_two_batches",
