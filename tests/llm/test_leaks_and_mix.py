@@ -25,8 +25,10 @@ def _items():
     return rng, items + [(20, None), (21, ""), (22, items[0][1]), (None, prose(rng, 25, 5000))]
 
 
-def test_overlaps_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 50)      # several blocks
+@pytest.mark.parametrize("hot, bits", [(4096, 28), (2, 4)])      # every seed hot, nearly all let through
+def test_overlaps_equal_brute_force(spark, monkeypatch, hot, bits):
+    monkeypatch.setattr(decontaminate, "HOT", hot)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", bits)
     rng, items = _items()
     docs = []
     for k in range(60):

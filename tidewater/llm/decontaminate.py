@@ -7,13 +7,18 @@ ignore the others, so a hit survives substitutions at ignored positions; the
 masks are chosen so that every window within the allowed substitutions holds a
 hit.  Each hit's alignment is then compared word by word.
 
-The item side is taken in blocks of ``BLOCK_WORDS`` words; each block is
-broadcast and all documents are scanned against it, so any benchmark size
-works in bounded memory.
+The seeds of the items are a table: hash, place, and the words up to ``REACH``
+before and after, which hold every window that the hit may lie in.  A filter of
+their hashes, of bounded size, is broadcast; the seeds of the documents that pass
+it are written with the words around them and joined with the items' by hash, so
+neither texts nor items are read again or shuffled.  A seed that many places share
+is dealt out by salt.  Since every window that agrees holds a hit, the windows
+around the hits are all that are to be compared.
 
 Defined results: null or empty text, on either side, matches nothing; items of
 fewer than five words must agree in full; rows that repeat on the document side
-each give their rows, equal items count once; an empty table gives an empty
+each give their rows, equal items count once, items of equal id and different texts
+are items of their own; an empty table gives an empty
 result; other columns are not read.  Words are compared by 64-bit hashes of
 their bytes, A-Z lower-cased.
 """
@@ -29,13 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import bounded_batches, free_prefix, keyed_hash, table
+from tidewater.llm.shared import bounded_batches, free_prefix, keyed_hash, materialise, table
 from tidewater.llm.textarrays import chunks, mix, word_hashes
 
 WINDOW, SHARE = 13, 80
-BLOCK_WORDS = 1 << 20
-_FILTER_BITS = 20
-_STEP = 1 << 20     # word comparisons done at once
+REACH = WINDOW - 1
+AROUND = 8 * (2 * REACH + 1)      # bytes
+LEAST_BITS, MOST_BITS, PROBES = 20, 28, 3
+#: Places in documents from which on a seed is dealt out over several tasks.
+HOT = 4096
+_STEP = 1 << 14     # seeds of a batch
 
 
 def needed(window: int) -> int:
@@ -87,128 +95,154 @@ def _seed_hashes(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     return mix(out)
 
 
-class Block(NamedTuple):
-    """Some items: their words, and their seeds in order of hash."""
-
-    ids: list
-    words: np.ndarray
-    offsets: np.ndarray
-    masks: tuple[tuple[int, ...], ...]
-    seeds: np.ndarray      # sorted hashes, repeats kept
-    item: np.ndarray       # of each seed
-    at: np.ndarray         # its position in the item
-    maybe: np.ndarray      # whether a seed has these leading bits
-
-
-def build_block(ids: list, texts: list[str | None]) -> Block:
-    parts = [word_hashes(c) for c in chunks(pa.array(texts, pa.string()))]
-    words = np.concatenate([w for w, _ in parts]) if parts else np.zeros(0, np.uint64)
-    offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(at) for _, at in parts]))]).astype(np.int64)
-    seeds, item, at, used = [], [], [], []
-    length = np.diff(offsets)
-    for window in sorted(set(np.minimum(length[length > 0], WINDOW).tolist())):
-        members = np.flatnonzero(np.minimum(length, WINDOW) == window)
-        for mask in masks(window):
-            used.append(mask)
-            for k in members:
-                h = _seed_hashes(words[offsets[k]:offsets[k + 1]], mask)
-                seeds.append(h)
-                item.append(np.full(len(h), k, np.int32))
-                at.append(np.arange(len(h), dtype=np.int32))
-    seeds, item, at = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((seeds, np.uint64), (item, np.int32), (at, np.int32)))
-    order = np.argsort(seeds, kind="stable")
-    maybe = np.zeros(1 << _FILTER_BITS, bool)
-    maybe[(seeds >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-    return Block(ids, words, offsets, tuple(dict.fromkeys(used)), seeds[order], item[order], at[order], maybe)
-
-
-def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... of each pair of start and count, one after another."""
-    ends = np.cumsum(counts)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)
-
-
-def _alignments(words: np.ndarray, at: np.ndarray, block: Block) -> np.ndarray:
-    """Distinct (document, item, shift) with a hit; shift = document - item position."""
-    found = []
-    for mask in block.masks:
-        h = _seed_hashes(words, mask)
-        pos = np.flatnonzero(block.maybe[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-        low = np.searchsorted(block.seeds, h[pos], "left")
-        count = np.searchsorted(block.seeds, h[pos], "right") - low
-        doc = np.searchsorted(at, pos, "right") - 1
-        count[pos + mask[-1] >= at[doc + 1]] = 0       # runs into the next document
-        seed = _runs(low, count)
-        doc, pos = np.repeat(doc, count), np.repeat(pos, count)
-        found.append(np.column_stack([doc, block.item[seed], pos - at[doc] - block.at[seed]]))
-    found = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
-    if not len(found):
-        return found
-    found = found[np.lexsort(found.T[::-1])]
-    return found[np.concatenate([[True], (found[1:] != found[:-1]).any(1)])]
-
-
-def _covered(words: np.ndarray, at: np.ndarray, block: Block, rows: np.ndarray) -> np.ndarray:
-    """Words of the item in windows that agree, for each alignment."""
-    out = np.zeros(len(rows), np.int64)
-    size = np.diff(block.offsets)[rows[:, 1]]
-    low = np.maximum(0, -rows[:, 2])
-    length = np.maximum(np.minimum(size, np.diff(at)[rows[:, 0]] - rows[:, 2]) - low, 0)
-    i = 0
-    while i < len(rows):
-        j = i + max(1, int(np.searchsorted(np.cumsum(length[i:]), _STEP, "right")))
-        n, first = length[i:j], np.cumsum(length[i:j]) - length[i:j]
-        item = _runs(block.offsets[rows[i:j, 1]] + low[i:j], n)
-        doc = _runs(at[rows[i:j, 0]] + rows[i:j, 2] + low[i:j], n)
-        same = np.concatenate([[0], np.cumsum(block.words[item] == words[doc])])
-        window = np.repeat(np.minimum(size[i:j], WINDOW), n)
-        need = np.repeat([needed(int(w)) for w in np.minimum(size[i:j], WINDOW)], n).astype(np.int64)
-        here = np.arange(len(item))
-        last = np.repeat(first + n, n)
-        fits = here + window <= last
-        ok = np.flatnonzero(fits & (same[np.where(fits, here + window, here)] - same[here] >= need))
-        mark = np.zeros(len(item) + 1, np.int64)
-        np.add.at(mark, ok, 1)
-        np.add.at(mark, ok + window[ok], -1)
-        inside = np.concatenate([[0], np.cumsum(np.cumsum(mark[:-1]) > 0)])
-        out[i:j] = inside[first + n] - inside[first]
-        i = j
-    return out
-
-
-def overlaps(column: pa.Array, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, item, words covered) of each text and item that overlap."""
-    rows, items, covered = [], [], []
+def _around(words: np.ndarray, at: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """The words from ``REACH`` before each position to ``REACH`` after it; 0 outside its text."""
+    place = pos[:, None] + np.arange(-REACH, REACH + 1)
+    inside = (place >= at[doc][:, None]) & (place < at[doc + 1][:, None])
+    return np.where(inside, words[np.where(inside, place, 0)], np.uint64(0))
+
+
+def _words(column: pa.Array):
+    """Each chunk with its word hashes, none of them 0, and the words before each text."""
     for c in chunks(column):
         words, at = word_hashes(c)
-        found = _alignments(words, at, block)
-        if not len(found):
+        yield c, np.maximum(words, np.uint64(1)), at
+
+
+def _rows_of(words: np.ndarray) -> pa.Array:
+    """A fixed-size binary for each row of word hashes."""
+    flat = np.ascontiguousarray(words)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(AROUND), len(flat), [None, pa.py_buffer(flat)]).cast(pa.binary())
+
+
+_ITEM_SEEDS = "item_id {}, item long, seed long, at int, size int, around binary"
+
+
+def item_seeds(benchmark: DataFrame) -> DataFrame:
+    """The seeds of each item: hash, place in the item, window, and the words around."""
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for c, words, at in _words(batch.column(2)):
+                doc = np.repeat(np.arange(c.n), np.diff(at))
+                window = np.minimum(np.diff(at), WINDOW)
+                for size in np.unique(window[window > 0]).tolist():
+                    for mask in masks(size):
+                        h = _seed_hashes(words, mask)
+                        pos = np.arange(len(h))
+                        pos = pos[(window[doc[pos]] == size) & (pos + mask[-1] < at[doc[pos] + 1])]
+                        for some in np.array_split(pos, -(-len(pos) // _STEP) or 1):
+                            own = pa.array(doc[some] + c.first)
+                            yield pa.RecordBatch.from_arrays(
+                                [batch.column(0).take(own), batch.column(1).take(own), pa.array(h[some].view(np.int64)),
+                                 pa.array((some - at[doc[some]]).astype(np.int32)), pa.array(np.full(len(some), size, np.int32)),
+                                 _rows_of(_around(words, at, doc[some], some))],
+                                names=["item_id", "item", "seed", "at", "size", "around"])
+
+    items = benchmark.select("item_id", "text").dropDuplicates().select("item_id", keyed_hash("item_id", "text").alias("item"), "text")
+    return materialise(items.mapInArrow(run, _ITEM_SEEDS.format(kind)), "item-seeds")
+
+
+class Filter(NamedTuple):
+    """Bits that every seed of the benchmark sets, ``PROBES`` each."""
+
+    bits: int
+    flags: np.ndarray     # packed, little-endian
+
+    def maybe(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes whose bits are all set."""
+        left = np.arange(len(h))
+        for k in range(PROBES):
+            bit = (mix(h[left] ^ np.uint64(k + 1)) >> np.uint64(64 - self.bits)).astype(np.int64)
+            left = left[(self.flags[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0]
+        return left
+
+
+def seed_filter(seeds: DataFrame, n: int) -> Filter:
+    """The filter over ``n`` seeds: tasks set bits, Spark joins them page by page.
+
+    It has 32 bits a seed, but no more than ``2 ** MOST_BITS`` (32 MB), beyond which
+    more documents' seeds reach the join.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, (32 * n - 1).bit_length()))
+
+    def run(batches):
+        for batch in batches:
+            h = np.unique(batch.column(0).to_numpy().view(np.uint64))
+            for k in range(PROBES):
+                bit = np.unique(mix(h ^ np.uint64(k + 1)) >> np.uint64(64 - bits)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(bit)], names=["bit"])
+
+    page = 1 << 15      # bits of a bitmap aggregate
+    rows = (seeds.select("seed").mapInArrow(run, "bit long").groupBy(F.expr(f"bit div {page}").alias("page"))
+            .agg(F.bitmap_construct_agg(F.expr(f"bit % {page}")).alias("flags")).toLocalIterator())
+    flags = np.zeros(max(1 << bits - 3, page // 8), np.uint8)
+    for r in rows:
+        flags[r.page * (page // 8):(r.page + 1) * (page // 8)] = np.frombuffer(bytes(r.flags), np.uint8)
+    return Filter(bits, flags)
+
+
+def document_seeds(docs: DataFrame, sizes: list[int], known: Filter) -> DataFrame:
+    """(rid, seed, pos, around) of the documents' seeds that the filter lets through."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    used = tuple(dict.fromkeys(mask for size in sizes for mask in masks(size)))
+
+    def run(batches):
+        for batch in batches:
+            for c, words, at in _words(batch.column(1)):
+                for mask in used:
+                    h = _seed_hashes(words, mask)
+                    pos = shared.value.maybe(h)
+                    doc = np.searchsorted(at, pos, "right") - 1
+                    ok = pos + mask[-1] < at[doc + 1]      # does not run into the next document
+                    pos, doc = pos[ok], doc[ok]
+                    for some in np.array_split(np.arange(len(pos)), -(-len(pos) // _STEP) or 1):
+                        p, d = pos[some], doc[some]
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(pa.array(d + c.first)), pa.array(h[p].view(np.int64)),
+                             pa.array(p - at[d]), _rows_of(_around(words, at, d, p))], names=["rid", "seed", "pos", "around"])
+
+    rows = docs.select(keyed_hash("doc_id", "text").alias("rid"), "text")
+    return materialise(rows.mapInArrow(run, "rid long, seed long, pos long, around binary"), "document-seeds")
+
+
+def _agreeing(batches):
+    """(rid, item, shift, place) of the item's words in windows that agree around a hit."""
+    for batch in batches:
+        col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        if not batch.num_rows:
             continue
-        n = _covered(words, at, block, found)
-        found, n = found[n > 0], n[n > 0]
-        order = np.lexsort((-n, found[:, 1], found[:, 0]))     # most words first
-        found, n = found[order], n[order]
-        one = np.concatenate([[True], (found[1:, :2] != found[:-1, :2]).any(1)])[:len(found)]
-        rows.append(found[one, 0] + c.first)
-        items.append(found[one, 1])
-        covered.append(n[one])
-    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return join(rows), join(items), join(covered)
-
-
-def _blocks(benchmark: DataFrame):
-    """The items in blocks of bounded size, by a pass over their rows."""
-    ids, texts, size = [], [], 0
-    for r in benchmark.select("item_id", "text").dropDuplicates().toLocalIterator():
-        words = len((r.text or "").split())
-        if ids and size + words > BLOCK_WORDS:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-        ids.append(r.item_id)
-        texts.append(r.text)
-        size += words
-    if ids:
-        yield ids, texts
+        ours, theirs = (np.frombuffer(b"".join(col[c].to_pylist()), np.uint64).reshape(-1, 2 * REACH + 1) for c in ("around", "words"))
+        both = (ours != 0) & (theirs != 0)
+        equal = both & (ours == theirs)
+        size, at = col["size"].to_numpy(), col["at"].to_numpy().astype(np.int64)
+        covered = np.zeros(both.shape, bool)
+        for n in np.unique(size).tolist():
+            own = np.flatnonzero(size == n)
+            # Windows that begin n - 1 words before the hit, up to those that begin with it.
+            for first in range(REACH - n + 1, REACH + 1):
+                span = slice(first, first + n)
+                fits = own[both[own, span].all(1) & (equal[own, span].sum(1) >= needed(n))]
+                covered[fits, span] = True
+        row, k = np.nonzero(covered)
+        shift = col["pos"].to_numpy() - at
+        found = np.column_stack([col["rid"].to_numpy()[row], col["item"].to_numpy()[row], shift[row], at[row] + k - REACH])
+        found = found[np.lexsort(found.T)]
+        found = found[np.concatenate([[True], (found[1:] != found[:-1]).any(1)])[:len(found)]]
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, i]) for i in range(4)], names=["rid", "item", "shift", "place"])
+
+
+def _hits(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """The join on the seeds; one that ``HOT`` or more places share is dealt out over several tasks."""
+    hot = (ours.groupBy("seed").count().where(F.col("count") >= HOT)
+           .select("seed", F.expr(f"1 + count div {HOT}").alias("salts")))
+    hot = materialise(hot.join(theirs.select("seed").distinct(), "seed", "left_semi"), "hot-seeds")
+    salt = F.pmod(F.xxhash64("rid", "pos"), F.coalesce("salts", F.lit(1))).alias("salt")
+    ours = ours.join(hot, "seed", "left").select("rid", "seed", "pos", "around", salt)
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")
+    theirs = theirs.join(hot, "seed", "left").select("item", "seed", "at", "size", F.col("around").alias("words"), each)
+    return ours.join(theirs, ["seed", "salt"])
 
 
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -219,26 +253,16 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    kind = benchmark.schema["item_id"].dataType
-    doc_kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {doc_kind}, rid long, item_id {kind.simpleString()}, covered long"
-    rows = docs.select("doc_id", keyed_hash("doc_id", "text").alias("rid"), "text")
-    out = spark.createDataFrame([], schema)
-    for ids, texts in _blocks(benchmark):
-        shared = spark.sparkContext.broadcast(build_block(ids, texts))
-
-        def scan(batches, shared=shared):
-            block = shared.value
-            names = pa.array(block.ids)
-            for batch in batches:
-                row, item, covered = overlaps(batch.column(2), block)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
-                     names.take(pa.array(item, pa.int64())), pa.array(covered, pa.int64())],
-                    names=["doc_id", "rid", "item_id", "covered"])
-
-        out = out.unionByName(rows.mapInArrow(scan, schema))
-    return out
+    theirs = item_seeds(benchmark)
+    n, sizes = theirs.agg(F.count("*"), F.sort_array(F.collect_set("size"))).first()      # WINDOW sizes at most
+    ours = document_seeds(docs, sizes, seed_filter(theirs, n))
+    places = (_hits(ours, theirs).select("rid", "item", "pos", "at", "size", "around", "words")
+              .mapInArrow(_agreeing, "rid long, item long, shift long, place long").distinct())
+    covered = (places.groupBy("rid", "item", "shift").agg(F.count("*").alias("covered"))
+               .groupBy("rid", "item").agg(F.max("covered").alias("covered")))
+    found = materialise(covered.join(theirs.select("item", "item_id").distinct(), "item").select("rid", "item_id", "covered"), "overlaps")
+    rows = docs.select("doc_id", keyed_hash("doc_id", "text").alias("rid"))
+    return rows.join(found, "rid").select("doc_id", "rid", "item_id", "covered")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
