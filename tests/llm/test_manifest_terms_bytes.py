@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -175,10 +176,27 @@ def test_counters_are_handed_out_when_full():
     out += list(counters.add("a", "t", np.array([7]), np.array([4])))
     assert len(out) == 1
     out += list(counters.flush())
-    rows = sorted((s, k, n) for b in out for s, k, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()))
+    rows = sorted((r["source"], r["page"] * divergence.PAGE + int(k), int(n)) for b in out for r in b.to_pylist()
+                  for k, n in zip(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["n"], np.int64)))
     assert rows == [("s", 1003, 2), ("s", 1005, 1), ("t", 1007, 4)]
 
 
+def test_chunks_of_a_task_are_combined(monkeypatch):
+    texts = [["a b a", None], ["b c", "a"], ["c c", "d"], ["d a", "b"]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(["x", "y" if k % 2 else "x"]), pa.array(t, pa.string())], names=["lang", "text"]) for k, t in enumerate(texts)]
+    docs = [("x" if i == 0 or k % 2 == 0 else "y", (t or "").split()) for k, two in enumerate(texts) for i, t in enumerate(two)]
+    want = {(lang, w): [sum(w in ws for at, ws in docs if at == lang), sum(ws.count(w) for at, ws in docs if at == lang)]
+            for lang in "xy" for w in "abcd"}
+    for held in (1, 4, 1 << 20):
+        monkeypatch.setattr(divergence, "_HELD", held)
+        sums = defaultdict(lambda: [0, 0])
+        for b in divergence._document_counts(iter(batches)):
+            for r in b.to_pylist():
+                sums[r["lang"], r["term"]][0] += r["df"]
+                sums[r["lang"], r["term"]][1] += r["n"]
+        assert sums == {k: v for k, v in want.items() if v[0]}
+
+
 def test_shares_are_exact():
     rng = random.Random(2)
     for _ in range(500):

@@ -42,7 +42,7 @@ from tidewater.operators.keyed import top_k
 
 MIN_DOCS, TOP, SCALE = 3, 200, 1_000_000_000
 SHARD_KEYS, BROADCAST_KEYS, PAGE = 1 << 13, 1 << 21, 1 << 12
-_CHUNK, _COUNTERS = 4 << 20, 1 << 23
+_CHUNK, _COUNTERS, _HELD, _PARTS = 4 << 20, 1 << 23, 1 << 20, 16
 
 #: All bytes below 0x80 but letters end a term.
 BREAKS = np.ones(256, bool)
@@ -69,16 +69,42 @@ def _terms(chunk) -> tuple[Keys, np.ndarray, np.ndarray]:
     return keys, hash_spans(keys.data, starts, ends, False), np.repeat(np.arange(chunk.n), np.diff(at))
 
 
-def _strings(keys: Keys) -> pa.Array:
-    data, offsets = keys.packed()
+def _packed_strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
 
 
+def _strings(keys: Keys) -> pa.Array:
+    return _packed_strings(*keys.packed())
+
+
+def _combined(parts: list[tuple]) -> tuple:
+    """(data, offsets, lang, h, df, n) of several such, equal hashes as one."""
+    if len(parts) == 1:
+        return parts[0]
+    h = np.concatenate([x[3] for x in parts])
+    order = np.argsort(h, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+    shift = np.cumsum([0] + [len(x[0]) for x in parts])
+    spans = [np.concatenate([x[1][side] + k for x, k in zip(parts, shift)]) for side in (slice(None, -1), slice(1, None))]
+    own = order[first]
+    data, offsets = Keys(np.concatenate([x[0] for x in parts]), *spans).take(own).packed()
+    sums = [np.add.reduceat(np.concatenate([x[i] for x in parts])[order], first) for i in (4, 5)]
+    return data, offsets, np.concatenate([x[2] for x in parts])[own], h[own], *sums
+
+
+def _counted(part: tuple, langs: list[str]) -> pa.RecordBatch:
+    data, offsets, lang, h, df, n = part
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang)), _packed_strings(data, offsets),
+                                       pa.array(h.view(np.int64)), pa.array(df), pa.array(n)], names=["lang", "term", "h", "df", "n"])
+
+
 def _document_counts(batches):
-    """(lang, term, h, df, n) of each chunk: documents and occurrences."""
+    """(lang, term, h, df, n) of a task's texts, ``_HELD`` terms at a time: documents and occurrences."""
+    number, parts = {}, []
     for batch in batches:
         code, langs = _codes(batch.column(0))
-        salt = _lang_hashes(langs)
+        code = np.array([number.setdefault(x, len(number)) for x in langs], np.int64)[code]
+        salt = _lang_hashes(list(number))
         for c in chunks(batch.column(1), _CHUNK):
             keys, hashed, doc = _terms(c)
             if not len(hashed):
@@ -92,9 +118,13 @@ def _document_counts(batches):
             new[1:] |= at[1:] != at[:-1]
             df = np.add.reduceat(new.astype(np.int64), first)
             n = np.diff(np.append(first, len(h)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()).take(pa.array(own[order[first]])), _strings(keys.take(order[first])),
-                 pa.array(h[first].view(np.int64)), pa.array(df), pa.array(n)], names=["lang", "term", "h", "df", "n"])
+            parts.append((*keys.take(order[first]).packed(), own[order[first]], h[first], df, n))
+            if sum(len(x[3]) for x in parts) >= _HELD:
+                parts = [_combined(parts)]
+                if len(parts[0][3]) >= _HELD // 2:
+                    yield _counted(parts.pop(), list(number))
+    if parts:
+        yield _counted(_combined(parts), list(number))
 
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -203,18 +233,60 @@ class Counters:
         np.add.at(self.groups[lang, source], slots - lo, n)
 
     def flush(self):
+        rows = []
         for (lang, source), counts in self.groups.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at)), pa.array([source] * len(at)), pa.array(at + self.lookup.width(lang)[2]),
-                 pa.array(counts[at]), pa.nulls(len(at), pa.string()), pa.nulls(len(at), pa.int64())], names=_NAMES)
+            slot = at + self.lookup.width(lang)[2]
+            rows += _pages(lang, source, slot, counts[at])
         self.groups, self.held = {}, 0
+        if rows:
+            yield _page_batch(rows)
 
 
-_COUNTED = "lang string, source string, slot long, n long, term string, h long"
+#: Rows of counts: a page's slots (two bytes each, from the page's first) and their
+#: counts (eight bytes each); or, without a page, a term that wasn't found.
+_COUNTED = "lang string, source string, page long, at binary, n binary, total long, term string, h long"
 _NAMES = [f.split()[0] for f in _COUNTED.split(", ")]
 
 
+def _pages(lang: str, source: str, slot: np.ndarray, n: np.ndarray) -> list[tuple]:
+    """A row for each page of ascending slots."""
+    page = slot // PAGE
+    cuts = np.flatnonzero(np.diff(page)) + 1
+    return [(lang, source, int(s[0]) // PAGE, (s % PAGE).astype(np.uint16).tobytes(), k.astype(np.int64).tobytes(), int(k.sum()))
+            for s, k in zip(np.split(slot, cuts), np.split(n, cuts)) if len(s)]
+
+
+def _page_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+    return pa.RecordBatch.from_arrays([*[pa.array(x, k) for x, k in zip(zip(*rows), kinds)], pa.nulls(len(rows), pa.string()),
+                                       pa.nulls(len(rows), pa.int64())], names=_NAMES)
+
+
+def _page_sums(batches):
+    """Sums of rows that are in order of (lang, source, page): one row each."""
+    now, counts, out = None, np.zeros(PAGE, np.int64), []
+
+    def done():
+        at = np.flatnonzero(counts)
+        out.extend(_pages(now[0], now[1], at + now[2] * PAGE, counts[at]))
+        counts[:] = 0
+
+    for batch in batches:
+        for lang, source, page, at, n in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+            if (lang, source, page) != now:
+                if now:
+                    done()
+                now = lang, source, page
+            counts[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
+        if len(out) >= 256:
+            yield _page_batch(out)
+            out = []
+    if now:
+        done()
+        yield _page_batch(out)
+
+
 def _by_group(group: np.ndarray):
     """Places of each group's entries."""
     order = np.argsort(group, kind="stable")
@@ -236,7 +308,11 @@ def _recount_texts(batches, lookup: Lookup, more: bool):
                 continue
             own = lang_code[c.first:c.first + c.n][doc]
             h = mix(hashed ^ salt[own])
-            slots = lookup.find(langs, own, h, keys)
+            order = np.argsort(h)
+            new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+            one = order[new]                            # each term is looked up once a chunk
+            slots = np.empty(len(h), np.int64)
+            slots[order] = lookup.find(langs, own[one], h[one], keys.take(one))[np.cumsum(new) - 1]
             groups = group[c.first:c.first + c.n][doc]
             found = np.flatnonzero(slots >= 0)
             for at in _by_group(groups[found]):
@@ -248,7 +324,8 @@ def _recount_texts(batches, lookup: Lookup, more: bool):
                 k, g = order[new], groups[order[new]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(langs, pa.string()).take(pa.array(g // len(sources))), pa.array(sources, pa.string()).take(pa.array(g % len(sources))),
-                     pa.nulls(len(k), pa.int64()), pa.array(np.diff(np.append(new, len(order)))), _strings(keys.take(k)), pa.array(h[k].view(np.int64))],
+                     pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.binary()), pa.nulls(len(k), pa.binary()),
+                     pa.array(np.diff(np.append(new, len(order)))), _strings(keys.take(k)), pa.array(h[k].view(np.int64))],
                     names=_NAMES)
     yield from counters.flush()
 
@@ -271,7 +348,11 @@ def _recount_terms(batches, lookup: Lookup):
 
 
 def recount(docs: DataFrame, shards: DataFrame, broadcasts: int) -> DataFrame:
-    """(lang, source, slot, n): the second pass, over perfect hashes only."""
+    """(lang, source, page, at, n, total): the second pass, over perfect hashes only.
+
+    A page's counts of a group come in ``_PARTS`` rows at most, each the sum of some
+    tasks, so no page is added up by one task.
+    """
     context = docs.sparkSession.sparkContext
     columns = ["lang", "n", "sizes", "bits", "terms", "hashes", "first"]
 
@@ -282,14 +363,18 @@ def recount(docs: DataFrame, shards: DataFrame, broadcasts: int) -> DataFrame:
     head, more = shared(0), broadcasts > 1
     first = docs.select("lang", "source", "text").mapInArrow(lambda b: _recount_texts(b, head.value, more), _COUNTED)
     if more:
-        first = first.withColumn("block", F.when(F.col("slot").isNull(), later_block(broadcasts - 1) + 1).otherwise(0).cast("int"))
-        first = materialise(first.repartition("block", F.pmod(F.xxhash64("term", "slot"), F.lit(64))).sortWithinPartitions("block"), "recounted")
-    total = first.where("slot is not null").select("lang", "source", "slot", "n")
+        first = first.withColumn("block", F.when(F.col("page").isNull(), later_block(broadcasts - 1) + 1).otherwise(0).cast("int"))
+        first = materialise(first.repartition("block", F.pmod(F.xxhash64("term", "page"), F.lit(64))).sortWithinPartitions("block"), "recounted")
+    figures = _NAMES[:6]
+    total = first.where("page is not null").select(*figures)
     for block in range(1, broadcasts):
         hashes = shared(block)
-        rows = first.where((F.col("block") == block) & F.col("slot").isNull()).select("lang", "source", "term", "h", "n")
-        total = total.unionByName(rows.mapInArrow(lambda b, hashes=hashes: _recount_terms(b, hashes.value), _COUNTED).select("lang", "source", "slot", "n"))
-    return materialise(total.groupBy("lang", "source", "slot").agg(F.sum("n").alias("n")), "slot-counts")
+        rows = first.where((F.col("block") == block) & F.col("page").isNull()).select("lang", "source", "term", "h", F.col("total").alias("n"))
+        total = total.unionByName(rows.mapInArrow(lambda b, hashes=hashes: _recount_terms(b, hashes.value), _COUNTED).select(*figures))
+    # A row's own hash deals out what several tasks say of one page.
+    part = F.pmod(F.xxhash64("at", "n"), F.lit(_PARTS))
+    dealt = total.repartition("lang", "source", "page", part).sortWithinPartitions("lang", "source", "page")
+    return materialise(dealt.mapInArrow(_page_sums, _COUNTED).select(*figures), "page-counts")
 
 
 def share(n: np.ndarray, of: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -312,11 +397,11 @@ def _page_rows(batches):
             groups = col["groups"][i].values
             sources, totals = groups.field("source").to_pylist(), groups.field("total").to_numpy()
             v, first, width = col["v"][i].as_py(), col["first"][i].as_py(), col["width"][i].as_py()
-            entries = col["entries"][i].values
             place = {s: k for k, s in enumerate(sources)}
-            row = np.array([place[s] for s in entries.field("source").to_pylist()])
             counts = np.zeros((len(sources), width), np.int64)
-            counts[row, entries.field("slot").to_numpy() - first] = entries.field("n").to_numpy()
+            for entry in col["entries"][i].values:
+                at = np.frombuffer(entry["at"].as_buffer(), np.uint16).astype(np.int64) + (first // PAGE * PAGE - first)
+                counts[place[entry["source"].as_py()], at] += np.frombuffer(entry["n"].as_buffer(), np.int64)
             p = share(counts + 1, (totals + v)[:, None])
             lang = col["lang"][i].as_py()
             for k, s in enumerate(sources):
@@ -360,12 +445,12 @@ def divergences(docs: DataFrame, min_docs: int = MIN_DOCS, shard_keys: int = SHA
     slots = shards.select("lang", "first", F.posexplode("terms").alias("at", "term")).select("lang", (F.col("first") + F.col("at")).alias("slot"), "term")
     page = F.expr(f"slot div {PAGE}").alias("page")
     pages = slots.groupBy("lang", page).agg(F.min("slot").alias("first"), (F.max("slot") - F.min("slot") + 1).alias("width"))
-    groups = (docs.select("lang", "source").distinct().join(counts.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
+    groups = (docs.select("lang", "source").distinct().join(counts.groupBy("lang", "source").agg(F.sum("total").alias("total")), ["lang", "source"], "left")
               .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total")))
     groups = materialise(groups, "groups")
     langs = (groups.groupBy("lang").agg(F.collect_list(F.struct("source", "total")).alias("groups"))    # the sources of a language
              .join(kept.groupBy("lang").agg(F.count("*").alias("v")), "lang"))
-    entries = counts.groupBy("lang", page).agg(F.collect_list(F.struct("source", "slot", "n")).alias("entries"))
+    entries = counts.groupBy("lang", "page").agg(F.collect_list(F.struct("source", "at", "n")).alias("entries"))
     figures = materialise(entries.join(pages, ["lang", "page"]).join(langs, "lang").drop("page").mapInArrow(_page_rows, _PAGES), "page-figures")
 
     sums = figures.where("other is not null").groupBy("lang", "source", F.col("other").alias("item")).agg(F.sum("value").alias("value"))
