@@ -40,13 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.shared import SUM_SCHEMA, array_rows, bounded_batches, crc_mod, materialise, sum_arrays, table
-from tidewater.llm.textarrays import Chunk, chunks, word_hashes
+from tidewater.llm.textarrays import Chunk, chunks, mix, word_hashes
 
 FREQUENT, CLASSES, WIDTH = 2_000_000, 511, 16
 BATCH, NOISE, RATE, ROUNDS = 2048, 48, 0.05, 2
 PER_ROOT, MEMBER_NOISE = 4, 8
 _END = np.uint64(0x27D4EB2F165667C5)
-_FLUSH, _STEP, _CACHED, _SAFE = 1 << 21, 1 << 18, 1 << 17, 60
+_FLUSH, _STEP, _CACHED, _SAFE, _PAIRS = 1 << 21, 1 << 18, 1 << 17, 60, 1 << 20
 
 
 def token_hashes(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -248,12 +248,11 @@ def train(model: Model, parts, share: np.ndarray, seed: int) -> tuple[Model, int
 
     def step_rows(x, square, at, grad, scale):
         """A step of the rows that have a gradient; those of one row are added up."""
-        at = at.astype(np.uint16) if len(x) < 1 << 16 else at     # short numbers are sorted in one pass
-        order = np.argsort(at, kind="stable")
-        at = at[order]
-        begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])[:len(at)])
-        own = at[begin]
-        g = np.add.reduceat(grad[order], begin, axis=0) * scale
+        seen = np.bincount(at, minlength=len(x)) > 0
+        own = np.flatnonzero(seen)
+        row = (np.cumsum(seen) - 1)[at]
+        flat = (row[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+        g = np.bincount(flat, grad.ravel(), len(own) * WIDTH).reshape(-1, WIDTH).astype(np.float32) * scale
         s = square[own] + g * g
         square[own] = s
         x[own] -= RATE * g / np.sqrt(s)
@@ -361,8 +360,9 @@ def _log_sums(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarra
     Some rows at a time, in one buffer that stays in the processor's cache.
     """
     out = np.empty(len(q), q.dtype)
-    across = np.ascontiguousarray(vectors.T)
     rows = max(64, _CACHED // max(1, len(vectors)))
+    across = np.concatenate([vectors.T, bias[None].astype(q.dtype)])
+    wide = np.ones((min(rows, len(q)), q.shape[1] + 1), q.dtype)
     buffer = np.empty((min(rows, len(q)), len(vectors)), q.dtype)
     # No product exceeds this; where it is small, exponentials need no common factor taken out.
     reach = np.sqrt((q * q).sum(1).max(initial=0) * (vectors * vectors).sum(1).max(initial=0)) + np.abs(bias.max(initial=-np.inf) if len(bias) else 0)
@@ -370,8 +370,8 @@ def _log_sums(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarra
     for i in range(0, len(q), rows):
         part = q[i:i + rows]
         s = buffer[:len(part)]
-        np.matmul(part, across, out=s)
-        s += bias
+        wide[:len(part), :-1] = part
+        np.matmul(wide[:len(part)], across, out=s)
         if reach < _SAFE:
             np.exp(s, out=s)
             out[i:i + rows] = np.log(s @ ones)
@@ -392,8 +392,39 @@ def normalisers(model: Model) -> np.ndarray:
     return out
 
 
-def class_logs(model: Model, log_sum: np.ndarray, word, one, two, sub) -> np.ndarray:
-    """Log probability of each token's class and, if it has one, subclass."""
+class PairSums:
+    """Log sums of pairs of contexts that were worked out lately.
+
+    Each pair has one place, by hash, which the last one there holds; so the size
+    is fixed, and a pair that was put out is worked out again.
+    """
+
+    def __init__(self, vectors: np.ndarray, bias: np.ndarray):
+        self.vectors, self.bias = vectors, bias
+        self.pairs, self.sums = np.full(_PAIRS, -1, np.int64), np.zeros(_PAIRS, vectors.dtype)
+
+    def of(self, pair: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The log sum of each pair, whose summed vectors are ``q``."""
+        place = (mix(pair.view(np.uint64)) % np.uint64(_PAIRS)).astype(np.int64)
+        out = self.sums[place]
+        new = np.flatnonzero(self.pairs[place] != pair)
+        # Each pair once.
+        _, first, same = np.unique(pair[new], return_index=True, return_inverse=True)
+        sums = _log_sums(q[new[first]], self.vectors, self.bias)
+        out[new] = sums[same]
+        once = new[first]
+        self.pairs[place[once]] = pair[once]
+        stays = self.pairs[place[once]] == pair[once]      # of two at one place, one
+        self.sums[place[once[stays]]] = sums[stays]
+        return out
+
+
+def class_logs(model: Model, log_sum: np.ndarray, word, one, two, sub, held: tuple[PairSums, PairSums] | None = None) -> np.ndarray:
+    """Log probability of each token's class and, if it has one, subclass.
+
+    ``held`` keeps log sums of classes and of groups from one call to the next.
+    """
+    of_classes, of_groups = held or (PairSums(model.target, model.bias), PairSums(model.group, model.group_bias))
     out = np.empty(len(word))
     n, side = len(log_sum), model.side
     for i in range(0, len(word), _STEP):
@@ -402,10 +433,9 @@ def class_logs(model: Model, log_sum: np.ndarray, word, one, two, sub) -> np.nda
         q = model.first[a] + model.second[b]
         plain = (a < n) & (b < n)
         z = log_sum[np.where(plain, a, 0), np.where(plain, b, 0)].astype(np.float64)
-        # Each pair of contexts once.
+        pair = a.astype(np.int64) * len(model.first) + b
         other = np.flatnonzero(~plain)
-        _, first, same = np.unique(a[other] * len(model.first) + b[other], return_index=True, return_inverse=True)
-        z[other] = _log_sums(q[other[first]], model.target, model.bias)[same]
+        z[other] = of_classes.of(pair[other], q[other])
         logs = np.einsum("ij,ij->i", q, model.target[w]) + model.bias[w] - z
         other = np.flatnonzero(d >= 0)
         if len(other):
@@ -413,7 +443,7 @@ def class_logs(model: Model, log_sum: np.ndarray, word, one, two, sub) -> np.nda
             own_q = q[other]
             logs[other] += (np.einsum("ij,ij->i", own_q, model.group[of]) + model.group_bias[of]
                             + np.einsum("ij,ij->i", own_q, model.member[d[other]]) + model.member_bias[d[other]]
-                            - _log_sums(own_q, model.group, model.group_bias))
+                            - of_groups.of(pair[other], own_q))
             order = np.argsort(of, kind="stable")
             cuts = np.flatnonzero(np.diff(of[order])) + 1
             for own in np.split(other[order], cuts):
@@ -429,6 +459,7 @@ SCORE_SCHEMA = ("row long, word long, n long, n_known long, logs double, other_l
 def _score_rows(batches, words: Words, model: Model, log_sum: np.ndarray):
     """A row for each document, and one for each of its words that isn't frequent."""
     model = Model(*(x.astype(np.float32) for x in model))
+    held = PairSums(model.target, model.bias), PairSums(model.group, model.group_bias)
     rest = np.log10(words.sub_counts + words.sub_kinds + 1.0)
     weight = np.log10(words.counts + 1.0)
     names = [f.split()[0] for f in SCORE_SCHEMA.split(", ")]
@@ -438,7 +469,7 @@ def _score_rows(batches, words: Words, model: Model, log_sum: np.ndarray):
             tokens, starts = token_hashes(c)
             place, known = words.find(tokens)
             classes, one, two, subs = words.places(tokens, starts, (place, known))
-            logs = class_logs(model, log_sum, classes, one, two, subs)
+            logs = class_logs(model, log_sum, classes, one, two, subs, held)
             own = np.where(known, weight[place] if len(weight) else 0.0, 0.0)
             shared = np.where(subs >= words.singles, own - rest[np.maximum(subs, 0)], 0.0)
             cut = starts[:-1]
