@@ -74,6 +74,17 @@ def vget(v: Column | str, path: str, type_: str) -> Column:
     return F.try_variant_get(_c(v), path, type_)
 
 
+def variant_fields(v: Column | str, path: str = "$", **types: str) -> Column:
+    """Fields of a variant object by name, as one structure; NULL if there is no object.
+
+    An absent field is NULL, a JSON null too unless its type is ``variant``.  A path
+    that leads nowhere costs Spark an exception each time; this looks at the fields
+    that are there, once for all names.
+    """
+    fields = ", ".join(f"`{k}`: {t}" for k, t in types.items())
+    return F.try_variant_get(_c(v), path, f"struct<{fields}>")
+
+
 def is_json_null(v: Column | str, key: str) -> Column:
     """Key present and explicitly null."""
     return F.coalesce(F.is_variant_null(F.try_variant_get(_c(v), _path(key), "variant")), F.lit(False))

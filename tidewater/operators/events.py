@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.core import has_key, once, strict_json
+from tidewater.functions.core import once, strict_json, variant_fields
 from tidewater.operators.quality import split_valid
 
 # Routing rules of the event bus, (source, detail-type, target).
@@ -48,28 +48,28 @@ def normalise(raw: DataFrame, col: str = "event") -> tuple[DataFrame, DataFrame]
     ``Records[].body`` JSON texts.  Other columns of ``raw`` are kept (e.g. a
     sequence).  Quarantined: ``Records`` that is no list (one row), a body
     that is not one JSON document, and an event that is no object (Q6c)."""
-    records = F.try_variant_get(col, "$.Records", "array<variant>")
-    wrapped = F.coalesce(has_key(col, "Records"), F.lit(False))
+    # The structure of what is an object, else null; an event that is neither wrapped nor a body is looked at no more.
+    seen = F.col("_seen")
+    read = once(raw.withColumn("_seen", variant_fields(col, Records="variant", body="variant")))
+    wrapped = seen["Records"].isNotNull()
+    records = F.when(wrapped, F.try_variant_get(col, "$.Records", "array<variant>"))
     no_list = wrapped & records.isNull()
     items = F.when(wrapped & ~no_list, records).otherwise(F.array(F.col(col)))
-    exploded = (raw.withColumn("_no_list", no_list)
+    exploded = (read.withColumns({"_no_list": no_list, "_own": ~wrapped})
                 .select("*", F.posexplode(items).alias("record_pos", "_el")).drop(col))
-    has_body = F.coalesce(has_key("_el", "body"), F.lit(False))
+    has_body = F.when(F.col("_own"), seen["body"].isNotNull()).otherwise(variant_fields("_el", body="variant").body.isNotNull())
     body = F.try_variant_get("_el", "$.body", "string")
     event = F.when(has_body, strict_json(body)).otherwise(F.col("_el"))
-    tagged = once(exploded.withColumn(col, event).withColumn("_has_body", has_body))
+    plain = F.when(F.col("_own") & ~has_body, seen.isNotNull())
+    tagged = once(exploded.withColumns({col: event, "_has_body": has_body, "_plain": plain}).drop("_seen", "_own"))
     bad_body = F.col("_has_body") & F.col(col).isNull()
-    # What has one of an event's fields is an object; only of other values the whole is looked at.
-    known = F.lit(False)
-    for path in ("$.source", "$['detail-type']", "$.detail"):
-        known = known | F.try_variant_get(col, path, "variant").isNotNull()
-    is_object = F.when(known, True).otherwise(F.col(col).try_cast("map<string, variant>").isNotNull())
+    is_object = F.when(F.col("_plain").isNotNull(), F.col("_plain")).otherwise(variant_fields(col, source="string").isNotNull())
     ok, bad = split_valid(tagged, {
         "bad_records": F.col("_no_list"),
         "bad_body": bad_body,
         "not_an_object": ~F.col("_no_list") & ~bad_body & ~is_object,
     })
-    return ok.drop("_el", "_no_list", "_has_body"), bad.drop("_no_list", "_has_body")
+    return ok.drop("_el", "_no_list", "_has_body", "_plain"), bad.drop("_no_list", "_has_body", "_plain")
 
 
 # Event types that the processors know; '' is a notification.
@@ -95,41 +95,38 @@ def parse_detail(events: DataFrame, col: str = "event") -> DataFrame:
     ``data`` are materialised only when a consumer uses them (column pruning
     drops them otherwise).
     """
-    e = F.col(col)
-    is_obj = (F.try_variant_get(e, "$.detail.eventType", "variant").isNotNull()
-              | F.try_variant_get(e, "$.detail.data", "variant").isNotNull())
+    e, top = F.col(col), F.col("_top")
+    fields = variant_fields(e, **{"source": "string", "detail-type": "string", "detail": "struct<eventType:variant>"})
+    read = once(events.select("*", fields.alias("_top")))
+    kind = top["detail"]["eventType"]
+    # ``detail`` is null in ``_top`` unless it is an object.
+    is_obj = kind.isNotNull() | F.when(top["detail"].isNotNull(), F.try_variant_get(e, "$.detail.data", "variant").isNotNull()).otherwise(False)
     # Only a text can be broken; another kind of value counts as absent.
-    text = F.when(F.schema_of_variant(F.try_variant_get(e, "$.detail", "variant")) == "STRING",
-                  F.try_variant_get(e, "$.detail", "string"))
-    parsed = F.when(~is_obj, strict_json(text))
-    out = once(events.select(
-        "*",
+    text = F.when(top["detail"].isNull(), F.when(F.schema_of_variant(F.try_variant_get(e, "$.detail", "variant")) == "STRING",
+                                                 F.try_variant_get(e, "$.detail", "string")))
+    out = once(read.select(
+        *events.columns,
         is_obj.alias("_is_obj"),
         text.isNotNull().alias("_is_text"),
-        F.try_variant_get(e, "$.source", "string").alias("source"),
-        F.try_variant_get(e, "$['detail-type']", "string").alias("detail_type"),
-        parsed.alias("_dparsed"),
+        top["source"].alias("source"),
+        top["detail-type"].alias("detail_type"),
+        F.try_variant_get(kind, "$", "string").alias("_kind"),
+        strict_json(text).alias("_dparsed"),
     ))
-    out = once(out.withColumns({
+    parsed = F.when(F.col("_dparsed").isNotNull(), variant_fields("_dparsed", eventType="string").eventType)
+    out = out.withColumns({
         "bad_detail": ~F.col("_is_obj") & F.col("_is_text") & F.col("_dparsed").isNull(),
-        "event_type": F.coalesce(F.try_variant_get(e, "$.detail.eventType", "string"),
-                                 F.try_variant_get("_dparsed", "$.eventType", "string"), F.lit(""))}))
+        "event_type": F.coalesce("_kind", parsed, F.lit(""))}).drop("_kind")
     empty = F.parse_json(F.lit("{}"))
     detail = F.coalesce(F.col("_dparsed"), F.try_variant_get(e, "$.detail", "variant"), empty)
     detail = F.when(F.col("_is_obj") | F.col("_dparsed").isNotNull(), detail).otherwise(empty)
     return out.select("*", detail.alias("detail")).drop("_is_obj", "_is_text").withColumn("data", F.coalesce(F.try_variant_get("detail", "$.data", "variant"), empty))
 
 
-def data_field(key: str, type_: str, col: str = "event") -> Column:
-    """``detail.data.<key>`` cast to ``type_`` from either detail form."""
-    return F.coalesce(F.try_variant_get(col, f"$.detail.data.{key}", type_),
-                      F.try_variant_get("_dparsed", f"$.data.{key}", type_))
-
-
-def data_has(key: str, col: str = "event") -> Column:
-    """Presence of ``detail.data.<key>`` (true for an explicit null)."""
-    return (F.try_variant_get(col, f"$.detail.data.{key}", "variant").isNotNull()
-            | F.try_variant_get("_dparsed", f"$.data.{key}", "variant").isNotNull())
+def data_fields(col: str = "event", **types: str) -> Column:
+    """The named fields of ``detail.data``, from either detail form, as one structure."""
+    return (F.when(F.col("_dparsed").isNotNull(), variant_fields("_dparsed", "$.data", **types))
+            .otherwise(variant_fields(col, "$.detail.data", **types)))
 
 
 def route(events: DataFrame, rules: DataFrame) -> DataFrame:
@@ -145,29 +142,29 @@ def dispatch(events: DataFrame, event_type: str) -> DataFrame:
     return events.filter(F.col("event_type") == event_type)
 
 
-def _get(key: str, type_: str, default: Column | None = None) -> Column:
-    """``data.get(key, default)``: the default only when the key is absent;
-    a present null stays null (Q5)."""
-    v = data_field(key, type_)
-    if default is None:
-        return v
-    return F.when(data_has(key), v).otherwise(default)
+def _get(key: str, default: Column) -> Column:
+    """``data.get(key, default)`` of the fields in ``_data``: the default only
+    when the key is absent; a present null stays null (Q5)."""
+    v = F.col("_data")[key]
+    return F.when(v.isNull() & data_fields(**{key: "variant"})[key].isNull(), default).otherwise(v)
 
 
 def order_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Order events -> change rows ``(order_id, kind, customer_id, items,
     total, created_at, seq)``; events without ``orderId`` are quarantined."""
     orders = events.filter(F.col("event_type").isin("order.created", "order.completed"))
-    rows = orders.select(
-        F.coalesce(data_field("orderId", "string"), F.lit("")).alias("order_id"),
+    # Apart from the id, which every use needs: a caller that leaves the other fields out does not pay for them.
+    fields = data_fields(customerId="string", items=ITEMS, total=AMOUNT, createdAt="string")
+    rows = orders.select("event", "_dparsed", "event_type", "seq", fields.alias("_data")).select(
+        F.coalesce(data_fields(orderId="string").orderId, F.lit("")).alias("order_id"),
         F.when(F.col("event_type") == "order.created", F.lit("created")).otherwise(F.lit("completed")).alias("kind"),
-        _get("customerId", "string", F.lit("")).alias("customer_id"),
-        _get("items", ITEMS, F.array().cast(ITEMS)).alias("items"),
-        _get("total", AMOUNT, F.lit(0).cast(AMOUNT)).alias("total"),
-        _get("createdAt", "string", F.lit("")).alias("created_at"),
+        _get("customerId", F.lit("")).alias("customer_id"),
+        _get("items", F.array().cast(ITEMS)).alias("items"),
+        _get("total", F.lit(0).cast(AMOUNT)).alias("total"),
+        _get("createdAt", F.lit("")).alias("created_at"),
         F.col("seq"),
     )
-    return split_valid(once(rows), {"missing_order_id": F.coalesce(F.col("order_id"), F.lit("")) == "",
+    return split_valid(rows, {"missing_order_id": F.coalesce(F.col("order_id"), F.lit("")) == "",
                               "missing_seq": F.col("seq").isNull()})
 
 
@@ -186,13 +183,14 @@ def fold_orders(changes: DataFrame) -> DataFrame:
 
 def inventory_changes(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     inv = dispatch(events, "inventory.updated")
-    rows = inv.select(
-        F.coalesce(data_field("itemId", "string"), F.lit("")).alias("item_id"),
-        _get("quantity", AMOUNT, F.lit(0).cast(AMOUNT)).alias("quantity"),
-        _get("updatedAt", "string", F.lit("")).alias("updated_at"),
+    fields = data_fields(quantity=AMOUNT, updatedAt="string")
+    rows = inv.select("event", "_dparsed", "seq", fields.alias("_data")).select(
+        F.coalesce(data_fields(itemId="string").itemId, F.lit("")).alias("item_id"),
+        _get("quantity", F.lit(0).cast(AMOUNT)).alias("quantity"),
+        _get("updatedAt", F.lit("")).alias("updated_at"),
         F.col("seq"),
     )
-    return split_valid(once(rows), {"missing_item_id": F.coalesce(F.col("item_id"), F.lit("")) == "",
+    return split_valid(rows, {"missing_item_id": F.coalesce(F.col("item_id"), F.lit("")) == "",
                               "missing_seq": F.col("seq").isNull()})
 
 

@@ -26,7 +26,11 @@ def with_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with ``reasons``)."""
     tagged = with_reasons(df, rules)
-    ok = tagged.filter(F.size(REASONS) == 0).drop(REASONS)
+    broken = F.lit(False)
+    for cond in rules.values():
+        broken = broken | F.coalesce(cond, F.lit(False))
+    # The valid rows need no list: an array function would be interpreted row by row.
+    ok = df.filter(~broken).drop(REASONS)
     bad = tagged.filter(F.size(REASONS) > 0)
     return ok, bad
 

@@ -29,12 +29,11 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     # Items of an order: bounded by its line count (at most 7 lines per order).
     items = (li.groupBy("l_orderkey")
-             .agg(F.array_sort(F.collect_list(F.struct(
-                 "l_linenumber",
+             .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", F.struct(
                  F.col("l_partkey").cast("string").alias("productId"),
                  F.col("l_quantity").cast("bigint").alias("quantity"),
-                 F.col("l_extendedprice").cast("decimal(18,2)").alias("price")))).alias("lines"))
-             .select("l_orderkey", F.transform("lines", lambda x: x.dropFields("l_linenumber")).alias("items")))
+                 F.col("l_extendedprice").cast("decimal(18,2)").alias("price")).alias("item")))).alias("lines"))
+             .select("l_orderkey", F.col("lines.item").alias("items")))
     o = orders.repartition("o_orderkey").join(items, orders.o_orderkey == items.l_orderkey, "left")
     key = F.col("o_orderkey").cast("string")
 
@@ -86,10 +85,12 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.parse_json(wrapped).alias("event"),
         F.struct(F.col("o_orderdate").alias("t"), F.lit(3).alias("phase"),
                  F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
-    # All events of an order from one pass over it.
-    own = F.array(created, F.when(F.col("o_orderstatus") == "F", completed),
-                  F.when(F.col("o_orderpriority") == "1-URGENT", notification))
-    return o.select(F.inline(F.filter(own, lambda e: e.isNotNull()))).unionByName(inventory)
+    # All events of an order from one pass over it: first which, then each one.
+    which = F.array(F.lit(0), F.when(F.col("o_orderstatus") == "F", F.lit(1)),
+                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(3)))
+    own = (F.when(F.col("_phase") == 0, created).when(F.col("_phase") == 1, completed).otherwise(notification))
+    of_orders = o.select("*", F.explode(F.array_compact(which)).alias("_phase")).select(own.alias("_own")).select("_own.*")
+    return of_orders.unionByName(inventory)
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
