@@ -252,3 +252,14 @@ def test_file_ingest_stream(spark, tmp_dir):
     q.awaitTermination(300)
     df = spark.read.parquet(os.path.join(tmp_dir, "processed"))
     assert df.count() == 3 and df.filter("is_json").count() == 3
+
+
+def test_order_stream_emits_only_what_a_batch_changed_without_python(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("bus", "out", "ck"))
+    for evs, start in (([_created("A"), _created("B")], 10), ([_done("A"), _created("B", "9")], 5)):
+        _bus_file(spark, src, evs, start)
+        jobs.start_order_stream(spark, _bus(spark, src), out, ck).awaitTermination(300)
+    assert spark.read.parquet(_changed(os.path.join(out, "orders"))).count() == 0    # older, so touched and not changed
+    assert {(r.order_id, r.status) for r in jobs.order_state(spark, ck).collect()} == {("A", "processing"), ("B", "processing")}
+    plan = stateful.order_stream(jobs.order_changes(jobs.routed_events(spark, _bus(spark, src))[0])[0])._jdf.queryExecution().logical().toString()
+    assert "InPySpark" not in plan and "Pandas" not in plan

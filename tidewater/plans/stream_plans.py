@@ -72,13 +72,13 @@ def windowed_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bus(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, DataFrame]:
-    """The bus as a stream of files, four or so a batch; its sequence as sortable text."""
+    """The bus as a stream of files, three in eight a batch; its sequence as sortable text."""
     root = _fresh(spark, label)
     seq = F.concat_ws("/", F.date_format("seq.t", "yyyyMMddHHmmss"), F.col("seq.phase").cast("string"),
                       F.lpad(F.col("seq.k").cast("string"), 19, "0"), F.lpad(F.col("seq.line").cast("string"), 9, "0"))
-    bus_events(spark, sf_dir).select(F.to_json("event").alias("event"), seq.alias("seq")).repartition(8).write.parquet(f"{root}/bus")
-    files = spark.readStream.schema("event string, seq string").option("maxFilesPerTrigger", 3).parquet(f"{root}/bus")
-    return root, files.select(F.try_parse_json("event").alias("event"), "seq")
+    n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bus_events(spark, sf_dir).select("event", seq.alias("seq")).repartition(n, "seq").write.parquet(f"{root}/bus")
+    return root, spark.readStream.schema("event variant, seq string").option("maxFilesPerTrigger", -(-n * 3 // 8)).parquet(f"{root}/bus")
 
 
 def order_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

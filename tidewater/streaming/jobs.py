@@ -158,14 +158,14 @@ def _start_changes(rows: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 def order_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The rows of ``events.fold_orders``, from the state of an order stream."""
-    s = stateful.state_table(spark, checkpoint, "orders")
+    s = stateful.order_table(spark, checkpoint)
     return s.select("order_id", "status", "customer_id", F.from_json("items", events.ITEMS).alias("items"),
                     F.col("total").cast(events.AMOUNT).alias("total"), "created_at")
 
 
 def inventory_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The rows of ``events.fold_latest`` by item, from the state of an inventory stream."""
-    s = stateful.state_table(spark, checkpoint, "inventory")
+    s = stateful.inventory_table(spark, checkpoint)
     return s.select("item_id", F.col("quantity").cast(events.AMOUNT).alias("quantity"), "updated_at")
 
 

@@ -1,13 +1,14 @@
 """State kept by Spark's state store: orders, inventory, presence.
 
-Each processor holds a few values a key in RocksDB, which Spark checkpoints by
-batch and restores on a restart: the cost of a batch follows the keys it touches,
-not the keys there are.  Before rows are dealt out by key, each task keeps the
-last one of a key and kind in its batch (``last_in_batch``), so a key that holds
-much of a stream sends a few rows, not all.
-
-A processor emits the rows it changed; the state as a whole is read from the
-checkpoint by ``state_table``.
+A few values a key are in RocksDB, which Spark checkpoints by batch and restores
+on a restart: the cost of a batch follows the keys it touches, not the keys there
+are.  Orders and inventory are folds, so Spark's streaming aggregation keeps them:
+each task first combines its own rows of a key, so a key that holds much of a
+stream sends one row a task, and no key is handed to Python.  Presence needs
+timers, so a processor of its own keeps it.
+
+A stream emits the rows it changed; the state as a whole is read from the
+checkpoint by ``order_table``, ``inventory_table`` and ``state_table``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,11 +34,6 @@ def _names(ddl: str) -> list[str]:
     return [f.split()[0] for f in ddl.split(", ")]
 
 
-def _sequenced(ddl: str, changes: DataFrame) -> str:
-    """``ddl`` with the type that the sequence has in ``changes``."""
-    return ddl.replace("seq string", f"seq {changes.schema['seq'].dataType.simpleString()}")
-
-
 def last_in_batch(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last row of each key in each batch a task is handed, by ``order``.
 
@@ -55,71 +51,55 @@ def last_in_batch(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
 # ---------------------------------------------------------------- I3
 
 ORDER_CHANGE = "order_id string, kind string, customer_id string, items string, total string, created_at string, seq string"
-ORDER_STATE = "created_seq string, seq string, status string, customer_id string, items string, total string, created_at string"
-ORDER_ROW = "order_id string, seq string, status string, customer_id string, items string, total string, created_at string"
+ORDER_FIELDS = ["customer_id", "items", "total", "created_at"]
+INVENTORY_CHANGE = "item_id string, quantity string, updated_at string, seq string"
 
 
-class OrderProcessor(StatefulProcessor):
-    """Folds an order's changes (E3) in whatever order batches bring them.
+def _folded(changes: DataFrame, key: str, last: dict[str, tuple[list[str], Column]]) -> DataFrame:
+    """Per key the last fields of each kind, and the batch they came in, as a stream in update mode.
 
-    The last ``created`` sets all fields; the last change of any kind the status.
+    ``last`` has the fields and the order of each kind; rows without an order don't
+    count for it.  A batch's clock is the same for all its rows, also when it is
+    run again, so it tells which rows this batch has changed.
     """
-
-    def __init__(self, state: str = ORDER_STATE):
-        self.schema = state
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.order = handle.getValueState("orders", self.schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = self.order.get()
-        state = list(now) if now is not None else [None] * 7
-        changed = False
-        for r in rows:
-            if r.kind == "created" and (state[0] is None or r.seq >= state[0]):
-                state[0], state[3:] = r.seq, [r.customer_id, r.items, r.total, r.created_at]
-                changed = True
-            if state[1] is None or r.seq >= state[1]:
-                state[1], state[2] = r.seq, "processing" if r.kind == "created" else "completed"
-                changed = True
-        if changed:
-            self.order.update(tuple(state))
-            yield Row(order_id=key[0], seq=state[1], status=state[2], customer_id=state[3], items=state[4], total=state[5], created_at=state[6])
+    rows = changes.withColumn("_at", F.current_timestamp())
+    kinds = [F.max_by(F.struct(*fields, "_at"), order).alias(kind) for kind, (fields, order) in last.items()]
+    now = F.lit(False)
+    for kind in last:
+        now = now | F.coalesce(F.col(kind)["_at"] == F.current_timestamp(), F.lit(False))
+    return rows.groupBy(key).agg(*kinds).where(now)
 
 
 def order_stream(changes: DataFrame) -> DataFrame:
-    """Changed order rows from a stream of ``ORDER_CHANGE`` rows; any type that orders may be the sequence."""
-    last = last_in_batch(changes.select(*_names(ORDER_CHANGE)), ["order_id", "kind"], "seq")
-    return last.groupBy("order_id").transformWithState(
-        OrderProcessor(_sequenced(ORDER_STATE, changes)), _sequenced(ORDER_ROW, changes), "Update", "None")
-
-
-INVENTORY_CHANGE = "item_id string, quantity string, updated_at string, seq string"
-INVENTORY_STATE = "seq string, quantity string, updated_at string"
+    """Changed order rows from a stream of ``ORDER_CHANGE`` rows; any type that orders may be the sequence.
 
+    Folds an order's changes (E3) in whatever order batches bring them: the last
+    ``created`` sets all fields, the last change of any kind the status.
+    """
+    created = F.col("kind") == "created"
+    rows = changes.select(*_names(ORDER_CHANGE)).withColumn("status", F.when(created, "processing").otherwise("completed"))
+    folded = _folded(rows, "order_id", {"any": (["seq", "status"], F.col("seq")), "made": (ORDER_FIELDS, F.when(created, F.col("seq")))})
+    return folded.select("order_id", "any.seq", "any.status", *[f"made.{c}" for c in ORDER_FIELDS])
 
-class InventoryProcessor(StatefulProcessor):
-    """The last change of an item."""
 
-    def __init__(self, state: str = INVENTORY_STATE):
-        self.schema = state
+def order_table(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(order_id, status, fields) of an order stream as its last batch left it."""
+    fields = ", ".join(f"{c}: string" for c in ORDER_FIELDS)
+    s = _aggregates(spark, checkpoint, {"any": "struct<seq: string, status: string, at: timestamp>", "made": f"struct<{fields}, at: timestamp>"})
+    return s.select("order_id", "any.status", *[f"made.{c}" for c in ORDER_FIELDS])
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.item = handle.getValueState("inventory", self.schema)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = self.item.get()
-        last = max(rows, key=lambda r: r.seq)
-        if now is None or last.seq >= now[0]:
-            self.item.update((last.seq, last.quantity, last.updated_at))
-            yield Row(item_id=key[0], quantity=last.quantity, updated_at=last.updated_at, seq=last.seq)
+def inventory_stream(changes: DataFrame) -> DataFrame:
+    """Changed inventory rows from a stream of ``INVENTORY_CHANGE`` rows, likewise: the last change of an item."""
+    rows = changes.select(*_names(INVENTORY_CHANGE))
+    folded = _folded(rows, "item_id", {"any": (["quantity", "updated_at", "seq"], F.col("seq"))})
+    return folded.select("item_id", "any.quantity", "any.updated_at", "any.seq")
 
 
-def inventory_stream(changes: DataFrame) -> DataFrame:
-    """Changed inventory rows from a stream of ``INVENTORY_CHANGE`` rows, likewise."""
-    last = last_in_batch(changes.select(*_names(INVENTORY_CHANGE)), ["item_id"], "seq")
-    return last.groupBy("item_id").transformWithState(
-        InventoryProcessor(_sequenced(INVENTORY_STATE, changes)), _sequenced(INVENTORY_CHANGE, changes), "Update", "None")
+def inventory_table(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(item_id, quantity, updated_at) of an inventory stream as its last batch left it."""
+    s = _aggregates(spark, checkpoint, {"any": "struct<quantity: string, updated_at: string, seq: string, at: timestamp>"})
+    return s.select("item_id", "any.quantity", "any.updated_at")
 
 
 # ---------------------------------------------------------------- I4
@@ -210,6 +190,18 @@ def state_table(spark: SparkSession, checkpoint: str, variable: str) -> DataFram
     return rows.select("key.*", "value.*")
 
 
+def _aggregates(spark: SparkSession, checkpoint: str, kinds: dict[str, str]) -> DataFrame:
+    """(key..., kinds...) of the ``max_by`` aggregates that a query keeps.
+
+    Spark names what it keeps of an aggregate alike for all of them, so its value and
+    its order are told apart by their places.
+    """
+    use_state_store(spark)
+    places = ", ".join(f"`{k}`: {ddl}, `{k}_order`: string" for k, ddl in kinds.items())
+    rows = spark.read.format("statestore").load(checkpoint)
+    return rows.select("key.*", F.col("value").cast(f"struct<{places}>").alias("_v")).select("*", "_v.*").drop("_v")
+
+
 def present_at(spark: SparkSession, checkpoint: str, as_of) -> DataFrame:
     """Live connections per room at a clock that the stream has reached."""
     s = state_table(spark, checkpoint, "presence")
