@@ -124,3 +124,22 @@ def test_classifiers_on_edge_cases(spark, edge_rows, name):
                   else quality_classifier.quality_scores(docs, labels))
         got = scores.collect()
         assert len(got) == len(edge_rows) and all(0 <= r.score <= 1 for r in got)
+
+
+def test_forest_and_threshold_come_from_all_labelled_rows(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(k % 5 > 0, round(float(rng.normal(0.5 + 0.1 * (k % 5 == 0), 0.1)), 2)) for k in range(400)]
+    got = quality_rules.calibrate(spark.createDataFrame(rows, "good boolean, score double").repartition(3))
+    cuts = sorted({s for _, s in rows})
+    n_good, n_bad = sum(g for g, _ in rows), sum(not g for g, _ in rows)
+    gain = [n_good * sum(not g and s > c for g, s in rows) - quality_rules.GOOD_WEIGHT * n_bad * sum(g and s > c for g, s in rows) for c in cuts]
+    k = max(i for i, x in enumerate(gain) if x == max(gain))
+    assert got == pytest.approx((cuts[k] + cuts[min(k + 1, len(cuts) - 1)]) / 2)
+    # However small a tree may be, each good row grows one.
+    monkeypatch.setattr(quality_rules, "TREES", 4)
+    monkeypatch.setattr(quality_rules, "TREE_ROWS", 1)
+    good = spark.createDataFrame([(k, float(k), 0.0, 0.0, 0.0) for k in range(40)], "key long, x0 double, x1 double, x2 double, x3 double")
+    forest = quality_rules.grow_forest(good, 40)
+    assert (forest.feature >= 0).sum() == 40 - 4        # leaves of a tree: one a row
+    plan = quality_rules.quality_verdicts(frame(spark, []), None, ["doc_id"])
+    assert plan.count() == 0 and not hasattr(quality_rules, "FIT_ROWS")

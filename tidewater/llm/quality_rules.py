@@ -16,17 +16,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import bounded_batches, free_prefix, one_text_each, table
+from tidewater.llm.shared import bounded_batches, discard, free_prefix, materialise, table
 from tidewater.llm.textarrays import SPACE, Chunk, chunks, hash_spans, ngrams, word_spans
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks")
 MIN_WORDS = 50
-#: Labelled rows that the forest and its threshold are fitted on, at most.
-FIT_ROWS = 20_000
-TREES, TREE_ROWS = 128, 1024
+#: Trees, the rows that a tree gets while there are fewer than all trees need, and how deep it grows.
+TREES, TREE_ROWS, TREE_DEPTH = 128, 1024, 10
+#: Ranges of scores within which counts are summed up.
+RANGES = 65_536
 #: Rejecting a share of the good rows costs as much as keeping this many times
 #: that share of the bad ones.
 GOOD_WEIGHT = 10
@@ -117,29 +118,47 @@ def _average_path(n: float) -> float:
     return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
-def grow_forest(x: np.ndarray, trees: int = TREES, sample: int = TREE_ROWS, seed: int = 7) -> Forest:
-    """Random splits of random sub-samples down to single rows or log2 depth."""
-    rng = np.random.default_rng(seed)
-    n = min(sample, len(x))
-    depth = max(1, int(np.ceil(np.log2(max(n, 2)))))
-    nodes = 2 ** (depth + 1)
-    feature = np.full((trees, nodes), -1, np.int16)
-    split, length = np.zeros((trees, nodes)), np.zeros((trees, nodes))
-    for t in range(trees):
-        work = [(1, 0, x[rng.choice(len(x), n, replace=False)])]
-        while work:
-            node, at, rows = work.pop()
-            low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(1), np.zeros(1))
-            wide = np.flatnonzero(high > low)
-            if at == depth or len(rows) <= 1 or not len(wide):
-                length[t, node] = at + _average_path(len(rows))
-                continue
-            f = int(rng.choice(wide))
-            cut = rng.uniform(low[f], high[f])
-            feature[t, node], split[t, node] = f, cut
-            left = rows[:, f] <= cut
-            work += [(2 * node, at + 1, rows[left]), (2 * node + 1, at + 1, rows[~left])]
-    return Forest(feature, split, length, max(_average_path(n), 1e-9), np.inf)
+def grow_tree(x: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Random splits of the rows down to single ones or ``TREE_DEPTH``."""
+    feature = np.full(2 ** (TREE_DEPTH + 1), -1, np.int16)
+    split, length = np.zeros(len(feature)), np.zeros(len(feature))
+    work = [(1, 0, x)]
+    while work:
+        node, at, rows = work.pop()
+        low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(1), np.zeros(1))
+        wide = np.flatnonzero(high > low)
+        if at == TREE_DEPTH or len(rows) <= 1 or not len(wide):
+            length[node] = at + _average_path(len(rows))
+            continue
+        f = int(rng.choice(wide))
+        feature[node], split[node] = f, rng.uniform(low[f], high[f])
+        left = rows[:, f] <= split[node]
+        work += [(2 * node, at + 1, rows[left]), (2 * node + 1, at + 1, rows[~left])]
+    return feature, split, length
+
+
+def _grow(key: tuple, table: pa.Table) -> pa.Table:
+    """One tree over the rows dealt to it, whatever order they came in."""
+    x = np.stack([table.column(f"x{k}").to_numpy() for k in range(4)], axis=1)
+    x = x[np.lexsort(x.T)]
+    arrays = grow_tree(x, np.random.default_rng((7, key[0].as_py())))
+    return pa.table({"tree": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([len(x)], pa.int64()),
+                     **{name: pa.array([a.tobytes()], pa.binary()) for name, a in zip(("feature", "split", "length"), arrays)}})
+
+
+def grow_forest(good: DataFrame, n: int) -> Forest | None:
+    """Trees over all of the ``n`` rows (key, x0..x3), each in one tree at least and
+    in as many as give a tree ``TREE_ROWS``; a tree is grown by one task."""
+    copies = max(1, min(TREES, -(-TREES * TREE_ROWS // n)))
+    first = F.pmod(F.xxhash64("key"), F.lit(TREES))
+    dealt = good.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    step = F.pmod(F.xxhash64("key", F.lit("step")), F.lit(TREES // 2)) * 2 + 1     # odd, so no tree comes twice
+    dealt = dealt.withColumn("tree", F.pmod(first + F.col("tree") * step, F.lit(TREES)).cast("int"))
+    trees = (dealt.select("tree", *[f"x{k}" for k in range(4)]).groupBy("tree")
+             .applyInArrow(_grow, "tree int, n long, feature binary, split binary, length binary").orderBy("tree").collect())
+    part = lambda name, dtype: np.stack([np.frombuffer(bytes(r[name]), dtype) for r in trees])
+    norm = max(np.mean([_average_path(r.n) for r in trees]), 1e-9)
+    return Forest(part("feature", np.int16), part("split", np.float64), part("length", np.float64), float(norm), np.inf)
 
 
 def anomaly(forest: Forest, x: np.ndarray) -> np.ndarray:
@@ -164,54 +183,83 @@ def base_failed(stats: np.ndarray) -> np.ndarray:
     return (stats[:, 0] < MIN_WORDS) | (100 * stats[:, 4] > 50 * stats[:, 0])
 
 
-def fit_forest(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Forest | None:
-    """Forest over at most ``fit_rows`` labelled rows, and its threshold.
+def fit_forest(docs: DataFrame, labels: DataFrame) -> Forest | None:
+    """Forest over all labelled rows, and its threshold.
 
-    The rows are those of lowest id hash that pass the base rules.  The trees
-    grow on the good ones, the threshold comes from ``calibrate``.
+    Of the rows that pass the base rules, the trees grow on the good ones; the
+    threshold comes from ``calibrate``.  Only the trees reach the driver.
     """
-    bounded_batches(docs.sparkSession)
-    pick = (labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"))
-            .where("_id is not null and _quality is not null")
-            .groupBy("_id").agg(F.min("_quality").alias("_quality"))
-            .orderBy(F.xxhash64("_id"), "_id").limit(fit_rows))
-    rows = (one_text_each(docs, pick)
-            .select("_quality", "text").mapInArrow(_labelled_statistics, "quality int, stats binary").collect())
-    if not rows:
-        return None
-    quality = np.array([r.quality for r in rows])
-    stats = np.array([np.frombuffer(bytes(r.stats), np.int64) for r in rows])
-    use = ~base_failed(stats)
-    quality, x = quality[use], features_of(stats[use])
-    order = np.lexsort(x.T)     # whatever order the rows came in
-    quality, x = quality[order], x[order]
-    good = x[quality == 1]
-    if len(good) < 2:
-        return None
-    forest = grow_forest(good)
-    return forest._replace(threshold=calibrate(anomaly(forest, good), anomaly(forest, x[quality != 1])))
-
-
-def calibrate(good: np.ndarray, bad: np.ndarray) -> float:
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    labelled = (labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"))
+                .where("_id is not null and _quality is not null").groupBy("_id").agg(F.min("_quality").alias("_quality")))
+    # Statistics first, so that no text is shuffled; where an id is repeated, the text of lowest hash counts.
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    stats = texts.mapInArrow(
+        _labelled_statistics, f"_id {id_type}, _hash long, failed boolean, x0 double, x1 double, x2 double, x3 double")
+    fields = ["failed", "x0", "x1", "x2", "x3"]
+    one = stats.groupBy("_id").agg(F.min_by(F.struct(*fields), F.struct("_hash", *fields)).alias("_s"))
+    rows = materialise(one.join(labelled, "_id").where("not _s.failed")
+                       .select(F.col("_id").alias("key"), (F.col("_quality") == 1).alias("good"), "_s.x0", "_s.x1", "_s.x2", "_s.x3"), "rule-rows")
+    try:
+        n = rows.where("good").count()
+        if n < 2:
+            return None
+        forest = grow_forest(rows.where("good"), n)
+        return forest._replace(threshold=calibrate(_scored(rows, forest)))
+    finally:
+        discard(rows)
+
+
+def _scored(rows: DataFrame, forest: Forest) -> DataFrame:
+    """(good, score) of each labelled row."""
+    shared = rows.sparkSession.sparkContext.broadcast(forest)  # of a size fixed by TREES
+
+    def score(batches):
+        for batch in batches:
+            x = np.stack([c.to_numpy() for c in batch.columns[1:]], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(anomaly(shared.value, x))], names=["good", "score"])
+
+    return rows.select("good", "x0", "x1", "x2", "x3").mapInArrow(score, "good boolean, score double")
+
+
+def calibrate(scores: DataFrame) -> float:
     """Threshold that rejects most bad rows for ``GOOD_WEIGHT`` times fewer good ones.
 
-    Of equal choices the highest, moved half way to the score above it.
+    Of equal choices the highest, moved half way to the score above it.  Counts of a
+    score are summed up within ranges of scores, after the counts of all ranges below.
     """
-    if not len(bad):
-        return float(good.max())
-    cuts = np.unique(np.concatenate([good, bad]))
-    gain = (1 - np.searchsorted(np.sort(bad), cuts, "right") / len(bad)
-            - GOOD_WEIGHT * (1 - np.searchsorted(np.sort(good), cuts, "right") / len(good)))
-    k = int(np.flatnonzero(gain >= gain.max() - 1e-12)[-1])
-    return float((cuts[k] + cuts[min(k + 1, len(cuts) - 1)]) / 2)
+    by_score = materialise(
+        scores.groupBy("score").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))
+        .withColumn("range", F.floor(F.col("score") * RANGES).cast("int")), "rule-scores")
+    try:
+        sums = by_score.groupBy("range").agg(F.sum("g").alias("g"), F.sum("b").alias("b"))  # RANGES rows at most
+        sums = np.array(sorted(tuple(r) for r in sums.collect()), np.int64)
+        good, bad = sums[:, 1].sum(), sums[:, 2].sum()
+        if not bad:
+            return by_score.agg(F.max("score")).first()[0]
+        below = np.cumsum(sums[:, 1:], axis=0) - sums[:, 1:]
+        starts = by_score.sparkSession.createDataFrame(
+            [(int(r), int(g), int(b)) for r, (g, b) in zip(sums[:, 0], below)], "range int, g0 long, b0 long")
+        upto = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        run = by_score.join(F.broadcast(starts), "range").select("score", (F.col("g0") + F.sum("g").over(upto)).alias("g"),
+                                                                 (F.col("b0") + F.sum("b").over(upto)).alias("b"))
+        # Whole numbers, so that equal choices are equal: (1 - b / bad) - weight * (1 - g / good), times both sums.
+        gain = F.col("g").cast("decimal(19,0)") * F.lit(int(GOOD_WEIGHT * bad)) - F.col("b").cast("decimal(19,0)") * F.lit(int(good))
+        cut = run.agg(F.max(F.struct(gain.alias("gain"), "score")).alias("m")).first().m.score
+        above = by_score.where(F.col("score") > cut).agg(F.min("score")).first()[0]
+        return cut if above is None else (cut + above) / 2
+    finally:
+        discard(by_score)
 
 
 def _labelled_statistics(batches):
     for batch in batches:
-        stats = statistics_of(batch.column(1))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int32()), pa.array([r.tobytes() for r in stats], pa.binary())],
-            names=["quality", "stats"])
+        stats = statistics_of(batch.column(2))
+        x = features_of(stats)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(base_failed(stats)), *(pa.array(x[:, k]) for k in range(4))],
+                                         names=["_id", "_hash", "failed", "x0", "x1", "x2", "x3"])
 
 
 RULE_SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
