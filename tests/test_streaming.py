@@ -263,3 +263,17 @@ def test_order_stream_emits_only_what_a_batch_changed_without_python(spark, tmp_
     assert {(r.order_id, r.status) for r in jobs.order_state(spark, ck).collect()} == {("A", "processing"), ("B", "processing")}
     plan = stateful.order_stream(jobs.order_changes(jobs.routed_events(spark, _bus(spark, src))[0])[0])._jdf.queryExecution().logical().toString()
     assert "InPySpark" not in plan and "Pandas" not in plan
+
+
+def test_no_task_holds_a_shard(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(shards, "TASK_RECORDS", 50)
+    rows = [("a", (s * 7) % 300, s) for s in range(300)]
+    for part in (rows[:130], [(k, s + 300, v) for k, s, v in rows[:90]]):
+        _record_log(spark, tmp_dir, part)
+    assert shards.Log(tmp_dir).ends() == {1: 220}
+    reader = shards.ShardReader({"path": tmp_dir, "startingposition": "earliest"})
+    tasks = reader.partitions({}, {"1": 220})
+    assert [(t.start, t.end) for t in tasks] == [(0, 50), (50, 100), (100, 150), (150, 200), (200, 220)]
+    read = [(o, int(q)) for t in tasks for b in reader.read(t) for o, q in zip(b.column("offset").to_pylist(), b.column("sequenceNumber").to_pylist())]
+    want = sorted(s for _, s, _ in rows[:130]) + sorted(s + 300 for _, s, _ in rows[:90])
+    assert read == list(enumerate(want))

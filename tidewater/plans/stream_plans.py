@@ -24,13 +24,18 @@ def _fresh(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
 
 
+def _segment(n: int) -> int:
+    """Records of a segment: 32 segments or so, none so long that it fills a task."""
+    return min(max(100, -(-n // 32)), 100_000)
+
+
 def _log(spark: SparkSession, sf_dir: str, label: str, shard: Column, delivered: Column | None = None) -> tuple[str, int]:
     """The events as a record log, in order of delivery; its folder and its records."""
     rows = t(spark, sf_dir, "events")
     env = envelopes_from_events(rows.withColumn("event_id", delivered) if delivered is not None else rows)
     root = f"{_fresh(spark, label)}/log"
     n = rows.count()
-    append_records(env, root, shard, segment=max(100, -(-n // 32)))
+    append_records(env, root, shard, _segment(n))
     return root, n
 
 
@@ -61,7 +66,7 @@ def windowed_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, n = _log(spark, sf_dir, "windows", F.lit(0), delivered)
     base = root.removesuffix("/log")
     again = t(spark, sf_dir, "events").where(F.col("event_id") % _AGAIN == 0)
-    append_records(envelopes_from_events(again.withColumn("event_id", delivered)), root, F.lit(0), segment=max(100, -(-n // 32)))
+    append_records(envelopes_from_events(again.withColumn("event_id", delivered)), root, F.lit(0), _segment(n))
     stateful.use_state_store(spark)
     env = read_shards(spark, root, f"{base}/checkpoint", -(-n // 7), "earliest")
     out = jobs.windowed_stream(env, "1 day", "2 days")
