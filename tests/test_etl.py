@@ -109,3 +109,12 @@ def test_stage_keeps_other_days(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert spark.read.parquet(f"{tmp_dir}/staged").count() == 2
+
+
+def test_a_record_is_parsed_once_to_extract_it(spark):
+    rows = spark.createDataFrame([(json.dumps({"id": str(i), "timestamp": t}),) for i, t in enumerate(
+        ["2024-01-15T07:30:00Z", "2024-01-16T07:30:00Z", "soon", None])], "j string").select(F.parse_json("j").alias("record"))
+    ok, bad = etl.extract_records(rows.repartition(2), AS_OF)
+    lazy, _ = etl.extract_records(spark.range(3).select(F.parse_json(F.concat(F.lit('{"timestamp":"'), "id", F.lit('"}'))).alias("record")), AS_OF)
+    assert (ok.count(), bad.count()) == (2, 1)
+    assert lazy._jdf.queryExecution().executedPlan().toString().count("parseJson") == 1

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.core import lit_ts, parse_iso
+from tidewater.functions.core import lit_ts, once, parse_iso
 from tidewater.operators.quality import split_valid
 
 # Fields the transform consumes itself; every other field is
@@ -42,7 +42,7 @@ def extract_day(df: DataFrame, ts_col: str, as_of: str | datetime) -> tuple[Data
         ts = F.col(ts_col).cast("timestamp_ntz")
         return df.filter(((ts >= start) & (ts < end)) | F.col(ts_col).isNull()), df.limit(0)
     parsed = parse_iso(ts_col).cast("timestamp_ntz")
-    tagged = df.withColumn("_ts", parsed)
+    tagged = once(df.withColumn("_ts", parsed))
     ok = tagged.filter(F.col(ts_col).isNull()
                        | ((F.col("_ts") >= start) & (F.col("_ts") < end))).drop("_ts")
     bad = (tagged.filter(F.col(ts_col).isNotNull() & F.col("_ts").isNull()).drop("_ts")
@@ -54,7 +54,7 @@ def extract_records(records: DataFrame, as_of: str | datetime) -> tuple[DataFram
     """B10 over variant records: the ``timestamp`` field decides."""
     text = F.coalesce(F.try_variant_get("record", "$.timestamp.S", "string"),
                       F.try_variant_get("record", "$.timestamp", "string"))
-    with_ts = records.withColumn("_tstext", text)
+    with_ts = once(records.withColumn("_tstext", text))
     ok, bad = extract_day(with_ts, "_tstext", as_of)
     return ok.drop("_tstext"), bad.drop("_tstext")
 
