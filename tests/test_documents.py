@@ -1,5 +1,10 @@
 """Document annotation (FIXTURES section 6)."""
 
+import math
+import re
+from collections import Counter
+from itertools import pairwise
+
 from pyspark.sql import functions as F
 
 from tidewater.operators import documents as D
@@ -69,3 +74,32 @@ def test_a_failed_part_leaves_the_others(spark):
     assert got[6].analysis_part.value.sentiment == "NEUTRAL" and got[6].translation_part.error == "language not detected"
     assert got[4].text_part.value.full_text_length == 0 and got[4].analysis_part.error == "empty text"
     assert D.part_results(files.limit(0)).count() == 0
+
+
+def test_key_phrases_match_a_plain_count(spark, monkeypatch):
+    """Ids that repeat or are null, null and empty texts, tokens in pieces."""
+    monkeypatch.setattr(D, "_PIECE", 5)
+    rows = [(1, "x", "blue sky, blue sky; blue sea"), (1, "x", "blue sky of red sea 9 red sea"), (None, "x", "red sea blue"),
+            (2, "x", None), (3, "x", ""), (4, "x", "the"), (8, "x", ""), (9, "x", ""), (5, "x", "...blue sky!"), (6, "x", "\u00c9t\u00e9 long \u00e9t\u00e9 LONG"),
+            (7, "x", " ".join(f"w{chr(97 + i)} z{chr(97 + i)}" for i in range(20)))]
+    stop = {w for ws in D.STOP_WORDS.values() for w in ws}
+    counts = []
+    for k, _, text in rows:
+        tok = re.findall(r"[^\W\d_]+", (text or "").lower())
+        counts.append((k, Counter(f"{a} {b}" for a, b in pairwise(tok) if not {a, b} & stop)))
+    df = Counter(p for _, c in counts for p in c)
+    want = []
+    for k in {k for k, _ in counts}:
+        own = sorted((-n * math.log(len(rows) / df[p]), p) for i, c in counts if i == k for p, n in c.items())
+        want += [(k, r, p, round(-s, 6) + 0.0) for r, (s, p) in enumerate(own[:20], 1)]
+    for docs in (_docs(spark, rows), D.with_tokens(_docs(spark, rows))):
+        got = [tuple(r) for r in D.key_phrases(docs).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert D.key_phrases(_docs(spark, rows).limit(0)).count() == 0
+
+
+def test_key_phrases_sort_rows_once_after_each_shuffle(spark):
+    """No row is sorted for the ranking before it is dealt out, and only repeated phrases are joined."""
+    plan = D.key_phrases(_docs(spark, [(1, "x", "blue sky")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("RepartitionByExpression") < plan.index("Join LeftOuter")
+    assert "(df" in plan and "> 1)" in plan

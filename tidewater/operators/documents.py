@@ -8,15 +8,21 @@ entities), not a model's.
 
 Per-document work (tokenising, lexicon hits, entity patterns) uses
 higher-order functions inside the row -- no explode, no shuffle; lexicon
-membership compiles to a hash-set lookup.  Only the key-phrase IDF needs
+membership compiles to a hash-set lookup.  Phrases are counted by Arrow and
+numpy over columns of token lists.  Only the key-phrase IDF needs
 corpus statistics and therefore a shuffle.  Whole texts are analysed; the
 5,000-character cut applies only to the stored ``extracted_text``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,9 +71,14 @@ ENTITY_TYPES = [("EMAIL", r"^.*@.*$", 0.99),
                 ("QUANTITY", r"^.*$", 0.8)]
 
 
+def _split(text: Column) -> Column:
+    """Lower-cased letter runs of the whole text; the first and last may be empty."""
+    return F.split(F.lower(text), r"[^\p{L}]+")
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased letter runs of the whole text."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: x != "")
+    return F.array_remove(_split(text), "")
 
 
 TOKENS = "_tokens"
@@ -174,46 +185,66 @@ def entities(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("entities", F.transform(F.slice(found, 1, TOP_N), typed))
 
 
-def bigrams(tok: Column) -> Column:
-    """Adjacent token pairs without function words."""
-    stop = sorted({w for ws in STOP_WORDS.values() for w in ws})
-    nxt = F.slice(tok, 2, F.greatest(F.size(tok) - 1, F.lit(0)))
-    pairs = F.zip_with(tok, nxt, lambda a, b: F.when(
-        b.isNotNull() & ~a.isin(*stop) & ~b.isin(*stop), F.concat(a, F.lit(" "), b)))
-    return F.filter(pairs, lambda x: x.isNotNull())
-
-
-def counted(items: Column) -> Column:
-    """Distinct values of an array with their counts, by one sort of the row."""
-    def runs(s):
-        n = F.size(s)
-        heads = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                         lambda i: (n > 0) & ((i == 0) | (F.get(s, i) != F.get(s, i - 1))))
-        nexts = F.concat(F.slice(heads, 2, F.greatest(F.size(heads), F.lit(1))), F.array(n))
-        return F.zip_with(heads, F.slice(nexts, 1, F.greatest(F.size(heads), F.lit(0))),
-                          lambda i, j: F.struct(F.get(s, i).alias("phrase"), (j - i).cast("long").alias("tf")))
-    # The one-element transform binds the sorted array to a name.
-    return F.get(F.transform(F.array(F.array_sort(items)), runs), 0)
+# Function words of all languages: no phrase holds one.
+_STOP = sorted({w for ws in STOP_WORDS.values() for w in ws})
+# Tokens of the documents that are counted at once.
+_PIECE = 1 << 20
+
+
+def _counted(ids: pa.Array, tok: pa.ListArray) -> pa.RecordBatch:
+    """(id, phrase, tf) of some rows: adjacent pairs of their tokens without
+    function words, each once a row with its count."""
+    codes = tok.flatten().dictionary_encode()
+    words, code = codes.dictionary, codes.indices.to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(tok)), pc.fill_null(pc.list_value_length(tok), 0).to_numpy())
+    plain = pc.invert(pc.is_in(words, pa.array([*_STOP, ""], words.type))).to_numpy(zero_copy_only=False)
+    plain = plain[code] if len(code) else np.zeros(0, bool)
+    at = np.flatnonzero(plain[:-1] & plain[1:] & (row[:-1] == row[1:]))
+    order = np.lexsort((code[at + 1], code[at], row[at]))
+    at = at[order]
+    keys = row[at], code[at], code[at + 1]
+    new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])[:len(at)]
+    first = np.flatnonzero(new)
+    row, one, two = (pa.array(k[first]) for k in keys)
+    phrase = pc.binary_join_element_wise(words.take(one), words.take(two), pa.scalar(" ", words.type))
+    return pa.RecordBatch.from_arrays([ids.take(row), phrase, pa.array(np.diff(np.append(first, len(at))))], names=["id", "phrase", "tf"])
+
+
+def _phrase_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of (id, tokens) rows, about ``_PIECE`` tokens at a time."""
+    for batch in batches:
+        ids, tok = batch.columns
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(tok), 0).to_numpy())
+        cuts = np.flatnonzero(np.diff(ends // _PIECE, prepend=0))
+        for i, j in pairwise([0, *cuts, len(batch)]):
+            if j > i:
+                yield _counted(ids.slice(i, j - i), tok.slice(i, j - i))
 
 
 def key_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """K4 + E8: top-20 bigrams per document by TF-IDF over the corpus.
 
     Rows ``(doc_id, rank, phrase, score)``.  Counts within a document need no
-    shuffle: they are made in its row.  Document frequencies are one partial
-    aggregate; the frequent-phrase skew of the tf/df join is left to AQE's
+    shuffle: they are made from its row, by Arrow in the task.  Document
+    frequencies are one partial aggregate, of which only those over one are
+    joined; the frequent-phrase skew of the tf/df join is left to AQE's
     skew-join split.
     """
     # Corpus size as a scalar subquery (one value, no join).
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    grams = with_tokens(docs, text).select(F.col(doc_id), bigrams(F.col(TOKENS)).alias("_g"))
+    listed = docs.select(F.col(doc_id).alias("id"), F.col(TOKENS) if TOKENS in docs.columns else _split(F.col(text)).alias(TOKENS))
+    kind = listed.schema["id"].dataType.simpleString()
     # Read twice, for the frequencies and for the scores; tokenised once.
-    tf = stored(grams.select(doc_id, F.inline(counted(F.col("_g")))), "phrase-counts")
-    df_ = tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))
-    scored = (tf.join(df_, "phrase")
-              .withColumn("_s", F.col("tf") * F.log(n_docs / F.col("df"))))
-    # One ranking pass: a group is one document, bounded by its length.
-    top = keyed.top_k(scored, [doc_id], [F.col("_s").desc(), F.col("phrase")], TOP_N)
+    tf = stored(listed.mapInArrow(_phrase_counts, f"id {kind}, phrase string, tf long"), "phrase-counts")
+    # Phrases meet by 128 bits of hash, which sort faster than their texts.
+    tf = tf.withColumns({"_h": F.xxhash64("phrase"), "_k": F.xxhash64(F.lit(1), "phrase")})
+    df_ = tf.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1)
+    scored = (tf.join(df_, ["_h", "_k"], "left")
+              .select(F.col("id").alias(doc_id), "phrase",
+                      (F.col("tf") * F.log(n_docs / F.coalesce("df", F.lit(1)))).alias("_s")))
+    # One ranking pass: a group is one document, bounded by its length.  The rows are
+    # dealt out first, as otherwise they would be sorted before the shuffle, too.
+    top = keyed.top_k(scored.repartition(doc_id), [doc_id], [F.col("_s").desc(), F.col("phrase")], TOP_N)
     return top.select(doc_id, "rank", "phrase", F.round("_s", 6).alias("score"))
 
 
