@@ -46,7 +46,7 @@ FREQUENT, CLASSES, WIDTH = 2_000_000, 511, 16
 BATCH, NOISE, RATE, ROUNDS = 2048, 48, 0.05, 2
 PER_ROOT, MEMBER_NOISE = 4, 8
 _END = np.uint64(0x27D4EB2F165667C5)
-_FLUSH, _STEP, _CACHED, _SAFE, _PAIRS = 1 << 21, 1 << 18, 1 << 17, 60, 1 << 20
+_FLUSH, _STEP, _CACHED, _SAFE, _PAIRS, _FACTORS, _KEPT = 1 << 21, 1 << 18, 1 << 17, 60, 1 << 20, 1 << 23, 31 << 20
 
 
 def token_hashes(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +65,17 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def _keep_freed() -> None:
+    """Lets this process keep the memory of freed arrays for the next ones.
+
+    The C library gives blocks back until one of some size was freed; the system
+    would clear each of their pages anew, which takes longer than most sums here.
+    """
+    np.empty(_KEPT, np.uint8)
+
+
 def _count_rows(batches):
+    _keep_freed()
     keys, counts, size = [], [], 0
 
     def out():
@@ -102,6 +112,7 @@ class Words(NamedTuple):
     singles: int = 0                            # number of these; then come those by hash
     sub_counts: np.ndarray = np.zeros(0)
     sub_kinds: np.ndarray = np.zeros(0)         # different words of each subclass
+    begin: np.ndarray = np.zeros(0, np.int32)   # first place of the hashes with each start, see ``indexed``
 
     @property
     def other(self) -> int:
@@ -112,9 +123,24 @@ class Words(NamedTuple):
         """Place of each token among the frequent words, and whether it is there."""
         if not len(self.hashes):
             return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
+        last = len(self.hashes) - 1
+        if not len(self.begin):
+            at = np.minimum(np.searchsorted(self.hashes, tokens), last)
+            return at, self.hashes[at] == tokens
+        at = np.minimum(self.begin[tokens >> _shift(len(self.begin))], last).astype(np.int64)
+        low = np.flatnonzero(self.hashes[at] < tokens)
+        while len(low := low[at[low] < last]):
+            at[low] += 1
+            low = low[self.hashes[at[low]] < tokens[low]]
         return at, self.hashes[at] == tokens
 
+    def indexed(self) -> Words:
+        """With the place where the hashes with each start begin, of which there
+        are more than words, so ``find`` takes few steps from there."""
+        n = 1 << len(self.hashes).bit_length()
+        starts = np.arange(n, dtype=np.uint64) << _shift(n)
+        return self._replace(begin=np.searchsorted(self.hashes, starts).astype(np.int32)) if n > 1 else self
+
     def classes_of(self, tokens: np.ndarray) -> np.ndarray:
         at, known = self.find(tokens)
         return np.where(known, self.classes[at] if len(self.classes) else 0, self.other)
@@ -138,6 +164,10 @@ class Words(NamedTuple):
         return classes, *contexts(own, starts, self.other + 1), subs
 
 
+def _shift(n: int) -> np.uint64:
+    return np.uint64(65 - n.bit_length())
+
+
 def _bucket(words: np.ndarray, n: int) -> np.ndarray:
     return ((words >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
 
@@ -334,7 +364,8 @@ def fit_model(docs: DataFrame, words: Words, words_shared) -> Model:
             from pyspark import TaskContext
 
             part = TaskContext.get().partitionId()
-            own = words_shared.value
+            _keep_freed()
+            own = words_shared.value.indexed()
 
             def parts():
                 for batch in batches:
@@ -399,8 +430,10 @@ class PairSums:
     is fixed, and a pair that was put out is worked out again.
     """
 
-    def __init__(self, vectors: np.ndarray, bias: np.ndarray):
+    def __init__(self, model: Model, vectors: np.ndarray, bias: np.ndarray):
         self.vectors, self.bias = vectors, bias
+        self.count = len(model.first)
+        self.first, self.second = _factors(model, vectors, bias)
         self.pairs, self.sums = np.full(_PAIRS, -1, np.int64), np.zeros(_PAIRS, vectors.dtype)
 
     def of(self, pair: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -410,21 +443,60 @@ class PairSums:
         new = np.flatnonzero(self.pairs[place] != pair)
         # Each pair once.
         _, first, same = np.unique(pair[new], return_index=True, return_inverse=True)
-        sums = _log_sums(q[new[first]], self.vectors, self.bias)
-        out[new] = sums[same]
         once = new[first]
+        sums = self._worked_out(pair[once], q, once)
+        out[new] = sums[same]
         self.pairs[place[once]] = pair[once]
         stays = self.pairs[place[once]] == pair[once]      # of two at one place, one
         self.sums[place[once[stays]]] = sums[stays]
         return out
 
 
+    def _worked_out(self, pair: np.ndarray, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+        out = np.empty(len(pair), self.sums.dtype)
+        one, two = np.divmod(pair, self.count)
+        known = (one < len(self.first)) & (two < len(self.first))
+        other, own = np.flatnonzero(~known), np.flatnonzero(known)
+        if len(other):
+            out[other] = _log_sums(q[at[other]], self.vectors, self.bias)
+        if len(own):
+            one, two = one[own], two[own]
+            rows = max(64, _CACHED // 2 // max(1, self.first.shape[1]))
+            a, b = np.empty((2, min(rows, len(own)), self.first.shape[1]), self.first.dtype)
+            z = np.empty(len(own), self.first.dtype)
+            for i in range(0, len(own), rows):
+                n = len(z[i:i + rows])
+                np.take(self.first, one[i:i + rows], 0, a[:n], "clip")
+                np.take(self.second, two[i:i + rows], 0, b[:n], "clip")
+                np.einsum("ij,ij->i", a[:n], b[:n], out=z[i:i + rows])
+            out[own] = np.log(z)
+        return out
+
+
+def _pair_sums(model: Model) -> tuple[PairSums, PairSums]:
+    return PairSums(model, model.target, model.bias), PairSums(model, model.group, model.group_bias)
+
+
+def _factors(model: Model, vectors: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the contexts that come first, exponentials of their products with the
+    vectors, before (with the bias) and two before: a pair's sum is the product
+    of two rows.  None if a product of two could leave single precision."""
+    n = min(len(model.first), _FACTORS // max(1, len(vectors)))
+    out = [model.first[:n] @ vectors.T, model.second[:n] @ vectors.T]
+    out[0] += bias
+    if not out[0].size or sum(np.abs(x).max() for x in out) >= _SAFE:
+        return np.empty((0, len(vectors)), vectors.dtype), np.empty((0, len(vectors)), vectors.dtype)
+    for x in out:
+        np.exp(x, out=x)
+    return out[0], out[1]
+
+
 def class_logs(model: Model, log_sum: np.ndarray, word, one, two, sub, held: tuple[PairSums, PairSums] | None = None) -> np.ndarray:
     """Log probability of each token's class and, if it has one, subclass.
 
     ``held`` keeps log sums of classes and of groups from one call to the next.
     """
-    of_classes, of_groups = held or (PairSums(model.target, model.bias), PairSums(model.group, model.group_bias))
+    of_classes, of_groups = held or _pair_sums(model)
     out = np.empty(len(word))
     n, side = len(log_sum), model.side
     for i in range(0, len(word), _STEP):
@@ -458,8 +530,9 @@ SCORE_SCHEMA = ("row long, word long, n long, n_known long, logs double, other_l
 
 def _score_rows(batches, words: Words, model: Model, log_sum: np.ndarray):
     """A row for each document, and one for each of its words that isn't frequent."""
+    _keep_freed()
     model = Model(*(x.astype(np.float32) for x in model))
-    held = PairSums(model.target, model.bias), PairSums(model.group, model.group_bias)
+    held = _pair_sums(model)
     rest = np.log10(words.sub_counts + words.sub_kinds + 1.0)
     weight = np.log10(words.counts + 1.0)
     names = [f.split()[0] for f in SCORE_SCHEMA.split(", ")]
@@ -504,7 +577,7 @@ def lm_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
     fitted = context.broadcast((model, normalisers(model)))
 
     def run(batches):
-        return _score_rows(batches, shared.value, *fitted.value)
+        return _score_rows(batches, shared.value.indexed(), *fitted.value)
 
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     # Ids and numbers go the same way as the scores, in one write.
