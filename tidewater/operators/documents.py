@@ -16,7 +16,7 @@ corpus statistics and therefore a shuffle.  Whole texts are analysed; the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime
 from itertools import pairwise
 
@@ -131,6 +131,11 @@ def _hits(tok: Column, words: list[str]) -> Column:
     return F.size(F.filter(tok, lambda x: x.isin(*words)))
 
 
+def _listed(tok: Column, lists: Iterable[list[str]]) -> Column:
+    """The tokens that are in one of the lists, so that others are looked up once."""
+    return F.filter(tok, lambda x: x.isin(*sorted({w for ws in lists for w in ws})))
+
+
 def language_votes(tok: Column) -> dict[str, Column]:
     return {lang: _hits(tok, STOP_WORDS[lang]) for lang in LANGUAGE_ORDER}
 
@@ -139,11 +144,12 @@ def detect_language(df: DataFrame, text: str = "text") -> DataFrame:
     """K2: the language with most function-word hits (ties: order
     en, fr, de, es); ``und`` when none.  Adds ``source_language`` and
     ``language_hits``."""
-    votes = language_votes(F.col(TOKENS))
+    votes = language_votes(F.col("_listed"))
     cand = F.array(*[F.struct(votes[l].alias("hits"), F.lit(len(LANGUAGE_ORDER) - i).alias("prio"),
                               F.lit(l).alias("lang"))
                      for i, l in enumerate(LANGUAGE_ORDER)])
-    voted = with_tokens(df, text).withColumn("_best", F.array_max(cand))
+    listed = with_tokens(df, text).withColumn("_listed", _listed(F.col(TOKENS), STOP_WORDS.values()))
+    voted = listed.withColumn("_best", F.array_max(cand)).drop("_listed")
     best = F.col("_best")
     return _own_tokens(df, voted.withColumns({
         "source_language": F.when(best.hits > 0, best.lang).otherwise(F.lit("und")),
@@ -154,9 +160,10 @@ def detect_language(df: DataFrame, text: str = "text") -> DataFrame:
 def sentiment(df: DataFrame, text: str = "text") -> DataFrame:
     """K3: label and ``{positive, negative, neutral, mixed}`` scores from
     lexicon hits over all tokens."""
-    tok = F.col(TOKENS)
-    counted = with_tokens(df, text).withColumns({
-        "_n": F.size(tok), "_pos": _hits(tok, POSITIVE_WORDS), "_neg": _hits(tok, NEGATIVE_WORDS)})
+    tok = F.col("_listed")
+    listed = with_tokens(df, text).withColumn("_listed", _listed(F.col(TOKENS), [POSITIVE_WORDS, NEGATIVE_WORDS]))
+    counted = listed.withColumns({
+        "_n": F.size(TOKENS), "_pos": _hits(tok, POSITIVE_WORDS), "_neg": _hits(tok, NEGATIVE_WORDS)}).drop("_listed")
     n, pos, neg = F.col("_n"), F.col("_pos"), F.col("_neg")
     frac = lambda c: F.when(n > 0, c.cast("double") / n).otherwise(F.lit(0.0))
     label = (F.when((pos > 0) & (pos == neg), F.lit("MIXED"))
