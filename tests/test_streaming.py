@@ -3,10 +3,16 @@
 import base64
 import json
 import os
+import re
+import time
+import uuid
 
 from pyspark.sql import functions as F
 
 from tidewater.operators import chat, events as ev, metrics
+from tidewater.plans import stream_plans
+from tidewater.plans.events_plans import bus_events
+from tidewater.session import scratch_path
 from tidewater.sources import shards
 from tidewater.sources.stream import envelopes_from_events, read_envelopes, write_envelopes
 from tidewater.sources.tables import read_table
@@ -277,3 +283,29 @@ def test_no_task_holds_a_shard(spark, tmp_dir, monkeypatch):
     read = [(o, int(q)) for t in tasks for b in reader.read(t) for o, q in zip(b.column("offset").to_pylist(), b.column("sequenceNumber").to_pylist())]
     want = sorted(s for _, s, _ in rows[:130]) + sorted(s + 300 for _, s, _ in rows[:90])
     assert read == list(enumerate(want))
+
+
+def _shuffles(spark):
+    """The shuffles that have files on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return set(re.findall(r"/shuffle_(\d+)_", files))
+
+
+def test_order_stream_leaves_neither_shuffle_files_nor_the_events_it_has_read(spark, monkeypatch):
+    roots = []
+    monkeypatch.setattr(stream_plans, "_fresh", lambda spark, label: roots.append(scratch_path(spark, f"{label}-{uuid.uuid4().hex}")) or roots[-1])
+    before = _shuffles(spark)
+    rows = stream_plans.order_state_stream(spark, SF)
+    until = time.time() + 20            # files are removed aside
+    left = lambda: [f for f in os.listdir(os.path.join(roots[0], "bus")) if f.endswith(".parquet")]
+    while (_shuffles(spark) - before or len(left()) > 2) and time.time() < until:
+        time.sleep(0.5)
+    assert not _shuffles(spark) - before
+    assert len(left()) == 2             # of eight: those of the last batch
+    assert rows.count() == read_table(spark, SF, "orders").count()
+
+
+def test_a_bus_that_is_dealt_out_has_the_same_events(spark):
+    text = lambda df: sorted(map(tuple, df.select(F.to_json("event"), F.to_json("seq")).collect()))
+    dealt = bus_events(spark, SF, lambda rows, seq: rows.repartition(3, seq))
+    assert dealt.rdd.getNumPartitions() == 3 and text(dealt) == text(bus_events(spark, SF))

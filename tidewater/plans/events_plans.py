@@ -11,7 +11,9 @@ The sequence is ``(time, phase, order, line)``, a total order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import events as ev
@@ -22,7 +24,12 @@ def _iso(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bus_events(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame, Column], DataFrame] | None = None) -> DataFrame:
+    """All events of the bus with their sequence.
+
+    ``deal`` shuffles them, if given: it gets the rows that the events are made of, and
+    their sequence, since those take less room than the events themselves.
+    """
     orders = t(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     li = t(spark, sf_dir, "lineitem").select(
@@ -30,48 +37,48 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Items of an order: bounded by its line count (at most 7 lines per order).
     items = (li.groupBy("l_orderkey")
              .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", F.struct(
-                 F.col("l_partkey").cast("string").alias("productId"),
-                 F.col("l_quantity").cast("bigint").alias("quantity"),
+                 "l_partkey", F.col("l_quantity").cast("bigint").alias("quantity"),
                  F.col("l_extendedprice").cast("decimal(18,2)").alias("price")).alias("item")))).alias("lines"))
              .select("l_orderkey", F.col("lines.item").alias("items")))
     o = orders.repartition("o_orderkey").join(items, orders.o_orderkey == items.l_orderkey, "left")
-    key = F.col("o_orderkey").cast("string")
-
+    # What the events of either table are made of: all events of an order from one pass
+    # over it, first which, then each one; and one of a line.
+    which = F.array(F.lit(0), F.when(F.col("o_orderstatus") == "F", F.lit(1)),
+                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(3)))
+    phase = F.col("phase")
+    of_orders = (o.select("*", F.explode(F.array_compact(which)).alias("phase"))
+                 .select("phase", F.col("o_orderkey").alias("k"), F.lit(0).alias("line"), F.col("o_orderdate").alias("at"),
+                         *[F.when(phase == 0, F.col(c)).alias(name) for c, name in (("o_custkey", "who"), ("o_totalprice", "amount"), ("items", "items"))]))
+    of_lines = li.select(F.lit(2).alias("phase"), F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), F.col("l_shipdate").alias("at"),
+                         F.col("l_partkey").alias("who"), F.col("l_quantity").alias("amount"))
+
+    key, done_at = F.col("k").cast("string"), F.col("at") + F.expr("INTERVAL 1 DAY")
+    seq = F.struct(F.when(phase == 1, done_at).otherwise(F.col("at")).alias("t"), "phase", "k", "line")
+    item = lambda x: F.struct(x.l_partkey.cast("string").alias("productId"), x.quantity.alias("quantity"), x.price.alias("price"))
     created_detail = (F.struct(
         F.lit("order.created").alias("eventType"),
-        F.struct(key.alias("orderId"), F.col("o_custkey").cast("string").alias("customerId"),
-                 F.coalesce("items", F.array().cast(items.schema["items"].dataType)).alias("items"),
-                 F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
-                 _iso("o_orderdate").alias("createdAt")).alias("data")))
-    created = F.struct(
-        F.to_variant_object(F.struct(F.lit("orders").alias("source"),
-                                     F.lit("Order Created").alias("detail-type"),
-                                     created_detail.alias("detail"))).alias("event"),
-        F.struct(F.col("o_orderdate").alias("t"), F.lit(0).alias("phase"),
-                 F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
-
-    done_at = F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")
-    completed = F.struct(
-        F.to_variant_object(F.struct(
-            F.lit("orders").alias("source"), F.lit("Order Completed").alias("detail-type"),
-            F.to_json(F.struct(
-                F.lit("order.completed").alias("eventType"),
-                F.struct(key.alias("orderId"), _iso(done_at).alias("completedAt")).alias("data")))
-            .alias("detail"))).alias("event"),
-        F.struct(done_at.alias("t"), F.lit(1).alias("phase"),
-                 F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
-
-    # A bus has its events in shards; the tables come in one piece.
-    inventory = li.repartition("l_orderkey", "l_linenumber").select(
-        F.to_variant_object(F.struct(
-            F.lit("inventory").alias("source"), F.lit("Inventory Updated").alias("detail-type"),
-            F.struct(F.lit("inventory.updated").alias("eventType"),
-                     F.struct(F.col("l_partkey").cast("string").alias("itemId"),
-                              F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
-                              _iso("l_shipdate").alias("updatedAt")).alias("data"))
-            .alias("detail"))).alias("event"),
-        F.struct(F.col("l_shipdate").alias("t"), F.lit(2).alias("phase"),
-                 F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line")).alias("seq"))
+        F.struct(key.alias("orderId"), F.col("who").cast("string").alias("customerId"),
+                 F.transform(F.coalesce("items", F.array().cast(items.schema["items"].dataType)), item).alias("items"),
+                 F.col("amount").cast("decimal(18,2)").alias("total"),
+                 _iso("at").alias("createdAt")).alias("data")))
+    created = F.to_variant_object(F.struct(F.lit("orders").alias("source"),
+                                           F.lit("Order Created").alias("detail-type"),
+                                           created_detail.alias("detail")))
+
+    completed = F.to_variant_object(F.struct(
+        F.lit("orders").alias("source"), F.lit("Order Completed").alias("detail-type"),
+        F.to_json(F.struct(
+            F.lit("order.completed").alias("eventType"),
+            F.struct(key.alias("orderId"), _iso(done_at).alias("completedAt")).alias("data")))
+        .alias("detail")))
+
+    updated = F.to_variant_object(F.struct(
+        F.lit("inventory").alias("source"), F.lit("Inventory Updated").alias("detail-type"),
+        F.struct(F.lit("inventory.updated").alias("eventType"),
+                 F.struct(F.col("who").cast("string").alias("itemId"),
+                          F.col("amount").cast("decimal(18,2)").alias("quantity"),
+                          _iso("at").alias("updatedAt")).alias("data"))
+        .alias("detail")))
 
     note = F.to_json(F.struct(
         F.lit("notifications").alias("source"), F.lit("Notification Sent").alias("detail-type"),
@@ -79,18 +86,16 @@ def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("Urgent order").alias("subject"),
                           F.concat(F.lit("Order "), key, F.lit(" is urgent")).alias("message"),
                           F.lit("high").alias("priority"),
-                          _iso("o_orderdate").alias("timestamp")).alias("data")).alias("detail")))
+                          _iso("at").alias("timestamp")).alias("data")).alias("detail")))
     wrapped = F.to_json(F.struct(F.array(F.struct(note.alias("body"))).alias("Records")))
-    notification = F.struct(
-        F.parse_json(wrapped).alias("event"),
-        F.struct(F.col("o_orderdate").alias("t"), F.lit(3).alias("phase"),
-                 F.col("o_orderkey").alias("k"), F.lit(0).alias("line")).alias("seq"))
-    # All events of an order from one pass over it: first which, then each one.
-    which = F.array(F.lit(0), F.when(F.col("o_orderstatus") == "F", F.lit(1)),
-                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(3)))
-    own = (F.when(F.col("_phase") == 0, created).when(F.col("_phase") == 1, completed).otherwise(notification))
-    of_orders = o.select("*", F.explode(F.array_compact(which)).alias("_phase")).select(own.alias("_own")).select("_own.*")
-    return of_orders.unionByName(inventory)
+    of_order = F.when(phase == 0, created).when(phase == 1, completed).otherwise(F.parse_json(wrapped))
+
+    if deal:
+        rows = deal(of_orders.unionByName(of_lines, allowMissingColumns=True), seq)
+        return rows.select(F.when(phase == 2, updated).otherwise(of_order).alias("event"), seq.alias("seq"))
+    # A bus has its events in shards; the tables come in one piece.
+    of_lines = of_lines.repartition("k", "line").select(updated.alias("event"), seq.alias("seq"))
+    return of_orders.select(of_order.alias("event"), seq.alias("seq")).unionByName(of_lines)
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewater.plans.common import EVENTS_AS_OF, t, ts_text
 from tidewater.plans.events_plans import bus_events
-from tidewater.session import scratch_path
+from tidewater.session import scratch_path, shuffles_freed
 from tidewater.sources.shards import append_records, drain, read_shards
 from tidewater.sources.stream import envelopes_from_events
 from tidewater.streaming import jobs, stateful
@@ -76,14 +76,22 @@ def windowed_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("partitionKey").alias("partition_key"), "count", "total_value")
 
 
+def _place(seq: Column) -> Column:
+    """A sequence of the bus as sortable text."""
+    return F.concat_ws("/", F.date_format(seq["t"], "yyyyMMddHHmmss"), seq["phase"].cast("string"),
+                       F.lpad(seq["k"].cast("string"), 19, "0"), F.lpad(seq["line"].cast("string"), 9, "0"))
+
+
 def _bus(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, DataFrame]:
-    """The bus as a stream of files, three in eight a batch; its sequence as sortable text."""
+    """The bus as a stream of files, three in eight a batch, which go when theirs is
+    done; its sequence as sortable text."""
     root = _fresh(spark, label)
-    seq = F.concat_ws("/", F.date_format("seq.t", "yyyyMMddHHmmss"), F.col("seq.phase").cast("string"),
-                      F.lpad(F.col("seq.k").cast("string"), 19, "0"), F.lpad(F.col("seq.line").cast("string"), 9, "0"))
     n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bus_events(spark, sf_dir).select("event", seq.alias("seq")).repartition(n, "seq").write.parquet(f"{root}/bus")
-    return root, spark.readStream.schema("event variant, seq string").option("maxFilesPerTrigger", -(-n * 3 // 8)).parquet(f"{root}/bus")
+    events = bus_events(spark, sf_dir, lambda rows, seq: rows.repartition(n, _place(seq)))
+    with shuffles_freed(spark):
+        events.select("event", _place(F.col("seq")).alias("seq")).write.option("compression", "zstd").parquet(f"{root}/bus")
+    files = spark.readStream.schema("event variant, seq string").options(maxFilesPerTrigger=-(-n * 3 // 8), cleanSource="delete")
+    return root, files.parquet(f"{root}/bus")
 
 
 def order_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

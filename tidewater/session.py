@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +83,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within this, a write's shuffle files go when it ends, and those of a stream that is
+    started after each batch; Spark keeps them until the driver collects its garbage."""
+    was = spark.conf.get(_FREED, None)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(_FREED)
+        else:
+            spark.conf.set(_FREED, was)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back, for a frame
     that is costly to make and used more than once."""

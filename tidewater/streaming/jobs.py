@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.operators import events, lake, metrics
+from tidewater.session import shuffles_freed
 from tidewater.sources.shards import MAX_RECORDS, read_shards
 from tidewater.sources.stream import read_stream
 from tidewater.streaming import stateful
@@ -151,9 +152,10 @@ def _start_changes(rows: DataFrame, path: str, checkpoint: str, trigger: dict |
     stateful.use_state_store(rows.sparkSession)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch_id={batch_id}")
 
-    return _trigger(rows.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint), trigger).start()
+    with shuffles_freed(rows.sparkSession):
+        return _trigger(rows.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint), trigger).start()
 
 
 def order_state(spark: SparkSession, checkpoint: str) -> DataFrame:
