@@ -1,10 +1,12 @@
 """Document annotation (FIXTURES section 6)."""
 
 import math
+import random
 import re
 from collections import Counter
 from itertools import pairwise
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidewater.operators import documents as D
@@ -103,3 +105,29 @@ def test_key_phrases_sort_rows_once_after_each_shuffle(spark):
     plan = D.key_phrases(_docs(spark, [(1, "x", "blue sky")]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("RepartitionByExpression") < plan.index("Join LeftOuter")
     assert "(df" in plan and "> 1)" in plan
+
+
+def test_key_phrases_of_several_pages_shuffle_no_phrase_before_the_ranking(spark):
+    """Frequencies over pages of several tasks, in many parts; frequent phrases, and more equal scores than are kept."""
+    rng = random.Random(5)
+    words = [a + b for a in "bcdfgh" for b in "aeiouy"]
+    text = lambda k: " ".join(rng.choice(words) for _ in range(k % 7 * 30)) + " hot spot" * (k % 3) + f" q{'abcdefghij'[k % 10]} end"
+    rows = [(k // 2, "x", text(k)) for k in range(60)]
+    counts = []
+    for k, _, t in rows:
+        tok = re.findall(r"[a-z]+", t)
+        counts.append((k, Counter(f"{a} {b}" for a, b in pairwise(tok) if not {a, b} & {w for ws in D.STOP_WORDS.values() for w in ws})))
+    df = Counter(p for _, c in counts for p in c)
+    want = []
+    for k in {k for k, _ in counts}:
+        own = sorted((-n * math.log(len(rows) / df[p]), p) for i, c in counts if i == k for p, n in c.items())
+        want += [(k, r, p, round(-s, 6) + 0.0) for r, (s, p) in enumerate(own[:20], 1)]
+    found = D.key_phrases(_docs(spark, rows).repartition(5))
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "phrase#" not in plan[plan.index("Join LeftOuter"):]
+
+
+def test_numbers_are_packed_and_unpacked():
+    arrays = [np.array(x, np.int64) for x in ([], [0, 1, 255, 256, (1 << 32) - 1], [7])]
+    assert [x.tolist() for x in D._unpacked(D._packed(*arrays), 0, 5, 1)] == [x.tolist() for x in arrays]

@@ -16,19 +16,21 @@ corpus statistics and therefore a shuffle.  Whole texts are analysed; the
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from datetime import datetime
-from itertools import pairwise
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.core import file_extension, lit_ts, once
 from tidewater.operators import keyed
-from tidewater.session import stored
+from tidewater.session import shuffles_freed, stored
 
 TEXT_LIMIT = 5000
 TOP_N = 20
@@ -194,63 +196,199 @@ def entities(df: DataFrame, text: str = "text") -> DataFrame:
 
 # Function words of all languages: no phrase holds one.
 _STOP = sorted({w for ws in STOP_WORDS.values() for w in ws})
-# Tokens of the documents that are counted at once.
-_PIECE = 1 << 20
+# Tokens of the documents of a page, about, and the parts its phrases are dealt out in.
+_PIECE, _PARTS = 1 << 20, 1024
+_PAGE = "page long, docs long, ids array<{}>, words string, n long, packed binary"
 
 
-def _counted(ids: pa.Array, tok: pa.ListArray) -> pa.RecordBatch:
-    """(id, phrase, tf) of some rows: adjacent pairs of their tokens without
-    function words, each once a row with its count."""
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Numbers below 2**32, their bytes by place, as those of a place are alike."""
+    planes = [np.ascontiguousarray(a, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, *sizes: int) -> list[np.ndarray]:
+    raw, out = np.frombuffer(pa.decompress(packed, 4 * sum(sizes), codec="zstd", asbytes=True), np.uint8), []
+    for n in sizes:
+        out.append(np.ascontiguousarray(raw[:4 * n].reshape(4, n).T).view("<u4").ravel())
+        raw = raw[4 * n:]
+    return out
+
+
+def _counted(ids: pa.Array, tok: pa.ListArray) -> list[pa.Array]:
+    """A page of some rows: adjacent pairs of their tokens without function words,
+    each once a row with its count, in the order of the row and the phrase.
+
+    Words are numbered in their order, so phrases are in that of their numbers; a blank
+    comes before all letters.
+    """
     codes = tok.flatten().dictionary_encode()
     words, code = codes.dictionary, codes.indices.to_numpy().astype(np.int64)
     row = np.repeat(np.arange(len(tok)), pc.fill_null(pc.list_value_length(tok), 0).to_numpy())
     plain = pc.invert(pc.is_in(words, pa.array([*_STOP, ""], words.type))).to_numpy(zero_copy_only=False)
     plain = plain[code] if len(code) else np.zeros(0, bool)
     at = np.flatnonzero(plain[:-1] & plain[1:] & (row[:-1] == row[1:]))
-    order = np.lexsort((code[at + 1], code[at], row[at]))
-    at = at[order]
-    keys = row[at], code[at], code[at + 1]
+    used = np.unique(np.concatenate([code[at], code[at + 1]]))
+    kept = words.take(pa.array(used))
+    order = pc.array_sort_indices(kept)
+    number = np.zeros(len(words), np.int64)
+    number[used[order.to_numpy()]] = np.arange(len(used))
+    keys = row[at], number[code[at]], number[code[at + 1]]
+    order_of = np.lexsort(keys[::-1])
+    keys = [k[order_of] for k in keys]
     new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])[:len(at)]
     first = np.flatnonzero(new)
-    row, one, two = (pa.array(k[first]) for k in keys)
-    phrase = pc.binary_join_element_wise(words.take(one), words.take(two), pa.scalar(" ", words.type))
-    return pa.RecordBatch.from_arrays([ids.take(row), phrase, pa.array(np.diff(np.append(first, len(at))))], names=["id", "phrase", "tf"])
+    row, one, two = (k[first] for k in keys)
+    # What grows within the page is kept as its steps.
+    packed = _packed(np.bincount(row, minlength=len(tok)), np.diff(one, prepend=0) % (1 << 32), two, np.diff(np.append(first, len(at))))
+    listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+    return [pa.array([len(tok)]), listed, pa.array([" ".join(kept.take(order).to_pylist())]), pa.array([len(first)]), pa.array([packed], pa.binary())]
 
 
-def _phrase_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (id, tokens) rows, about ``_PIECE`` tokens at a time."""
+def _phrase_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages of (id, tokens) rows, about ``_PIECE`` tokens each."""
+    page = TaskContext.get().partitionId() << 32
     for batch in batches:
         ids, tok = batch.columns
         ends = np.cumsum(pc.fill_null(pc.list_value_length(tok), 0).to_numpy())
         cuts = np.flatnonzero(np.diff(ends // _PIECE, prepend=0))
         for i, j in pairwise([0, *cuts, len(batch)]):
             if j > i:
-                yield _counted(ids.slice(i, j - i), tok.slice(i, j - i))
+                columns = [pa.array([page]), *_counted(ids.slice(i, j - i), tok.slice(i, j - i))]
+                yield pa.RecordBatch.from_arrays(columns, names=["page", "docs", "ids", "words", "n", "packed"])
+                page += 1
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of the numbers spread over all of them, one to one."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Page:
+    """A stored page: its phrases, and the different ones by part and hash."""
+
+    def __init__(self, docs: int, words: str, n: int, packed: bytes):
+        self.words = words.split()
+        self.sizes, one, self.two, self.tf = _unpacked(packed, docs, n, n, n)
+        self.one = np.cumsum(one, dtype=np.uint32)
+        digests = b"".join(hashlib.blake2b(w.encode(), digest_size=16).digest() for w in self.words)
+        low, high = np.frombuffer(digests, "<u8").reshape(-1, 2).T
+        pair = self.one.astype(np.int64) * len(self.words) + self.two
+        pair, self.which, self.held = np.unique(pair, return_inverse=True, return_counts=True)
+        one, two = np.divmod(pair, max(1, len(self.words)))
+        # 64 and 32 bits of hash, and the part by others.
+        low, high = (_mixed(h[one] + _mixed(h[two] + np.uint64(0x9E3779B97F4A7C15))) for h in (low, high))
+        part = (high >> np.uint64(32)).astype(np.int64) % _PARTS
+        self.order = np.lexsort((low, part))
+        self.low, self.high = low[self.order], high[self.order].astype("<u4")
+        self.starts = np.searchsorted(part[self.order], np.arange(_PARTS + 1))
+
+
+def _hash_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, page, hashes, held): the hashes of a part of each page, and of how many documents."""
+    for batch in batches:
+        for page, docs, words, n, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            p = _Page(docs, words, n, packed)
+            held = p.held[p.order].astype("<u4")
+            parts = np.flatnonzero(np.diff(p.starts))
+            spans = [slice(p.starts[k], p.starts[k + 1]) for k in parts]
+            columns = [pa.array(parts, pa.int32()), pa.array([page] * len(parts), pa.int64()),
+                       pa.array([p.low[x].tobytes() + p.high[x].tobytes() for x in spans], pa.binary()),
+                       pa.array([held[x].tobytes() for x in spans], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "page", "hashes", "held"])
+
+
+def _summed(part: int, pages: list[int], hashes: list[bytes], held: list[bytes]) -> pa.RecordBatch:
+    """Of all hashes of a part the documents they are in, in the places of the hashes."""
+    sizes = [len(h) // 4 for h in held]
+    low = np.concatenate([np.frombuffer(h, "<u8", n) for h, n in zip(hashes, sizes)])
+    high = np.concatenate([np.frombuffer(h, "<u4", n, 8 * n) for h, n in zip(hashes, sizes)])
+    order = np.lexsort((high, low))
+    low, high = low[order], high[order]
+    new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+    sums = np.add.reduceat(np.frombuffer(b"".join(held), "<u4")[order].astype(np.int64), np.flatnonzero(new))
+    df = np.empty(len(order), np.int64)
+    df[order] = sums[np.cumsum(new) - 1]
+    own = np.split(df, np.cumsum(sizes)[:-1])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pages, pa.int64()), pa.array([part] * len(pages), pa.int32()), pa.array([x.max() for x in own], pa.int64()),
+         pa.array([x.astype("<u4").tobytes() for x in own], pa.binary())], names=["page", "part", "df", "counts"])
+
+
+def _part_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_summed`` of rows that are sorted by part; one part is held at a time."""
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+    for part, own in groupby(rows, key=lambda r: r[0]):
+        _, *columns = zip(*own)
+        yield _summed(part, *map(list, columns))
+
+
+def _leading(p: _Page, df: np.ndarray, n_docs: int) -> np.ndarray:
+    """Rows of a page that may be among the ``TOP_N`` of their documents.
+
+    Their scores are worked out and ranked by Spark, whose logarithm may differ from
+    this one in its last digits; so all rows about as good as the last are taken, but
+    of equal count and frequency only the first by phrase.
+    """
+    row = np.repeat(np.arange(len(p.sizes)), p.sizes)
+    score = p.tf * np.log(n_docs / df)
+    order = np.lexsort((p.tf, -score, row))         # stable, so by phrase where all are equal
+    row, score, tf = row[order], score[order], p.tf[order]
+    place, starts = np.arange(len(order)), np.cumsum(p.sizes, dtype=np.int64) - p.sizes
+    last = score[np.minimum(starts + TOP_N, starts + p.sizes)[p.sizes > 0] - 1]
+    least = np.repeat(last * (1 - 1e-9), p.sizes[p.sizes > 0])
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (score[1:] != score[:-1]) | (tf[1:] != tf[:-1])])[:len(order)]
+    alike = place - np.maximum.accumulate(np.where(new, place, 0))
+    return np.sort(order[(score >= least) & (alike < TOP_N)])
+
+
+def _leading_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, phrase, tf, df) of pages with the counts found of their parts."""
+    for batch in batches:
+        for docs, ids, words, n, packed, found, n_docs in zip(*batch.columns):
+            p = _Page(docs.as_py(), words.as_py(), n.as_py(), packed.as_py())
+            df = np.ones(len(p.order), np.int64)
+            for part, counts in zip(*(found.values.field(k).to_pylist() for k in ("part", "counts"))) if found.is_valid else ():
+                df[p.order[p.starts[part]:p.starts[part + 1]]] = np.frombuffer(counts, "<u4")
+            df = df[p.which]
+            best = _leading(p, df, n_docs.as_py())
+            row = np.repeat(np.arange(len(p.sizes)), p.sizes)[best]
+            all_words = pa.array(p.words, pa.string())
+            phrase = pc.binary_join_element_wise(all_words.take(pa.array(p.one[best])), all_words.take(pa.array(p.two[best])), " ")
+            yield pa.RecordBatch.from_arrays([ids.values.take(pa.array(row)), phrase, pa.array(p.tf[best].astype(np.int64)), pa.array(df[best])],
+                                             names=["id", "phrase", "tf", "df"])
 
 
 def key_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """K4 + E8: top-20 bigrams per document by TF-IDF over the corpus.
 
     Rows ``(doc_id, rank, phrase, score)``.  Counts within a document need no
-    shuffle: they are made from its row, by Arrow in the task.  Document
-    frequencies are one partial aggregate, of which only those over one are
-    joined; the frequent-phrase skew of the tf/df join is left to AQE's
-    skew-join split.
+    shuffle: they are made from its row, by Arrow in the task, and stored as pages of
+    about a million tokens.  For the document frequencies a page's phrases are shuffled
+    as hashes, each once a page, and their counts travel back to the page by place; no
+    phrase is shuffled but those that may be among the first of their document.  A
+    frequent phrase is one hash a page, so none is skewed.
     """
-    # Corpus size as a scalar subquery (one value, no join).
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    spark = docs.sparkSession
     listed = docs.select(F.col(doc_id).alias("id"), F.col(TOKENS) if TOKENS in docs.columns else _split(F.col(text)).alias(TOKENS))
     kind = listed.schema["id"].dataType.simpleString()
     # Read twice, for the frequencies and for the scores; tokenised once.
-    tf = stored(listed.mapInArrow(_phrase_counts, f"id {kind}, phrase string, tf long"), "phrase-counts")
-    # Phrases meet by 128 bits of hash, which sort faster than their texts.
-    tf = tf.withColumns({"_h": F.xxhash64("phrase"), "_k": F.xxhash64(F.lit(1), "phrase")})
-    df_ = tf.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1)
-    scored = (tf.join(df_, ["_h", "_k"], "left")
-              .select(F.col("id").alias(doc_id), "phrase",
-                      (F.col("tf") * F.log(n_docs / F.coalesce("df", F.lit(1)))).alias("_s")))
-    # One ranking pass: a group is one document, bounded by its length.  The rows are
-    # dealt out first, as otherwise they would be sorted before the shuffle, too.
+    pages = stored(listed.mapInArrow(_phrase_pages, _PAGE.format(kind)), "phrase-pages")
+    # Phrases meet by 96 bits of hash within a part.
+    hashes = pages.select("page", "docs", "words", "n", "packed").mapInArrow(_hash_parts, "part int, page long, hashes binary, held binary")
+    dealt = hashes.repartition("part").sortWithinPartitions("part")
+    with shuffles_freed(spark):
+        counts = stored(dealt.mapInArrow(_part_sums, "page long, part int, df long, counts binary"), "phrase-frequencies")
+    found = counts.filter(F.col("df") > 1).groupBy("page").agg(F.collect_list(F.struct("part", "counts")).alias("found"))
+    # Corpus size as a scalar subquery (one value, no join).
+    n_docs = pages.select(F.sum("docs")).scalar()
+    counted = pages.join(found, "page", "left").select("docs", "ids", "words", "n", "packed", "found", n_docs.alias("n_docs"))
+    leading = counted.mapInArrow(_leading_phrases, f"id {kind}, phrase string, tf long, df long")
+    scored = leading.select(F.col("id").alias(doc_id), "phrase", (F.col("tf") * F.log(n_docs / F.col("df"))).alias("_s"))
+    # One ranking pass: a group is what is left of one document.  The rows are dealt
+    # out first, as otherwise they would be sorted before the shuffle, too.
     top = keyed.top_k(scored.repartition(doc_id), [doc_id], [F.col("_s").desc(), F.col("phrase")], TOP_N)
     return top.select(doc_id, "rank", "phrase", F.round("_s", 6).alias("score"))
 
