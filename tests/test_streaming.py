@@ -309,3 +309,15 @@ def test_a_bus_that_is_dealt_out_has_the_same_events(spark):
     text = lambda df: sorted(map(tuple, df.select(F.to_json("event"), F.to_json("seq")).collect()))
     dealt = bus_events(spark, SF, lambda rows, seq: rows.repartition(3, seq))
     assert dealt.rdd.getNumPartitions() == 3 and text(dealt) == text(bus_events(spark, SF))
+
+
+def test_items_of_one_line_number_are_in_the_order_of_their_product_as_text(spark, tmp_dir):
+    at = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00"))
+    spark.range(1).select(F.lit(5).cast("long").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+                          F.lit(9.5).alias("o_totalprice"), at.alias("o_orderdate"), F.lit("2-HIGH").alias("o_orderpriority")).write.parquet(f"{tmp_dir}/orders.parquet")
+    lines = spark.createDataFrame([(5, 499, 1, 1, 2.0, 3.0), (5, 1402, 1, 1, 2.0, 3.0), (5, 7, 1, 0, 2.0, 3.0)],
+                                  "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double")
+    lines.withColumn("l_shipdate", at).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    for deal in (None, lambda rows, seq: rows.repartition(2, seq)):
+        created = bus_events(spark, tmp_dir, deal).where("seq.phase = 0").select(F.expr("variant_get(event, '$.detail.data.items', 'array<struct<productId:string>>')")).first()[0]
+        assert [i.productId for i in created] == ["7", "1402", "499"]
